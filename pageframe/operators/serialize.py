@@ -14,31 +14,40 @@ NO_END_TAG = VOID_TAGS + "basefont bgsound frame keygen param".split()
 # -------------------------------------------------------------------------------------------------
 
 
-def _open() -> Column:
+def _open(node=F.col) -> Column:
     attr = lambda a: F.concat(F.lit(" "), a["name"], F.when(a["value"].isNull(), "").otherwise(
         F.concat(F.lit('="'), escape_attr_value(a["value"]), F.lit('"'))))
-    kind = F.col("node_type")
+    kind, text = node("node_type"), node("text")
     return (
         F.when(kind == "element", F.concat(
-            F.lit("<"), F.col("tag"), F.array_join(F.transform("attrs", attr), ""), F.lit(">")))
-        .when(kind == "text", F.when(F.col("raw_text"), F.col("text")).otherwise(escape_text_node(F.col("text"))))
-        .when(kind == "comment", F.concat(F.lit("<!--"), F.col("text"), F.lit("-->")))
-        .when(kind == "doctype", F.concat(F.lit("<!DOCTYPE "), F.col("text"), F.lit(">")))
+            F.lit("<"), node("tag"), F.array_join(F.transform(node("attrs"), attr), ""), F.lit(">")))
+        .when(kind == "text", F.when(node("raw_text"), text).otherwise(escape_text_node(text)))
+        .when(kind == "comment", F.concat(F.lit("<!--"), text, F.lit("-->")))
+        .when(kind == "doctype", F.concat(F.lit("<!DOCTYPE "), text, F.lit(">")))
         .otherwise("")
     )
 
 
-def _close() -> Column:
-    ends = (F.col("node_type") == "element") & ~((F.col("ns") == "html") & F.col("tag").isin(NO_END_TAG))
-    return F.when(ends, F.concat(F.lit("</"), F.col("tag"), F.lit(">"))).otherwise("")
+def _close(node=F.col) -> Column:
+    ends = (node("node_type") == "element") & ~((node("ns") == "html") & node("tag").isin(NO_END_TAG))
+    return F.when(ends, F.concat(F.lit("</"), node("tag"), F.lit(">"))).otherwise("")
+
+
+def _events(node=F.col) -> Column:
+    """Open and close markup of one node; event order is 2*pre-depth and 2*last-depth+1."""
+    return F.array(
+        F.struct((2 * node("pre") - node("depth")).alias("pre"), _open(node).alias("piece")),
+        F.struct((2 * node("last") - node("depth") + 1).alias("pre"), _close(node).alias("piece")))
+
+
+def fragment_html(fragment: Column) -> Column:
+    """HTML of a fragment column (array of node structs)."""
+    events = F.flatten(F.transform(fragment, lambda f: _events(lambda c: f[c])))
+    return F.array_join(F.transform(F.array_sort(events), lambda e: e["piece"]), "")
 
 
 def _pieces(nodes: DataFrame) -> DataFrame:
-    """Open and close markup events; event order is 2*pre-depth and 2*last-depth+1."""
-    at_open, at_close = 2 * F.col("pre") - F.col("depth"), 2 * F.col("last") - F.col("depth") + 1
-    return nodes.select("page_id", F.inline(F.array(
-        F.struct(at_open.alias("pre"), _open().alias("piece")),
-        F.struct(at_close.alias("pre"), _close().alias("piece")))))
+    return nodes.select("page_id", F.inline(_events()))
 
 
 def to_html(nodes: DataFrame) -> DataFrame:
