@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.node import attr_value
-from .search import elements_by_tag
-from .select import select_all
+from .select import in_scope, select_all
 from .text import text_content
 from .tokens import token_array, token_attrs
 
@@ -31,8 +30,10 @@ def resolve(href: Column, base: Column) -> Column:
 def links(nodes: DataFrame, pages: DataFrame | None = None, text: bool = True,
           selector: str = "a[href]", scope: str = "body") -> DataFrame:
     """page_id, node_id, href (and link text; resolved target and host when page URLs are given)."""
-    sel = select_all(nodes, selector, scope)
-    sel = text_content(nodes, sel).withColumnRenamed("text_content", "link_text") if text else sel
+    if text:
+        sel = text_content(nodes, selector).filter(in_scope(scope)).withColumnRenamed("text_content", "link_text")
+    else:
+        sel = select_all(nodes, selector, scope)
     out = sel.select("page_id", "node_id", "pre", attr_value("href").alias("href"), *(["link_text"] if text else []))
     if pages is None:
         return out
@@ -60,14 +61,13 @@ def link_graph(pages: DataFrame) -> DataFrame:
 
 def style_text(nodes: DataFrame, tag: str = "style", scope: str = "document") -> DataFrame:
     """Text of STYLE or SCRIPT elements."""
-    sel = elements_by_tag(nodes, tag, scope)
-    return text_content(nodes, sel).select("page_id", "node_id", "pre", "tag", F.col("text_content").alias("text"))
+    found = (F.col("tag") == tag.lower()) & (F.col("node_type") == "element") & in_scope(scope)
+    return text_content(nodes, found).select("page_id", "node_id", "pre", "tag", F.col("text_content").alias("text"))
 
 
 def main_text(nodes: DataFrame) -> DataFrame:
     """One row per page: title, first heading and article text."""
-    sel = select_all(nodes, "title, h1, article", "document")
-    texts = text_content(nodes, sel)
+    texts = text_content(nodes, "title, h1, article")
     first = lambda tag: F.min_by(F.when(F.col("tag") == tag, F.col("text_content")),
                                  F.when(F.col("tag") == tag, F.col("pre")))
     return texts.groupBy("page_id").agg(

@@ -370,7 +370,7 @@ def _keep_rows(selectors) -> Column:
     return (F.col("node_type") == "element") & _candidate(selectors)
 
 
-def _scoped(scope: str) -> Column:
+def in_scope(scope: str) -> Column:
     if scope not in ("body", "document"):
         raise ValueError(f"unknown scope: {scope}")
     page = F.col("tree_id") == 0
@@ -387,7 +387,7 @@ def flag_nodes(nodes: DataFrame, selector: str, name: str = "matches") -> DataFr
 def select_all(nodes: DataFrame, selector: str, scope: str = "body") -> DataFrame:
     """All elements matching a selector list, each once."""
     hits = _flag(nodes.filter("tree_id = 0"), selector, "_match", prune=True)
-    return hits.filter(F.col("_match") & _scoped(scope)).drop("_match")
+    return hits.filter(F.col("_match") & in_scope(scope)).drop("_match")
 
 
 def select_first(nodes: DataFrame, selector: str, scope: str = "body") -> DataFrame:
@@ -403,7 +403,7 @@ def first_per_page(sel: DataFrame) -> DataFrame:
 def page_matches(nodes: DataFrame, selector: str, pages: DataFrame | None = None, scope: str = "body") -> DataFrame:
     """(page_id, matches): does any element of the page match."""
     hits = _flag(nodes.filter("tree_id = 0"), selector, "_match", prune=False)
-    flags = hits.groupBy("page_id").agg(F.coalesce(F.max(F.col("_match") & _scoped(scope)), F.lit(False)).alias("matches"))
+    flags = hits.groupBy("page_id").agg(F.coalesce(F.max(F.col("_match") & in_scope(scope)), F.lit(False)).alias("matches"))
     if pages is None:
         return flags
     return pages.select("page_id").join(flags, "page_id", "left").withColumn("matches", F.coalesce("matches", F.lit(False)))
@@ -449,5 +449,5 @@ def select_within(nodes: DataFrame, sel: DataFrame, selector: str) -> DataFrame:
 def match_counts(nodes: DataFrame, selectors: dict[str, str], scope: str = "body") -> DataFrame:
     """Per-page match counts of several named selectors in one pass."""
     run = _Pass(nodes.filter("tree_id = 0"))
-    flags = {name: run.keep(run.any_of(_read_list(s.strip())[0]) & _scoped(scope)) for name, s in selectors.items()}
+    flags = {name: run.keep(run.any_of(_read_list(s.strip())[0]) & in_scope(scope)) for name, s in selectors.items()}
     return run.df.groupBy("page_id").agg(*[F.count_if(c).alias(n) for n, c in flags.items()])

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions.node import VOID_TAGS
 from ..functions.text import escape_attr_value, escape_text_node
-from .text import page_array
 
 # --- fixed values: elements written without an end tag -------------------------------------------
 NO_END_TAG = VOID_TAGS + "basefont bgsound frame keygen param".split()
@@ -46,49 +45,53 @@ def fragment_html(fragment: Column) -> Column:
     return F.array_join(F.transform(F.array_sort(events), lambda e: e["piece"]), "")
 
 
-def _pieces(nodes: DataFrame) -> DataFrame:
-    return nodes.select("page_id", F.inline(_events()))
+def _pieces(events: Column) -> Column:
+    return F.transform(F.array_sort(F.flatten(events)), lambda e: e["piece"])
 
 
 def to_html(nodes: DataFrame) -> DataFrame:
     """Whole pages: (page_id, html), doctype and document-level comments included.
 
     Works on any order-consistent numbering, so deletions need no renumbering first."""
-    pieces = page_array(_pieces(nodes), F.col("piece"), "_p")
-    return pieces.select("page_id", F.array_join("_p", "").alias("html"))
+    return nodes.groupBy("page_id").agg(F.array_join(_pieces(F.collect_list(_events())), "").alias("html"))
 
 
-def _slice_html(nodes: DataFrame, sel: DataFrame, name: str, lo: Column, n: Column) -> DataFrame:
-    pieces = page_array(_pieces(nodes), F.col("piece"), "_p")
-    html = F.array_join(F.slice(F.col("_p"), lo, n), "")
-    return sel.join(pieces, "page_id").withColumn(name, html).drop("_p")
+def _part(nodes: DataFrame, where, name: str, inner: bool) -> DataFrame:
+    from .rewrite import mark
+    marked = nodes.withColumn("_hit", F.lit(True)) if where is None else mark(nodes, where)
+    carried = [c for c in marked.columns if c not in ("page_id", "_hit")]
+    pages = marked.groupBy("page_id").agg(
+        F.collect_list(_events()).alias("_e"),
+        F.collect_list(F.when(F.col("_hit"), F.struct(*carried))).alias("_hits"))
+    pages = pages.filter(F.size("_hits") > 0).select("page_id", _pieces(F.col("_e")).alias("_p"), "_hits")
 
+    def cut(h):
+        lo = 2 * h["pre"] - h["depth"] + (2 if inner else 1)
+        return F.array_join(F.slice("_p", lo, 2 * (h["last"] - h["pre"]) + (0 if inner else 2)), "")
 
-def outer_html(nodes: DataFrame, sel: DataFrame | None = None) -> DataFrame:
+    return pages.select("page_id", F.inline(F.transform("_hits", lambda h: F.struct(
+        *[h[c].alias(c) for c in carried], cut(h).alias(name)))))
+
+
+def outer_html(nodes: DataFrame, where=None) -> DataFrame:
     """Selected rows plus ``outer_html``."""
-    sel = nodes if sel is None else sel
-    lo = 2 * F.col("pre") - F.col("depth") + 1
-    return _slice_html(nodes, sel, "outer_html", lo, 2 * (F.col("last") - F.col("pre")) + 2)
+    return _part(nodes, where, "outer_html", inner=False)
 
 
-def inner_html(nodes: DataFrame, sel: DataFrame | None = None) -> DataFrame:
+def inner_html(nodes: DataFrame, where=None) -> DataFrame:
     """Selected rows plus ``inner_html``: text when there are no child elements, '' when empty."""
-    sel = nodes if sel is None else sel
-    lo = 2 * F.col("pre") - F.col("depth") + 2
-    return _slice_html(nodes, sel, "inner_html", lo, 2 * (F.col("last") - F.col("pre")))
+    return _part(nodes, where, "inner_html", inner=True)
 
 
-def inner_template_html(nodes: DataFrame, templates: DataFrame | None = None, first_only: bool = False) -> DataFrame:
+def inner_template_html(nodes: DataFrame, where=None, first_only: bool = False) -> DataFrame:
     """HTML of template contents; ``first_only`` keeps only the first content node."""
-    if templates is None:
-        templates = nodes.filter((F.col("tag") == "template") & (F.col("ns") == "html"))
+    is_template = (F.col("tag") == "template") & (F.col("ns") == "html")
     if not first_only:
-        return inner_html(nodes, templates).withColumnRenamed("inner_html", "template_html")
-    first = nodes.filter((F.col("tree_id") > 0) & F.col("parent_id").isNull() & (F.col("sib_idx") == 1))
-    html = outer_html(nodes, first).select("page_id", F.col("owner_id").alias("node_id"),
+        found = inner_html(nodes, is_template if where is None else where)
+        return found.filter(is_template).withColumnRenamed("inner_html", "template_html")
+    first = (F.col("tree_id") > 0) & F.col("parent_id").isNull() & (F.col("sib_idx") == 1)
+    return outer_html(nodes, first).select("page_id", F.col("owner_id").alias("node_id"),
                                            F.col("outer_html").alias("template_html"))
-    return templates.join(html, ["page_id", "node_id"], "left").withColumn(
-        "template_html", F.coalesce("template_html", F.lit("")))
 
 
 def outline(nodes: DataFrame) -> DataFrame:

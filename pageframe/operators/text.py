@@ -16,17 +16,35 @@ def page_array(nodes: DataFrame, value: Column, name: str) -> DataFrame:
     return nodes.groupBy("page_id").agg(F.transform(entries, lambda x: x["v"]).alias(name))
 
 
-def text_content(nodes: DataFrame, sel: DataFrame | None = None) -> DataFrame:
+def read_pages_of(nodes: DataFrame, where, entry: Column, value, name: str) -> DataFrame:
+    """Selected rows plus a value computed from the whole page, in one aggregation.
+
+    ``entry`` is collected for every node of the page; ``value(hit, entries)`` turns one selected
+    row and the page's entries into the new column.  Selected rows stay inside the page row until
+    the value is built, so the page array is never copied per selection."""
+    from .rewrite import mark
+    marked = nodes.withColumn("_hit", F.lit(True)) if where is None else mark(nodes, where)
+    carried = [c for c in marked.columns if c not in ("page_id", "_hit")]
+    pages = marked.groupBy("page_id").agg(
+        F.collect_list(entry).alias("_page"),
+        F.collect_list(F.when(F.col("_hit"), F.struct(*carried))).alias("_hits"))
+    return pages.filter(F.size("_hits") > 0).select("page_id", F.sort_array("_page").alias("_page"), "_hits").select(
+        "page_id", F.inline(F.transform("_hits", lambda h: F.struct(
+            *[h[c].alias(c) for c in carried], value(h, F.col("_page")).alias(name)))))
+
+
+def text_content(nodes: DataFrame, where=None) -> DataFrame:
     """Selected rows plus ``text_content``: descendant text in order, comments and nested template
     contents left out.  Text and comment nodes yield their own data."""
-    sel = nodes if sel is None else sel
-    piece = F.struct(F.col("tree_id").alias("t"), F.when(F.col("node_type") == "text", F.col("text")).alias("s"))
-    texts = page_array(nodes, piece, "_texts")
-    part = F.slice(F.col("_texts"), F.col("pre") + 1, F.col("last") - F.col("pre") + 1)
-    mine = F.filter(part, lambda x: (x["t"] == F.col("tree_id")) & x["s"].isNotNull())
-    joined = F.array_join(F.transform(mine, lambda x: x["s"]), "")
-    own = F.when(F.col("node_type").isin("text", "comment"), F.col("text")).otherwise(joined)
-    return sel.join(texts, "page_id").withColumn("text_content", own).drop("_texts")
+    entry = F.struct("pre", "tree_id", F.when(F.col("node_type") == "text", F.col("text")).alias("s"))
+
+    def text(h, page):
+        part = F.slice(page, h["pre"] + 1, h["last"] - h["pre"] + 1)
+        mine = F.filter(part, lambda x: (x["tree_id"] == h["tree_id"]) & x["s"].isNotNull())
+        return F.when(h["node_type"].isin("text", "comment"), h["text"]).otherwise(
+            F.array_join(F.transform(mine, lambda x: x["s"]), ""))
+
+    return read_pages_of(nodes, where, entry, text, "text_content")
 
 
 def comment_content(nodes: DataFrame) -> DataFrame:
