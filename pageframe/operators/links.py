@@ -27,6 +27,12 @@ def resolve(href: Column, base: Column) -> Column:
     )
 
 
+def host_of(url: Column) -> Column:
+    """Host of an absolute URL, null when there is none; tolerates characters strict parsers reject."""
+    host = F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)
+    return F.when(host != "", F.lower(host))
+
+
 def links(nodes: DataFrame, pages: DataFrame | None = None, text: bool = True,
           selector: str = "a[href]", scope: str = "body") -> DataFrame:
     """page_id, node_id, href (and link text; resolved target and host when page URLs are given)."""
@@ -39,7 +45,7 @@ def links(nodes: DataFrame, pages: DataFrame | None = None, text: bool = True,
         return out
     out = out.join(pages.select("page_id", "url"), "page_id")
     out = out.withColumn("target", resolve(F.col("href"), F.col("url")))
-    return out.withColumn("host", F.try_parse_url("target", F.lit("HOST"))).drop("url")
+    return out.withColumn("host", host_of(F.col("target"))).drop("url")
 
 
 def token_links(pages: DataFrame) -> DataFrame:
@@ -54,8 +60,7 @@ def token_links(pages: DataFrame) -> DataFrame:
 def link_graph(pages: DataFrame) -> DataFrame:
     """Host-to-host edges with link counts, pre-aggregated before the shuffle."""
     edges = token_links(pages).select(
-        F.try_parse_url("url", F.lit("HOST")).alias("from_host"),
-        F.try_parse_url(resolve(F.col("href"), F.col("url")), F.lit("HOST")).alias("to_host"))
+        host_of(F.col("url")).alias("from_host"), host_of(resolve(F.col("href"), F.col("url"))).alias("to_host"))
     return edges.groupBy("from_host", "to_host").agg(F.count("*").alias("n_links"))
 
 

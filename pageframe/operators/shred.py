@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from itertools import chain
 
 import pyarrow as pa
@@ -42,6 +43,7 @@ def _attr_column(lists):
 
 def _kernel(tokens: pa.Array, fragment: bool) -> pa.Array:
     rows, offsets, memo = [], [0], {}
+    gc.disable()   # nodes live exactly as long as the batch: scanning them meanwhile is wasted
     for page in tokens.to_pylist():
         if page is None:
             rows.append(_error_row("page is null"))
@@ -51,6 +53,7 @@ def _kernel(tokens: pa.Array, fragment: bool) -> pa.Array:
             except Exception as e:  # one bad page must not fail the job
                 rows.append(_error_row(f"{type(e).__name__}: {e}"))
         offsets.append(len(rows))
+    gc.enable()
     columns = list(zip(*rows)) or [[] for _ in KERNEL_NODE.fields]
     arrays = [
         _attr_column(c) if i == _ATTR_AT else pa.array(c, _ARROW[f.dataType])

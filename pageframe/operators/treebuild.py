@@ -61,7 +61,7 @@ ATTR_RX = re.compile(r"""([^\s/>"'=][^\s/>=]*|=[^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|
 NAME_RX = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 OPEN_RX = re.compile(r"""<[^\s/>]+(?:[^>="']+|=\s*"[^"]*"|=\s*'[^']*'|[="'])*>""")
 CLOSE_RX = re.compile(r"</[a-zA-Z]+[^>]*>\Z")
-DOC, ELEMENT, TEXT, COMMENT, DOCTYPE = -1, "element", "text", "comment", "doctype"
+ELEMENT, TEXT, COMMENT, DOCTYPE = "element", "text", "comment", "doctype"
 
 
 def lex_tag(raw):
@@ -78,57 +78,66 @@ def lex_tag(raw):
     return m.group(1).lower(), attrs, stop == -2
 
 
+class Node:
+    __slots__ = ("kind", "tag", "ns", "text", "attrs", "parent", "kids", "place", "pre", "last")
+
+    def __init__(self, kind, tag=None, text=None, attrs=None, ns=""):
+        self.kind, self.tag, self.ns, self.text = kind, tag, ns, text
+        self.attrs, self.parent, self.kids = attrs or [], None, []
+
+
 class TreeBuilder:
     def __init__(self, fragment=False):
-        self.kind, self.tag, self.ns, self.text, self.attrs = [], [], [], [], []
-        self.parent, self.kids, self.roots = [], [], []
+        self.document = Node("document")
         self.stack, self.fmt, self.open, self.live = [], [], {}, set()
         self.fragment, self.foster, self.skip_newline = fragment, False, False
         self.form = self.head = self.body = None
         self.phase = 3 if fragment else 0   # 0 before head, 1 head, 2 after head, 3 body, 4-5 after
         if fragment:
-            self.push(self.node(ELEMENT, "template"))
+            self.body_root = Node(ELEMENT, "template")
+            self.push(self.body_root)
 
     # -- nodes, stack, insertion point ----------------------------------------------------------
-    def node(self, kind, tag=None, text=None, attrs=None, ns=""):
-        for column, v in zip((self.kind, self.tag, self.ns, self.text, self.attrs, self.parent, self.kids),
-                             (kind, tag, ns, text, attrs or [], None, [])):
-            column.append(v)
-        return len(self.kind) - 1
-
     def push(self, n):
         self.stack.append(n)
         self.live.add(n)
-        self.open[self.tag[n]] = self.open.get(self.tag[n], 0) + 1
+        self.open[n.tag] = self.open.get(n.tag, 0) + 1
 
     def drop(self, i=-1):
         n = self.stack.pop(i)
         self.live.discard(n)
-        self.open[self.tag[n]] -= 1
+        self.open[n.tag] -= 1
         return n
 
     def spot(self, target=None):
         """(parent, following sibling or None) where the next node goes."""
         target = self.stack[-1] if target is None else target
-        if self.foster and self.tag[target] in FOSTERED:
+        if self.foster and target.tag in FOSTERED:
             for i in range(len(self.stack) - 1, -1, -1):
                 n = self.stack[i]
-                if self.tag[n] == "template":
+                if n.tag == "template":
                     return n, None
-                if self.tag[n] == "table":
-                    return (self.stack[i - 1], None) if self.parent[n] is None else (self.parent[n], n)
+                if n.tag == "table":
+                    return (self.stack[i - 1], None) if n.parent is None else (n.parent, n)
         return target, None
 
     def place(self, n, spot):
-        old, (parent, before) = self.parent[n], spot
+        old, (parent, before) = n.parent, spot
         if old is not None:
-            (self.roots if old == DOC else self.kids[old]).remove(n)
-        self.parent[n] = parent
-        kids = self.roots if parent == DOC else self.kids[parent]
-        kids.insert(len(kids) if before is None else kids.index(before), n)
+            old.kids.remove(n)
+        n.parent = parent
+        kids = parent.kids
+        if before is None:
+            kids.append(n)
+        else:
+            kids.insert(self.where(kids, before), n)
+
+    @staticmethod
+    def where(kids, before):
+        return len(kids) - 1 if kids[-1] is before else kids.index(before)
 
     def insert(self, tag, attrs=None, ns="", leaf=False):
-        n = self.node(ELEMENT, tag, None, attrs, ns)
+        n = Node(ELEMENT, tag, None, attrs, ns)
         self.place(n, self.spot())
         if not leaf:
             self.push(n)
@@ -138,30 +147,30 @@ class TreeBuilder:
         if not s:
             return
         parent, before = self.spot()
-        kids = self.kids[parent]
-        at = len(kids) if before is None else kids.index(before)
-        if at and self.kind[kids[at - 1]] == TEXT:
-            self.text[kids[at - 1]] += s
+        kids = parent.kids
+        at = len(kids) if before is None else self.where(kids, before)
+        if at and kids[at - 1].kind == TEXT:
+            kids[at - 1].text += s
         else:
-            self.place(self.node(TEXT, None, s), (parent, before))
+            self.place(Node(TEXT, None, s), (parent, before))
 
     # -- scopes and implied ends ------------------------------------------------------------------
     def in_scope(self, names, scope=SCOPE):
         if not any(self.open.get(n) for n in names):
             return False
         for n in reversed(self.stack):
-            if self.tag[n] in names and not self.ns[n]:
+            if n.tag in names and not n.ns:
                 return True
-            if self.tag[n] in scope:
+            if n.tag in scope:
                 return False
         return False
 
     def implied(self, but=None):
-        while self.tag[self.stack[-1]] in IMPLIED and self.tag[self.stack[-1]] != but:
+        while self.stack[-1].tag in IMPLIED and self.stack[-1].tag != but:
             self.drop()
 
     def pop_to(self, names, keep=False):
-        while len(self.stack) > 1 and self.tag[self.stack[-1]] not in names:
+        while len(self.stack) > 1 and self.stack[-1].tag not in names:
             self.drop()
         if not keep and len(self.stack) > 1:
             self.drop()
@@ -175,7 +184,7 @@ class TreeBuilder:
 
     def close_item(self, names):
         for n in reversed(self.stack):
-            t = self.tag[n]
+            t = n.tag
             if t in names:
                 self.implied(t)
                 return self.pop_to((t,))
@@ -183,7 +192,7 @@ class TreeBuilder:
                 return None
 
     def context(self):
-        return next((self.tag[n] for n in reversed(self.stack) if self.tag[n] in CONTEXTS), None)
+        return next((n.tag for n in reversed(self.stack) if n.tag in CONTEXTS), None)
 
     # -- active formatting elements ---------------------------------------------------------------
     def clear_marker(self):
@@ -191,7 +200,7 @@ class TreeBuilder:
             pass
 
     def clone(self, n):
-        return self.node(ELEMENT, self.tag[n], None, list(self.attrs[n]), self.ns[n])
+        return Node(ELEMENT, n.tag, None, list(n.attrs), n.ns)
 
     def reconstruct(self):
         fmt, i = self.fmt, len(self.fmt)
@@ -200,14 +209,14 @@ class TreeBuilder:
         while i and fmt[i - 1] is not None and fmt[i - 1] not in self.live:
             i -= 1
         for j in range(i, len(fmt)):
-            fmt[j] = self.insert(self.tag[fmt[j]], list(self.attrs[fmt[j]]))
+            fmt[j] = self.insert(fmt[j].tag, list(fmt[j].attrs))
 
     def push_format(self, n):
         twins = []
         for m in reversed(self.fmt):
             if m is None:
                 break
-            if self.tag[m] == self.tag[n] and sorted(self.attrs[m], key=str) == sorted(self.attrs[n], key=str):
+            if m.tag == n.tag and sorted(m.attrs, key=str) == sorted(n.attrs, key=str):
                 twins.append(m)
         if len(twins) >= 3:
             self.fmt.remove(twins[2])
@@ -215,14 +224,14 @@ class TreeBuilder:
 
     def find_format(self, name):
         for n in reversed(self.fmt):
-            if n is None or self.tag[n] == name:
+            if n is None or n.tag == name:
                 return n
         return None
 
     def adopt(self, name):
         """Misnested formatting: split the formatting element around the furthest block."""
         stack, fmt = self.stack, self.fmt
-        if self.tag[stack[-1]] == name and stack[-1] not in fmt:
+        if stack[-1].tag == name and stack[-1] not in fmt:
             self.drop()
             return
         for _ in range(8):
@@ -235,7 +244,7 @@ class TreeBuilder:
             if not self.in_scope((name,)):
                 return
             at = stack.index(f)
-            block = next((n for n in stack[at + 1:] if self.tag[n] in SPECIAL), None)
+            block = next((n for n in stack[at + 1:] if n.tag in SPECIAL), None)
             if block is None:
                 while self.drop() != f:
                     pass
@@ -261,7 +270,7 @@ class TreeBuilder:
                 moved = copy
             self.place(moved, self.spot(stack[at - 1]))
             copy = self.clone(f)
-            for k in list(self.kids[block]):
+            for k in list(block.kids):
                 self.place(k, (copy, None))
             self.place(copy, (block, None))
             mark -= fmt.index(f) < mark
@@ -276,8 +285,8 @@ class TreeBuilder:
     def enter(self, phase, attrs=None):
         """Create the implied html / head / body up to ``phase``."""
         if not self.stack:
-            n = self.node(ELEMENT, "html")
-            self.place(n, (DOC, None))
+            n = Node(ELEMENT, "html")
+            self.place(n, (self.document, None))
             self.push(n)
         if self.phase == 0 and phase >= 1:
             self.head = self.insert("head")
@@ -290,8 +299,8 @@ class TreeBuilder:
             self.phase = 3
 
     def merge(self, n, attrs):
-        have = {a for a, _ in self.attrs[n]}
-        self.attrs[n].extend(a for a in attrs if a[0] not in have)
+        have = {a for a, _ in n.attrs}
+        n.attrs.extend(a for a in attrs if a[0] not in have)
 
     def early_start(self, name, attrs):
         """True when the tag was consumed (or redirected into head) before body starts."""
@@ -302,7 +311,7 @@ class TreeBuilder:
         if name == "head":
             if self.phase == 0:
                 self.enter(1)
-                self.attrs[self.head] = attrs
+                self.head.attrs = attrs
             return True
         if name in HEAD:
             self.enter(1)
@@ -321,10 +330,10 @@ class TreeBuilder:
             return
         late_head = self.phase == 2 and not self.open.get("template")
         cur = self.stack[-1]
-        if self.ns[cur] and not (self.tag[cur] in POINTS and name not in ("mglyph", "malignmark")):
+        if cur.ns and not (cur.tag in POINTS and name not in ("mglyph", "malignmark")):
             if name not in BREAKOUT and not (name == "font" and {"color", "face", "size"} & {a for a, _ in attrs}):
-                return self.foreign(name, attrs, self.ns[cur], selfclosed, raw)
-            while self.ns[self.stack[-1]] and self.tag[self.stack[-1]] not in POINTS:
+                return self.foreign(name, attrs, cur.ns, selfclosed, raw)
+            while self.stack[-1].ns and self.stack[-1].tag not in POINTS:
                 self.drop()
         self.foster = False
         if self.open.get("select") and self.in_scope(("select",), TABLE_SCOPE) and not self.select_start(name):
@@ -360,7 +369,7 @@ class TreeBuilder:
                 return
             if self.open.get("p"):
                 self.close("p", BUTTON_SCOPE)
-            if name in HEADINGS and self.tag[self.stack[-1]] in HEADINGS:
+            if name in HEADINGS and self.stack[-1].tag in HEADINGS:
                 self.drop()
             n = self.insert(name, attrs, leaf=name == "hr")
             if name == "form" and not self.open.get("template"):
@@ -396,7 +405,7 @@ class TreeBuilder:
         else:
             if name == "button":
                 self.close("button")
-            elif name in ("option", "optgroup") and self.tag[self.stack[-1]] == "option":
+            elif name in ("option", "optgroup") and self.stack[-1].tag == "option":
                 self.drop()
             elif name in ("rb", "rp", "rt", "rtc") and self.in_scope(("ruby",)):
                 self.implied("rtc" if name in ("rp", "rt") else None)
@@ -425,11 +434,11 @@ class TreeBuilder:
 
     def select_start(self, name):
         """False when the tag is ignored inside select; may close the select first."""
-        top = self.tag[self.stack[-1]]
+        top = self.stack[-1].tag
         if name in ("option", "optgroup", "hr"):
             if top == "option":
                 self.drop()
-            if name != "option" and self.tag[self.stack[-1]] == "optgroup":
+            if name != "option" and self.stack[-1].tag == "optgroup":
                 self.drop()
             return True
         if name in ("script", "template"):
@@ -444,7 +453,7 @@ class TreeBuilder:
         while True:
             ctx = self.context()
             if ctx == "template":
-                if self.tag[self.stack[-1]] == "template":
+                if self.stack[-1].tag == "template":
                     self.insert(name, attrs, leaf=name == "col")
                     if name in ("td", "th", "caption"):
                         self.fmt.append(None)
@@ -486,7 +495,7 @@ class TreeBuilder:
 
     def table_end(self, name):
         if name in ("col", "colgroup"):
-            if self.tag[self.stack[-1]] == name:
+            if self.stack[-1].tag == name:
                 self.drop()
         elif self.in_scope((name,), TABLE_SCOPE):
             self.implied()
@@ -498,7 +507,7 @@ class TreeBuilder:
         if self.phase < 3 and not self.open.get("template"):
             if name == "head":
                 self.enter(2)
-            elif name == "noscript" and self.tag[self.stack[-1]] == "noscript":
+            elif name == "noscript" and self.stack[-1].tag == "noscript":
                 self.drop()
             if name not in ("body", "html", "br"):
                 return
@@ -509,11 +518,11 @@ class TreeBuilder:
             return
         if self.phase >= 4:
             self.phase = 3
-        if self.ns[self.stack[-1]]:
+        if self.stack[-1].ns:
             for n in reversed(self.stack):
-                if not self.ns[n]:
+                if not n.ns:
                     break
-                if self.tag[n].lower() == name:
+                if n.tag.lower() == name:
                     while self.drop() != n:
                         pass
                     return
@@ -558,12 +567,12 @@ class TreeBuilder:
 
     def end_other(self, name):
         for n in reversed(self.stack[1:]):
-            if self.tag[n] == name and not self.ns[n]:
+            if n.tag == name and not n.ns:
                 self.implied(name)
                 while self.drop() != n:
                     pass
                 return
-            if self.tag[n] in SPECIAL:
+            if n.tag in SPECIAL:
                 return
 
     def chars(self, s):
@@ -579,12 +588,12 @@ class TreeBuilder:
         blank = not s.strip(WS)
         if self.phase >= 4 and not blank:
             self.phase = 3
-        top = self.tag[self.stack[-1]]
-        if self.ns[self.stack[-1]] or (self.open.get("select") and top in ("select", "option", "optgroup")):
+        top = self.stack[-1].tag
+        if self.stack[-1].ns or (self.open.get("select") and top in ("select", "option", "optgroup")):
             return self.add_text(s)
         if top == "colgroup" and not blank:
             self.drop()
-            top = self.tag[self.stack[-1]]
+            top = self.stack[-1].tag
         if top in FOSTERED or top == "colgroup":
             if blank:
                 return self.add_text(s)
@@ -594,9 +603,9 @@ class TreeBuilder:
         self.foster = False
 
     def comment(self, s):
-        at = (DOC, None) if not self.stack or self.phase == 5 else \
+        at = (self.document, None) if not self.stack or self.phase == 5 else \
             (self.stack[0], None) if self.phase == 4 else self.spot()
-        self.place(self.node(COMMENT, None, s), at)
+        self.place(Node(COMMENT, None, s), at)
 
     def feed(self, raw, memo):
         skip, self.skip_newline = self.skip_newline, False
@@ -617,7 +626,7 @@ class TreeBuilder:
         elif what == "comment":
             self.comment(payload)
         elif what == "doctype" and not self.stack and not self.fragment:
-            self.place(self.node(DOCTYPE, None, payload), (DOC, None))
+            self.place(Node(DOCTYPE, None, payload), (self.document, None))
 
     @staticmethod
     def lex(raw):
@@ -645,47 +654,47 @@ class TreeBuilder:
         """Pre-order rows of the finished tree, in KERNEL_NODE field order."""
         if not self.fragment:
             self.enter(3)
-        tops = self.kids[0] if self.fragment else self.roots
-        ids, order, todo, span = {}, [], [], {}
+        order, todo = [], []
         # parent, tree, owner, depth, in svg, whitespace kept, in body, raw text below
-        frame0 = (None, 0, None, 0, False, False, self.fragment, False)
-        todo.extend(reversed(self.family(tops, frame0)))
+        top = self.body_root if self.fragment else self.document
+        self.family(top, (None, 0, None, 0, False, False, self.fragment, False), todo)
         while todo:
-            n, idx, (up, tree, owner, depth, svg, keep, inside, raw) = todo.pop()
-            ids[n] = pre = len(order)
-            tag, kids = self.tag[n], self.kids[n]
-            svg, inside = svg or (self.ns[n] == "svg" and tag == "svg"), inside or n == self.body
-            order.append((n, tree, pre, up, owner, depth, idx, svg, keep, inside, raw))
-            if kids:
-                below = keep or tag in KEEP_WS
-                nested = (None, pre + 1, pre) if tag == "template" and not self.ns[n] else (pre, tree, owner)
-                todo.extend(reversed(self.family(kids, (*nested, depth + 1, svg, below, inside,
-                                                         tag in RAW_TEXT and not self.ns[n]))))
-        for n, *_ in reversed(order):
-            last = max((span[k] for k in self.kids[n][-1:]), default=ids[n])
-            span[n] = last
-        return [(tree, pre, up, owner, pre, span[n], depth, *idx, self.kind[n], self.ns[n] or "html"
-                 if self.kind[n] == ELEMENT else None, self.tag[n], self.text[n],
-                 self.attrs[n], svg, keep or self.tag[n] in KEEP_WS, inside, raw and self.kind[n] == TEXT)
-                for n, tree, pre, up, owner, depth, idx, svg, keep, inside, raw in order]
-
-    def family(self, kids, frame):
-        """Child entries with sibling, element and same-type positions."""
-        totals, seen, elements, out = {}, {}, 0, []
-        for k in kids:
-            if self.kind[k] == ELEMENT:
-                elements += 1
-                totals[self.tag[k]] = totals.get(self.tag[k], 0) + 1
-        e = 0
-        for i, k in enumerate(kids, 1):
-            if self.kind[k] == ELEMENT:
-                e, t = e + 1, self.tag[k]
-                seen[t] = seen.get(t, 0) + 1
-                out.append((k, (i, e, elements, seen[t], totals[t]), frame))
+            n, _, (_, tree, owner, depth, svg, keep, inside, _) = entry = todo.pop()
+            n.pre = pre = len(order)
+            order.append(entry)
+            if n.kids:
+                tag, html_ns = n.tag, not n.ns
+                link = (None, pre + 1, pre) if tag == "template" and html_ns else (pre, tree, owner)
+                self.family(n, (*link, depth + 1, svg or n.ns == "svg", keep or tag in KEEP_WS,
+                                inside or n is self.body, tag in RAW_TEXT and html_ns), todo)
+        for n, _, _ in reversed(order):
+            n.last = n.kids[-1].last if n.kids else n.pre
+        out = []
+        for n, idx, (up, tree, owner, depth, svg, keep, inside, raw) in order:
+            if n.kind == ELEMENT:
+                out.append((tree, n.pre, up, owner, n.pre, n.last, depth, *idx, ELEMENT, n.ns or "html", n.tag, None,
+                            n.attrs, svg or n.ns == "svg", keep or n.tag in KEEP_WS, inside or n is self.body, False))
             else:
-                out.append((k, (i, None, elements, None, None), frame))
+                out.append((tree, n.pre, up, owner, n.pre, n.last, depth, *idx, n.kind, None, None, n.text,
+                            n.attrs, svg, keep, inside, raw and n.kind == TEXT))
         return out
 
+    @staticmethod
+    def family(parent, frame, todo):
+        """Push a node's children in reverse, with sibling, element and same-type positions."""
+        tags = [k.tag for k in parent.kids if k.kind == ELEMENT]
+        e, left, totals = len(tags), {}, {}
+        for t in tags:
+            totals[t] = totals.get(t, 0) + 1
+        for i in range(len(parent.kids), 0, -1):
+            k = parent.kids[i - 1]
+            if k.kind == ELEMENT:
+                t = left[k.tag] = left.get(k.tag, totals[k.tag] + 1) - 1
+                todo.append((k, (i, e, len(tags), t, totals[k.tag]), frame))
+                e -= 1
+            else:
+                todo.append((k, (i, None, len(tags), None, None), frame))
+
 
 def build_rows(tokens, fragment, memo):
     builder = TreeBuilder(fragment)
