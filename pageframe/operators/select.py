@@ -132,7 +132,7 @@ def _at_position(index: Column, a: int, b: int) -> Column:
 # -- element-local tests ---------------------------------------------------------------------------------
 
 def has_attr(*names) -> Column:
-    return reduce(or_, [F.exists("attrs", lambda a, n=n: a["name"] == n) for n in names])
+    return F.exists("attrs", lambda a: a["name"].isin(*names))
 
 
 def attr_test(name: str, op: str | None = None, value: str | None = None, insensitive: bool = False) -> Column:

@@ -159,13 +159,13 @@ ORACLES = {
         1::BIGINT AS n_class, 1::BIGINT AS n_enabled FROM part""",
     "select_within": f"""SELECT unnest(['nav','ul','article']) AS root_tag, unnest(['li','li','h1']) AS tag,
         unnest([li, li, h1]) AS n FROM (SELECT sum({_n('<li>')})::BIGINT AS li, sum({_n('<h1>')})::BIGINT AS h1 FROM pages)""",
-    "filter_nodes": "SELECT unnest(['li','h1']) AS tag, count(*) AS n FROM pages GROUP BY ALL",
-    "node_matches": "SELECT unnest(['div','nav']) AS tag, unnest([true,false]) AS matches, count(*) AS n FROM pages GROUP BY ALL",
+    "filter_nodes": "SELECT unnest(['li','h1']) AS tag, k AS n FROM (SELECT count(*) AS k FROM pages)",
+    "node_matches": "SELECT unnest(['div','nav']) AS tag, unnest([true,false]) AS matches, k AS n FROM (SELECT count(*) AS k FROM pages)",
     "list_children": f"SELECT page_id, {_n('<li>')} AS n_children FROM pages",
     "edge_children": """SELECT unnest(['first','last','first element','last element']) AS which,
-        unnest(['NAV','FOOTER','NAV','FOOTER']) AS name, count(*) AS n FROM pages GROUP BY ALL""",
+        unnest(['NAV','FOOTER','NAV','FOOTER']) AS name, k AS n FROM (SELECT count(*) AS k FROM pages)""",
     "sibling_axis": """SELECT unnest(['next','previous','next element of nav']) AS axis,
-        unnest(['ARTICLE','#comment','DIV']) AS name, count(*) AS n FROM pages GROUP BY ALL""",
+        unnest(['ARTICLE','#comment','DIV']) AS name, k AS n FROM (SELECT count(*) AS k FROM pages)""",
     "parent_axis": f"SELECT page_id, 'ul' AS tag, {_n('<li>')} AS n FROM pages",
     "ancestor_axis": f"SELECT page_id, unnest(['li','ul','nav','body','html']) AS tag, {_n('<li>')} AS n FROM pages",
     "descendant_axis": f"""SELECT page_id, unnest(['UL','LI','A','#text']) AS name, unnest([1, k, k, k]) AS n
