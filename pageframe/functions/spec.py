@@ -104,14 +104,6 @@ def allowed_attributes(spark: SparkSession, tag: str) -> DataFrame:
     return spec_attrs(spark).filter(F.col("tag") == tag)
 
 
-def _groups():
-    """Tags sharing one attribute list, so that conditions stay short."""
-    out: dict[tuple, list[str]] = {}
-    for t in ELEMENTS:
-        out.setdefault(tuple(sorted(OWN[t])), []).append(t)
-    return out.items()
-
-
 def is_spec_element(tag: Column) -> Column: return F.coalesce(tag.isin(ELEMENTS), F.lit(False))
 
 
@@ -131,13 +123,13 @@ def is_framework_attribute_safe(name: Column) -> Column:
     return is_framework_attribute(name)
 
 
+def _key(tag: Column, name: Column) -> Column: return F.concat(tag, F.lit(" "), name)
+
+
 def in_whitelist(tag: Column, name: Column) -> Column:
-    """Exact (tag, attribute) membership as literal sets grouped by attribute list."""
-    hit = is_spec_element(tag) & name.isin(list(COMMON))
-    for attrs, tags in _groups():
-        if attrs:
-            hit = hit | (tag.isin(tags) & name.isin(list(attrs)))
-    return F.coalesce(hit, F.lit(False))
+    """Exact (tag, attribute) membership as hash-set lookups on literals."""
+    own = [f"{t} {a}" for t in ELEMENTS for a in OWN[t]]
+    return F.coalesce((is_spec_element(tag) & name.isin(list(COMMON))) | _key(tag, name).isin(own), F.lit(False))
 
 
 def attribute_allowed(tag: Column, name: Column) -> Column:
@@ -149,16 +141,11 @@ def attribute_allowed(tag: Column, name: Column) -> Column:
 def attribute_value_valid(tag: Column, name: Column, value: Column) -> Column:
     """Value check against the enumerated lists; unknown attributes are invalid."""
     have = F.coalesce(value, F.lit(""))
-    restricted: dict[tuple, list[tuple[str, str]]] = {}
-    for t in ELEMENTS:
-        for a, values in allowed(t).items():
-            if values:
-                restricted.setdefault((a, tuple(values)), []).append(t)
-    bad = F.lit(False)
-    for (a, values), tags in restricted.items():
-        where = F.lit(True) if len(tags) == len(ELEMENTS) else tag.isin(tags)
-        bad = bad | ((name == a) & where & ~have.isin(list(values)))
-    return is_framework_attribute(name) | (in_whitelist(tag, name) & ~bad)
+    limits = {(t, a): v for t in ELEMENTS for a, v in allowed(t).items() if v}
+    limited = [f"{t} {a}" for t, a in limits]
+    listed = [f"{t} {a}={v}" for (t, a), values in limits.items() for v in values]
+    fits = ~_key(tag, name).isin(limited) | F.concat(_key(tag, name), F.lit("="), have).isin(listed)
+    return is_framework_attribute(name) | (in_whitelist(tag, name) & fits)
 
 
 def is_known_attribute(name: Column) -> Column:

@@ -2,42 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import spec
 from .shred import attributes
 
 
-def verdict(tag: Column, name: Column, value: Column) -> Column:
-    """dangerous / unknown / invalid / ok, the most severe first."""
-    return (
-        F.when(spec.is_dangerous_value(F.coalesce(value, F.lit(""))) | name.rlike("^on[a-z]"), "dangerous")
-        .when(~(spec.attribute_allowed(tag, name) | spec.is_known_attribute(name)), "unknown")
-        .when(spec.attribute_allowed(tag, name) & ~spec.attribute_value_valid(tag, name, value)
-              & ~name.rlike("^(aria|data|x|v|phx)-"), "invalid")
-        .otherwise("ok")
-    )
-
-
-def reason(tag: Column, name: Column, value: Column) -> Column:
-    have = F.coalesce(value, F.lit(""))
-    return (
-        F.when(spec.is_dangerous_value(have), "dangerous value")
-        .when(name.rlike("^on[a-z]") & ~name.startswith("on:"), "event handler")
-        .when(~(spec.attribute_allowed(tag, name) | spec.is_known_attribute(name)), "unknown attribute")
-        .when(spec.attribute_allowed(tag, name) & ~spec.attribute_value_valid(tag, name, value)
-              & ~name.rlike("^(aria|data|x|v|phx)-"), "value not allowed")
-        .when(~spec.attribute_allowed(tag, name), "not listed for element")
-    )
+def _checks(attrs: DataFrame) -> DataFrame:
+    """The individual tests as columns, each evaluated once."""
+    tag, name, value = F.col("tag"), F.col("name"), F.col("value")
+    return attrs.withColumns({
+        "_danger": spec.is_dangerous_value(F.coalesce(value, F.lit(""))),
+        "_event": name.rlike("^on[a-z]"),
+        "_allowed": spec.attribute_allowed(tag, name),
+        "_known": spec.is_known_attribute(name),
+        "_valid": spec.attribute_value_valid(tag, name, value) | name.rlike("^(aria|data|x|v|phx)-"),
+    })
 
 
 def audit_attributes(nodes: DataFrame) -> DataFrame:
     """findings: one row per attribute with verdict and reason; row-local, no shuffle."""
-    tag, name, value = F.col("tag"), F.col("name"), F.col("value")
-    return attributes(nodes).select(
-        "page_id", "node_id", "tag", name.alias("attr"), "value",
-        verdict(tag, name, value).alias("verdict"), reason(tag, name, value).alias("reason"))
+    c = F.col
+    verdict = (
+        F.when(c("_danger") | c("_event"), "dangerous")
+        .when(~(c("_allowed") | c("_known")), "unknown")
+        .when(c("_allowed") & ~c("_valid"), "invalid")
+        .otherwise("ok"))
+    reason = (
+        F.when(c("_danger"), "dangerous value").when(c("_event"), "event handler")
+        .when(~(c("_allowed") | c("_known")), "unknown attribute")
+        .when(c("_allowed") & ~c("_valid"), "value not allowed")
+        .when(~c("_allowed"), "not listed for element"))
+    return _checks(attributes(nodes)).select(
+        "page_id", "node_id", "tag", c("name").alias("attr"), "value", verdict.alias("verdict"), reason.alias("reason"))
 
 
 def join_spec(attrs: DataFrame) -> DataFrame:

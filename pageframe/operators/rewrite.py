@@ -173,12 +173,14 @@ def _insert(nodes: DataFrame, hit: str, frags: Column, position: str) -> DataFra
 
         return F.transform(frag, one)
 
-    old = F.array(F.struct(
-        *_FIELDS, F.array(_open_at()).alias("_k"), F.array(_close_at()).alias("_c"), F.lit(False).alias("_rel"),
-        F.lit(False).alias("_own"), F.lit(None).cast("int").alias("_block"), F.lit(False).alias("_first")))
     fresh = F.flatten(F.transform(frags, added))
-    rows = nodes.select("page_id", F.inline(
-        F.when(target & F.coalesce(F.size(fresh) > 0, F.lit(False)), F.concat(old, fresh)).otherwise(old)))
+    none = F.lit(None).cast(nodes.select(fresh.alias("x")).schema["x"].dataType.elementType)
+    slots = F.when(target & (F.size(fresh) > 0), F.concat(F.array(none), fresh)).otherwise(F.array(none))
+    x = F.col("_x")
+    own = {"_k": F.array(_open_at()), "_c": F.array(_close_at()), "_rel": F.lit(False), "_own": F.lit(False),
+           "_block": F.lit(None).cast("int"), "_first": F.lit(False)}
+    rows = nodes.select("page_id", *_FIELDS, F.explode(slots).alias("_x")).select(
+        "page_id", *[F.when(x.isNull(), own.get(c, F.col(c))).otherwise(x[c]).alias(c) for c in [*_FIELDS, *own]])
     page = Window.partitionBy("page_id")
     upto = page.orderBy("_k").rowsBetween(Window.unboundedPreceding, 0)
     is_new = F.col("_block").isNotNull()
@@ -198,11 +200,6 @@ def _as_frags(value) -> Column:
     return F.array(value if isinstance(value, Column) else F.lit(value))
 
 
-def _html_frags(html, sanitize) -> Column:
-    html = html if isinstance(html, Column) else F.lit(html)
-    return F.array(fragment_nodes(html))
-
-
 def insert_adjacent_element(nodes: DataFrame, where, position: str, element: Column) -> DataFrame:
     """Insert a node literal or fragment column next to or inside every selected node."""
     return _insert(mark(nodes, where), "_hit", _as_frags(element), position)
@@ -222,10 +219,20 @@ def append_fragment(nodes: DataFrame, where, fragment: Column) -> DataFrame:
     return append_child(nodes, where, fragment)
 
 
-def _insert_html(nodes, where, html, position, mode):
+def fragment_literal(spark, html: str) -> Column:
+    """A plan-time markup string as a constant fragment: parsed once, folded into the plan."""
+    one = spark.range(1).select(fragment_nodes(F.lit(html)).alias("f"))
+    text = one.select(F.to_json("f", {"ignoreNullFields": "false"})).first()[0]
+    return F.from_json(F.lit(text), one.schema["f"].dataType)
+
+
+def _insert_html(nodes, where, html, mode):
     marked = mark(nodes, where)
-    html = html if isinstance(html, Column) else F.lit(html)
-    marked = marked.withColumn("_frag", F.when(F.col("_hit"), fragment_nodes(F.when(F.col("_hit"), html))))
+    if isinstance(html, str):
+        frag = fragment_literal(nodes.sparkSession, html)
+    else:
+        frag = fragment_nodes(F.when(F.col("_hit"), html))
+    marked = marked.withColumn("_frag", F.when(F.col("_hit"), frag))
     if mode is not None:
         from .sanitize import sanitize_fragment
         marked = marked.withColumn("_frag", sanitize_fragment(F.col("_frag"), mode))
@@ -236,12 +243,12 @@ def insert_adjacent_html(nodes: DataFrame, where, position: str, html, mode=None
     """Parse ``html`` (literal or Column) as a fragment, sanitise it by ``mode``, insert it."""
     if position not in POSITIONS:
         raise ValueError(f"unknown insert position: {position}")
-    return _insert(_insert_html(nodes, where, html, position, mode), "_hit", F.array("_frag"), position)
+    return _insert(_insert_html(nodes, where, html, mode), "_hit", F.array("_frag"), position)
 
 
 def set_inner_html(nodes: DataFrame, where, html, mode=None) -> DataFrame:
     """Replace the children of every selected element by parsed markup."""
-    marked = drop_subtrees(_insert_html(nodes, where, html, "afterbegin", mode), "_hit", keep_root=True)
+    marked = drop_subtrees(_insert_html(nodes, where, html, mode), "_hit", keep_root=True)
     return _insert(marked, "_hit", F.array("_frag"), "afterbegin")
 
 
@@ -360,7 +367,7 @@ def parse_and_append(nodes: DataFrame, where, html, context: str = "body", mode=
     from .shred import FRAGMENT_CONTEXTS
     if context not in FRAGMENT_CONTEXTS:
         raise ValueError(f"unknown fragment context: {context}")
-    marked = _insert_html(nodes, where, html, "beforeend", mode)
+    marked = _insert_html(nodes, where, html, mode)
     arr = F.col("_frag")
     is_template = lambda r: (r["tag"] == "template") & (r["ns"] == "html")
     roots = F.filter(arr, lambda r: r["depth"] == 0)

@@ -14,7 +14,7 @@ from pyspark.sql.functions import arrow_udf
 from ..functions.node import class_tokens, attr_value
 from ..schema import KERNEL_NODE, NODE_COLUMNS
 from ..session import tune
-from .tokens import token_array
+from .tokens import spread, token_array
 from .treebuild import build_rows
 
 _INT, _STR, _BOOL = pa.int32(), pa.string(), pa.bool_()
@@ -46,7 +46,8 @@ def _kernel(tokens: pa.Array, fragment: bool) -> pa.Array:
     gc.disable()   # nodes live exactly as long as the batch: scanning them meanwhile is wasted
     for page in tokens.to_pylist():
         if page is None:
-            rows.append(_error_row("page is null"))
+            if not fragment:
+                rows.append(_error_row("page is null"))
         else:
             try:
                 rows.extend(build_rows(page, fragment, memo))
@@ -83,29 +84,24 @@ def with_derived(nodes: DataFrame) -> DataFrame:
 
 
 def fragment_nodes(html: Column) -> Column:
-    """Parse a snippet column as template content: array of node structs, no html/head/body."""
+    """Parse a snippet column as template content: array of node structs, no html/head/body;
+    null snippets stay null."""
     return _fragment_tree(token_array(html))
 
 
-def _spread(source: DataFrame) -> DataFrame:
-    """Rebalance inputs stored in fewer files than there are cores; others keep their splits."""
-    if source.isStreaming or len(source.inputFiles()) >= source.sparkSession.sparkContext.defaultParallelism:
-        return source
-    return source.hint("rebalance")
-
-
-def _explode_nodes(source: DataFrame, nodes, cluster: bool, sanitize, *extra) -> DataFrame:
+def _explode_nodes(source: DataFrame, nodes, cluster: bool, sanitize, reindex, *extra) -> DataFrame:
     out = source.select("page_id", F.inline(nodes))
     if cluster:
         out = out.repartition("page_id")
     out = with_derived(out).select("page_id", *NODE_COLUMNS, *extra)
     if sanitize is not None:
         from .sanitize import sanitize as run
-        out = run(out, sanitize)
+        out = run(out, sanitize, reindex)
     return out
 
 
-def shred(pages: DataFrame, html: str = "html", cluster: bool = True, sanitize=None) -> DataFrame:
+def shred(pages: DataFrame, html: str = "html", cluster: bool = True, sanitize=None,
+          reindex: bool = True) -> DataFrame:
     """Shred pages(page_id, html) into the ``nodes`` table.
 
     ``cluster`` distributes the node rows by page_id once, after the kernel, so that column pruning
@@ -113,12 +109,12 @@ def shred(pages: DataFrame, html: str = "html", cluster: bool = True, sanitize=N
     join on top runs without another exchange.  Switch it off when only row-local operators follow.
     """
     tune(pages.sparkSession)
-    source = _spread(pages.select("page_id", F.col(html).alias("html")))
-    return _explode_nodes(source, _page_tree(token_array(F.col("html"))), cluster, sanitize)
+    source = spread(pages.select("page_id", F.col(html).alias("html")))
+    return _explode_nodes(source, _page_tree(token_array(F.col("html"))), cluster, sanitize, reindex)
 
 
 def shred_fragments(df: DataFrame, html: str, context: str = "body", key: str = "page_id",
-                    cluster: bool = True, sanitize=None) -> DataFrame:
+                    cluster: bool = True, sanitize=None, reindex: bool = True) -> DataFrame:
     """Shred a column of HTML snippets; every row of ``df`` becomes one tree keyed by ``key``.
 
     All contexts parse as template content; the name is validated and kept for provenance.
@@ -126,8 +122,8 @@ def shred_fragments(df: DataFrame, html: str, context: str = "body", key: str =
     if context not in FRAGMENT_CONTEXTS:
         raise ValueError(f"unknown fragment context: {context}")
     tune(df.sparkSession)
-    source = _spread(df.select(F.col(key).alias("page_id"), F.col(html).alias("html")))
-    return _explode_nodes(source, fragment_nodes(F.col("html")), cluster, sanitize, F.lit(context).alias("context"))
+    source = spread(df.select(F.col(key).alias("page_id"), F.col(html).alias("html")))
+    return _explode_nodes(source, fragment_nodes(F.col("html")), cluster, sanitize, reindex, F.lit(context).alias("context"))
 
 
 def nodes_ok(nodes: DataFrame) -> DataFrame:

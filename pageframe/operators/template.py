@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import interpolate
+from ..functions.text import escape_html, interpolate
 
 
 def values_map(df: DataFrame, columns: list[str] | None = None) -> Column:
@@ -17,13 +19,25 @@ def values_map(df: DataFrame, columns: list[str] | None = None) -> Column:
     return F.create_map(*pairs)
 
 
+def _fill(template: str, columns: list[str]) -> Column:
+    """A template known at plan time is a plain concatenation of literals and escaped columns."""
+    parts = []
+    for piece in re.findall(r"\{[^{}]*\}|[^{]+|\{", template):
+        known = piece[1:-1] in columns and piece[0] == "{"
+        parts.append(F.coalesce(escape_html(F.col(piece[1:-1]).cast("string")), F.lit(piece)) if known else F.lit(piece))
+    return F.concat(*parts) if parts else F.lit("")
+
+
 def render_rows(df: DataFrame, template: str | Column, columns: list[str] | None = None,
                 escape: bool = True, name: str = "html", mode=None) -> DataFrame:
     """One rendered fragment per data row; a narrow projection, whatever the table size.
 
     ``mode`` sanitises each rendered fragment."""
-    template = template if isinstance(template, Column) else F.lit(template)
-    html = interpolate(template, values_map(df, columns), escape)
+    if isinstance(template, str) and escape:
+        html = _fill(template, df.columns if columns is None else columns)
+    else:
+        template = template if isinstance(template, Column) else F.lit(template)
+        html = interpolate(template, values_map(df, columns), escape)
     out = df.withColumn(name, html)
     return out if mode is None else sanitize_column(out, name, mode)
 

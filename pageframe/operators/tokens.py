@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 # Possessive groups keep the matcher iterative, so long attributes cannot exhaust the stack.
 _IN_TAG = r"""(?:[^>="']++|=\s*+"[^"]*+"|=\s*+'[^']*+'|[="'])*+"""
+RAW_TAGS = "script style textarea title iframe xmp noembed noframes".split()
 _RAW = r"<({}script|style|textarea|title|iframe|xmp|noembed|noframes)(?=[\s/>])" + _IN_TAG
 TOKEN_RX = "(?is)" + "|".join([
     r"<!--(?:-?>|.*?(?:--!?>|\z))",                                   # comment
@@ -26,22 +27,22 @@ def token_array(html: Column) -> Column:
     return F.regexp_extract_all(html, F.lit(TOKEN_RX), F.lit(0))
 
 
-def token_kind(raw: Column) -> Column:
-    return (
-        F.when(raw.startswith("<!--"), "comment")
-        .when(raw.rlike(r"(?i)^<!doctype"), "doctype")
-        .when(raw.rlike(r"^<[!?]|^</[^a-zA-Z]"), "comment")
-        .when(raw.rlike(r"(?is)^<(script|style|textarea|title|iframe|xmp|noembed|noframes)(?=[\s/>]).*</\1[^>]*>\z"), "raw")
-        .when(raw.rlike("^</[a-zA-Z]"), "end")
-        .when(raw.rlike("^<[a-zA-Z]"), "start")
-        .otherwise("text")
-    )
-
-
 def token_tag(raw: Column) -> Column:
     """Lower-case tag name of a tag or raw block, null for anything else."""
     name = F.regexp_extract(raw, r"^</?([a-zA-Z][^\s/>]*)", 1)
-    return F.when(name != "", F.lower(name))
+    return F.when(raw.startswith("<") & (name != ""), F.lower(name))
+
+
+def token_kind(raw: Column, tag: Column | None = None) -> Column:
+    tag = token_tag(raw) if tag is None else tag
+    closed = raw.rlike(r"(?is)</[a-z]+[^>]*>\z")
+    return (
+        F.when(~raw.startswith("<") | (raw == "<"), "text")
+        .when(raw.startswith("</"), F.when(tag.isNull(), "comment").otherwise("end"))
+        .when(tag.isNull(), F.when(F.lower(F.substring(raw, 1, 9)) == "<!doctype", "doctype").otherwise("comment"))
+        .when(tag.isin(RAW_TAGS) & closed, "raw")
+        .otherwise("start")
+    )
 
 
 def token_attrs(raw: Column) -> Column:
@@ -55,14 +56,23 @@ def token_attrs(raw: Column) -> Column:
     ))
 
 
+def spread(source: DataFrame) -> DataFrame:
+    """Rebalance inputs stored in fewer files than there are cores; others keep their splits."""
+    if source.isStreaming or len(source.inputFiles()) >= source.sparkSession.sparkContext.defaultParallelism:
+        return source
+    return source.hint("rebalance")
+
+
 def tokenize(pages: DataFrame) -> DataFrame:
-    """One row per token: page_id, pos, kind, raw, tag, closing, attrs.  No shuffle, no Python."""
-    raw = F.col("raw")
+    """One row per token: page_id, pos, kind, raw, tag, closing, attrs.  Row-local, no Python."""
+    raw, tag = F.col("raw"), F.col("tag")
+    source = spread(pages.select("page_id", "html"))
     return (
-        pages.select("page_id", F.posexplode(token_array(F.col("html"))).alias("pos", "raw"))
+        source.select("page_id", F.posexplode(token_array(F.col("html"))).alias("pos", "raw"))
+        .select("page_id", "pos", "raw", token_tag(raw).alias("tag"))
         .select(
-            "page_id", "pos", token_kind(raw).alias("kind"), "raw", token_tag(raw).alias("tag"),
+            "page_id", "pos", token_kind(raw, tag).alias("kind"), "raw", "tag",
             raw.startswith("</").alias("closing"),
-            F.when(raw.rlike("^<[a-zA-Z]"), token_attrs(raw)).alias("attrs"),
+            F.when(tag.isNotNull() & ~raw.startswith("</"), token_attrs(raw)).alias("attrs"),
         )
     )

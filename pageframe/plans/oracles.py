@@ -203,7 +203,7 @@ ORACLES = {
             WHEN 'lang' THEN tag IN ('a','button') ELSE false END AS allowed,
           CASE attr WHEN 'hx-get' THEN true WHEN 'href' THEN tag = 'a' WHEN 'lang' THEN tag IN ('a','button') ELSE false END AS valid,
           attr <> 'onclick' AS known, CASE WHEN attr = 'hx-get' THEN 'HTMX' END AS framework FROM t""",
-    "allowed_attributes": """SELECT tag, n_attrs FROM (VALUES ('a', 24), ('p', 61), ('meta', 21), ('li', 16)) t(tag, n_attrs)
+    "allowed_attributes": """SELECT tag, n_attrs::BIGINT AS n_attrs FROM (VALUES ('a', 24), ('p', 61), ('meta', 21), ('li', 16)) t(tag, n_attrs)
         WHERE EXISTS (SELECT 1 FROM pages WHERE regexp_matches(html, '<' || tag || '[ >]'))""",
     "dangerous_values": """WITH v AS (SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'JavaScript:' ELSE '' END || replace(url,'https:','') AS value FROM pages)
         SELECT page_id, value, starts_with(value,'JavaScript:') OR starts_with(value,'//') AS dangerous FROM v""",

@@ -446,7 +446,7 @@ def scan_pages(spark, sf):
 
 
 def _sanitized_parts(spark, sf, mode):
-    frag = shred.shred_fragments(_part_html(spark, sf, PART_HTML), "html", "body", sanitize=mode)
+    frag = shred.shred_fragments(_part_html(spark, sf, PART_HTML), "html", "body", sanitize=mode, reindex=False)
     return serialize.to_html(frag)
 
 
@@ -474,7 +474,7 @@ def sanitized_text(spark, sf):
 
 
 def sanitized_counts(spark, sf):
-    clean = shred.shred(pages(spark, sf), sanitize="strict")
+    clean = shred.shred(pages(spark, sf), sanitize="strict", reindex=False)
     return clean.groupBy("page_id").agg(
         F.count_if(F.col("tag").isin("script", "style")).alias("n_code"), F.count_if(F.col("node_type") == "comment").alias("n_comments"),
         F.count_if(F.col("tag") == "a").alias("n_links"), F.count_if(F.col("tag") == "p").alias("n_paragraphs"))
