@@ -72,6 +72,17 @@ def attr_value(name: str, attrs="attrs") -> Column:
     return F.when(F.size(hit) > 0, F.coalesce(F.get(hit, F.lit(0))["value"], F.lit("")))
 
 
+def attr_sql(name: str, attrs: str = "attrs") -> str:
+    """:func:`attr_value` of a plain attribute name as SQL text."""
+    return f"get(transform(filter({attrs}, a -> a.name = '{name}'), a -> coalesce(a.value, '')), 0)"
+
+
+def classes_sql(attrs: str = "attrs") -> str:
+    """Distinct class tokens in first-seen order, as SQL text."""
+    tokens = f"split(coalesce({attr_sql('class', attrs)}, ''), '[ \\\\t\\\\n\\\\r\\\\f]+')"
+    return f"array_distinct(filter({tokens}, t -> t <> ''))"
+
+
 def get_attribute(name: str, attrs="attrs") -> Column: return attr_value(name, attrs)
 def has_attribute(name: str, attrs="attrs") -> Column: return F.exists(_c(attrs), lambda a: a["name"] == name)
 def has_attributes(attrs="attrs") -> Column: return F.size(_c(attrs)) > 0

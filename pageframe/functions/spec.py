@@ -104,69 +104,84 @@ def allowed_attributes(spark: SparkSession, tag: str) -> DataFrame:
     return spec_attrs(spark).filter(F.col("tag") == tag)
 
 
-def is_spec_element(tag: Column) -> Column: return F.coalesce(tag.isin(ELEMENTS), F.lit(False))
+# The rules below are SQL text over SQL operands, so the same rule serves columns (``tag``), exploded
+# rows (``name``) and lambda variables (``a.name``); the Column functions wrap them with F.expr.
 
+def quote(text: str) -> str: return "'" + text.replace("'", "\\'") + "'"
+def in_list(x: str, values) -> str: return f"{x} IN ({', '.join(map(quote, values))})"
+def starts(x: str, prefixes) -> str: return "(" + " OR ".join(f"startswith({x}, {quote(p)})" for p in prefixes) + ")"
 
-def framework_of(name: Column) -> Column:
-    """Framework owning an attribute name, first matching prefix wins, null for none."""
-    out = F
-    for prefix, label in FRAMEWORKS.items():
-        out = out.when(name.startswith(prefix), label)
-    return out
 
+def spec_element_sql(tag: str) -> str: return f"coalesce({in_list(tag, ELEMENTS)}, false)"
+def framework_sql(name: str) -> str: return starts(name, FRAMEWORKS)
 
-def is_framework_attribute(name: Column) -> Column: return framework_of(name).isNotNull()
 
+def whitelist_sql(tag: str, name: str) -> str:
+    """Exact (tag, attribute) membership: hash-set lookups on literals."""
+    own = [f"{t} {a}" for t in ELEMENTS for a in OWN[t]]
+    return (f"coalesce(({spec_element_sql(tag)} AND {in_list(name, COMMON)}) "
+            f"OR {in_list(f'concat({tag}, {quote(chr(32))}, {name})', own)}, false)")
 
-def is_framework_attribute_safe(name: Column) -> Column:
-    """Every listed framework is marked safe; unlisted names are not."""
-    return is_framework_attribute(name)
 
+def allowed_sql(tag: str, name: str) -> str:
+    return (f"({framework_sql(name)} OR ({spec_element_sql(tag)} AND {starts(name, DYNAMIC_PREFIXES)}) "
+            f"OR {whitelist_sql(tag, name)})")
 
-def _key(tag: Column, name: Column) -> Column: return F.concat(tag, F.lit(" "), name)
 
+def value_valid_sql(tag: str, name: str, value: str) -> str:
+    limits = {(t, a): v for t in ELEMENTS for a, v in allowed(t).items() if v}
+    limited = in_list(f"concat({tag}, ' ', {name})", [f"{t} {a}" for t, a in limits])
+    listed = in_list(f"concat({tag}, ' ', {name}, '=', coalesce({value}, ''))",
+                     [f"{t} {a}={v}" for (t, a), values in limits.items() for v in values])
+    return f"({framework_sql(name)} OR ({whitelist_sql(tag, name)} AND (NOT {limited} OR {listed})))"
 
-def in_whitelist(tag: Column, name: Column) -> Column:
-    """Exact (tag, attribute) membership as hash-set lookups on literals."""
-    own = [f"{t} {a}" for t in ELEMENTS for a in OWN[t]]
-    return F.coalesce((is_spec_element(tag) & name.isin(list(COMMON))) | _key(tag, name).isin(own), F.lit(False))
 
+def known_sql(name: str) -> str:
+    return (f"({in_list(name, ALL_ATTRS)} OR startswith({name}, 'aria-') OR {name} RLIKE '^(data|hx)-.' "
+            f"OR {starts(name, ['x-on:', 'x-bind:', 'v-on:', 'v-bind:', 'phx-value-'])})")
 
-def attribute_allowed(tag: Column, name: Column) -> Column:
-    """Whitelisted on the element, a prefix entry, or a safe framework attribute."""
-    dynamic = name.rlike("^(" + "|".join(DYNAMIC_PREFIXES) + ")")
-    return is_framework_attribute_safe(name) | (is_spec_element(tag) & dynamic) | in_whitelist(tag, name)
 
+def dangerous_sql(value: str) -> str:
+    v = f"lower(regexp_replace({value}, '(?s)^\"(.+)\"$', '$1'))"
+    parts = [f"contains({v}, {quote(x)})" for x in ("<script", "</script", "javascript:", "vbscript:")]
+    return ("(" + " OR ".join(parts) + f" OR (startswith({v}, 'data:') AND contains({v}, 'base64')) OR "
+            + starts(v, ["file:", "ftp:", "//"]) + ")")
 
-def attribute_value_valid(tag: Column, name: Column, value: Column) -> Column:
-    """Value check against the enumerated lists; unknown attributes are invalid."""
-    have = F.coalesce(value, F.lit(""))
-    limits = {(t, a): v for t in ELEMENTS for a, v in allowed(t).items() if v}
-    limited = [f"{t} {a}" for t, a in limits]
-    listed = [f"{t} {a}={v}" for (t, a), values in limits.items() for v in values]
-    fits = ~_key(tag, name).isin(limited) | F.concat(_key(tag, name), F.lit("="), have).isin(listed)
-    return is_framework_attribute(name) | (in_whitelist(tag, name) & fits)
 
+def safe_uri_sql(value: str) -> str: return starts(value, SAFE_URI_PREFIXES)
+def target_sql(value: str) -> str: return in_list(value, TARGETS)
 
-def is_known_attribute(name: Column) -> Column:
-    """Used by any specified element, or an aria / data / framework dynamic name; ``on*`` never."""
-    return (name.isin(ALL_ATTRS) | name.startswith("aria-")
-            | (name.rlike("^data-.") | name.rlike("^hx-."))
-            | name.rlike("^(x-on:|x-bind:|v-on:|v-bind:|phx-value-)"))
+
+def is_spec_element(tag: str = "tag") -> Column: return F.expr(spec_element_sql(tag))
+def is_framework_attribute(name: str) -> Column: return F.expr(framework_sql(name))
 
 
-def is_dangerous_value(value: Column) -> Column:
-    v = F.lower(F.regexp_replace(value, r'(?s)^"(.+)"\z', "$1"))
-    return (v.contains("<script") | v.contains("</script") | v.contains("javascript:") | v.contains("vbscript:")
-            | (v.startswith("data:") & v.contains("base64"))
-            | v.startswith("file:") | v.startswith("ftp:") | v.startswith("//"))
+def framework_of(name: str) -> Column:
+    """Framework owning an attribute name, first matching prefix wins, null for none."""
+    cases = " ".join(f"WHEN startswith({name}, {quote(p)}) THEN {quote(label)}" for p, label in FRAMEWORKS.items())
+    return F.expr(f"CASE {cases} END")
 
 
-def is_safe_uri(value: Column) -> Column:
-    out = F.lit(False)
-    for p in SAFE_URI_PREFIXES:
-        out = out | value.startswith(p)
-    return out
+def is_framework_attribute_safe(name: str) -> Column:
+    """Every listed framework is marked safe; unlisted names are not."""
+    return is_framework_attribute(name)
+
+
+def attribute_allowed(tag: str, name: str) -> Column:
+    """Whitelisted on the element, a prefix entry, or a safe framework attribute."""
+    return F.expr(allowed_sql(tag, name))
+
+
+def attribute_value_valid(tag: str, name: str, value: str) -> Column:
+    """Value check against the enumerated lists; unknown attributes are invalid."""
+    return F.expr(value_valid_sql(tag, name, value))
+
+
+def is_known_attribute(name: str) -> Column:
+    """Used by any specified element, or an aria / data / framework dynamic name; ``on*`` never."""
+    return F.expr(known_sql(name))
 
 
-def is_valid_target(value: Column) -> Column: return value.isin(TARGETS)
+def is_dangerous_value(value: str) -> Column: return F.expr(dangerous_sql(value))
+def is_safe_uri(value: str) -> Column: return F.expr(safe_uri_sql(value))
+def is_valid_target(value: str) -> Column: return F.expr(target_sql(value))

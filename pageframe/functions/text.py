@@ -19,14 +19,16 @@ def escape_html(c: Column) -> Column:
     return _replace(c, ("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#39;"))
 
 
-def escape_text_node(c: Column) -> Column:
-    """Serialiser escaping of character data."""
-    return _replace(c, ("&", "&amp;"), (NBSP, "&nbsp;"), ("<", "&lt;"), (">", "&gt;"))
+def text_node_sql(x: str) -> str:
+    """Serialiser escaping of character data, as SQL text."""
+    for old, new in (("&", "&amp;"), (NBSP, "&nbsp;"), ("<", "&lt;"), (">", "&gt;")):
+        x = f"replace({x}, '{old}', '{new}')"
+    return x
 
 
-def escape_attr_value(c: Column) -> Column:
-    """Serialiser escaping of attribute values."""
-    return _replace(escape_text_node(c), ('"', "&quot;"))
+def attr_value_sql(x: str) -> str:
+    """Serialiser escaping of attribute values, as SQL text."""
+    return f"replace({text_node_sql(x)}, '\"', '&quot;')"
 
 
 def normalize_text(c: Column) -> Column:

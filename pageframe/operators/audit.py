@@ -11,13 +11,12 @@ from .shred import attributes
 
 def _checks(attrs: DataFrame) -> DataFrame:
     """The individual tests as columns, each evaluated once."""
-    tag, name, value = F.col("tag"), F.col("name"), F.col("value")
     return attrs.withColumns({
-        "_danger": spec.is_dangerous_value(F.coalesce(value, F.lit(""))),
-        "_event": name.rlike("^on[a-z]"),
-        "_allowed": spec.attribute_allowed(tag, name),
-        "_known": spec.is_known_attribute(name),
-        "_valid": spec.attribute_value_valid(tag, name, value) | name.rlike("^(aria|data|x|v|phx)-"),
+        "_danger": spec.is_dangerous_value("coalesce(value, '')"),
+        "_event": F.expr("name RLIKE '^on[a-z]'"),
+        "_allowed": spec.attribute_allowed("tag", "name"),
+        "_known": spec.is_known_attribute("name"),
+        "_valid": F.expr(f"{spec.value_valid_sql('tag', 'name', 'value')} OR name RLIKE '^(aria|data|x|v|phx)-'"),
     })
 
 

@@ -42,48 +42,40 @@ def _plain(nodes: DataFrame) -> DataFrame:
 
 # -- numbering ------------------------------------------------------------------------------------------
 
-def _open_at(): return 2 * F.col("pre") - F.col("depth")
-def _close_at(): return 2 * F.col("last") - F.col("depth") + 1
+OPEN_AT, CLOSE_AT = "2 * pre - depth", "2 * last - depth + 1"
 
 
-def _renumber(nodes: DataFrame, open_key: Column, close_key: Column) -> DataFrame:
+def _renumber(nodes: DataFrame, open_key: str, close_key: str) -> DataFrame:
     """Recompute pre/last/depth and sibling positions from orderable open and close keys.
 
     Every node contributes an open and a close event; running counts over the page's events give the
     interval numbering.  All windows share the page_id distribution, so nothing is shuffled again."""
-    payload = F.struct(*_FIELDS)
-    nothing = F.lit(None).cast(nodes.select(payload.alias("n")).schema["n"].dataType)
-    events = nodes.select("page_id", F.inline(F.array(
-        F.struct(open_key.alias("k"), F.lit(0).alias("e"), F.col("node_id").alias("nid"), payload.alias("n")),
-        F.struct(close_key.alias("k"), F.lit(1).alias("e"), F.col("node_id").alias("nid"), nothing.alias("n")))))
-    run = Window.partitionBy("page_id").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
-    pair = Window.partitionBy("page_id", "nid").orderBy("e")
-    counted = events.select(
-        "page_id", "e", "nid", "n",
-        (F.sum(1 - F.col("e")).over(run) - 1).cast("int").alias("_pre"),
-        (F.sum(1 - 2 * F.col("e")).over(run) - 1).cast("int").alias("_depth"))
-    opened = counted.select("page_id", "e", "n", "_pre", "_depth", F.lead("_pre").over(pair).alias("_last"))
-    rows = opened.filter("e = 0").select(
-        "page_id", *[{"pre": F.col("_pre"), "last": F.col("_last"), "depth": F.col("_depth")}
-                     .get(c, F.col(f"n.{c}")).alias(c) for c in _FIELDS])
-    element = F.col("node_type") == "element"
-    family = Window.partitionBy("page_id", "tree_id", "parent_id")
-    ordered = family.orderBy("pre")
-    upto = ordered.rowsBetween(Window.unboundedPreceding, 0)
-    kind = Window.partitionBy("page_id", "tree_id", "parent_id", "tag")
-    rows = rows.withColumns({
-        "sib_idx": F.row_number().over(ordered),
-        "elem_idx": F.when(element, F.sum(element.cast("int")).over(upto).cast("int")),
-        "elem_cnt": F.sum(element.cast("int")).over(family).cast("int"),
-        "type_idx": F.when(element, F.row_number().over(kind.orderBy("pre"))),
-        "type_cnt": F.when(element, F.count("*").over(kind).cast("int")),
-    })
+    events = nodes.selectExpr(
+        "page_id", "node_id AS nid", f"struct({', '.join(_FIELDS)}) AS n",
+        f"explode(array(named_struct('k', {open_key}, 'e', 0), named_struct('k', {close_key}, 'e', 1))) AS v",
+    ).selectExpr("page_id", "nid", "v.k AS k", "v.e AS e", "CASE WHEN v.e = 0 THEN n END AS n")
+    run = "OVER (PARTITION BY page_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    counted = events.selectExpr("page_id", "nid", "e", "n", f"int(sum(1 - e) {run} - 1) AS _pre",
+                                f"int(sum(1 - 2 * e) {run} - 1) AS _depth")
+    opened = counted.selectExpr("page_id", "e", "n", "_pre", "_depth",
+                                "lead(_pre) OVER (PARTITION BY page_id, nid ORDER BY e) AS _last").filter("e = 0")
+    fresh = {"pre": "_pre", "last": "_last", "depth": "_depth"}
+    rows = opened.selectExpr("page_id", *[f"{fresh.get(c, 'n.' + c)} AS {c}" for c in _FIELDS])
+    family, elem = "PARTITION BY page_id, tree_id, parent_id", "node_type = 'element'"
+    index = {
+        "sib_idx": f"row_number() OVER ({family} ORDER BY pre)",
+        "elem_idx": f"CASE WHEN {elem} THEN int(sum(int({elem})) OVER ({family} ORDER BY pre ROWS UNBOUNDED PRECEDING)) END",
+        "elem_cnt": f"int(sum(int({elem})) OVER ({family}))",
+        "type_idx": f"CASE WHEN {elem} THEN row_number() OVER ({family}, tag ORDER BY pre) END",
+        "type_cnt": f"CASE WHEN {elem} THEN int(count(*) OVER ({family}, tag)) END",
+    }
+    rows = rows.selectExpr("page_id", *[f"{index.get(c, c)} AS {c}" for c in _FIELDS])
     return _plain(with_derived(rows))
 
 
 def renumber_kept(nodes: DataFrame) -> DataFrame:
     """Close the numbering gaps left by removed rows."""
-    return _renumber(nodes, _open_at(), _close_at())
+    return _renumber(nodes, OPEN_AT, CLOSE_AT)
 
 
 def drop_subtrees(nodes: DataFrame, hit: str, keep_root: bool = False) -> DataFrame:
@@ -137,63 +129,43 @@ def _insert(nodes: DataFrame, hit: str, frags: Column, position: str) -> DataFra
         raise ValueError(f"unknown insert position: {position}")
     inside = position in ("afterbegin", "beforeend")
     anchor, side = {
-        "beforebegin": (_open_at() - 1, 1), "afterbegin": (_open_at(), 0),
-        "beforeend": (_close_at() - 1, 1), "afterend": (_close_at(), 0)}[position]
-    target = F.col(hit) if inside else F.col(hit) & F.col("parent_id").isNotNull()
-
-    def keep_flag(name, own):
-        return F.col(name) if inside else F.col(name) & ~F.coalesce(own, F.lit(False))
-
-    around = {
-        "in_svg": keep_flag("in_svg", F.col("tag") == "svg"),
-        "preserve_ws": keep_flag("preserve_ws", F.col("tag").isin(PRESERVE_TAGS)),
-        "in_body": keep_flag("in_body", F.col("tag") == "body"),
+        "beforebegin": (f"{OPEN_AT} - 1", 1), "afterbegin": (OPEN_AT, 0),
+        "beforeend": (f"{CLOSE_AT} - 1", 1), "afterend": (CLOSE_AT, 0)}[position]
+    target = hit if inside else f"{hit} AND parent_id IS NOT NULL"
+    raw = f"tag IN ({', '.join(repr(t) for t in RAW_TEXT)})"
+    keep = f"tag IN ({', '.join(repr(t) for t in PRESERVE_TAGS)})"
+    around = lambda name, own: f"coalesce(f.{name} OR {name if inside else f'({name} AND NOT coalesce({own}, false))'}, false)"
+    value = {
+        "in_svg": around("in_svg", "tag = 'svg'"), "preserve_ws": around("preserve_ws", keep),
+        "in_body": around("in_body", "tag = 'body'"),
+        "raw_text": "f.raw_text OR coalesce(f.parent_id IS NULL AND f.node_type = 'text' AND " + (raw if inside else "false") + ", false)",
+        "tree_id": "CASE WHEN f.tree_id = 0 THEN tree_id ELSE f.tree_id END",
+        "owner_id": "CASE WHEN f.tree_id = 0 THEN owner_id ELSE f.owner_id END",
+        "parent_id": "CASE WHEN f.parent_id IS NULL AND f.tree_id = 0 THEN "
+                     + ("node_id" if inside else "parent_id") + " ELSE f.parent_id END",
     }
-    parent = F.col("node_id") if inside else F.col("parent_id")
-
-    def added(frag, seq):
-        block = F.array_max(F.transform(frag, lambda x: x["node_id"])) + 1
-        key = lambda at: F.array(anchor, F.lit(side), seq.cast("int"), at)
-
-        def one(f, i):
-            value = {n: f[n] for n in _FIELDS}
-            top = f["tree_id"] == 0
-            value |= {n: f[n] | v for n, v in around.items()}
-            value["raw_text"] = f["raw_text"] | (
-                F.lit(inside) & f["parent_id"].isNull() & (f["node_type"] == "text") & F.col("tag").isin(RAW_TEXT))
-            value["tree_id"] = F.when(top, F.col("tree_id")).otherwise(f["tree_id"])
-            value["owner_id"] = F.when(top, F.col("owner_id")).otherwise(f["owner_id"])
-            value["parent_id"] = F.when(f["parent_id"].isNull() & top, parent).otherwise(f["parent_id"])
-            return F.struct(
-                *[F.coalesce(value[n], F.lit(False)).alias(n) if _TYPES[n].typeName() == "boolean"
-                  else value[n].cast(_TYPES[n]).alias(n) for n in _FIELDS],
-                key(2 * f["pre"] - f["depth"]).alias("_k"), key(2 * f["last"] - f["depth"] + 1).alias("_c"),
-                (~f["parent_id"].isNull() | ~top).alias("_rel"), (~top).alias("_own"),
-                block.alias("_block"), (i == 0).alias("_first"))
-
-        return F.transform(frag, one)
-
-    fresh = F.flatten(F.transform(frags, added))
-    none = F.lit(None).cast(nodes.select(fresh.alias("x")).schema["x"].dataType.elementType)
-    slots = F.when(target & (F.size(fresh) > 0), F.concat(F.array(none), fresh)).otherwise(F.array(none))
-    x = F.col("_x")
-    own = {"_k": F.array(_open_at()), "_c": F.array(_close_at()), "_rel": F.lit(False), "_own": F.lit(False),
-           "_block": F.lit(None).cast("int"), "_first": F.lit(False)}
-    rows = nodes.select("page_id", *_FIELDS, F.explode(slots).alias("_x")).select(
-        "page_id", *[F.when(x.isNull(), own.get(c, F.col(c))).otherwise(x[c]).alias(c) for c in [*_FIELDS, *own]])
-    page = Window.partitionBy("page_id")
-    upto = page.orderBy("_k").rowsBetween(Window.unboundedPreceding, 0)
-    is_new = F.col("_block").isNotNull()
-    rows = rows.withColumns({
-        "_max": F.max(F.when(~is_new, F.col("node_id"))).over(page),
-        "_off": F.sum(F.when(F.col("_first"), F.col("_block")).otherwise(0)).over(upto),
-    })
-    base = (F.col("_max") + 1 + F.col("_off") - F.col("_block")).cast("int")
-    shift = lambda name, when: F.when(is_new & when, F.col(name) + base).otherwise(F.col(name))
-    rows = rows.withColumns({
-        "node_id": shift("node_id", F.lit(True)), "parent_id": shift("parent_id", F.col("_rel")),
-        "tree_id": shift("tree_id", F.col("_own")), "owner_id": shift("owner_id", F.col("_own"))})
-    return _renumber(rows, F.col("_k"), F.col("_c"))
+    key = lambda at: f"array({anchor}, {side}, seq, {at})"
+    added = ", ".join([
+        *[f"{value.get(c, 'f.' + c)} AS {c}" for c in _FIELDS],
+        f"{key('2 * f.pre - f.depth')} AS _k", f"{key('2 * f.last - f.depth + 1')} AS _c", "true AS _new",
+        "f.parent_id IS NOT NULL OR f.tree_id <> 0 AS _rel", "f.tree_id <> 0 AS _own",
+        "CASE WHEN i = 0 THEN array_max(transform(frag, x -> x.node_id)) + 1 END AS _block"])
+    fresh = (f"CASE WHEN {target} THEN flatten(transform(_frags, (frag, seq) -> "
+             f"transform(frag, (f, i) -> struct({added})))) END")
+    slots = nodes.withColumn("_frags", frags).selectExpr("page_id", *_FIELDS, f"{fresh} AS _fresh").selectExpr(
+        "page_id", *_FIELDS, "explode(CASE WHEN size(_fresh) > 0 THEN concat(slice(array(NULL, _fresh[0]), 1, 1), _fresh) "
+        "ELSE slice(array(NULL, try_element_at(_fresh, 1)), 1, 1) END) AS _x")
+    own = {"_k": f"array({OPEN_AT})", "_c": f"array({CLOSE_AT})", "_new": "false", "_rel": "false", "_own": "false", "_block": "NULL"}
+    rows = slots.selectExpr("page_id", *[
+        f"CASE WHEN _x IS NULL THEN {own.get(c, c)} ELSE _x.{c} END AS {c}" for c in [*_FIELDS, *own]])
+    upto = "OVER (PARTITION BY page_id ORDER BY _k ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    based = rows.withColumn("_base", F.expr(
+        f"int(max(CASE WHEN NOT _new THEN node_id END) OVER (PARTITION BY page_id) + 1 "
+        f"+ sum(coalesce(_block, 0)) {upto} - last(_block, true) {upto})"))
+    when = {"node_id": "_new", "parent_id": "_rel", "tree_id": "_own", "owner_id": "_own"}
+    rows = based.selectExpr("page_id", "_k", "_c", *[
+        f"CASE WHEN {when[c]} THEN {c} + _base ELSE {c} END AS {c}" if c in when else c for c in _FIELDS])
+    return _renumber(rows, "_k", "_c")
 
 
 def _as_frags(value) -> Column:
@@ -235,7 +207,7 @@ def _insert_html(nodes, where, html, mode):
     marked = marked.withColumn("_frag", F.when(F.col("_hit"), frag))
     if mode is not None:
         from .sanitize import sanitize_fragment
-        marked = marked.withColumn("_frag", sanitize_fragment(F.col("_frag"), mode))
+        marked = sanitize_fragment(marked, "_frag", mode)
     return marked
 
 
@@ -346,12 +318,13 @@ def copy_subtree(nodes: DataFrame, source: DataFrame, target, position: str = "b
 
 def instantiate_template(nodes: DataFrame, templates: DataFrame, target, times: int = 1, mode=None) -> DataFrame:
     """Clone the contents of template elements under every target, ``times`` times each."""
-    bad = templates.filter(F.col("tag") != "template") if "tag" in templates.columns else None
-    frags = subtrees(nodes, templates if bad is None else templates.filter(F.col("tag") == "template"), contents=True)
-    repeated = F.flatten(F.array_repeat(F.col("frags"), times))
+    source = nodes
     if mode is not None:
-        from .sanitize import sanitize_fragment
-        repeated = F.transform(repeated, lambda f: sanitize_fragment(f, mode))
+        from .sanitize import sanitize
+        source = sanitize(nodes, mode)
+        templates = source.filter("tag = 'template'").join(templates.select(*NODE_KEY), NODE_KEY, "left_semi")
+    frags = subtrees(source, templates.filter("tag = 'template'"), contents=True)
+    repeated = F.flatten(F.array_repeat(F.col("frags"), times))
     return _insert(_attach(nodes, target, frags.select("page_id", repeated.alias("frags"))), "_hit",
                    F.col("frags"), "beforeend")
 

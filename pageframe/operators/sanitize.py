@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,74 +44,64 @@ def options(mode) -> SanitizerOptions | None:
     return MODES[mode]
 
 
-def _clean(value: Column) -> Column:
+def _clean(value: str) -> str:
     """Value as a URL parser sees it: control characters and leading blanks ignored, lower case."""
-    return F.lower(F.ltrim(F.regexp_replace(value, r"[\x00-\x1F\x7F]", "")))
+    return f"lower(ltrim(regexp_replace({value}, '[\\\\x00-\\\\x1F\\\\x7F]', '')))"
 
 
-def _dangerous_scheme(value: Column) -> Column:
+def _dangerous_scheme(value: str) -> str:
     v = _clean(value)
-    data = v.startswith("data:") & (
-        v.contains("base64") | v.startswith("data:text/html") | v.startswith("data:text/javascript"))
-    return v.startswith("javascript:") | v.startswith("vbscript:") | data
-
-
-def _value_of(attrs: Column, name: str) -> Column:
-    return F.get(F.filter(attrs, lambda a: a["name"] == name), F.lit(0))["value"]
+    return (f"({spec.starts(v, ['javascript:', 'vbscript:', 'data:text/html', 'data:text/javascript'])} "
+            f"OR (startswith({v}, 'data:') AND contains({v}, 'base64')))")
 
 
 class Rules:
-    """Sanitiser conditions over one node, given as a mapping of its columns."""
+    """Sanitiser conditions over one node as SQL text; ``at`` prefixes its column names."""
 
-    def __init__(self, opts: SanitizerOptions, node=F.col):
-        self.o, self.node = opts, node
-        self.tag, self.kind, self.svg, self.attrs = node("tag"), node("node_type"), node("in_svg"), node("attrs")
+    def __init__(self, opts: SanitizerOptions, at: str = ""):
+        self.o, self.at = opts, at
+        self.tag, self.kind, self.svg, self.attrs = (at + c for c in ("tag", "node_type", "in_svg", "attrs"))
 
-    def reason(self) -> Column:
+    def reason(self) -> str:
         """Why the node is removed with its subtree, null to keep it."""
-        o, tag = self.o, self.tag
-        listed, custom = spec.is_spec_element(tag), tag.contains("-")
-        html = ~self.svg
-        kept = []
-        if not o.compat:
-            kept = [t for t, gone in (("script", o.remove_scripts), ("style", o.remove_styles)) if not gone]
-        iframe_bad = ~F.exists(self.attrs, lambda a: a["name"] == "sandbox") | F.coalesce(
-            _clean(_value_of(self.attrs, "src")).rlike("^(javascript|data):"), F.lit(False))
-        element = (
-            F.when((tag == "template") & html, None)
-            .when(tag.isin(BLOCKED_TAGS), F.lit("blocked element"))
-            .when((tag == "script") & F.lit(o.remove_scripts), "script")
-            .when((tag == "style") & F.lit(o.remove_styles), "style")
-            .when(self.svg & tag.isin(SVG_BLOCKED), "dangerous svg element")
-            .when(self.svg & ~listed, "svg element not listed")
-            .when(html & (tag == "iframe") & iframe_bad, "unsafe iframe")
-            .when(html & custom, F.lit(None if o.allow_custom_elements else "custom element"))
-            .when(html & ~listed & ~tag.isin(kept or [""]), "element not listed")
-        )
-        return F.when(self.kind == "element", element).when(
-            (self.kind == "comment") & F.lit(o.skip_comments), "comment")
-
-    def _drop(self, a: Column) -> Column:
-        o, name, value = self.o, a["name"], F.coalesce(a["value"], F.lit(""))
-        uri = name.isin("href", "src") & F.lit(o.strict_uri_validation) & ~spec.is_safe_uri(value)
-        event = name.startswith("on")
-        free = spec.is_framework_attribute(name) | name.startswith("slot") | name.isin("for", "if", "let")
-        bad = _dangerous_scheme(value) | event | uri
-        standard = bad | ~spec.attribute_allowed(self.tag, name) | (name == "style") | (
-            (name == "target") & ~spec.is_valid_target(value))
-        loose = bad | ((name == "style") & F.lit(o.remove_styles))
-        in_svg = event | ((name.isin("href", "xlink:href")) & _clean(value).startswith("javascript:"))
-        return F.when(self.svg, in_svg).when(free, F.lit(False)).when(
-            spec.is_spec_element(self.tag), standard).otherwise(loose)
-
-    def kept_attrs(self) -> Column:
-        keep = F.filter(self.attrs, lambda a: ~F.coalesce(self._drop(a), F.lit(False)))
-        untouched = (F.size(self.attrs) == 0) | ((self.tag == "template") & ~self.svg)
-        return F.when(untouched, self.attrs).otherwise(keep)
+        o, tag, svg = self.o, self.tag, self.svg
+        listed = spec.spec_element_sql(tag)
+        kept = ["" if o.compat or gone else t for t, gone in (("script", o.remove_scripts), ("style", o.remove_styles))]
+        src = f"try_element_at(filter({self.attrs}, a -> a.name = 'src'), 1).value"
+        unsafe = (f"NOT exists({self.attrs}, a -> a.name = 'sandbox') "
+                  f"OR coalesce({spec.starts(_clean(src), ['javascript:', 'data:'])}, false)")
+        custom = "NULL" if o.allow_custom_elements else "'custom element'"
+        return f"""CASE WHEN {self.kind} = 'comment' AND {o.skip_comments} THEN 'comment'
+            WHEN {self.kind} <> 'element' OR ({tag} = 'template' AND NOT {svg}) THEN NULL
+            WHEN {spec.in_list(tag, BLOCKED_TAGS)} THEN 'blocked element'
+            WHEN {tag} = 'script' AND {o.remove_scripts} THEN 'script'
+            WHEN {tag} = 'style' AND {o.remove_styles} THEN 'style'
+            WHEN {svg} AND {spec.in_list(tag, SVG_BLOCKED)} THEN 'dangerous svg element'
+            WHEN {svg} AND NOT {listed} THEN 'svg element not listed'
+            WHEN {svg} THEN NULL
+            WHEN {tag} = 'iframe' AND ({unsafe}) THEN 'unsafe iframe'
+            WHEN contains({tag}, '-') THEN {custom}
+            WHEN NOT {listed} AND NOT {spec.in_list(tag, kept)} THEN 'element not listed' END"""
+
+    def kept_attrs(self) -> str:
+        """Attributes left on the node; framework names pass, others by kind of element."""
+        o, tag, name, value = self.o, self.tag, "a.name", "coalesce(a.value, '')"
+        event = f"startswith({name}, 'on')"
+        uri = f"({name} IN ('href', 'src') AND {o.strict_uri_validation} AND NOT {spec.safe_uri_sql(value)})"
+        free = f"({spec.framework_sql(name)} OR startswith({name}, 'slot') OR {name} IN ('for', 'if', 'let'))"
+        bad = f"({_dangerous_scheme(value)} OR {event} OR {uri})"
+        standard = (f"{bad} OR NOT {spec.allowed_sql(tag, name)} OR {name} = 'style' "
+                    f"OR ({name} = 'target' AND NOT {spec.target_sql(value)})")
+        loose = f"{bad} OR ({name} = 'style' AND {o.remove_styles})"
+        in_svg = f"{event} OR ({name} IN ('href', 'xlink:href') AND startswith({_clean(value)}, 'javascript:'))"
+        drop = (f"CASE WHEN {self.svg} THEN {in_svg} WHEN {free} THEN false "
+                f"WHEN {spec.spec_element_sql(tag)} THEN {standard} ELSE {loose} END")
+        return (f"CASE WHEN size({self.attrs}) = 0 OR coalesce({tag} = 'template' AND NOT {self.svg}, false) THEN {self.attrs} "
+                f"ELSE filter({self.attrs}, a -> NOT coalesce({drop}, false)) END")
 
 
 def node_reason(opts: SanitizerOptions | None) -> Column:
-    return F.lit(None).cast("string") if opts is None else Rules(opts).reason()
+    return F.lit(None).cast("string") if opts is None else F.expr(Rules(opts).reason())
 
 
 def sanitize(nodes: DataFrame, mode="strict", reindex: bool = True) -> DataFrame:
@@ -122,9 +112,9 @@ def sanitize(nodes: DataFrame, mode="strict", reindex: bool = True) -> DataFrame
     if opts is None:
         return nodes
     rules = Rules(opts)
-    keep_root = F.col("tag").isin("html", "body", "head") & (F.col("depth") <= 1)
-    marked = nodes.withColumn("_gone", rules.reason().isNotNull() & ~F.coalesce(keep_root, F.lit(False)))
-    kept = drop_subtrees(marked, "_gone").drop("_gone").withColumn("attrs", rules.kept_attrs())
+    gone = f"({rules.reason()}) IS NOT NULL AND NOT coalesce(tag IN ('html', 'head', 'body') AND depth <= 1, false)"
+    marked = nodes.withColumn("_gone", F.expr(gone))
+    kept = drop_subtrees(marked, "_gone").drop("_gone").withColumn("attrs", F.expr(rules.kept_attrs()))
     kept = with_derived(kept).select(*nodes.columns)
     return renumber_kept(kept) if reindex else kept
 
@@ -133,17 +123,14 @@ def sanitize_strict(nodes): return sanitize(nodes, "strict")
 def sanitize_permissive(nodes): return sanitize(nodes, "permissive")
 
 
-def sanitize_fragment(fragment: Column, mode) -> Column:
-    """The same rules on a fragment column (array of node structs)."""
+def sanitize_fragment(df: DataFrame, column: str, mode) -> DataFrame:
+    """The same rules on a fragment column (array of node structs), row by row."""
     opts = options(mode)
     if opts is None:
-        return fragment
-    gone = F.filter(fragment, lambda f: Rules(opts, lambda c: f[c]).reason().isNotNull())
-    spans = F.transform(gone, lambda g: F.struct(g["pre"].alias("pre"), g["last"].alias("last")))
-    kept = F.filter(fragment, lambda f: ~F.exists(spans, lambda g: (g["pre"] <= f["pre"]) & (f["pre"] <= g["last"])))
-
-    def clean(f):
-        attrs = Rules(opts, lambda c: f[c]).kept_attrs()
-        return F.struct(*[(attrs if c.name == "attrs" else f[c.name]).alias(c.name) for c in KERNEL_NODE.fields])
-
-    return F.transform(kept, clean)
+        return df
+    rules = Rules(opts, "f.")
+    gone = f"transform(filter({column}, f -> ({rules.reason()}) IS NOT NULL), f -> struct(f.pre AS pre, f.last AS last))"
+    fields = ", ".join(f"{rules.kept_attrs() if c == 'attrs' else 'f.' + c} AS {c}" for c in KERNEL_NODE.fieldNames())
+    kept = f"filter({column}, f -> NOT exists(_gone, g -> g.pre <= f.pre AND f.pre <= g.last))"
+    return (df.withColumn("_gone", F.expr(gone)).withColumn(column, F.expr(kept)).drop("_gone")
+            .withColumn(column, F.expr(f"transform({column}, f -> struct({fields}))")))

@@ -6,43 +6,38 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.node import VOID_TAGS
-from ..functions.text import escape_attr_value, escape_text_node
+from ..functions.text import attr_value_sql, text_node_sql
 
 # --- fixed values: elements written without an end tag -------------------------------------------
 NO_END_TAG = VOID_TAGS + "basefont bgsound frame keygen param".split()
 # -------------------------------------------------------------------------------------------------
 
 
-def _open(node=F.col) -> Column:
-    attr = lambda a: F.concat(F.lit(" "), a["name"], F.when(a["value"].isNull(), "").otherwise(
-        F.concat(F.lit('="'), escape_attr_value(a["value"]), F.lit('"'))))
-    kind, text = node("node_type"), node("text")
-    return (
-        F.when(kind == "element", F.concat(
-            F.lit("<"), node("tag"), F.array_join(F.transform(node("attrs"), attr), ""), F.lit(">")))
-        .when(kind == "text", F.when(node("raw_text"), text).otherwise(escape_text_node(text)))
-        .when(kind == "comment", F.concat(F.lit("<!--"), text, F.lit("-->")))
-        .when(kind == "doctype", F.concat(F.lit("<!DOCTYPE "), text, F.lit(">")))
-        .otherwise("")
-    )
+def _open(at: str) -> str:
+    attr = ("concat(' ', a.name, CASE WHEN a.value IS NULL THEN '' ELSE concat('=\"', " + attr_value_sql("a.value")
+            + ", '\"') END)")
+    return f"""CASE {at}node_type
+        WHEN 'element' THEN concat('<', {at}tag, array_join(transform({at}attrs, a -> {attr}), ''), '>')
+        WHEN 'text' THEN CASE WHEN {at}raw_text THEN {at}text ELSE {text_node_sql(at + "text")} END
+        WHEN 'comment' THEN concat('<!--', {at}text, '-->')
+        WHEN 'doctype' THEN concat('<!DOCTYPE ', {at}text, '>') ELSE '' END"""
 
 
-def _close(node=F.col) -> Column:
-    ends = (node("node_type") == "element") & ~((node("ns") == "html") & node("tag").isin(NO_END_TAG))
-    return F.when(ends, F.concat(F.lit("</"), node("tag"), F.lit(">"))).otherwise("")
+def _close(at: str) -> str:
+    bare = ", ".join(f"'{t}'" for t in NO_END_TAG)
+    return (f"CASE WHEN {at}node_type = 'element' AND NOT ({at}ns = 'html' AND {at}tag IN ({bare})) "
+            f"THEN concat('</', {at}tag, '>') ELSE '' END")
 
 
-def _events(node=F.col) -> Column:
+def _events(at: str = "") -> str:
     """Open and close markup of one node; event order is 2*pre-depth and 2*last-depth+1."""
-    return F.array(
-        F.struct((2 * node("pre") - node("depth")).alias("pre"), _open(node).alias("piece")),
-        F.struct((2 * node("last") - node("depth") + 1).alias("pre"), _close(node).alias("piece")))
+    return (f"array(named_struct('k', 2 * {at}pre - {at}depth, 'piece', {_open(at)}), "
+            f"named_struct('k', 2 * {at}last - {at}depth + 1, 'piece', {_close(at)}))")
 
 
-def fragment_html(fragment: Column) -> Column:
+def fragment_html(fragment: str) -> Column:
     """HTML of a fragment column (array of node structs)."""
-    events = F.flatten(F.transform(fragment, lambda f: _events(lambda c: f[c])))
-    return F.array_join(F.transform(F.array_sort(events), lambda e: e["piece"]), "")
+    return F.expr(f"array_join(transform(array_sort(flatten(transform({fragment}, f -> {_events('f.')}))), e -> e.piece), '')")
 
 
 def _pieces(events: Column) -> Column:
@@ -53,7 +48,7 @@ def to_html(nodes: DataFrame) -> DataFrame:
     """Whole pages: (page_id, html), doctype and document-level comments included.
 
     Works on any order-consistent numbering, so deletions need no renumbering first."""
-    return nodes.groupBy("page_id").agg(F.array_join(_pieces(F.collect_list(_events())), "").alias("html"))
+    return nodes.groupBy("page_id").agg(F.array_join(_pieces(F.collect_list(F.expr(_events()))), "").alias("html"))
 
 
 def _part(nodes: DataFrame, where, name: str, inner: bool) -> DataFrame:
@@ -61,7 +56,7 @@ def _part(nodes: DataFrame, where, name: str, inner: bool) -> DataFrame:
     marked = nodes.withColumn("_hit", F.lit(True)) if where is None else mark(nodes, where)
     carried = [c for c in marked.columns if c not in ("page_id", "_hit")]
     pages = marked.groupBy("page_id").agg(
-        F.collect_list(_events()).alias("_e"),
+        F.collect_list(F.expr(_events())).alias("_e"),
         F.collect_list(F.when(F.col("_hit"), F.struct(*carried))).alias("_hits"))
     pages = pages.filter(F.size("_hits") > 0).select("page_id", _pieces(F.col("_e")).alias("_p"), "_hits")
 

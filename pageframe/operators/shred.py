@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from ..functions.node import class_tokens, attr_value
+from ..functions.node import attr_sql, classes_sql
 from ..schema import KERNEL_NODE, NODE_COLUMNS
 from ..session import tune
 from .tokens import spread, token_array
@@ -76,11 +76,7 @@ def _fragment_tree(tokens: pa.Array) -> pa.Array:
 
 def with_derived(nodes: DataFrame) -> DataFrame:
     """Add the ``id`` and ``classes`` columns computed from ``attrs``."""
-    attrs = F.col("attrs")
-    return nodes.withColumns({
-        "id": attr_value("id", attrs),
-        "classes": F.coalesce(class_tokens(attr_value("class", attrs)), F.array().cast("array<string>")),
-    })
+    return nodes.withColumns({"id": F.expr(attr_sql("id")), "classes": F.expr(classes_sql())})
 
 
 def fragment_nodes(html: Column) -> Column:

@@ -50,8 +50,7 @@ def sanitize_column(df: DataFrame, column: str, mode) -> DataFrame:
     from .shred import fragment_nodes
     tune(df.sparkSession)
     parsed = df.withColumn("_frag", fragment_nodes(F.col(column)))
-    clean = parsed.withColumn("_frag", sanitize_fragment(F.col("_frag"), mode))
-    return clean.withColumn(column, fragment_html(F.col("_frag"))).drop("_frag")
+    return sanitize_fragment(parsed, "_frag", mode).withColumn(column, fragment_html("_frag")).drop("_frag")
 
 
 def render_groups(df: DataFrame, template: str | Column, group: list[str], order: list[str],

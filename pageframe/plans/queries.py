@@ -409,15 +409,14 @@ def audit_joined(spark, sf):
 
 
 def attribute_rules(spark, sf):
-    part = _read(spark, sf, "part")
-    tag = F.when(F.col("p_size") % 3 == 0, "a").when(F.col("p_size") % 3 == 1, "button").otherwise("x-card")
-    name = F.when(F.col("p_type") == "ECONOMY", "href").when(F.col("p_type") == "SMALL", "disabled").when(
-        F.col("p_type") == "LARGE", "hx-get").when(F.col("p_type") == "STANDARD", "onclick").otherwise("lang")
-    value = F.col("p_name")
+    part = _read(spark, sf, "part").selectExpr(
+        "p_partkey", "p_name", "CASE p_size % 3 WHEN 0 THEN 'a' WHEN 1 THEN 'button' ELSE 'x-card' END AS tag",
+        "CASE p_type WHEN 'ECONOMY' THEN 'href' WHEN 'SMALL' THEN 'disabled' WHEN 'LARGE' THEN 'hx-get' "
+        "WHEN 'STANDARD' THEN 'onclick' ELSE 'lang' END AS attr")
     return part.select(
-        "p_partkey", tag.alias("tag"), name.alias("attr"), S.attribute_allowed(tag, name).alias("allowed"),
-        S.attribute_value_valid(tag, name, value).alias("valid"), S.is_known_attribute(name).alias("known"),
-        S.framework_of(name).alias("framework"))
+        "p_partkey", "tag", "attr", S.attribute_allowed("tag", "attr").alias("allowed"),
+        S.attribute_value_valid("tag", "attr", "p_name").alias("valid"), S.is_known_attribute("attr").alias("known"),
+        S.framework_of("attr").alias("framework"))
 
 
 def allowed_attributes(spark, sf):
@@ -427,17 +426,16 @@ def allowed_attributes(spark, sf):
 
 
 def dangerous_values(spark, sf):
-    url = F.col("url")
-    lead = F.when(F.col("page_id") % 2 == 0, F.lit("JavaScript:")).otherwise(F.lit(""))
-    value = F.concat(lead, F.replace(url, F.lit("https:"), F.lit("")))
-    return pages(spark, sf).select("page_id", value.alias("value"), S.is_dangerous_value(value).alias("dangerous"))
+    value = F.concat(F.when(F.col("page_id") % 2 == 0, F.lit("JavaScript:")).otherwise(F.lit("")),
+                     F.replace(F.col("url"), F.lit("https:"), F.lit("")))
+    return pages(spark, sf).select("page_id", value.alias("value")).withColumn("dangerous", S.is_dangerous_value("value"))
 
 
 def safe_uri(spark, sf):
     rel = F.regexp_replace("url", r"^https?://[^/]*", "")
     tail = F.substring(rel, F.when(F.col("page_id") % 2 == 0, 1).otherwise(2), F.length(rel))
-    return pages(spark, sf).select("page_id", S.is_safe_uri(F.col("url")).alias("url_safe"),
-                                   S.is_safe_uri(tail).alias("tail_safe"))
+    return pages(spark, sf).select("page_id", "url", tail.alias("tail")).select(
+        "page_id", S.is_safe_uri("url").alias("url_safe"), S.is_safe_uri("tail").alias("tail_safe"))
 
 
 def scan_pages(spark, sf):
