@@ -60,7 +60,6 @@ WS = " \t\n\r\f"
 ATTR_RX = re.compile(r"""([^\s/>"'=][^\s/>=]*|=[^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"'][^\s>]*)))?""")
 NAME_RX = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 OPEN_RX = re.compile(r"""<[^\s/>]+(?:[^>="']+|=\s*"[^"]*"|=\s*'[^']*'|[="'])*>""")
-CLOSE_RX = re.compile(r"</[a-zA-Z]+[^>]*>\Z")
 ELEMENT, TEXT, COMMENT, DOCTYPE = "element", "text", "comment", "doctype"
 
 
@@ -645,8 +644,11 @@ class TreeBuilder:
         body, m = None, OPEN_RX.match(raw)
         if m is None:
             return "skip", None
-        if m.end() < len(raw) or NAME_RX.match(raw).group(1).lower() in RAW:
-            body = CLOSE_RX.sub("", raw[m.end():])
+        name = NAME_RX.match(raw).group(1).lower()
+        if m.end() < len(raw) or name in RAW:
+            at = raw.rfind("</")
+            closed = at >= m.end() and re.match(name + r"[\s/>]", raw[at + 2:], re.I)
+            body = raw[m.end():at] if closed else raw[m.end():]
         return "start", (*lex_tag(m.group()), body)
 
     # -- numbering ------------------------------------------------------------------------------------
