@@ -44,11 +44,23 @@ def join_spec(attrs: DataFrame) -> DataFrame:
         "listed", F.coalesce("listed", F.lit(False)))
 
 
+def _attr_reason(name: str, value: str) -> str:
+    """The audit reason of one attribute as SQL text; null when nothing is wrong."""
+    allowed = spec.allowed_sql("tag", name)
+    return f"""CASE WHEN {spec.dangerous_sql(f"coalesce({value}, '')")} THEN 'dangerous value'
+        WHEN {name} RLIKE '^on[a-z]' THEN 'event handler'
+        WHEN NOT ({allowed} OR {spec.known_sql(name)}) THEN 'unknown attribute'
+        WHEN {allowed} AND NOT ({spec.value_valid_sql("tag", name, value)} OR {name} RLIKE '^(aria|data|x|v|phx)-')
+        THEN 'value not allowed' END"""
+
+
 def scan_pages(nodes: DataFrame, mode="strict") -> DataFrame:
-    """(page_id, kind, reason, n): findings and sanitiser verdicts counted per page."""
-    from .sanitize import node_reason, options
+    """(page_id, kind, reason, n): attribute findings and sanitiser removals counted per page.
+
+    Both come from one pass over the nodes; only (page, kind, reason) counts are shuffled."""
+    from .sanitize import Rules, options
     opts = options(mode)
-    findings = audit_attributes(nodes).filter("verdict <> 'ok'").select("page_id", F.lit("attribute").alias("kind"), "reason")
-    removed = nodes.withColumn("reason", node_reason(opts)).filter("reason is not null").select(
-        "page_id", F.lit("node").alias("kind"), "reason")
-    return findings.unionByName(removed).groupBy("page_id", "kind", "reason").agg(F.count("*").alias("n"))
+    node = f"named_struct('kind', 'node', 'reason', {Rules(opts).reason() if opts else 'CAST(NULL AS STRING)'})"
+    found = f"transform(attrs, a -> named_struct('kind', 'attribute', 'reason', {_attr_reason('a.name', 'a.value')}))"
+    rows = nodes.selectExpr("page_id", f"explode(filter(concat(array({node}), {found}), x -> x.reason IS NOT NULL)) AS x")
+    return rows.groupBy("page_id", F.col("x.kind").alias("kind"), F.col("x.reason").alias("reason")).agg(F.count("*").alias("n"))

@@ -285,29 +285,29 @@ def _split(arr: Column, roots: Column) -> Column:
     return F.transform(roots, lambda r: _lift(r, F.slice(arr, r["pre"] + 1, r["last"] - r["pre"] + 1)))
 
 
-def subtrees(nodes: DataFrame, sel: DataFrame, contents: bool = False) -> DataFrame:
+def subtrees(nodes: DataFrame, where, contents: bool = False) -> DataFrame:
     """Per page, the selected subtrees (or their template contents) in order: page_id, frags."""
-    from .text import page_array
-    arr = page_array(nodes, F.struct(*_FIELDS), "_arr")
-    picked = sel.groupBy("page_id").agg(F.sort_array(F.collect_list(F.struct("pre", "last"))).alias("_roots"))
-    joined = arr.join(picked, "page_id")
+    pages = mark(nodes, where).groupBy("page_id").agg(
+        F.sort_array(F.collect_list(F.struct("pre", *[c for c in _FIELDS if c != "pre"]))).alias("_arr"),
+        F.sort_array(F.collect_list(F.when(F.col("_hit"), F.struct("pre", "last")))).alias("_roots"),
+    ).filter(F.size("_roots") > 0)
     if contents:
-        joined = joined.withColumn("_roots", F.flatten(F.transform("_roots", lambda r: F.filter(
+        pages = pages.withColumn("_roots", F.flatten(F.transform("_roots", lambda r: F.filter(
             F.slice(F.col("_arr"), r["pre"] + 2, r["last"] - r["pre"]),
             lambda x: x["parent_id"].isNull()
             & (x["depth"] == F.get(F.col("_arr"), r["pre"])["depth"] + 1)))))
     else:
-        joined = joined.withColumn("_roots", F.transform("_roots", lambda r: F.get(F.col("_arr"), r["pre"])))
-    return joined.select("page_id", _split(F.col("_arr"), F.col("_roots")).alias("frags"))
+        pages = pages.withColumn("_roots", F.transform("_roots", lambda r: F.get(F.col("_arr"), r["pre"])))
+    return pages.select("page_id", _split(F.col("_arr"), F.col("_roots")).alias("frags"))
 
 
 def _attach(nodes: DataFrame, where, frags: DataFrame) -> DataFrame:
     return mark(nodes, where).join(frags, "page_id", "left")
 
 
-def copy_subtree(nodes: DataFrame, source: DataFrame, target, position: str = "beforeend",
+def copy_subtree(nodes: DataFrame, source, target, position: str = "beforeend",
                  pages: DataFrame | None = None) -> DataFrame:
-    """Deep-copy the ``source`` rows to every target of the same page.
+    """Deep-copy the ``source`` selection to every target of the same page.
 
     ``pages(page_id, from_page_id)`` imports from another page instead."""
     frags = subtrees(nodes, source)
@@ -316,14 +316,20 @@ def copy_subtree(nodes: DataFrame, source: DataFrame, target, position: str = "b
     return _insert(_attach(nodes, target, frags), "_hit", F.col("frags"), position)
 
 
-def instantiate_template(nodes: DataFrame, templates: DataFrame, target, times: int = 1, mode=None) -> DataFrame:
-    """Clone the contents of template elements under every target, ``times`` times each."""
+def instantiate_template(nodes: DataFrame, templates, target, times: int = 1, mode=None) -> DataFrame:
+    """Clone the contents of the selected template elements under every target, ``times`` times each.
+
+    Selected nodes that are not templates contribute nothing."""
     source = nodes
     if mode is not None:
         from .sanitize import sanitize
         source = sanitize(nodes, mode)
-        templates = source.filter("tag = 'template'").join(templates.select(*NODE_KEY), NODE_KEY, "left_semi")
-    frags = subtrees(source, templates.filter("tag = 'template'"), contents=True)
+    is_template = (F.col("tag") == "template") & (F.col("ns") == "html")
+    if isinstance(templates, Column):
+        templates = templates & is_template
+    elif isinstance(templates, DataFrame):
+        templates = templates.filter(is_template) if "tag" in templates.columns else templates
+    frags = subtrees(source, templates, contents=True)
     repeated = F.flatten(F.array_repeat(F.col("frags"), times))
     return _insert(_attach(nodes, target, frags.select("page_id", repeated.alias("frags"))), "_hit",
                    F.col("frags"), "beforeend")

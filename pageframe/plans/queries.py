@@ -560,7 +560,7 @@ def replace_text(spark, sf):
 
 def copy_subtree(spark, sf):
     n = nodes(spark, sf)
-    return _nav_after(rewrite.copy_subtree(n, select.select_first(n, "nav li"), "nav ul"))
+    return _nav_after(rewrite.copy_subtree(n, "nav li:first-child", "nav ul"))
 
 
 def clear_document(spark, sf):
@@ -570,7 +570,7 @@ def clear_document(spark, sf):
 
 def part_template_use(spark, sf):
     n = part_nodes(spark, sf, LIST_HTML)
-    n = rewrite.instantiate_template(n, shred.templates(n), "ul", times=2)
+    n = rewrite.instantiate_template(n, F.col("tag") == "template", "ul", times=2)
     return serialize.inner_html(n, F.col("tag") == "body").select("page_id", "inner_html")
 
 

@@ -10,7 +10,7 @@ DEFAULTS = {
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # One page expands to many nodes: keep Arrow batches small enough for a Python worker.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
     # Parsing is CPU-bound: do not coalesce a small input below the core count.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
 }
