@@ -95,8 +95,9 @@ class _Assembler(StatefulProcessor):
 
     def _clear(self):
         self.parts.clear()
-        for t in list(self.handle.listTimers()):
-            self.handle.deleteTimer(t)
+        if self.idle_ms:
+            for t in list(self.handle.listTimers()):
+                self.handle.deleteTimer(t)
 
     @staticmethod
     def _row(key, html, n, error):
@@ -108,10 +109,12 @@ class _Assembler(StatefulProcessor):
 
 def reassemble_eager(chunks: DataFrame, idle_ms: int = 600_000) -> DataFrame:
     """Emit each page as soon as its last missing row arrives; state is cleared on emit, pages idle
-    for ``idle_ms`` are dropped from state and reported.  Needs the RocksDB state store."""
+    for ``idle_ms`` are dropped from state and reported.  Needs the RocksDB state store.
+
+    Timers keep a query alive, so runs that end with their input (``availableNow``) pass 0."""
     return chunks.groupBy("page_id").transformWithStateInPandas(
         statefulProcessor=_Assembler(idle_ms), outputStructType="page_id long, html string, n_rows int, error string",
-        outputMode="append", timeMode="ProcessingTime")
+        outputMode="append", timeMode="ProcessingTime" if idle_ms else "None")
 
 
 def chunk_protocol_errors(chunks: DataFrame) -> DataFrame:

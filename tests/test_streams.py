@@ -41,8 +41,7 @@ def _drain(stream, mode="append"):
     out, check = _folder() + "/out", _folder()
     q = (stream.writeStream.outputMode(mode).format("parquet").option("path", out)
          .option("checkpointLocation", check).trigger(availableNow=True).start())
-    q.awaitTermination(180)
-    assert q.exception() is None
+    assert q.awaitTermination(180) and q.exception() is None
     return stream.sparkSession.read.schema(stream.schema).parquet(out)
 
 
@@ -89,7 +88,7 @@ def test_eager_reassembly(spark):
                    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     c = _chunks(spark, split=SPLIT, stray=STRAY, again=["begin", "x"])
     c = c.withColumn("kind", F.when((F.col("page_id") == 2) & (F.col("seq") == 1), "begin").otherwise(F.col("kind")))
-    got = {r.page_id: (r.html, r.error) for r in _drain(S.reassemble_eager(_stream(spark, c.union(c)))).collect()}
+    got = {r.page_id: (r.html, r.error) for r in _drain(S.reassemble_eager(_stream(spark, c.union(c)), idle_ms=0)).collect()}
     assert got == {0: ("".join(SPLIT), None), 1: ("".join(STRAY), None), 2: ("x", "begin twice")}
 
 
