@@ -261,6 +261,7 @@ ORACLES = {
         SELECT o_orderstatus, page_no, count(*) AS n_rows, string_agg('<li>' || o_orderkey || '</li>', '' ORDER BY o_orderkey) AS html
         FROM r GROUP BY 1, 2""",
     "reassemble_batch": "SELECT page_id, html, ceil(length(html) / 300)::BIGINT AS n_chunks FROM pages",
+    "reassemble_stream": "SELECT page_id, html, ceil(length(html) / 300)::BIGINT + 2 AS n_rows, NULL::VARCHAR AS error FROM pages",
     "protocol_errors": """WITH c AS (SELECT conv_id AS page_id, CASE WHEN turn IN (0, 4) THEN 'begin' WHEN turn = 3 THEN 'end' ELSE 'chunk' END AS kind,
           CASE WHEN turn >= 5 THEN turn + 1 ELSE turn END AS seq FROM conversations),
         m AS (SELECT *, coalesce(lag(seq) OVER w, -1) AS prev, coalesce(last_value(CASE WHEN kind <> 'chunk' THEN kind END IGNORE NULLS)

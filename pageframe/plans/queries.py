@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -644,6 +647,23 @@ def protocol_errors(spark, sf):
     return stream.chunk_protocol_errors(shifted)
 
 
+def reassemble_stream(spark, sf):
+    """The keyed-state reassembly run to completion over the chunked pages, read back as a table.
+
+    State, offsets and output live under the cluster's shared checkpoint folder."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    schema = pages(spark, sf).schema
+    source = spark.readStream.schema(schema).option("pathGlobFilter", "pages.parquet").parquet(sf)
+    done = stream.reassemble_eager(stream.split_pages(source, 300), idle_ms=0)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    root = f"{shared.rstrip('/')}/reassemble-{uuid.uuid4().hex}"
+    query = (done.writeStream.outputMode("append").format("parquet").option("path", f"{root}/out")
+             .option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start())
+    query.awaitTermination()
+    return spark.read.schema(done.schema).parquet(f"{root}/out").select("page_id", "html", _long("n_rows"), "error")
+
+
 FLAGSHIP = link_hosts
 QUERIES = [
     tokens_by_kind, start_tag_counts, token_attributes, link_graph, normalize_string, normalize_spaced, strip_comments,
@@ -662,5 +682,6 @@ QUERIES = [
     set_inner_html, set_inner_html_safe, set_text, replace_children, replace_text, copy_subtree, clear_document,
     part_template_use, template_html, template_content, parse_and_append, append_fragment, render_orders,
     render_documents, render_raw, render_nations, render_paged, reassemble_batch, protocol_errors,
+    reassemble_stream,
 ]
 REGISTRY = {q.__name__: q for q in QUERIES}
