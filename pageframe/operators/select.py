@@ -227,8 +227,8 @@ def _walk(selectors):
 
 
 def _needs_all(selectors) -> bool:
-    return any(t[0] == "pseudo" and t[1] in ("empty", "blank", "contains", "lexbor-contains", "disabled", "enabled")
-               for c in _walk(selectors) for t in c)
+    names = [t[1] for c in _walk(selectors) for t in c if t[0] == "pseudo"]
+    return any(n in ("empty", "blank", "disabled", "enabled") or n.endswith("contains") for n in names)
 
 
 def _candidate(selectors) -> Column:
@@ -323,7 +323,7 @@ class _Pass:
         if name == "blank":
             solid = (F.col("node_type") == "element") | (text & ~F.col("text").rlike(r"^[ \t\n\r\f]*\z"))
             return ~self.holding(" ", solid)
-        if name in ("contains", "lexbor-contains") and arg:
+        if (name == "contains" or name.endswith("-contains")) and arg:   # plain or vendor-prefixed
             m = re.fullmatch(r"""("[^"]*"|'[^']*'|.*?)(?:\s+(i))?""", arg[0], re.S | re.I)
             want = m.group(1).strip("\"'")
             have = F.lower("text") if m.group(2) else F.col("text")

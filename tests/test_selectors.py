@@ -26,7 +26,7 @@ COUNTS = [
     ("[href]", 2), ("[href='/p']", 1), ("[href^='http']", 1), ("[href$='.PDF' i]", 1), ("[href$='.PDF']", 0),
     ("[href*=h]", 1), ("[title~=b]", 1), ("[title~='a b']", 0), ("[lang|=en]", 1), ("[lang|=e]", 0), ("[href^='']", 0),
     (":any-link", 2), (":disabled", 2), ("em:disabled", 0), ("i:disabled", 1), ("em:enabled", 1), ("a:visited, a:target", 0),
-    (":contains('two' i)", 1), ("a:contains('two')", 0), (":lexbor-contains(\"abc\")", 1), ("p:dir(ltr)", 0),
+    (":contains('two' i)", 1), ("a:contains('two')", 0), ("p:vendor-contains(\"abc\")", 1), ("p:dir(ltr)", 0),
     ("li:nth-child(1 of :has(b))", 1), ("li:nth-last-child(2 of li)", 1), ("p::before", 0), ("section>p+p", 3),
 ]
 
