@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, functions as F
 
 from pageframe.llm.common import arrow_map
 
 MAX_LOSS = 0.5          # share of a document's word characters that its failing lines may hold
 MARKS_SHARE = 0.12      # share of a line's characters that may be marks other than sentence punctuation
+CUT_WORDS = 15          # a line of so many words that holds a sentence end inside may lack one at its end
 SEPARATORS = 2          # navigation: so many stand-alone separators in one line
 # Sentence ends, stand-alone separators of menus, and phrases of page furniture.
 SENTENCE_ENDS = (".", "!", "?", "…", ":", ";", '"', "'", ")", "]", "”", "’", "»", "。", "！", "？")
@@ -45,10 +48,11 @@ def line_rule():
     menu = {w.encode() for w in MENU_WORDS}
     phrases = [p.encode() for p in BOILERPLATE]
     marks = MARKS.encode()
+    inner = re.compile(rb"[^\s.!?][.!?] ")
 
     def rule(line: bytes) -> str | None:
         bare = line.strip()
-        if not bare.endswith(ends):
+        if not bare.endswith(ends) and (len(bare.split()) < CUT_WORDS or not inner.search(bare)):
             return "punctuation"
         if len(bare) - len(bare.translate(None, marks)) > MARKS_SHARE * len(bare) + 1:
             return "punctuation"

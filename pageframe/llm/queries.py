@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pageframe.llm import decontamination, packing, quality, secret_scan, url_filter
+from pageframe.llm import decontamination, near_dup, packing, quality, secret_scan, url_filter
 from pageframe.llm.common import table, tune
 
 
@@ -48,7 +48,11 @@ def op9_secret_models(spark: SparkSession, sf_dir: str) -> DataFrame:
                         count("markov"))
 
 
+def op10_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(tune(spark), sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op3_pack_power_of_two, op4_quality_lines, op5_url_automaton, op7_suffix_arrays, op9_secret_models)}
+    op3_pack_power_of_two, op4_quality_lines, op5_url_automaton, op7_suffix_arrays, op9_secret_models, op10_bottom_k)}
 
 ORACLES: dict[str, str] = {}

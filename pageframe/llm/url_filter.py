@@ -11,9 +11,10 @@ RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org"
          ("com", "/fr/", "allow"), ("com", "/de/", "block"))
 # Globs for addresses without a rule: blocked if one fits, allowed otherwise.  `*` stands for a run without
 # "/" and "?", `**` for any run; every other character for itself.
-BLOCKED = ("*.doubleclick.net**", "*.adserver.**", ".ads.**", "**/ads/**", "**/adclick**", "**/wp-admin/**", "**/wp-login**",
-           "**/login", "**/login?**", "**/logout**", "**/cart/**", "**/checkout/**", "**/cgi-bin/**", "**/.git/**",
-           "**?**utm_source=**", "**.exe", "**.zip", "**.apk", "**.iso")
+BLOCKED = ("*casino**", "*poker**", "*-bets.**", "*-pills.**", "*.ads-**", "*.adserver.**", "*.doubleclick.net**", "*spam-**",
+           "*.adult-**", "*.xxx/**", "**/ads/**", "**/adclick**", "**/wp-admin/**", "**/wp-login**", "**/login",
+           "**/login?**", "**/logout**", "**/cart/**", "**/checkout/**", "**/cgi-bin/**", "**/.git/**", "**.exe", "**.apk",
+           "**.iso")
 
 
 def rule_glob(host: str, path: str) -> str:
