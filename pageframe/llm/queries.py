@@ -4,10 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pageframe.llm import decontamination, near_dup, packing, quality, secret_scan, url_filter
+from pageframe.llm import decontamination, licenses, near_dup, packing, pii, quality, secret_scan, sharding, spans, url_filter
 from pageframe.llm.common import table, tune
 
 
+def op1_hypergeometric_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.col("text")
+    rows = table(spark, sf_dir, "documents").select(
+        "doc_id", (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
+        F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"))
+    dealt = sharding.shuffle(rows, 8)
+    return dealt.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                        F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op2_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = pii.surrogates(docs, key="corpus")
+    return done.select("doc_id", "text", *[F.col(f"entities.{k}").alias(f"n_{k}") for k in pii.PATTERNS])
+
+
 def op3_pack_power_of_two(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(tune(spark), sf_dir, "documents"), with_ids=False)
 
@@ -21,6 +37,15 @@ def op5_url_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op8_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(tune(spark), sf_dir, "documents").select("doc_id", "text")
+    return spans.cut_repeats(docs)
+
+
 def op7_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = table(tune(spark), sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     found = decontamination.search(docs, benchmark)
@@ -53,6 +78,7 @@ def op10_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_pack_power_of_two, op4_quality_lines, op5_url_automaton, op7_suffix_arrays, op9_secret_models, op10_bottom_k)}
+    op1_hypergeometric_shuffle, op2_surrogates, op3_pack_power_of_two, op4_quality_lines, op5_url_automaton, op6_license_digests,
+    op7_suffix_arrays, op8_sentence_spans, op9_secret_models, op10_bottom_k)}
 
 ORACLES: dict[str, str] = {}

@@ -90,11 +90,14 @@ def train(docs: DataFrame, *, rows: int = SAMPLE_ROWS, size: int = SAMPLE_WORDS,
 
     Label random: strings drawn over the alphabets of key generators, and the values of base patterns in
     the sampled documents.  Label ordinary: names composed of the sampled documents' words.  The
-    documents are those with the smallest hashes of their texts' heads; half of each label is held out to
+    documents are distinct ones with the smallest hashes of their texts' heads; half of each label is held out to
     set the threshold.
     """
     heads = docs.select(F.substring("text", 1, 4000).alias("text")).where("text IS NOT NULL")
-    sample = [r[0] for r in heads.orderBy(F.xxhash64(F.substring("text", 1, 200)), "text").limit(rows).collect()]
+    mark = F.xxhash64(F.substring("text", 1, 200))
+    smallest = heads.select(mark.alias("mark")).distinct().orderBy("mark").limit(rows).agg(F.max("mark")).first()[0]
+    chosen = heads.where(mark <= smallest).distinct() if smallest is not None else heads
+    sample = sorted(r[0] for r in chosen.limit(rows).collect())
     rng = random.Random(seed)
     words, values = set(), []
     for text in sample:
