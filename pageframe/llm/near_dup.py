@@ -10,8 +10,8 @@ WORDS = 5
 SKETCH = 40       # k: retained hash values of a document
 SHARED = 21       # of the k smallest values of a union, a pair at 0.85 shares fewer once in 10**7 pairs or less
 PERCENT = 85      # links: 100 * intersection >= PERCENT * union
-STAR_ROUNDS = 6   # leaders tried in lists with many unlinked members before the rest is compared one by one
-DENSE = 8         # comparisons per posting up to which the rest of all lists is compared at once
+FEW = 16          # members outside a list's largest component that are compared with all others at once
+STAR_ROUNDS = 3   # leaders tried in lists of whole sets before their rest is compared
 _CHUNK = 4 << 20
 
 
@@ -116,22 +116,46 @@ def needed(size: Column) -> Column:
 
 
 def inverted_lists(classes: DataFrame) -> DataFrame:
-    """(value, rep, n): each class under the rarest of its retained values, where two classes share one at least.
+    """(value, rep, n, reach, pos): each class under the rarest of its retained values, where two classes share one at least.
 
     Linked classes share needed() values, so under any common order they share one of the first
     size - needed + 1.  The order here is by number of classes, then value: a passage that many documents
-    hold comes last, and unique values, first of all, need no list.
+    hold comes last, and unique values, first of all, need no list.  reach is the largest partner's size,
+    pos the number of the class's retained values that come before.
     """
     posts = classes.select("rep", "n", F.size("sketch").alias("size"), F.explode("sketch").alias("value"))
     shared = saved(posts.groupBy("value").agg(F.count("*").alias("often")).where("often > 1"), "shared-values")
     mine = (posts.join(shared, "value").groupBy("rep", "n", "size")
             .agg(F.array_sort(F.collect_list(F.struct("often", "value"))).alias("known")))
     room = F.greatest(F.lit(0), F.col("size") - needed(F.col("size")) + 1 - (F.col("size") - F.size("known")))
-    return mine.select("rep", "n", F.explode(F.slice("known", 1, room)).alias("post")).select("post.value", "rep", "n")
+    return (mine.select("rep", "n", "size", F.size("known").alias("common"), F.posexplode(F.slice("known", 1, room)).alias("pos", "post"))
+            .select("post.value", "rep", "n", F.expr(f"n * 100 div {PERCENT}").alias("reach"), F.expr("size - common + pos").alias("pos")))
 
 
-def sizes_fit(a: Column, b: Column) -> Column:
-    return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
+def whole_lists(sets: DataFrame) -> DataFrame:
+    """(value, rep, n, reach, pos) for whole shingle sets (rep, shingles): an exact prefix filter.
+
+    A set's values are ordered by frequency, rarest first, then by value.  If value number i (from 0) is the
+    first that two sets share, they share at most n - i, so the partner of a link has at most
+    reach = (n - i) * (100 + PERCENT) / PERCENT - n values; a value is listed while that allows any partner.
+    """
+    posts = sets.select("rep", F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("value"))
+    shared = saved(posts.groupBy("value").agg(F.count("*").alias("often")).where("often > 1"), "shared-shingles")
+    mine = (posts.join(shared, "value").groupBy("rep", "n")
+            .agg(F.array_sort(F.collect_list(F.struct("often", "value"))).alias("known")))
+    reach = F.expr(f"(n - (n - size(known) + pos)) * {100 + PERCENT} div {PERCENT} - n")
+    return (mine.select("rep", "n", "known", F.posexplode("known").alias("pos", "post"))
+            .select("post.value", "rep", "n", reach.alias("reach"), F.expr("n - size(known) + pos").cast("int").alias("pos")).where(F.col("reach") * 100 >= F.col("n") * PERCENT))
+
+
+def fit(a: str, b: str) -> Column:
+    return (F.col(f"n_{a}") <= F.col(f"reach_{b}")) & (F.col(f"n_{b}") <= F.col(f"reach_{a}"))
+
+
+def posting(rows: DataFrame, side: str, source: str = "") -> DataFrame:
+    """Columns of a list's members under the names of one side of a pair."""
+    return rows.select("value", *[F.col(source + c).alias(f"{name}_{side}" if name else side) for c, name in (
+        ("rep", ""), ("n", "n"), ("reach", "reach"), ("component", "c"))])
 
 
 class Links:
@@ -140,6 +164,13 @@ class Links:
     def __init__(self, docs: DataFrame, classes: DataFrame):
         self.docs, self.classes, self.found = docs, classes, None
 
+    def sets(self, reps: DataFrame) -> DataFrame:
+        """The whole shingle sets (rep, shingles) of some representatives, made from their texts."""
+        texts = self.docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
+            reps.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+        made = full_sets(texts).dropDuplicates(["doc_id", "shingles"]).select(F.col("doc_id").alias("rep"), "shingles")
+        return saved(made.where(F.size("shingles") > 0), "shingle-sets")
+
     def add(self, pairs: DataFrame) -> None:
         """Check pairs (a, b) of representatives: sizes and union sketch first, then the whole sets."""
         light = self.classes.select("rep", "sketch")
@@ -147,9 +178,7 @@ class Links:
         union = F.slice(F.array_sort(F.array_union("sketch_a", "sketch_b")), 1, SKETCH)
         shared = F.size(F.array_intersect(F.array_intersect("sketch_a", "sketch_b"), F.col("union")))
         likely = saved(both.withColumn("union", union).where(shared >= needed(F.size("union"))).select("a", "b"), "likely-pairs")
-        members = likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        texts = self.docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(members, "doc_id", "left_semi")
-        sets = saved(full_sets(texts).dropDuplicates(["doc_id"]), "shingle-sets")
+        sets = self.sets(likely.select(F.explode(F.array("a", "b")).alias("rep")).distinct())
         joined = likely.join(sets.toDF("b", "set_b"), "b").join(sets.toDF("a", "set_a"), "a")
         same = F.size(F.array_intersect("set_a", "set_b"))
         link = joined.where(same * 100 >= (F.size("set_a") + F.size("set_b") - same) * PERCENT).select("a", "b")
@@ -176,48 +205,75 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def open_lists(lists: DataFrame, labels: DataFrame | None, led: DataFrame | None) -> DataFrame:
+    """The lists whose members are in several components, without members that led them, and per list the
+    largest component (`major`) and the number of members outside it (`others`)."""
+    if labels is None:
+        now = lists.withColumn("component", F.col("rep"))
+    else:
+        now = lists.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    if led is not None:
+        now = now.join(led, ["value", "rep"], "left_anti")
+    groups = now.groupBy("value", "component").agg(F.count("*").alias("members"))
+    mixed = (groups.groupBy("value").agg(
+        F.max_by("component", F.struct("members", F.negative("component"))).alias("major"), F.count("*").alias("parts"),
+        (F.sum("members") - F.max("members")).alias("others")).where("parts > 1"))
+    return saved(now.join(mixed, "value"), "open-lists")
+
+
+def pairs_of(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Distinct pairs of members of one list in different components whose sizes allow a link."""
+    return (posting(left, "a").join(posting(right, "b"), "value").where((F.col("c_a") != F.col("c_b")) & fit("a", "b"))
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+
+def star(rows: DataFrame, links: Links) -> DataFrame:
+    """Compare every list's members with its leader and return the leaders.
+
+    A leader is, of the members outside the largest component, the one with the fewest rarer values: in a
+    family of near copies, the one closest to what they have in common.
+    """
+    outside = rows.where("component != major").groupBy("value").agg(
+        F.min(F.struct("pos", "rep", "n", "reach", "component")).alias("lead"))
+    leaders = saved(outside.select("value", "lead.rep", "lead.n", "lead.reach", "lead.component"), "leaders")
+    links.add(pairs_of(leaders, rows))
+    return leaders.select("value", "rep")
+
+
 def linked(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """(rep, component) for the representatives with a link.
 
-    1. In every inverted list the first member leads: all others are compared with it.
-    2. Members that now share a component need no comparison.  What is left in a list are its members
-       outside its largest component against all others; while that is much more than the lists
-       themselves, further leaders are taken from those members.
-    3. The rest is compared pair by pair.  So every pair that shares a list is either compared or already
-       in one component, and no list is expanded into all its pairs.
+    1. In every inverted list of retained values one member leads: all others are compared with it.
+    2. Members that now share a component need no comparison.  Lists with at most FEW members outside
+       their largest component have these compared with all others.
+    3. The members of the other lists, many documents alike but not linked, go by their whole sets:
+       an exact prefix filter makes new, far sparser lists; leaders again link what they can, and the
+       members still outside a list's largest component are compared with all that its filter allows.
+
+    So every pair that shares a list is compared, ruled out exactly or already in one component, and no
+    list is expanded into all its pairs.
     """
     lists = saved(inverted_lists(classes), "lists")
     links = Links(docs, classes)
-    first = lists.groupBy("value").agg(F.min(F.struct("rep", "n")).alias("lead"), F.count("*").alias("m")).where("m > 1")
-    star = (lists.join(first, "value").where((F.col("rep") != F.col("lead.rep")) & sizes_fit(F.col("n"), F.col("lead.n")))
-            .select(F.col("lead.rep").alias("a"), F.col("rep").alias("b")).distinct())
-    links.add(star)
-    led = first.select("value", F.col("lead.rep").alias("rep"))
-    size = lists.count()
-    for turn in range(STAR_ROUNDS + 1):
+    led = star(open_lists(lists, None, None), links)
+    rows = open_lists(lists, components(links.found), led)
+    few = rows.where(F.col("others") <= FEW)
+    links.add(pairs_of(few.where("component != major"), few))
+    many = saved(rows.where(F.col("others") > FEW).select("rep").distinct(), "crowded")
+    labels = components(links.found)
+    if not many.limit(1).count():
+        return labels
+    lists, led = saved(whole_lists(links.sets(many)), "whole-lists"), None
+    for _ in range(STAR_ROUNDS):
+        rows = open_lists(lists, labels, led)
+        if not rows.where(F.col("others") > FEW).limit(1).count():
+            break
+        more = star(rows, links)
+        led = more if led is None else led.unionByName(more)
         labels = components(links.found)
-        now = lists.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        groups = now.groupBy("value", "component").agg(F.count("*").alias("members"))
-        mixed = (groups.groupBy("value").agg(F.max_by("component", F.struct("members", F.negative("component"))).alias("major"),
-                                             F.count("*").alias("parts"), F.sum("members").alias("m")).where("parts > 1"))
-        open_ = saved(now.join(mixed, "value").select("value", "rep", "n", "component", "major", "m")
-                      .join(led, ["value", "rep"], "left_anti"), "open-lists")
-        minor = open_.where("component != major")
-        work = minor.groupBy("value", "m").agg(F.count("*").alias("u")).agg(F.sum(F.col("u") * F.col("m"))).first()[0] or 0
-        if not work:
-            return labels
-        if work <= DENSE * size or turn == STAR_ROUNDS:
-            left = minor.select("value", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
-        else:
-            lead = minor.groupBy("value").agg(F.min(F.struct("rep", "n", "component")).alias("lead"))
-            left = lead.select("value", F.col("lead.rep").alias("a"), F.col("lead.n").alias("n_a"), F.col("lead.component").alias("c_a"))
-            led = led.unionByName(saved(left.select("value", F.col("a").alias("rep")), "leaders"))
-        right = open_.select("value", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
-        pairs = (left.join(right, "value").where((F.col("c_a") != F.col("c_b")) & sizes_fit(F.col("n_a"), F.col("n_b")))
-                 .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-        links.add(pairs)
-        if work <= DENSE * size or turn == STAR_ROUNDS:
-            return components(links.found)
+    rows = open_lists(lists, labels, led)
+    links.add(pairs_of(rows.where("component != major"), rows))
+    return components(links.found)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
