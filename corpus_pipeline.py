@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pageframe.llm import decontamination, packing, quality, secret_scan
+from pageframe.llm import decontamination, near_dup, packing, quality, secret_scan
 from pageframe.llm.common import saved, table, tune
 
 
@@ -14,6 +14,12 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_clean(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    tune(spark)
+    return near_dup.keep_one(docs)
+
+
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share no ten words in a row with a benchmark item."""
     return decontamination.keep_uncontaminated(docs, table(tune(spark), sf_dir, "benchmark"))
@@ -33,6 +39,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
     ("benchmark_decontamination", benchmark_passages),
     ("secret_scans", secrets),
     ("packing", packed),

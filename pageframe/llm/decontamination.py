@@ -65,9 +65,8 @@ def sort_keys(columns: list):
         part = np.zeros(len(columns[k]), dtype=np.int64)
         for column in columns[k:k + 3]:
             part = part << _BITS | column
-        packed.append(part.astype(">u8"))
-    width = 8 * len(packed)
-    return np.ascontiguousarray(np.stack(packed, axis=1)).view(f"S{width}").ravel()
+        packed.append(part)
+    return np.stack(packed, axis=1).astype(">u8").view(f"S{8 * len(packed)}").ravel()   # big-endian: bytes sort as words
 
 
 def occurrences(parts: list, n: int, suffixes: Suffixes) -> tuple:

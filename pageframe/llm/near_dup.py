@@ -302,6 +302,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents with all their columns, but one of each component only."""
+    """The documents with all their columns, but one of each component only; of rows with equal id and text, one stays.
+
+    Rows without doc_id all stay.
+    """
     gone = near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    alone = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
+    left = docs.join(gone, "doc_id", "left_anti").withColumns({"_alone": alone, "_same": F.xxhash64("text")})
+    return left.dropDuplicates(["doc_id", "_same", "_alone"]).select(*[F.col(f"`{c}`") for c in docs.columns])
