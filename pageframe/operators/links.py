@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.node import attr_value
 from .select import in_scope, select_all
 from .text import text_content
-from .tokens import spread, token_array, token_attrs
+from .tokens import token_array, token_attrs
 
 
 def resolve(href: Column, base: Column) -> Column:
@@ -52,7 +52,7 @@ def token_links(pages: DataFrame) -> DataFrame:
     """(page_id, url, pos, href) of every ``<a href>`` start tag, straight from tokens: no tree, no
     Python, no shuffle."""
     raw = F.posexplode(F.filter(token_array(F.col("html")), lambda t: t.rlike(r"(?i)^<a(?=[\s/>])")))
-    return (spread(pages.select("page_id", "url", "html")).select("page_id", "url", raw.alias("pos", "raw"))
+    return (pages.select("page_id", "url", "html").select("page_id", "url", raw.alias("pos", "raw"))
             .select("page_id", "url", "pos", attr_value("href", token_attrs(F.col("raw"))).alias("href"))
             .filter("href is not null"))
 

@@ -44,11 +44,24 @@ def _pieces(events: Column) -> Column:
     return F.transform(F.array_sort(F.flatten(events)), lambda e: e["piece"])
 
 
-def to_html(nodes: DataFrame) -> DataFrame:
+def to_html(nodes: DataFrame, pages: DataFrame | None = None, html: str = "html", key: str = "page_id",
+            errors: bool = False) -> DataFrame:
     """Whole pages: (page_id, html), doctype and document-level comments included.
 
+    A page that failed to shred has null html, and its reason in ``error`` when ``errors`` asks for that
+    column.  ``nodes`` alone know only pages with nodes left; given the ``pages`` (or snippets) they come
+    from, the result has one row for each: '' where all nodes are gone, null where ``html`` was null.
+
     Works on any order-consistent numbering, so deletions need no renumbering first."""
-    return nodes.groupBy("page_id").agg(F.array_join(_pieces(F.collect_list(F.expr(_events()))), "").alias("html"))
+    failed = F.max(F.when(F.col("node_type") == "error", F.col("text")))
+    built = nodes.groupBy("page_id").agg(
+        F.array_join(_pieces(F.collect_list(F.expr(_events()))), "").alias("html"), failed.alias("error"))
+    built = built.withColumn("html", F.when(F.col("error").isNull(), F.col("html")))
+    if pages is not None:
+        source = pages.select(F.col(key).alias("page_id"), F.col(html).isNotNull().alias("_given"))
+        whole = F.when(F.col("_given") & F.col("error").isNull(), F.coalesce("html", F.lit("")))
+        built = source.join(built, "page_id", "left").withColumn("html", whole)
+    return built.select("page_id", "html", *(["error"] if errors else []))
 
 
 def _part(nodes: DataFrame, where, name: str, inner: bool) -> DataFrame:

@@ -13,8 +13,7 @@ from pyspark.sql.functions import arrow_udf
 
 from ..functions.node import attr_sql, classes_sql
 from ..schema import KERNEL_NODE, NODE_COLUMNS
-from ..session import tune
-from .tokens import spread, token_array
+from .tokens import token_array
 from .treebuild import build_rows
 
 _INT, _STR, _BOOL = pa.int32(), pa.string(), pa.bool_()
@@ -104,8 +103,7 @@ def shred(pages: DataFrame, html: str = "html", cluster: bool = True, sanitize=N
     and row filters of the query reach below that shuffle; every page-keyed window, aggregate and
     join on top runs without another exchange.  Switch it off when only row-local operators follow.
     """
-    tune(pages.sparkSession)
-    source = spread(pages.select("page_id", F.col(html).alias("html")))
+    source = pages.select("page_id", F.col(html).alias("html"))
     return _explode_nodes(source, _page_tree(token_array(F.col("html"))), cluster, sanitize, reindex)
 
 
@@ -117,8 +115,7 @@ def shred_fragments(df: DataFrame, html: str, context: str = "body", key: str =
     """
     if context not in FRAGMENT_CONTEXTS:
         raise ValueError(f"unknown fragment context: {context}")
-    tune(df.sparkSession)
-    source = spread(df.select(F.col(key).alias("page_id"), F.col(html).alias("html")))
+    source = df.select(F.col(key).alias("page_id"), F.col(html).alias("html"))
     return _explode_nodes(source, fragment_nodes(F.col("html")), cluster, sanitize, reindex, F.lit(context).alias("context"))
 
 

@@ -44,11 +44,9 @@ def render_rows(df: DataFrame, template: str | Column, columns: list[str] | None
 
 def sanitize_column(df: DataFrame, column: str, mode) -> DataFrame:
     """Sanitise a snippet column row by row: parse, filter, serialise as expressions, no shuffle."""
-    from ..session import tune
     from .sanitize import sanitize_fragment
     from .serialize import fragment_html
     from .shred import fragment_nodes
-    tune(df.sparkSession)
     parsed = df.withColumn("_frag", fragment_nodes(F.col(column)))
     return sanitize_fragment(parsed, "_frag", mode).withColumn(column, fragment_html("_frag")).drop("_frag")
 

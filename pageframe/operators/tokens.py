@@ -56,17 +56,10 @@ def token_attrs(raw: Column) -> Column:
     ))
 
 
-def spread(source: DataFrame) -> DataFrame:
-    """Rebalance inputs stored in fewer files than there are cores; others keep their splits."""
-    if source.isStreaming or len(source.inputFiles()) >= source.sparkSession.sparkContext.defaultParallelism:
-        return source
-    return source.hint("rebalance")
-
-
 def tokenize(pages: DataFrame) -> DataFrame:
     """One row per token: page_id, pos, kind, raw, tag, closing, attrs.  Row-local, no Python."""
     raw, tag = F.col("raw"), F.col("tag")
-    source = spread(pages.select("page_id", "html"))
+    source = pages.select("page_id", "html")
     return (
         source.select("page_id", F.posexplode(token_array(F.col("html"))).alias("pos", "raw"))
         .select("page_id", "pos", "raw", token_tag(raw).alias("tag"))

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import session
 from ..functions import node as N
 from ..functions import spec as S
 from ..functions import text as T
@@ -28,7 +28,7 @@ LIST_HTML = '<ul id="u" class="list"><li>{p_name}<li>{p_type}</ul><template><li>
 
 
 def _read(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return session.tune(spark).read.parquet(f"{sf}/{name}.parquet")
 
 
 def pages(spark, sf) -> DataFrame: return _read(spark, sf, "pages")
@@ -378,7 +378,8 @@ def roundtrip(spark, sf):
     sig = lambda d: d.groupBy("page_id").agg(
         F.count("*").alias("n"), F.sum(F.xxhash64("pre", "last", "depth", "node_type", "tag", "text", "attrs").cast("decimal(38,0)")).alias("h"))
     a, b = sig(n), sig(again)
-    return a.join(b, "page_id").select("page_id", (a["n"] == b["n"]).alias("same_size"), (a["h"] == b["h"]).alias("same_nodes"))
+    return a.join(b, "page_id", "full").select(
+        "page_id", a["n"].eqNullSafe(b["n"]).alias("same_size"), a["h"].eqNullSafe(b["h"]).alias("same_nodes"))
 
 
 # -- normalisation -----------------------------------------------------------------------------------------------
@@ -447,8 +448,8 @@ def scan_pages(spark, sf):
 
 
 def _sanitized_parts(spark, sf, mode):
-    frag = shred.shred_fragments(_part_html(spark, sf, PART_HTML), "html", "body", sanitize=mode, reindex=False)
-    return serialize.to_html(frag)
+    source = _part_html(spark, sf, PART_HTML)
+    return serialize.to_html(shred.shred_fragments(source, "html", "body", sanitize=mode, reindex=False), source)
 
 
 def sanitize_strict_parts(spark, sf): return _sanitized_parts(spark, sf, "strict")
@@ -656,8 +657,7 @@ def reassemble_stream(spark, sf):
     schema = pages(spark, sf).schema
     source = spark.readStream.schema(schema).option("pathGlobFilter", "pages.parquet").parquet(sf)
     done = stream.reassemble_eager(stream.split_pages(source, 300), idle_ms=0)
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    root = f"{shared.rstrip('/')}/reassemble-{uuid.uuid4().hex}"
+    root = f"{session.shared_folder(spark)}/reassemble-{uuid.uuid4().hex}"
     query = (done.writeStream.outputMode("append").format("parquet").option("path", f"{root}/out")
              .option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start())
     query.awaitTermination()

@@ -1,25 +1,39 @@
-"""Session defaults the page-keyed plans rely on; values the user already set are kept."""
+"""Session defaults for page-keyed plans.  Operators never touch the session: call ``tune`` where you build it."""
 
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+# Setting: Spark's own value, ours.
 DEFAULTS = {
-    # Joins on (page_id, parent_id, ...) may reuse a distribution on page_id alone.  Page size is
-    # bounded by one input row, so page_id is never the skewed key such a join would suffer from.
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # Joins on (page_id, parent_id, ...) may reuse a distribution on page_id alone.  Leave this out where
+    # other joins of the session are skewed on a part of their keys.
+    "spark.sql.requireAllClusterKeysForCoPartition": ("true", "false"),
     # One page expands to many nodes: keep Arrow batches small enough for a Python worker.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "512"),
+    "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", str(16 << 20)),
     # Parsing is CPU-bound: do not coalesce a small input below the core count.
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": ("1048576b", "256k"),
 }
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Set the defaults above where the session still has Spark's own."""
-    explicit = spark.sparkContext.getConf()
-    for key, value in DEFAULTS.items():
-        if explicit.get(key) is None:
-            spark.conf.set(key, value)
+    """Set the values above where the session still has Spark's own; what was set at start or run time stays."""
+    for key, (sparks, ours) in DEFAULTS.items():
+        if spark.conf.get(key).lower() in (sparks, sparks.removesuffix("b"), "1mb" if sparks == "1048576b" else sparks):
+            spark.conf.set(key, ours)
     return spark
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A folder that the driver and all executors see: ``spark.checkpoint.dir``.
+
+    Only a local master, whose tasks share the driver's disk, gets one of its own when that is unset."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        import tempfile
+        folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")

@@ -31,9 +31,13 @@ def read_pages(spark: SparkSession, path: str, fmt: str = "parquet", encoding: s
     return reader.load(path).select("page_id", "url", "html")
 
 
-def write_pages(nodes: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists") -> None:
-    """Serialise each page's tree and write (page_id, html)."""
-    to_html(nodes).write.format(fmt).mode(mode).save(path)
+def write_pages(nodes: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists",
+                pages: DataFrame | None = None) -> None:
+    """Serialise each page's tree and write (page_id, html, error).
+
+    A page that could not be shredded is written with null html and the reason, never as an empty page.
+    With ``pages``, the table the nodes come from, a page whose nodes are all gone is written as ''."""
+    to_html(nodes, pages, errors=True).write.format(fmt).mode(mode).save(path)
 
 
 def write_nodes(nodes: DataFrame, table: str, buckets: int, path: str | None = None, mode: str = "errorifexists") -> None:
@@ -45,5 +49,4 @@ def write_nodes(nodes: DataFrame, table: str, buckets: int, path: str | None = N
 
 
 def read_nodes(spark: SparkSession, table: str) -> DataFrame:
-    from ..session import tune
-    return tune(spark).table(table)
+    return spark.table(table)

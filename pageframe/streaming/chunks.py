@@ -51,11 +51,21 @@ def reassemble_batch(chunks: DataFrame) -> DataFrame:
 
 
 def reassemble(chunks: DataFrame, gap: str = "30 seconds", watermark: str = "1 minute") -> DataFrame:
-    """Streaming reassembly: a page is emitted (append mode) when its session closes."""
-    stream = chunks.withWatermark("ts", watermark).filter("kind = 'chunk'")
-    return (stream.groupBy(F.session_window("ts", gap), "page_id")
-            .agg(_joined("seq", "chunk").alias("html"), F.count("*").alias("n_chunks"))
-            .select("page_id", "html", "n_chunks"))
+    """Streaming reassembly: (page_id, html, n_chunks, error), emitted (append mode) when a session closes.
+
+    A session is a page when it holds one begin row numbered 0, one end row and every number between;
+    rows that arrive twice count once.  Anything else, a page with a missing chunk or the halves of one
+    that paused for longer than ``gap``, is reported as a row with null html and an error."""
+    stream = chunks.withWatermark("ts", watermark)
+    sessions = stream.groupBy(F.session_window("ts", gap), "page_id").agg(
+        F.array_sort(F.collect_set(F.struct("seq", "kind", "chunk"))).alias("_rows"))
+    count = lambda kind: F.size(F.filter("_rows", lambda r: r["kind"] == kind))
+    first, last, n = F.get("_rows", F.lit(0)), F.get("_rows", F.size("_rows") - 1), F.size("_rows")
+    error = (F.when(count("begin") > 1, "begin twice").when((first["kind"] != "begin") | (first["seq"] != 0), "no begin")
+             .when((count("end") != 1) | (last["kind"] != "end"), "no end").when(last["seq"] != n - 1, "missing seq"))
+    html = F.array_join(F.transform("_rows", lambda r: F.coalesce(r["chunk"], F.lit(""))), "")
+    return sessions.select("page_id", F.when(error.isNull(), html).alias("html"),
+                           count("chunk").cast("long").alias("n_chunks"), error.alias("error"))
 
 
 class _Assembler(StatefulProcessor):
