@@ -43,12 +43,13 @@ def render_rows(df: DataFrame, template: str | Column, columns: list[str] | None
 
 
 def sanitize_column(df: DataFrame, column: str, mode) -> DataFrame:
-    """Sanitise a snippet column row by row: parse, filter, serialise as expressions, no shuffle."""
+    """Sanitise a snippet column row by row: parse, filter, serialise as expressions, no shuffle; null stays null."""
     from .sanitize import sanitize_fragment
     from .serialize import fragment_html
     from .shred import fragment_nodes
     parsed = df.withColumn("_frag", fragment_nodes(F.col(column)))
-    return sanitize_fragment(parsed, "_frag", mode).withColumn(column, fragment_html("_frag")).drop("_frag")
+    return sanitize_fragment(parsed, "_frag", mode).withColumn(
+        column, F.when(F.col(column).isNotNull(), fragment_html("_frag"))).drop("_frag")
 
 
 def render_groups(df: DataFrame, template: str | Column, group: list[str], order: list[str],
