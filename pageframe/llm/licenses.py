@@ -45,27 +45,36 @@ ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CO
 THIS SOFTWARE."""),
 )
 
-_COPYRIGHT_LINE = r"(?m)^[ \t]*(copyright|\(c\)|©|all rights reserved)[^\n]*$"
+_COPYRIGHT_LINE = r"(?m)^[ \t]*(?:copyright[ \t]*(?:\(c\)|©|by|:|[0-9])|\(c\)[ \t]|©|all rights reserved)[^\n]*$"
 _MARKS = r"[^\p{L}\p{N}\n]+"
 
 
-def canonical(text: Column) -> Column:
-    """Lower case, copyright lines gone, punctuation and blanks one space, equivalent spellings made one; line breaks stay."""
-    plain = F.regexp_replace(F.regexp_replace(F.lower(text), _COPYRIGHT_LINE, ""), _MARKS, " ")
+def plain(text: Column) -> Column:
+    """Lower case, copyright lines gone, punctuation and blanks one space; line breaks stay."""
+    return F.regexp_replace(F.regexp_replace(F.lower(text), _COPYRIGHT_LINE, ""), _MARKS, " ")
+
+
+def spelled(words: Column) -> Column:
+    """Equivalent spellings made one."""
     for old, new in SPELLINGS:
-        plain = F.replace(plain, F.lit(old), F.lit(new))
-    return plain
+        words = F.replace(words, F.lit(old), F.lit(new))
+    return words
+
+
+def whole_of(plain_text: Column) -> Column:
+    """The canonical text on one line."""
+    return spelled(F.trim(F.regexp_replace(plain_text, r"\s+", " ")))
 
 
-def lines_of(canonical_text: Column) -> Column:
-    """Lines with a word, trimmed."""
-    return F.filter(F.transform(F.split(canonical_text, "\n"), F.trim), lambda line: line != "")
+def lines_of(plain_text: Column) -> Column:
+    """The canonical lines that have a word, trimmed."""
+    return F.filter(F.transform(F.split(spelled(plain_text), "\n"), lambda line: F.trim(line)), lambda line: line != "")
 
 
 def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
     """(digest, license_id, restricted): one row per known text; its size is that of the fixed list."""
     rows = spark.createDataFrame([(i, r, t) for i, r, t in known], "license_id string, restricted boolean, text string")
-    digest = F.sha2(F.array_join(lines_of(canonical(F.col("text"))), " "), 256)
+    digest = F.sha2(whole_of(plain(F.col("text"))), 256)
     return rows.select(digest.alias("digest"), "license_id", "restricted").dropDuplicates(["digest"])
 
 
@@ -84,11 +93,10 @@ def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     fixed = known is None
     known = known_digests(docs.sparkSession) if fixed else known
     lookup = F.broadcast(known) if fixed else known
-    canon = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("_key"),
-                        canonical(F.coalesce("text", F.lit(""))).alias("_canonical"))
-    lines = canon.select("doc_id", "_key", lines_of(F.col("_canonical")).alias("_lines"))
-    digests = saved(lines.select("doc_id", "_key", F.sha2(F.array_join("_lines", " "), 256).alias("digest"),
-                                 F.transform("_lines", lambda line: F.unhex(F.sha2(line, 256))).alias("_digests")), "digests")
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("_key"),
+                       plain(F.coalesce("text", F.lit(""))).alias("_plain"))
+    digests = saved(read.select("doc_id", "_key", F.sha2(whole_of(F.col("_plain")), 256).alias("digest"),
+                                F.transform(lines_of(F.col("_plain")), lambda line: F.unhex(F.sha2(line, 256))).alias("_digests")), "digests")
     matched = (digests.select("_key", F.posexplode("_digests").alias("_line", "_digest"))
                .join(lookup.withColumn("_digest", F.unhex("digest")).drop("digest"), "_digest")
                .dropDuplicates(["_key", "_line"]).groupBy("_key")
@@ -110,7 +118,8 @@ def keep_unrestricted(docs: DataFrame) -> DataFrame:
 
 def scan_keys(docs: DataFrame) -> DataFrame:
     """Keys of the documents that a restricting licence covers, as a whole or by a line."""
-    lines = lines_of(canonical(F.col("text")))
+    read = docs.select(row_key().alias("_key"), plain(F.col("text")).alias("_plain"))
+    lines = lines_of(F.col("_plain"))
     restricted = F.broadcast(known_digests(docs.sparkSession).where("restricted"))
-    every = F.concat(F.array(F.sha2(F.array_join(lines, " "), 256)), F.transform(lines, lambda line: F.sha2(line, 256)))
-    return docs.select(row_key().alias("_key"), F.explode(every).alias("digest")).join(restricted, "digest").select("_key").distinct()
+    every = F.concat(F.array(F.sha2(whole_of(F.col("_plain")), 256)), F.transform(lines, lambda line: F.sha2(line, 256)))
+    return read.select("_key", F.explode(every).alias("digest")).join(restricted, "digest").select("_key").distinct()
