@@ -93,12 +93,11 @@ def test_copies(spark):
 
 
 def test_templates(spark):
-    n = nodes(spark, '<table id="t"><tbody><!-- old --></tbody></table><template id="productrow"><tr><td class="record">Code: 1</td>'
-                     "<td>Name: 1</td></tr></template>")
-    row = '<tr><td class="record">Code: 1</td><td>Name: 1</td></tr>'
-    used = R.instantiate_template(n, shred.templates(n), "tbody", times=2)
-    assert body_inner(used) == [f'<table id="t"><tbody><!-- old -->{row}{row}</tbody></table><template id="productrow">{row}</template>']
-    assert _dense(used) and select.select_all(used, "tr").count() == 2
+    n = nodes(spark, '<dl class="g"><dt>Zinc</dt></dl><template class="entry"><dd>30 <i>Zn</i></dd></template>')
+    used = R.instantiate_template(n, shred.templates(n), "dl", times=2)
+    entry = "<dd>30 <i>Zn</i></dd>"
+    assert body_inner(used) == [f'<dl class="g"><dt>Zinc</dt>{entry}{entry}</dl><template class="entry">{entry}</template>']
+    assert _dense(used) and select.select_all(used, "dd").count() == 2
     bad = nodes(spark, "<template><li onclick=x>a<script>s</script></li><template><b>q</b></template></template><ul></ul>")
     safe = R.instantiate_template(bad, bad.filter("tag = 'template' and tree_id = 0"), "ul", mode="strict")
     assert body_inner(safe) == ["<ul><li>a</li><template><b>q</b></template></ul>"] or \

@@ -13,9 +13,10 @@ from pageframe.operators import normalize, sanitize, serialize, shred
 from pageframe.sources import pages as P
 from pageframe.streaming import chunks as S
 
-SPLIT = ["<html><head><title", ">My Page</", "title></head>", "<body><h1>Hello</h1>", "<p>World!<", "/p></body></html>"]
-STRAY = ["<html><head><title", ">My Page</", "title></head>", "<body><h1>Hello</h1>", "<p>World!<", "/p>",
-         "<span>Nested</span></", "div></body></html>"]
+WHOLE = "<html><body><h2>Stock</h2><p>Seven bolts</p></body></html>"
+TAIL = "<html><body><p>open <i>all</i></section><u>end</u></body></html>"
+SPLIT = [WHOLE[i:i + 9] for i in range(0, len(WHOLE), 9)]     # cuts fall inside tags
+STRAY = [TAIL[i:i + 7] for i in range(0, len(TAIL), 7)]       # with an end tag that nothing opened
 
 
 def _chunks(spark, **docs):
@@ -48,9 +49,9 @@ def _drain(stream, mode="append"):
 def test_batch_reassembly(spark):
     c = _chunks(spark, split=SPLIT, stray=STRAY)
     pages = S.reassemble_batch(S.deduplicate(c.union(c)))
-    assert {r.page_id: r.n_chunks for r in pages.collect()} == {0: 6, 1: 8}
+    assert {r.page_id: r.n_chunks for r in pages.collect()} == {0: len(SPLIT), 1: len(STRAY)}
     n = shred.shred(pages)
-    assert body_inner(n) == ["<h1>Hello</h1><p>World!</p>", "<h1>Hello</h1><p>World!</p><span>Nested</span>"]
+    assert body_inner(n) == ["<h2>Stock</h2><p>Seven bolts</p>", "<p>open <i>all</i><u>end</u></p>"]
     long = spark.range(5000).select(F.lit(7).cast("long").alias("page_id"), F.col("id").cast("int").alias("seq"), F.lit("chunk").alias("kind"),
                                     F.concat(F.col("id").cast("string"), F.lit(",")).alias("chunk"), F.current_timestamp().alias("ts"))
     assert S.reassemble_batch(long).first().html == "".join(f"{i}," for i in range(5000))
@@ -76,11 +77,17 @@ def test_protocol_across_blocks(spark, monkeypatch):
 
 
 def test_session_reassembly(spark):
-    c = _chunks(spark, split=SPLIT, stray=STRAY, late=["z"])
+    c = _chunks(spark, split=SPLIT, stray=STRAY, late=["z"], lacking=["a", "b", "c"], paused=["a", "b", "c"], twice=["a"])
+    c = c.filter("not (page_id = 3 and seq = 2)")
+    c = c.withColumn("ts", F.when((F.col("page_id") == 4) & (F.col("seq") > 2), F.col("ts") + F.expr("interval 69 seconds")).otherwise(F.col("ts")))
     late = c.filter("page_id = 2").withColumn("ts", F.col("ts") + F.expr("interval 2 hours"))
-    stream = _stream(spark, c.filter("page_id < 2").unionByName(late), files=1)
-    got = {r.page_id: r.html for r in _drain(S.reassemble(stream, gap="30 seconds", watermark="1 minute")).collect()}
-    assert got[0] == "".join(SPLIT) and got[1] == "".join(STRAY)
+    rows = c.filter("page_id <> 2").unionByName(c.filter("page_id = 5")).unionByName(late)
+    got = sorted((r.page_id, r.html, r.n_chunks, r.error) for r in
+                 _drain(S.reassemble(_stream(spark, rows, files=1), gap="30 seconds", watermark="1 minute")).collect() if r.page_id != 2)
+    assert got[:2] == [(0, WHOLE, len(SPLIT), None), (1, TAIL, len(STRAY), None)]
+    assert got[2] == (3, None, 2, "missing seq")
+    assert sorted(g[2:] for g in got if g[0] == 4) == [(1, "no begin"), (2, "no end")]
+    assert got[-1] == (5, "a", 1, None)
 
 
 def test_eager_reassembly(spark):
@@ -89,7 +96,7 @@ def test_eager_reassembly(spark):
     c = _chunks(spark, split=SPLIT, stray=STRAY, again=["begin", "x"])
     c = c.withColumn("kind", F.when((F.col("page_id") == 2) & (F.col("seq") == 1), "begin").otherwise(F.col("kind")))
     got = {r.page_id: (r.html, r.error) for r in _drain(S.reassemble_eager(_stream(spark, c.union(c)), idle_ms=0)).collect()}
-    assert got == {0: ("".join(SPLIT), None), 1: ("".join(STRAY), None), 2: ("x", "begin twice")}
+    assert got == {0: (WHOLE, None), 1: (TAIL, None), 2: ("x", "begin twice")}
 
 
 def test_stream_operators_match_batch(spark):
@@ -137,7 +144,33 @@ def test_sources(spark):
         P.read_pages(spark, root, "xml")
     n = shred.shred(pages)
     P.write_pages(n, f"{root}/out")
-    assert spark.read.parquet(f"{root}/out").count() == 50
+    assert spark.read.parquet(f"{root}/out").where("error is null").count() == 50
+    pages.write.option("header", True).option("escape", '"').csv(f"{root}/csv")
+    assert P.read_pages(spark, f"{root}/csv", "csv").exceptAll(pages).count() == 0
+    odd = spark.createDataFrame([(1, "<p>a"), (2, None), (3, "")], "page_id long, html string")
+    P.write_pages(shred.shred(odd), f"{root}/odd", pages=odd)
+    got = {r.page_id: (r.html, r.error) for r in spark.read.parquet(f"{root}/odd").collect()}
+    assert got == {1: ("<html><head></head><body><p>a</p></body></html>", None), 2: (None, "page is null"),
+                   3: ("<html><head></head><body></body></html>", None)}
+
+
+def test_shared_folder(spark):
+    from pageframe.session import shared_folder
+    assert shared_folder(spark) == shared_folder(spark)
+
+
+def test_operators_leave_the_session_alone(spark):
+    from pageframe.session import DEFAULTS, tune
+    before = {k: spark.conf.get(k) for k in DEFAULTS}
+    shred.shred(spark.createDataFrame([(1, "<p>a")], "page_id long, html string")).count()
+    assert {k: spark.conf.get(k) for k in DEFAULTS} == before
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(key, "37")
+    try:
+        tune(spark)
+        assert spark.conf.get(key) == "37"
+    finally:
+        spark.conf.set(key, before[key])
 
 
 def test_bucketed_nodes_need_no_shuffle(spark):
