@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pageframe.llm import decontamination, licenses, near_dup, packing, pii, quality, secret_scan, sharding, spans, url_filter
 from pageframe.llm.common import table, tune
+from pageframe.llm.oracles import ORACLES  # noqa: F401  registered beside the queries
 
 
 def op1_hypergeometric_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,4 +82,3 @@ QUERIES = {f.__name__: f for f in (
     op1_hypergeometric_shuffle, op2_surrogates, op3_pack_power_of_two, op4_quality_lines, op5_url_automaton, op6_license_digests,
     op7_suffix_arrays, op8_sentence_spans, op9_secret_models, op10_bottom_k)}
 
-ORACLES: dict[str, str] = {}
