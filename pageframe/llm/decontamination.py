@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from pageframe.llm.common import saved
+
 WINDOW = 10
 BLOCK_BYTES = 4 << 20     # benchmark text searched in one pass over the documents; more is cut into blocks
+PASS_BYTES = 32 << 20     # benchmark text whose tables the tasks may hold at once
 SHARD_BYTES = 16 << 20    # training text under one suffix array
 _BITS = 21                # word numbers packed three to 64 bits: a block holds fewer than 2**21 - 1 words
 
@@ -144,13 +147,16 @@ def search_shard(texts: list, tables: list) -> dict:
             "longest_item": [b[1] for b in best], "longest_start": [b[2] for b in best]}
 
 
-def blocks_of(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES):
+def size_of(benchmark: DataFrame) -> int:
+    return benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+
+
+def blocks_of(benchmark: DataFrame, size: int, block_bytes: int = BLOCK_BYTES):
     """The benchmark's rows (item_id, text) in blocks of about `block_bytes` of text, fetched one by one."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id IS NOT NULL")
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-size // block_bytes) or 1
     for k in range(n):
-        yield [tuple(r) for r in items.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k).collect()]
+        yield [tuple(r) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect()]
 
 
 def search(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, block_bytes: int = BLOCK_BYTES,
@@ -164,13 +170,16 @@ def search(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, block
     Training texts are cut into shards of about `shard_bytes` where they are read; each gets a suffix
     array in which every benchmark suffix is searched.  Nothing is shuffled and no window of the corpus
     leaves its task.  The benchmark's size is measured first: up to `block_bytes` it goes to the tasks as
-    one table, a larger one as several, searched one after another in the same shard.  Texts are never
+    one table, a larger one as several, searched one after another in the same shard; beyond PASS_BYTES
+    it is refused here, and `keep_uncontaminated` takes it in passes.  Texts are never
     split: a longer one is a shard by itself.  Null and empty texts have no words and no hits, an empty
     benchmark hits nothing, null item ids and texts are ignored, repeated rows of either table count as
     they stand, and columns of `keep` that are named like a new one are replaced by it.
     """
-    context = docs.sparkSession.sparkContext
-    tables = [context.broadcast(Suffixes(block, window)) for block in blocks_of(benchmark, block_bytes)]
+    context, size = docs.sparkSession.sparkContext, size_of(benchmark)
+    if size > PASS_BYTES:
+        raise ValueError(f"benchmark texts of {size} bytes: search them in parts of at most {PASS_BYTES}")
+    tables = [context.broadcast(Suffixes(block, window)) for block in blocks_of(benchmark, size, block_bytes)]
     new = [f.split()[0] for f in SCHEMA.split(", ")]
     kept = [k for k in keep if k.lower() not in new]
     base = docs.select(*[F.col(f"`{k}`") for k in dict.fromkeys([*kept, "text"])])
@@ -201,8 +210,18 @@ def search(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, block
     return base.mapInArrow(run, schema)
 
 
-def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents that share no window with the benchmark, with all their columns."""
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "text")
-    clean = search(rows, benchmark, keep=("_row",), **options).where("n_hit = 0")
-    return clean.select("_row.*")
+def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, *, pass_bytes: int = PASS_BYTES, **options) -> DataFrame:
+    """The documents that share no window with the benchmark, with all their columns.
+
+    A benchmark of more than `pass_bytes` is searched in passes, each over the documents the last one left,
+    written in between.
+    """
+    n = -(-size_of(benchmark) // pass_bytes) or 1
+    left = docs
+    for k in range(n):
+        part = benchmark if n == 1 else benchmark.where(F.pmod(F.xxhash64("text"), F.lit(n)) == k)
+        rows = left.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "text")
+        left = search(rows, part, keep=("_row",), **options).where("n_hit = 0").select("_row.*")
+        if k < n - 1:
+            left = saved(left, "uncontaminated")
+    return left

@@ -109,6 +109,7 @@ def test_contamination_equals_brute_force(spark):
     clean = decontamination.keep_uncontaminated(cases.documents(spark), benchmark)
     ids = [i for i, (_, hits, _) in want.items() if not hits]
     assert clean.columns == cases.documents(spark).columns and clean.count() == len(ids)
+    assert decontamination.keep_uncontaminated(cases.documents(spark), benchmark, pass_bytes=2000).count() == len(ids)
     none = decontamination.search(docs, benchmark.limit(0)).agg(F.sum("n_hit")).first()[0]
     assert none == 0 and decontamination.search(docs.limit(0), benchmark).count() == 0
 
