@@ -66,7 +66,7 @@ def to_html(nodes: DataFrame, pages: DataFrame | None = None, html: str = "html"
 
 def _part(nodes: DataFrame, where, name: str, inner: bool) -> DataFrame:
     from .rewrite import mark
-    marked = nodes.withColumn("_hit", F.lit(True)) if where is None else mark(nodes, where)
+    marked = mark(nodes, where)
     carried = [c for c in marked.columns if c not in ("page_id", "_hit")]
     pages = marked.groupBy("page_id").agg(
         F.collect_list(F.expr(_events())).alias("_e"),
@@ -81,12 +81,12 @@ def _part(nodes: DataFrame, where, name: str, inner: bool) -> DataFrame:
         *[h[c].alias(c) for c in carried], cut(h).alias(name)))))
 
 
-def outer_html(nodes: DataFrame, where=None) -> DataFrame:
+def outer_html(nodes: DataFrame, where) -> DataFrame:
     """Selected rows plus ``outer_html``."""
     return _part(nodes, where, "outer_html", inner=False)
 
 
-def inner_html(nodes: DataFrame, where=None) -> DataFrame:
+def inner_html(nodes: DataFrame, where) -> DataFrame:
     """Selected rows plus ``inner_html``: text when there are no child elements, '' when empty."""
     return _part(nodes, where, "inner_html", inner=True)
 

@@ -23,7 +23,7 @@ def read_pages_of(nodes: DataFrame, where, entry: Column, value, name: str) -> D
     row and the page's entries into the new column.  Selected rows stay inside the page row until
     the value is built, so the page array is never copied per selection."""
     from .rewrite import mark
-    marked = nodes.withColumn("_hit", F.lit(True)) if where is None else mark(nodes, where)
+    marked = mark(nodes, where)
     carried = [c for c in marked.columns if c not in ("page_id", "_hit")]
     pages = marked.groupBy("page_id").agg(
         F.collect_list(entry).alias("_page"),
@@ -33,8 +33,8 @@ def read_pages_of(nodes: DataFrame, where, entry: Column, value, name: str) -> D
             *[h[c].alias(c) for c in carried], value(h, F.col("_page")).alias(name)))))
 
 
-def text_content(nodes: DataFrame, where=None) -> DataFrame:
-    """Selected rows plus ``text_content``: descendant text in order, comments and nested template
+def text_content(nodes: DataFrame, where) -> DataFrame:
+    """The rows ``where`` selects plus ``text_content``: descendant text in order, comments and nested template
     contents left out.  Text and comment nodes yield their own data."""
     entry = F.struct("pre", "tree_id", F.when(F.col("node_type") == "text", F.col("text")).alias("s"))
 

@@ -77,22 +77,25 @@ class _Assembler(StatefulProcessor):
     def init(self, handle) -> None:
         self.handle = handle
         self.parts = handle.getMapState("parts", "seq int", "kind string, chunk string")
+        self.seen = handle.getValueState("seen", "n int, end_seq int")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        errors = []
+        n, end = self.seen.get() if self.seen.exists() else (0, -1)
         for pdf in rows:
             for seq, kind, chunk in zip(pdf["seq"], pdf["kind"], pdf["chunk"]):
                 if not self.parts.containsKey((int(seq),)):
                     self.parts.updateValue((int(seq),), (kind, chunk if isinstance(chunk, str) else None))
-        parts = sorted((k[0], v[0], v[1]) for k, v in self.parts.iterator())
-        ends = [s for s, kind, _ in parts if kind == "end"]
-        if ends and len(parts) == ends[0] + 1:
+                    n, end = n + 1, int(seq) if kind == "end" and end < 0 else end
+        if n == end + 1:   # the parts are read once, when all are in
+            parts = sorted((k[0], v[0], v[1]) for k, v in self.parts.iterator())
             errors = [] if parts[0][1] == "begin" else ["chunk before begin"]
             errors += ["begin twice"] * (sum(kind == "begin" for _, kind, _ in parts) > 1)
             html = "".join(c or "" for _, kind, c in parts if kind == "chunk")
             self._clear()
             yield self._row(key, html, len(parts), "; ".join(errors) or None)
-        elif self.idle_ms:
+            return
+        self.seen.update((n, end))
+        if self.idle_ms:
             for t in list(self.handle.listTimers()):
                 self.handle.deleteTimer(t)
             self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle_ms)
@@ -105,6 +108,7 @@ class _Assembler(StatefulProcessor):
 
     def _clear(self):
         self.parts.clear()
+        self.seen.clear()
         if self.idle_ms:
             for t in list(self.handle.listTimers()):
                 self.handle.deleteTimer(t)
