@@ -131,6 +131,9 @@ def sanitize_fragment(df: DataFrame, column: str, mode) -> DataFrame:
     rules = Rules(opts, "f.")
     gone = f"transform(filter({column}, f -> ({rules.reason()}) IS NOT NULL), f -> struct(f.pre AS pre, f.last AS last))"
     fields = ", ".join(f"{rules.kept_attrs() if c == 'attrs' else 'f.' + c} AS {c}" for c in KERNEL_NODE.fieldNames())
-    kept = f"filter({column}, f -> NOT exists(_gone, g -> g.pre <= f.pre AND f.pre <= g.last))"
+    # Numbers run without gaps through a fresh fragment, so what stays is a difference of number lists.
+    removed = "flatten(transform(_gone, g -> sequence(g.pre, g.last)))"
+    kept = (f"transform(array_except(transform({column}, f -> f.pre), {removed}), "
+            f"p -> element_at({column}, p - {column}[0].pre + 1))")
     return (df.withColumn("_gone", F.expr(gone)).withColumn(column, F.expr(kept)).drop("_gone")
             .withColumn(column, F.expr(f"transform({column}, f -> struct({fields}))")))
