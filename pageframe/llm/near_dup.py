@@ -11,7 +11,6 @@ SKETCH = 40       # k: retained hash values of a document
 SHARED = 21       # of the k smallest values of a union, a pair at 0.85 shares fewer once in 10**7 pairs or less
 PERCENT = 85      # links: 100 * intersection >= PERCENT * union
 FEW = 16          # members outside a list's largest component that are compared with all others at once
-STAR_ROUNDS = 3   # leaders tried in lists of whole sets before their rest is compared
 _CHUNK = 4 << 20
 
 
@@ -116,36 +115,62 @@ def needed(size: Column) -> Column:
 
 
 def inverted_lists(classes: DataFrame) -> DataFrame:
-    """(value, rep, n, reach, pos): each class under the rarest of its retained values, where two classes share one at least.
+    """(value, rep, n, reach): each class under the rarest of its retained values, where two classes share one at least.
 
     Linked classes share needed() values, so under any common order they share one of the first
     size - needed + 1.  The order here is by number of classes, then value: a passage that many documents
-    hold comes last, and unique values, first of all, need no list.  reach is the largest partner's size,
-    pos the number of the class's retained values that come before.
+    hold comes last, and unique values, first of all, need no list.  reach is the largest partner's size.
     """
     posts = classes.select("rep", "n", F.size("sketch").alias("size"), F.explode("sketch").alias("value"))
     shared = saved(posts.groupBy("value").agg(F.count("*").alias("often")).where("often > 1"), "shared-values")
     mine = (posts.join(shared, "value").groupBy("rep", "n", "size")
             .agg(F.array_sort(F.collect_list(F.struct("often", "value"))).alias("known")))
     room = F.greatest(F.lit(0), F.col("size") - needed(F.col("size")) + 1 - (F.col("size") - F.size("known")))
-    return (mine.select("rep", "n", "size", F.size("known").alias("common"), F.posexplode(F.slice("known", 1, room)).alias("pos", "post"))
-            .select("post.value", "rep", "n", F.expr(f"n * 100 div {PERCENT}").alias("reach"), F.expr("size - common + pos").alias("pos")))
+    return mine.select("rep", "n", F.explode(F.slice("known", 1, room)).alias("post")).select(
+        "post.value", "rep", "n", F.expr(f"n * 100 div {PERCENT}").alias("reach"))
 
 
-def whole_lists(sets: DataFrame) -> DataFrame:
-    """(value, rep, n, reach, pos) for whole shingle sets (rep, shingles): an exact prefix filter.
+def difference_groups(rows: DataFrame) -> DataFrame:
+    """(pivot, rep, n, component): the members of crowded lists by the pivot of their list.
 
-    A set's values are ordered by frequency, rarest first, then by value.  If value number i (from 0) is the
-    first that two sets share, they share at most n - i, so the partner of a link has at most
-    reach = (n - i) * (100 + PERCENT) / PERCENT - n values; a value is listed while that allows any partner.
+    A list's pivot is its member that is in most of these lists, so that the lists of one family agree on it.
     """
-    posts = sets.select("rep", F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("value"))
-    shared = saved(posts.groupBy("value").agg(F.count("*").alias("often")).where("often > 1"), "shared-shingles")
-    mine = (posts.join(shared, "value").groupBy("rep", "n")
-            .agg(F.array_sort(F.collect_list(F.struct("often", "value"))).alias("known")))
-    reach = F.expr(f"(n - (n - size(known) + pos)) * {100 + PERCENT} div {PERCENT} - n")
-    return (mine.select("rep", "n", "known", F.posexplode("known").alias("pos", "post"))
-            .select("post.value", "rep", "n", reach.alias("reach"), F.expr("n - size(known) + pos").cast("int").alias("pos")).where(F.col("reach") * 100 >= F.col("n") * PERCENT))
+    lists = rows.groupBy("rep").agg(F.count("*").alias("lists"))
+    pivots = rows.join(lists, "rep").groupBy("value").agg(
+        F.max_by("rep", F.struct("lists", F.negative("rep"))).alias("pivot"))
+    return saved(rows.join(pivots, "value").select("pivot", "rep", "n", "component").distinct(), "groups")
+
+
+def difference_pairs(groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of one group that may link and are not joined through its pivot: an exact filter.
+
+    A member stands for its difference D from the pivot's set.  For two members of sizes n and m the
+    symmetric difference is |D| + |E| - 2 |D and E|, and they link when it is at most
+    (100 - PERCENT) / (100 + PERCENT) * (n + m).  Where |D| + |E| alone is that small, both link to the
+    pivot.  All other links share values of D and E: the values are ordered by frequency in the group,
+    rarest first, and if value i of D (from 0) is the first shared one, they share at most |D| - i.
+    What most members lack or have in common comes last and is out of reach, so families of near copies
+    that miss the threshold make few pairs.
+    """
+    both = groups.join(sets.toDF("rep", "mine"), "rep").join(sets.toDF("pivot", "center"), "pivot")
+    differ = F.concat(F.array_except("mine", "center"), F.array_except("center", "mine"))
+    posts = (both.select("pivot", "rep", "n", "component", differ.alias("d"))
+             .select("pivot", "rep", "n", "component", F.size("d").alias("size"), F.explode("d").alias("value")))
+    posts = saved(posts, "differences")
+    shared = saved(posts.groupBy("pivot", "value").agg(F.count("*").alias("often")).where("often > 1"), "shared-differences")
+    known = (posts.join(shared, ["pivot", "value"]).groupBy("pivot", "rep", "n", "component", "size")
+             .agg(F.array_sort(F.collect_list(F.struct("often", "value"))).alias("known")))
+    far = F.col("i") * (100 + PERCENT) * PERCENT <= F.col("n") * (100 - PERCENT) * (100 + PERCENT)
+    listed = (known.select("pivot", "rep", "n", "component", "size", F.size("known").alias("common"), F.posexplode("known").alias("pos", "post"))
+              .select("pivot", "post.value", "rep", "n", "component", "size", F.expr("size - common + pos").alias("i")).where(far))
+    listed = saved(listed, "difference-lists")
+    a, b = (listed.select("pivot", "value", *[F.col(c).alias(f"{c}_{side}") for c in ("rep", "n", "component", "size", "i")]) for side in "ab")
+
+    def reach(x, y):
+        return (F.col(f"size_{y}") + 2 * F.col(f"i_{x}") - F.col(f"size_{x}")) * (100 + PERCENT) <= (F.col("n_a") + F.col("n_b")) * (100 - PERCENT)
+
+    return (a.join(b, ["pivot", "value"]).where((F.col("rep_a") < F.col("rep_b")) & (F.col("component_a") != F.col("component_b"))
+                                                & reach("a", "b") & reach("b", "a")).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct())
 
 
 def fit(a: str, b: str) -> Column:
@@ -205,15 +230,11 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def open_lists(lists: DataFrame, labels: DataFrame | None, led: DataFrame | None) -> DataFrame:
+def open_lists(lists: DataFrame, labels: DataFrame, led: DataFrame) -> DataFrame:
     """The lists whose members are in several components, without members that led them, and per list the
     largest component (`major`) and the number of members outside it (`others`)."""
-    if labels is None:
-        now = lists.withColumn("component", F.col("rep"))
-    else:
-        now = lists.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    if led is not None:
-        now = now.join(led, ["value", "rep"], "left_anti")
+    now = (lists.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+           .join(led, ["value", "rep"], "left_anti"))
     groups = now.groupBy("value", "component").agg(F.count("*").alias("members"))
     mixed = (groups.groupBy("value").agg(
         F.max_by("component", F.struct("members", F.negative("component"))).alias("major"), F.count("*").alias("parts"),
@@ -227,52 +248,34 @@ def pairs_of(left: DataFrame, right: DataFrame) -> DataFrame:
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
-def star(rows: DataFrame, links: Links) -> DataFrame:
-    """Compare every list's members with its leader and return the leaders.
-
-    A leader is, of the members outside the largest component, the one with the fewest rarer values: in a
-    family of near copies, the one closest to what they have in common.
-    """
-    outside = rows.where("component != major").groupBy("value").agg(
-        F.min(F.struct("pos", "rep", "n", "reach", "component")).alias("lead"))
-    leaders = saved(outside.select("value", "lead.rep", "lead.n", "lead.reach", "lead.component"), "leaders")
-    links.add(pairs_of(leaders, rows))
-    return leaders.select("value", "rep")
-
-
 def linked(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """(rep, component) for the representatives with a link.
 
-    1. In every inverted list of retained values one member leads: all others are compared with it.
+    1. In every inverted list of retained values the first member leads: all others are compared with it.
     2. Members that now share a component need no comparison.  Lists with at most FEW members outside
        their largest component have these compared with all others.
-    3. The members of the other lists, many documents alike but not linked, go by their whole sets:
-       an exact prefix filter makes new, far sparser lists; leaders again link what they can, and the
-       members still outside a list's largest component are compared with all that its filter allows.
+    3. The other lists, many documents alike but not linked, go by their members' differences from a
+       pivot (`difference_pairs`): all are compared with the pivot, and an exact filter names the rest.
 
     So every pair that shares a list is compared, ruled out exactly or already in one component, and no
     list is expanded into all its pairs.
     """
     lists = saved(inverted_lists(classes), "lists")
     links = Links(docs, classes)
-    led = star(open_lists(lists, None, None), links)
-    rows = open_lists(lists, components(links.found), led)
-    few = rows.where(F.col("others") <= FEW)
-    links.add(pairs_of(few.where("component != major"), few))
-    many = saved(rows.where(F.col("others") > FEW).select("rep").distinct(), "crowded")
+    lead = saved(lists.groupBy("value").agg(F.min(F.struct("rep", "n", "reach")).alias("lead"), F.count("*").alias("m"))
+                 .where("m > 1").select("value", "lead.*"), "leaders")
+    apart = F.col("rep").alias("component")
+    links.add(pairs_of(lead.select("*", apart), lists.select("*", apart)))
     labels = components(links.found)
-    if not many.limit(1).count():
-        return labels
-    lists, led = saved(whole_lists(links.sets(many)), "whole-lists"), None
-    for _ in range(STAR_ROUNDS):
-        rows = open_lists(lists, labels, led)
-        if not rows.where(F.col("others") > FEW).limit(1).count():
-            break
-        more = star(rows, links)
-        led = more if led is None else led.unionByName(more)
-        labels = components(links.found)
-    rows = open_lists(lists, labels, led)
-    links.add(pairs_of(rows.where("component != major"), rows))
+    rows = open_lists(lists, labels, lead.select("value", "rep"))
+    few, many = rows.where(F.col("others") <= FEW), rows.where(F.col("others") > FEW)
+    pairs = pairs_of(few.where("component != major"), few)
+    if many.limit(1).count():
+        groups = difference_groups(many)
+        pivots = groups.where("pivot <> rep").select(F.least("pivot", "rep").alias("a"), F.greatest("pivot", "rep").alias("b"))
+        sets = links.sets(groups.select("rep").distinct())
+        pairs = pairs.union(pivots).union(difference_pairs(groups, sets)).distinct()
+    links.add(pairs)
     return components(links.found)
 
 

@@ -101,10 +101,9 @@ def near_rows():
     return [(10 * order[i], t) for i, t in enumerate(texts)]
 
 
-@pytest.mark.parametrize("few, rounds", [(near_dup.FEW, near_dup.STAR_ROUNDS), (0, 1)])
-def test_near_duplicates_equal_brute_force(spark, monkeypatch, few, rounds):
+@pytest.mark.parametrize("few", [near_dup.FEW, 0])
+def test_near_duplicates_equal_brute_force(spark, monkeypatch, few):
     monkeypatch.setattr(near_dup, "FEW", few)
-    monkeypatch.setattr(near_dup, "STAR_ROUNDS", rounds)
     rows = near_rows()
     want = brute.component_ids(rows)
     docs = spark.createDataFrame([(d, t, 1, 2) for d, t in rows], "doc_id long, text string, component_id int, value int").repartition(4)
@@ -159,8 +158,7 @@ def test_spans_equal_brute_force(spark):
         if r.doc_id is not None:
             assert (r.text, r.n_sentences, r.n_removed) == want[r.doc_id, text[r.doc_id]]
     by_id = {r.doc_id: r for r in got}
-    assert by_id[40].text == "" or by_id[40].n_removed > 0           # an exact copy
-    assert by_id[45].text.strip() == text[6].strip() or by_id[45].n_removed >= 3
+    assert by_id[44].text == text[44] and by_id[45].n_removed >= 3 and by_id[46].n_removed >= 3
     assert spans.cut_repeats(cases.empty(spark)).count() == 0
 
 
