@@ -91,9 +91,9 @@ ORACLES = {
           count(*) FILTER (regexp_full_match(s,'[ \t\n\r]*')) AS text_empty,
           count(*) FILTER (regexp_full_match(s,'[\t\n\r]*')) AS collapsible,
           count(*) FILTER (contains(s,'the')) AS contains_the FROM s""",
-    "tag_histogram": """WITH t AS (SELECT unnest(regexp_extract_all(html,'<(a|br|li|p|h1|html|head|body)(?: [^>]*)?>',1)) AS tag FROM pages)
-        SELECT upper(tag) AS node_name, count(*) AS n, count(*) FILTER (tag = 'br') AS n_void, count(*) AS n_known
-        FROM t GROUP BY 1""",
+    "tag_histogram": """WITH t AS (SELECT unnest(regexp_extract_all(html,'<([a-z][a-z0-9]*)(?: [^>]*)?>',1)) AS tag FROM pages)
+        SELECT upper(tag) AS node_name, count(*) AS n, count(*) FILTER (tag IN ('br', 'meta')) AS n_void, count(*) AS n_known
+        FROM t WHERE tag <> 'b' GROUP BY 1""",
     "attr_histogram": """WITH a AS (
         SELECT 'html' AS tag, 'lang' AS name, unnest(regexp_extract_all(html,'<html lang="([^"]*)"',1)) AS value FROM pages
         UNION ALL SELECT 'meta', 'charset', unnest(regexp_extract_all(html,'<meta charset="([^"]*)"',1)) FROM pages
@@ -125,8 +125,9 @@ ORACLES = {
     "first_by_data_attribute": "SELECT p_partkey AS page_id, p_partkey::VARCHAR AS k FROM part",
     "find_elements": ITEMS + "SELECT page_id, count(*) AS n FROM items WHERE length(href) > 6 GROUP BY 1",
     "find_first": ITEMS + "SELECT page_id, arg_min(href, i) AS href FROM items WHERE length(href) > 6 GROUP BY 1",
-    "map_elements": f"""SELECT 'div.ad' AS label, sum({_n('<div class="ad">')})::BIGINT AS n FROM pages
-        UNION ALL SELECT 'nav.', sum({_n('<nav>')})::BIGINT FROM pages""",
+    "map_elements": """WITH t AS (SELECT unnest(regexp_extract_all(html,'<([a-z][a-z0-9]*(?: [^>]*)?)>',1)) AS tag FROM pages)
+        SELECT regexp_extract(tag, '^[a-z0-9]+') || '.' || regexp_extract(tag, 'class="([^"]*)"', 1) AS label, count(*) AS n
+        FROM t WHERE tag <> 'b' GROUP BY 1""",
     "nav_links": ITEMS + "SELECT page_id, (14 + 3 * (i - 1))::INT AS pre, href FROM items",
     "link_hosts": ITEMS + """SELECT regexp_extract(url,'^https?://([^/?#]*)',1) AS host, count(*) AS n_links,
         count(DISTINCT page_id) AS n_pages FROM items GROUP BY 1""",
