@@ -66,18 +66,30 @@ def with_siblings(nodes: DataFrame) -> DataFrame:
     return nodes.withColumns({"prev_id": F.lag("node_id").over(w), "next_id": F.lead("node_id").over(w)})
 
 
-def descendants(nodes: DataFrame, sel: DataFrame) -> DataFrame:
+def descendants(nodes: DataFrame, sel) -> DataFrame:
     """Rows strictly below each selected node, in ``pre`` order, root excluded.
 
-    Subtrees are contiguous in the page's node array, so the output is read by slicing."""
-    from .text import page_array
+    ``sel`` is a Column or selector over ``nodes`` (one pass over them) or a DataFrame of nodes.  Subtrees are
+    contiguous in the page's node array; the selected roots stay in the page's row, and only their slices
+    become rows."""
+    from .rewrite import mark
     fields = [c for c in nodes.columns if c != "page_id"]
-    arr = page_array(nodes, F.struct(*fields), "_arr")
-    roots = sel.select("page_id", F.col("tree_id").alias("_tree"), F.col("node_id").alias("of_node_id"),
-                       F.col("pre").alias("_pre"), F.col("last").alias("_last"))
-    part = F.slice("_arr", F.col("_pre") + 2, F.col("_last") - F.col("_pre"))
-    return (roots.join(arr, "page_id").select("page_id", "_tree", "of_node_id", F.inline(part))
-            .filter("tree_id = _tree").drop("_tree").select(*nodes.columns, "of_node_id"))
+    root = F.struct("tree_id", "node_id", "pre", "last")
+    entries = F.collect_list(F.struct("pre", F.struct(*fields).alias("v")))
+    if isinstance(sel, DataFrame):
+        roots = sel.groupBy("page_id").agg(F.collect_list(root).alias("_roots"))
+        pages = nodes.groupBy("page_id").agg(entries.alias("_entries")).join(roots, "page_id")
+    else:
+        pages = mark(nodes, sel).groupBy("page_id").agg(
+            entries.alias("_entries"), F.collect_list(F.when(F.col("_hit"), root)).alias("_roots")).filter("size(_roots) > 0")
+    pages = pages.withColumn("_page", F.transform(F.array_sort("_entries"), lambda e: e["v"]))
+
+    def below(r):
+        part = F.slice("_page", r["pre"] + 2, r["last"] - r["pre"])
+        same = F.filter(part, lambda x: x["tree_id"] == r["tree_id"])
+        return F.transform(same, lambda x: F.struct(*[x[f].alias(f) for f in fields], r["node_id"].alias("of_node_id")))
+
+    return pages.select("page_id", F.inline(F.flatten(F.transform("_roots", below)))).select(*nodes.columns, "of_node_id")
 
 
 def descendant_counts(sel: DataFrame) -> DataFrame:

@@ -6,16 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def page_array(nodes: DataFrame, value: Column, name: str) -> DataFrame:
-    """One row per page holding ``value`` of every node in document order.
-
-    Node numbering is dense per page, so a subtree is ``slice(array, pre + 1, last - pre + 1)``:
-    extracting many subtrees costs their output size, never node-ancestor pairs.
-    """
-    entries = F.sort_array(F.collect_list(F.struct(F.col("pre").alias("p"), value.alias("v"))))
-    return nodes.groupBy("page_id").agg(F.transform(entries, lambda x: x["v"]).alias(name))
-
-
 def read_pages_of(nodes: DataFrame, where, entry: Column, value, name: str) -> DataFrame:
     """Selected rows plus a value computed from the whole page, in one aggregation.
 

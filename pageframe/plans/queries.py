@@ -328,7 +328,7 @@ def ancestor_axis(spark, sf):
 
 def descendant_axis(spark, sf):
     n = nodes(spark, sf)
-    return axes.descendants(n, n.filter("tag = 'nav'")).groupBy("page_id", N.node_name().alias("name")).agg(F.count("*").alias("n"))
+    return axes.descendants(n, F.col("tag") == "nav").groupBy("page_id", N.node_name().alias("name")).agg(F.count("*").alias("n"))
 
 
 def descendant_counts(spark, sf):
@@ -369,7 +369,7 @@ def head_html(spark, sf):
 
 def outline_nav(spark, sf):
     n = nodes(spark, sf)
-    inside = axes.descendants(n, n.filter("tag = 'nav'"))
+    inside = axes.descendants(n, F.col("tag") == "nav")
     return serialize.outline(inside).groupBy("page_id", _long("depth"), "name").agg(F.count("*").alias("n"))
 
 
