@@ -7,11 +7,12 @@ from pyspark.sql import DataFrame, functions as F
 from pageframe.llm.common import saved
 
 WINDOW = 10
-BLOCK_BYTES = 4 << 20     # benchmark text searched in one pass over the documents; more is cut into blocks
-PASS_BYTES = 32 << 20     # benchmark text whose tables the tasks may hold at once
+BLOCK_BYTES = 4 << 20     # benchmark text in one table; more is cut into blocks
+PASS_BYTES = 32 << 20     # benchmark text whose tables the tasks hold at once; more is searched in passes
 SHARD_BYTES = 16 << 20    # training text under one suffix array
 _BITS = 21                # word numbers packed three to 64 bits: a block holds fewer than 2**21 - 1 words
 
+RUNS = ("text", "item", "diagonal", "first", "count", "length")
 SCHEMA = "n_words long, n_hit long, items array<long>, longest long, longest_item long, longest_start long"
 
 
@@ -22,39 +23,40 @@ def _words(raw: bytes) -> list:
 
 
 class Suffixes:
-    """The suffixes of a block of benchmark items, as windows to look up in a shard's suffix array.
+    """The suffixes of a block of benchmark texts, as windows to look up in a shard's suffix array.
 
-    A window is `size` consecutive words of an item, or the whole of a shorter one.  Equal windows are
-    one entry that lists every (item, position).
+    A window is `size` consecutive words of a text, or the whole of a shorter one.  Equal windows are
+    one entry that lists every (text, position).  `pieces` are (text number, its item ids, the piece's
+    place in the text, its words); the ids are ascending.
     """
 
-    def __init__(self, items: list, size: int = WINDOW):
+    def __init__(self, pieces: list, size: int = WINDOW):
         import numpy as np
 
-        self.size, self.number, places = size, {}, {}
+        self.size, self.number, self.ids, places = size, {}, {}, {}
         number = self.number
-        for item, text in items:
-            words = [number.setdefault(w, len(number) + 1) for w in _words((text or "").encode())]
-            for at in range(max(1, len(words) - size + 1) if words else 0):
-                places.setdefault(tuple(words[at:at + size]), []).append((item, at))
-        self.windows = list(places)
-        self.length = np.array([len(w) for w in self.windows], dtype=np.int64)
+        for text, ids, begin, words in pieces:
+            self.ids[text] = ids
+            words = [number.setdefault(w, len(number) + 1) for w in words]
+            for at in range(max(1, len(words) - size + 1)):
+                places.setdefault(tuple(words[at:at + size]), []).append((text, ids[0], begin + at))
+        windows = list(places)
+        self.length = np.array([len(w) for w in windows], dtype=np.int64)
         count = np.array([len(p) for p in places.values()], dtype=np.int64)
         self.first_place = np.concatenate([[0], np.cumsum(count)]).astype(np.int64)
         flat = [x for p in places.values() for x in p]
-        self.items = np.array([x[0] for x in flat], dtype=np.int64)
-        self.at = np.array([x[1] for x in flat], dtype=np.int64)
-        self.low, self.high = self._bounds(0), self._bounds((1 << _BITS) - 1)
-        single = [w[0] for w in self.windows if len(w) == 1]
+        self.text, self.item, self.at = (np.array([x[k] for x in flat], dtype=np.int64) for k in range(3))
+        self.low, self.high = self._bounds(windows, 0), self._bounds(windows, (1 << _BITS) - 1)
+        single = [w[0] for w in windows if len(w) == 1]
         self.single = np.zeros(len(number) + 1, dtype=bool)
         self.single[single] = True
-        self.pairs = np.unique(np.array([w[0] << _BITS | w[1] for w in self.windows if len(w) > 1], dtype=np.int64))
+        self.pairs = np.unique(np.array([w[0] << _BITS | w[1] for w in windows if len(w) > 1], dtype=np.int64))
 
-    def _bounds(self, fill: int):
+    def _bounds(self, windows: list, fill: int):
         import numpy as np
 
-        padded = np.full((len(self.windows), self.size), fill, dtype=np.int64)
-        for row, window in zip(padded, self.windows):
+        padded = np.full((len(windows), self.size), fill, dtype=np.int64)
+        for row, window in zip(padded, windows):
             row[:len(window)] = window
         return sort_keys([padded[:, k] for k in range(self.size)])
 
@@ -73,7 +75,7 @@ def sort_keys(columns: list):
 
 
 def occurrences(parts: list, n: int, suffixes: Suffixes) -> tuple:
-    """Every occurrence of a window in a shard: its place, its length, and the item and diagonal it stands for.
+    """Every occurrence of a window in a shard: its place, its length, and the text, item and diagonal it stands for.
 
     `parts` holds the words of each text.  The suffix array has every training suffix that starts like
     some window (others can't match any), sorted by its next `size` words; each window is one binary
@@ -108,120 +110,195 @@ def occurrences(parts: list, n: int, suffixes: Suffixes) -> tuple:
     place = (np.arange(int(places.sum())) - np.repeat(np.cumsum(places) - places, places)
              + np.repeat(suffixes.first_place[window], places))
     where = np.repeat(where, places)
-    return where, np.repeat(suffixes.length[window], places), suffixes.items[place], where - suffixes.at[place]
+    return (where, np.repeat(suffixes.length[window], places), suffixes.text[place], suffixes.item[place],
+            where - suffixes.at[place])
 
 
-def search_shard(texts: list, tables: list) -> dict:
-    """Per text: its words, the words inside occurrences of windows, the items hit and the longest verbatim match."""
+def search_shard(texts: list, tables: list, earlier: tuple = None, last: bool = True) -> dict:
+    """Per text: its words, the words inside occurrences of windows, the items hit and the longest verbatim match.
+
+    Before the `last` pass: per text the runs of windows found so far and the items hit, to be handed to
+    the next pass as `earlier`.
+    """
+    import collections
+
     import numpy as np
 
     parts = [_words(raw) if raw else [] for raw in texts]
     count = [len(p) for p in parts]
     start = np.concatenate([[0], np.cumsum(np.array(count, dtype=np.int64) + 1)])
     n = int(start[-1])
-    where, length, item, diagonal = (np.concatenate(x) for x in zip(*[occurrences(parts, n, t) for t in tables]))
-    cover = np.zeros(n + 1, dtype=np.int64)
-    np.add.at(cover, where, 1)
-    np.add.at(cover, where + length, -1)
-    covered = np.concatenate([[0], np.cumsum(np.cumsum(cover[:n]) > 0)])
-    n_hit = covered[start[1:]] - covered[start[:-1]]
-
-    # Runs on one diagonal of a document and an item are one verbatim match.
+    where, length, text, item, diagonal = (np.concatenate(x) for x in zip(*[occurrences(parts, n, t) for t in tables]))
     doc = np.searchsorted(start, where, side="right") - 1
-    order = np.lexsort((where, diagonal, item, doc))
-    where, length, item, diagonal, doc = (x[order] for x in (where, length, item, diagonal, doc))
+    ids, items = collections.ChainMap(*[t.ids for t in tables]), [set() for _ in texts]
+    for d, t in np.unique(np.stack([doc, text]), axis=1).T.tolist():
+        items[d].update(ids[t])
+    found = [doc, text, item, diagonal - start[doc], where - start[doc], np.ones(len(doc), dtype=np.int64), length]
+    if earlier:
+        found = [np.concatenate(x) for x in zip(earlier[0], found)]
+        for known, more in zip(items, earlier[1]):
+            known.update(more)
+
+    # Runs on one diagonal of a document and a text are one verbatim match.
+    order = np.lexsort((found[4], found[3], found[1], found[0]))
+    doc, text, item, diagonal, first, times, length = (x[order] for x in found)
     new = np.ones(len(doc), dtype=bool)
-    new[1:] = ((doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (diagonal[1:] != diagonal[:-1])
-               | (where[1:] != where[:-1] + 1))
+    new[1:] = ((doc[1:] != doc[:-1]) | (text[1:] != text[:-1]) | (diagonal[1:] != diagonal[:-1])
+               | (first[1:] != first[:-1] + times[:-1]))
     begin = np.flatnonzero(new)
-    last = np.append(begin[1:], len(doc)) - 1
-    run = where[last[:len(begin)]] + length[last[:len(begin)]] - where[begin]
-    items = [[] for _ in texts]
+    times = np.diff(np.concatenate([[0], np.cumsum(times)])[np.append(begin, len(doc))])
+    doc, text, item, diagonal, first, length = (x[begin] for x in (doc, text, item, diagonal, first, length))
+    items = [sorted(i) for i in items]
+    if not last:
+        return {"runs": (doc, text, item, diagonal, first, times, length), "items": items}
+
+    words = times - 1 + length
+    cover = np.zeros(n + 1, dtype=np.int64)
+    np.add.at(cover, start[doc] + first, 1)
+    np.add.at(cover, start[doc] + first + words, -1)
+    covered = np.concatenate([[0], np.cumsum(np.cumsum(cover[:n]) > 0)])
+    n_hit = covered[start[1:]] - covered[start[:-1]]
     best = [(0, None, None)] * len(texts)
-    for d, i, words, first in zip(doc[begin].tolist(), item[begin].tolist(), run.tolist(), where[begin].tolist()):
-        if not items[d] or items[d][-1] != i:
-            items[d].append(i)
-        if words > best[d][0]:
-            best[d] = (words, i, first - int(start[d]))
+    for k in np.lexsort((first, diagonal, item, -words, doc))[::-1].tolist():   # a document's best comes last
+        best[doc[k]] = (int(words[k]), int(item[k]), int(first[k]))
     return {"n_words": count, "n_hit": n_hit.tolist(), "items": items, "longest": [b[0] for b in best],
             "longest_item": [b[1] for b in best], "longest_start": [b[2] for b in best]}
 
 
-def size_of(benchmark: DataFrame) -> int:
-    return benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-
+def pieces_of(benchmark: DataFrame, window: int, block_bytes: int):
+    """(text number, item ids, place, words, bytes) of every text, those over `block_bytes` in several pieces.
 
-def blocks_of(benchmark: DataFrame, size: int, block_bytes: int = BLOCK_BYTES):
-    """The benchmark's rows (item_id, text) in blocks of about `block_bytes` of text, fetched one by one."""
+    Equal texts are one with all their ids.  Pieces overlap by a window less one word, so that each
+    window of the text is in exactly one.
+    """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id IS NOT NULL")
-    n = -(-size // block_bytes) or 1
-    for k in range(n):
-        yield [tuple(r) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect()]
+    texts = items.where("text <> ''").groupBy("text").agg(F.sort_array(F.collect_set("item_id")).alias("ids"))
+    for number, row in enumerate(texts.toLocalIterator()):
+        words = _words(row.text.encode())
+        size = sum(map(len, words)) + len(words)
+        step = max(1, len(words) * block_bytes // size) if size > block_bytes else len(words)
+        for at in range(0, max(1, len(words) - window + 1) if words else 0, step or 1):
+            piece = words[at:at + step + window - 1]
+            yield number, row.ids, at, piece, sum(map(len, piece)) + len(piece)
+
+
+def passes_of(benchmark: DataFrame, window: int, block_bytes: int, pass_bytes: int) -> list:
+    """Broadcast tables of the benchmark, block by block, in groups that a pass over the documents may hold.
+
+    Blocks and passes are filled by the bytes read, up to `block_bytes` and `pass_bytes`; the driver holds
+    one block at a time.
+    """
+    context, block_bytes = benchmark.sparkSession.sparkContext, min(block_bytes, pass_bytes)
+    passes, block, size, held = [[]], [], 0, 0
+
+    def close():
+        nonlocal block, size, held
+        if passes[-1] and held + size > pass_bytes:
+            passes.append([])
+            held = 0
+        passes[-1].append(context.broadcast(Suffixes(block, window)))
+        block, size, held = [], 0, held + size
+
+    for *piece, more in pieces_of(benchmark, window, block_bytes):
+        if block and size + more > block_bytes:
+            close()
+        block.append(piece)
+        size += more
+    if block or not passes[-1]:
+        close()
+    return passes
 
 
 def search(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, block_bytes: int = BLOCK_BYTES,
-           shard_bytes: int = SHARD_BYTES, keep: tuple = ("doc_id",)) -> DataFrame:
+           pass_bytes: int = PASS_BYTES, shard_bytes: int = SHARD_BYTES, keep: tuple = ("doc_id",)) -> DataFrame:
     """The columns `keep` of every document and what its text shares with the benchmark.
 
     n_words, n_hit (words inside any occurrence of a window), items (ascending ids of the items that
-    occur), longest (words of the longest verbatim match), longest_item, longest_start (its place, in
-    words).  A window is `window` consecutive words of an item or the whole of a shorter one.
+    occur), longest (words of the longest verbatim match with one text), longest_item, longest_start (its
+    place, in words).  A window is `window` consecutive words of an item or the whole of a shorter one.
 
     Training texts are cut into shards of about `shard_bytes` where they are read; each gets a suffix
-    array in which every benchmark suffix is searched.  Nothing is shuffled and no window of the corpus
-    leaves its task.  The benchmark's size is measured first: up to `block_bytes` it goes to the tasks as
-    one table, a larger one as several, searched one after another in the same shard; beyond PASS_BYTES
-    it is refused here, and `keep_uncontaminated` takes it in passes.  Texts are never
-    split: a longer one is a shard by itself.  Null and empty texts have no words and no hits, an empty
-    benchmark hits nothing, null item ids and texts are ignored, repeated rows of either table count as
-    they stand, and columns of `keep` that are named like a new one are replaced by it.
+    array in which every benchmark suffix is searched.  Nothing is shuffled but the benchmark and no
+    window of the corpus leaves its task.  The benchmark may have any size: equal texts are one, and it
+    goes to the tasks as tables of up to `block_bytes` of text, searched one after another in the same
+    shard.  Beyond `pass_bytes` the documents are read in passes, written in between with the runs found so
+    far, so that every result is over all passes.  Training texts are never split: a longer one is a
+    shard by itself.  Null and empty texts have no words and no hits, an empty benchmark hits nothing,
+    null item ids and texts are ignored, repeated documents count as they stand, and columns of `keep`
+    that are named like a new one are replaced by it.
     """
-    context, size = docs.sparkSession.sparkContext, size_of(benchmark)
-    if size > PASS_BYTES:
-        raise ValueError(f"benchmark texts of {size} bytes: search them in parts of at most {PASS_BYTES}")
-    tables = [context.broadcast(Suffixes(block, window)) for block in blocks_of(benchmark, size, block_bytes)]
+    return searched(docs, passes_of(benchmark, window, block_bytes, pass_bytes), shard_bytes, keep)
+
+
+def searched(docs: DataFrame, passes: list, shard_bytes: int, keep: tuple) -> DataFrame:
+    """`search` with the tables of the benchmark."""
     new = [f.split()[0] for f in SCHEMA.split(", ")]
     kept = [k for k in keep if k.lower() not in new]
     base = docs.select(*[F.col(f"`{k}`") for k in dict.fromkeys([*kept, "text"])])
     carried = [f for f in base.schema.fields if f.name in kept]
-    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in carried) + SCHEMA
-
-    def found(shard):
-        import pyarrow as pa
-
-        joined = pa.Table.from_batches(shard).combine_chunks()
-        texts = joined.column("text").cast(pa.large_binary()).to_pylist()
-        columns = {f.name: joined.column(f.name) for f in carried}
-        for name, values in search_shard(texts, [t.value for t in tables]).items():
-            columns[name] = pa.array(values, pa.list_(pa.int64()) if name == "items" else pa.int64())
-        return pa.table(columns).to_batches()
-
-    def run(batches):
-        shard, size = [], 0
-        for batch in batches:
-            shard.append(batch)
-            size += batch.nbytes
-            if size >= shard_bytes:
+    between = base.schema.fields
+
+    def fields(of):
+        return "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in of)
+
+    def over(tables, first, last):
+        def found(shard):
+            import numpy as np
+            import pyarrow as pa
+
+            joined = pa.Table.from_batches(shard).combine_chunks()
+            texts, earlier = joined.column("text").cast(pa.large_binary()).to_pylist(), None
+            if not first:
+                runs = pa.concat_arrays(joined.column("_pass_runs").chunks)
+                flat = runs.flatten()
+                of = np.repeat(np.arange(len(runs)), runs.value_lengths().to_numpy(zero_copy_only=False))
+                earlier = ([of, *(flat.field(k).to_numpy(zero_copy_only=False) for k in range(len(RUNS)))],
+                           joined.column("_pass_items").to_pylist())
+            columns = {f.name: joined.column(f.name) for f in (carried if last else between)}
+            result = search_shard(texts, [t.value for t in tables], earlier, last)
+            if last:
+                for name, values in result.items():
+                    columns[name] = pa.array(values, pa.list_(pa.int64()) if name == "items" else pa.int64())
+            else:
+                of, *values = result["runs"]
+                ends = np.searchsorted(of, np.arange(len(texts) + 1)).astype(np.int32)
+                columns["_pass_runs"] = pa.ListArray.from_arrays(
+                    pa.array(ends), pa.StructArray.from_arrays([pa.array(v, pa.int64()) for v in values], list(RUNS)))
+                columns["_pass_items"] = pa.array(result["items"], pa.list_(pa.int64()))
+            return pa.table(columns).to_batches()
+
+        def run(batches):
+            shard, size = [], 0
+            for batch in batches:
+                shard.append(batch)
+                size += batch.nbytes
+                if size >= shard_bytes:
+                    yield from found(shard)
+                    shard, size = [], 0
+            if shard:
                 yield from found(shard)
-                shard, size = [], 0
-        if shard:
-            yield from found(shard)
 
-    return base.mapInArrow(run, schema)
+        return run
+
+    state = "_pass_runs array<struct<" + ", ".join(f"`{r}`: long" for r in RUNS) + ">>, _pass_items array<long>"
+    for k, tables in enumerate(passes[:-1]):
+        base = saved(base.mapInArrow(over(tables, k == 0, False), fields(between) + state), "benchmark-pass")
+        for t in tables:
+            t.unpersist()
+    return base.mapInArrow(over(passes[-1], len(passes) == 1, True), fields(carried) + SCHEMA)
 
 
-def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, *, pass_bytes: int = PASS_BYTES, **options) -> DataFrame:
+def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, block_bytes: int = BLOCK_BYTES,
+                        pass_bytes: int = PASS_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """The documents that share no window with the benchmark, with all their columns.
 
-    A benchmark of more than `pass_bytes` is searched in passes, each over the documents the last one left,
-    written in between.
+    The benchmark is cut as in `search`; each pass over it reads the documents the last one left, written
+    in between.
     """
-    n = -(-size_of(benchmark) // pass_bytes) or 1
-    left = docs
-    for k in range(n):
-        part = benchmark if n == 1 else benchmark.where(F.pmod(F.xxhash64("text"), F.lit(n)) == k)
+    left, passes = docs, passes_of(benchmark, window, block_bytes, pass_bytes)
+    for k, tables in enumerate(passes):
         rows = left.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "text")
-        left = search(rows, part, keep=("_row",), **options).where("n_hit = 0").select("_row.*")
-        if k < n - 1:
+        left = searched(rows, [tables], shard_bytes, ("_row",)).where("n_hit = 0").select("_row.*")
+        if k < len(passes) - 1:
             left = saved(left, "uncontaminated")
     return left

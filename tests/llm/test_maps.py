@@ -122,6 +122,24 @@ def test_longest_match_and_its_place(spark):
     assert (found[2].longest, found[2].longest_start) == (10, 12)
 
 
+def test_passes_over_a_large_benchmark_give_the_results_of_one(spark):
+    rng = random.Random(3)
+    long = cases.prose(rng, 300)
+    items = [(1, long), *[(100 + i, cases.prose(rng, 40)) for i in range(20)], *[(i, long[:400]) for i in range(200, 240)]]
+    texts = [r[1] for r in cases.rows()] + ["own " + long + " words", items[3][1] + " and " + items[9][1], long[:400] + "\n" + long[200:900]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    benchmark = spark.createDataFrame(items, "item_id long, text string").repartition(3)
+    want = brute.contamination(list(enumerate(texts)), items)
+    one = sorted(decontamination.search(docs, benchmark).collect())
+    assert {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in one} == want
+    assert max(r.longest for r in one) == len(long.split())
+    for options in ({"pass_bytes": 700}, {"pass_bytes": 3000, "block_bytes": 200, "shard_bytes": 1000}):
+        assert len(decontamination.passes_of(benchmark, 10, decontamination.BLOCK_BYTES, options["pass_bytes"])) > 1
+        assert sorted(decontamination.search(docs, benchmark, **options).collect()) == one
+        kept = decontamination.keep_uncontaminated(docs, benchmark, **options)
+        assert sorted(r.doc_id for r in kept.collect()) == sorted(d for d, w in want.items() if not w[1])
+
+
 def test_contamination_query(spark):
     docs = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
