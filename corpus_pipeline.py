@@ -34,7 +34,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Training sequences, token ids included."""
     tune(spark)
-    return packing.pack(docs)
+    return packing.pack(docs, added=packing.ADDED)
 
 
 STAGES = [

@@ -9,6 +9,7 @@ from pageframe.llm.common import arrow_map
 END_ID = 1
 MAX_LENGTH = 2048
 VOCABULARY = "byte_bpe_50k.tiktoken"   # the ranks of byte_bpe_50k.json: equal ids, a third of the time
+ADDED = "byte_bpe_50k.json"            # its added tokens, which the rank file does not have
 
 
 def tokenizer(vocabulary: str):
@@ -28,6 +29,38 @@ def tokenizer(vocabulary: str):
     return registry.ENCODINGS[name]
 
 
+def added_tokens(vocabulary: str) -> dict:
+    """{string: id} of the tokens that a tokenizer file adds to its vocabulary."""
+    import json
+
+    import public_tokenizers
+
+    with open(public_tokenizers.path(vocabulary), encoding="utf-8") as file:
+        found = json.load(file)["added_tokens"]
+    odd = [t["content"] for t in found if t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]]
+    if odd:
+        raise ValueError(f"added tokens that are more than their string: {odd}")
+    return {t["content"]: t["id"] for t in found}
+
+
+def encoder(vocabulary: str, added: dict):
+    """Text to ids: the strings of `added` are one id each, what lies between them is encoded by itself."""
+    import re
+
+    encode = tokenizer(vocabulary).encode_ordinary
+    if not added:
+        return encode
+    split = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")").split
+
+    def ids_of(text):
+        parts = split(text)
+        if len(parts) == 1:
+            return encode(text)
+        return [i for k, part in enumerate(parts) for i in ([added[part]] if k % 2 else encode(part))]
+
+    return ids_of
+
+
 def lengths(n: int, limit: int = MAX_LENGTH) -> list[int]:
     """n as full pieces of `limit` (a power of two), then the binary digits of the rest, largest first."""
     rest = n % limit
@@ -35,7 +68,7 @@ def lengths(n: int, limit: int = MAX_LENGTH) -> list[int]:
 
 
 def pack(docs: DataFrame, *, with_ids: bool = True, limit: int = MAX_LENGTH, end_id: int = END_ID,
-         vocabulary: str = VOCABULARY) -> DataFrame:
+         vocabulary: str = VOCABULARY, added: str | None = None) -> DataFrame:
     """One row per piece of every document: a training sequence whose length is a power of two.
 
     A document's ids are those of its whole text and `end_id`.  They are cut at the binary digits of
@@ -45,9 +78,11 @@ def pack(docs: DataFrame, *, with_ids: bool = True, limit: int = MAX_LENGTH, end
 
     Columns: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (0: a piece starts its
     sequence) and, `with_ids`, the ids.  A null or empty text is `end_id` alone; repeated rows are
-    packed once per row; other columns of `docs` are not read; strings of special tokens are ordinary
-    text.
+    packed once per row; other columns of `docs` are not read.  With `added` (a tokenizer file, such
+    as ADDED) the strings of its added tokens are those tokens, as its own encoder has it; without, they
+    are ordinary text.
     """
+    tokens = added_tokens(added) if added else {}
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids
 
     def cut(batch):
@@ -56,7 +91,7 @@ def pack(docs: DataFrame, *, with_ids: bool = True, limit: int = MAX_LENGTH, end
         import numpy as np
         import pyarrow as pa
 
-        encode = tokenizer(vocabulary).encode_ordinary
+        encode = encoder(vocabulary, tokens)
         rows, pieces, crcs, ids_of = [], [], [], []
         for text in batch.column("text").to_pylist():
             ids = encode(text) if text else []

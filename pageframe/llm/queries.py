@@ -26,7 +26,7 @@ def op2_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_pack_power_of_two(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(tune(spark), sf_dir, "documents"), with_ids=False)
+    return packing.pack(table(tune(spark), sf_dir, "documents"), with_ids=False, added=packing.ADDED)
 
 
 def op4_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -220,6 +220,26 @@ def test_packing_covers_every_id_once(spark, ids):
     assert "ids" not in thin.columns and thin.count() == len(pieces)
 
 
+MARKED = ["Hello <|endoftext|> world", "<|endoftext|>", "a<|endoftext|><|endoftext|>b \n", "  <|endoftext|>  x's", "<|endoftext|", "<|<|endoftext|>|>", "<|ENDOFTEXT|>", "", None]
+
+
+def test_added_tokens_are_those_of_the_json_encoder(spark, tmp_path):
+    import corpus_pipeline
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    encode = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode
+    want = {i: encode(t or "", add_special_tokens=False).ids + [1] for i, t in enumerate(MARKED + [r[1] for r in cases.rows()])}
+    docs = spark.createDataFrame(list(enumerate(MARKED + [r[1] for r in cases.rows()])), "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    by_doc = {}
+    for p in corpus_pipeline.packed(spark, docs, SF).collect():
+        by_doc.setdefault(p.doc_id, []).append(p)
+    assert {d: [i for p in sorted(ps, key=lambda p: p.start) for i in p["ids"]] for d, ps in by_doc.items()} == want
+    assert want[0] == [15496, 220, 50256, 995, 1]
+    crcs = lambda rows: sorted((p.doc_id, p.start, p.length, p.ids_crc32) for p in rows)
+    assert crcs(queries.op3_pack_power_of_two(spark, str(tmp_path)).collect()) == crcs(p for ps in by_doc.values() for p in ps)
+
+
 @given(st.integers(1, 10**6))
 def test_binary_lengths(n):
     sizes = packing.lengths(n)
