@@ -44,7 +44,7 @@ def op6_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(tune(spark), sf_dir, "documents").select("doc_id", "text")
-    return spans.cut_repeats(docs)
+    return spans.cut_repeats(docs, alone=spans.ALONE)
 
 
 def op7_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:

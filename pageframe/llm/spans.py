@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 from pageframe.llm.common import arrow_map, saved, without
 
 SENTENCES = 2    # a span is the shortest run of consecutive sentences that has so many of them ...
-WORDS = 20       # ... and so many words
+WORDS = 0        # ... and so many words: no minimum
+ALONE = 50       # a sentence of more words can be a span by itself, and so can the only one of a text
 # Zero-width cuts: after a line break, or after a sentence end and the white space behind it.
 CUT = r"""(?<=\s)(?=\S)(?:(?<=\n)|(?<=[.!?…。！？]\s)|(?<=[.!?…。！？]["'”»)]\s)|(?<=[.!?…。！？]\s\s))"""
 
@@ -19,7 +20,7 @@ def sentences_of(text: str, cut) -> list[str]:
     return cut.split(text)
 
 
-def sentence_spans(docs: DataFrame, sentences: int = SENTENCES, words: int = WORDS) -> DataFrame:
+def sentence_spans(docs: DataFrame, sentences: int = SENTENCES, words: int = WORDS, alone: int | None = None) -> DataFrame:
     """One row per span: a 128-bit hash of its words in lower case, its document and its sentence numbers."""
 
     def run(batch):
@@ -37,6 +38,14 @@ def sentence_spans(docs: DataFrame, sentences: int = SENTENCES, words: int = WOR
             parts = [s.lower().split() for s in sentences_of(text, cut)]
             length = [len(p) for p in parts]
             plain = [" ".join(p).encode() + b"\n" for p in parts]
+            if alone is not None:
+                only = sum(map(bool, length)) == 1
+                for at in range(len(parts)):
+                    if length[at] > (0 if only else alone):
+                        digests.append(hashlib.blake2b(plain[at], digest_size=16).digest())
+                        rows.append(row)
+                        starts.append(at)
+                        ends.append(at + 1)
             end = total = 0
             for at in range(len(parts)):
                 while end < len(parts) and (end - at < sentences or total < words):
@@ -64,14 +73,14 @@ def _names():
     return (F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("doc"), F.xxhash64("text").alias("text_hash"))
 
 
-def repeated_spans(docs: DataFrame, sentences: int = SENTENCES, words: int = WORDS) -> DataFrame:
+def repeated_spans(docs: DataFrame, sentences: int = SENTENCES, words: int = WORDS, alone: int | None = None) -> DataFrame:
     """(doc, text_hash, spans): per document the spans that occur before it or earlier in it.
 
     First come the hashes that occur twice, counted with map-side sums; only their spans are then
     brought together, the first of each hash found by a minimum, and the others kept.  A passage that a
     third of all documents hold costs one row per occurrence; the joins may split it.
     """
-    spans = sentence_spans(docs, sentences, words)
+    spans = sentence_spans(docs, sentences, words, alone)
     often = saved(spans.groupBy("low").agg(F.count("*").alias("n")).where("n > 1").select("low"), "span-hashes")
     shared = saved(spans.join(often, "low"), "shared-spans")
     place = F.struct("doc", "text_hash", "start")
@@ -80,18 +89,20 @@ def repeated_spans(docs: DataFrame, sentences: int = SENTENCES, words: int = WOR
     return later.groupBy("doc", "text_hash").agg(F.array_sort(F.collect_set(F.struct("start", "until"))).alias("spans"))
 
 
-def cut_repeats(docs: DataFrame, *, sentences: int = SENTENCES, words: int = WORDS) -> DataFrame:
+def cut_repeats(docs: DataFrame, *, sentences: int = SENTENCES, words: int = WORDS, alone: int | None = None) -> DataFrame:
     """All columns of `docs`, the text without sentences of repeated spans, and n_sentences, n_removed.
 
     A span is the shortest run of consecutive sentences, from each sentence on, with at least `sentences`
-    sentences and `words` words; case and white space don't count.  Of equal spans the first, by doc_id
+    sentences and `words` words (by default every run of two); case and white space don't count.  With
+    `alone`, a sentence of more than `alone` words is a span of its own too, and so is the only sentence of
+    a text, however short.  Of equal spans the first, by doc_id
     (null last), text hash and place, stays; every sentence inside any other goes.  Other texts are
     unchanged to the byte.  A null text stays null with no sentences; an empty one has none.  Repeated
     rows (same id and text) are one document to this operator and get the same result.  Columns named
     n_sentences or n_removed are replaced.
     """
     base = without(docs, "n_sentences", "n_removed", "_doc", "_hash")
-    found = repeated_spans(docs, sentences, words).toDF("_doc", "_hash", "_spans")
+    found = repeated_spans(docs, sentences, words, alone).toDF("_doc", "_hash", "_spans")
     doc, text_hash = _names()
     joined = base.withColumns({"_doc": doc, "_hash": text_hash}).join(found, ["_doc", "_hash"], "left")
 

@@ -168,6 +168,18 @@ def test_spans_query(spark):
     assert {(r.doc_id, r.text, r.n_removed) for r in queries.op8_sentence_spans(spark, SF).collect()} == {(k[0], v[0], v[2]) for k, v in want.items()}
 
 
+def test_spans_reach_the_end_of_a_passage_and_single_sentences(spark, tmp_path):
+    def sentence(name, n):
+        return " ".join(f"{name}{i}" for i in range(n)) + ". "
+    passage = sentence("a", 25) + sentence("b", 25) + sentence("c", 5) + sentence("d", 5)
+    long = sentence("l", 51)
+    texts = [passage + sentence("e", 30), sentence("f", 4) + passage + sentence("g", 30), sentence("c", 5) + sentence("d", 5), sentence("h", 3), sentence("H", 3).lower(),
+             long, sentence("i", 9) + long + sentence("j", 9), sentence("k", 50) + sentence("m", 3), sentence("n", 3) + sentence("k", 50), " \n ", " \n "]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.text for r in queries.op8_sentence_spans(spark, str(tmp_path)).collect()}
+    assert got == dict(enumerate([texts[0], sentence("f", 4) + sentence("g", 30), "", texts[3], "", long, sentence("i", 9) + sentence("j", 9), *texts[7:]]))
+
+
 def test_licences(spark):
     mit = next(t for i, _, t in licenses.KNOWN if i == "MIT" and len(t) > 100)
     texts = ["Copyright (c) 2020 Someone\n\n" + mit.upper().replace("SUBLICENSE", "sub-license"), "© A. Uthor\n" + mit.replace("\n", " ") + "\n", mit + " more",
