@@ -22,7 +22,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share no ten words in a row with a benchmark item."""
-    return decontamination.keep_uncontaminated(docs, table(tune(spark), sf_dir, "benchmark"))
+    return decontamination.keep_uncontaminated(docs, table(tune(spark), sf_dir, "benchmark"), unnamed=True)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

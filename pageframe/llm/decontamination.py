@@ -10,6 +10,7 @@ WINDOW = 10
 BLOCK_BYTES = 4 << 20     # benchmark text in one table; more is cut into blocks
 PASS_BYTES = 32 << 20     # benchmark text whose tables the tasks hold at once; more is searched in passes
 SHARD_BYTES = 16 << 20    # training text under one suffix array
+UNNAMED = (1 << 63) - 1   # stands for a null item id: it comes last and is in no list of items
 _BITS = 21                # word numbers packed three to 64 bits: a block holds fewer than 2**21 - 1 words
 
 RUNS = ("text", "item", "diagonal", "first", "count", "length")
@@ -132,7 +133,7 @@ def search_shard(texts: list, tables: list, earlier: tuple = None, last: bool =
     doc = np.searchsorted(start, where, side="right") - 1
     ids, items = collections.ChainMap(*[t.ids for t in tables]), [set() for _ in texts]
     for d, t in np.unique(np.stack([doc, text]), axis=1).T.tolist():
-        items[d].update(ids[t])
+        items[d].update(i for i in ids[t] if i != UNNAMED)
     found = [doc, text, item, diagonal - start[doc], where - start[doc], np.ones(len(doc), dtype=np.int64), length]
     if earlier:
         found = [np.concatenate(x) for x in zip(earlier[0], found)]
@@ -160,18 +161,19 @@ def search_shard(texts: list, tables: list, earlier: tuple = None, last: bool =
     n_hit = covered[start[1:]] - covered[start[:-1]]
     best = [(0, None, None)] * len(texts)
     for k in np.lexsort((first, diagonal, item, -words, doc))[::-1].tolist():   # a document's best comes last
-        best[doc[k]] = (int(words[k]), int(item[k]), int(first[k]))
+        best[doc[k]] = (int(words[k]), None if item[k] == UNNAMED else int(item[k]), int(first[k]))
     return {"n_words": count, "n_hit": n_hit.tolist(), "items": items, "longest": [b[0] for b in best],
             "longest_item": [b[1] for b in best], "longest_start": [b[2] for b in best]}
 
 
-def pieces_of(benchmark: DataFrame, window: int, block_bytes: int):
+def pieces_of(benchmark: DataFrame, window: int, block_bytes: int, unnamed: bool = False):
     """(text number, item ids, place, words, bytes) of every text, those over `block_bytes` in several pieces.
 
     Equal texts are one with all their ids.  Pieces overlap by a window less one word, so that each
     window of the text is in exactly one.
     """
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id IS NOT NULL")
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
+    items = items.fillna(UNNAMED, ["item_id"]) if unnamed else items.where("item_id IS NOT NULL")
     texts = items.where("text <> ''").groupBy("text").agg(F.sort_array(F.collect_set("item_id")).alias("ids"))
     for number, row in enumerate(texts.toLocalIterator()):
         words = _words(row.text.encode())
@@ -182,7 +184,7 @@ def pieces_of(benchmark: DataFrame, window: int, block_bytes: int):
             yield number, row.ids, at, piece, sum(map(len, piece)) + len(piece)
 
 
-def passes_of(benchmark: DataFrame, window: int, block_bytes: int, pass_bytes: int) -> list:
+def passes_of(benchmark: DataFrame, window: int, block_bytes: int, pass_bytes: int, unnamed: bool = False) -> list:
     """Broadcast tables of the benchmark, block by block, in groups that a pass over the documents may hold.
 
     Blocks and passes are filled by the bytes read, up to `block_bytes` and `pass_bytes`; the driver holds
@@ -199,7 +201,7 @@ def passes_of(benchmark: DataFrame, window: int, block_bytes: int, pass_bytes: i
         passes[-1].append(context.broadcast(Suffixes(block, window)))
         block, size, held = [], 0, held + size
 
-    for *piece, more in pieces_of(benchmark, window, block_bytes):
+    for *piece, more in pieces_of(benchmark, window, block_bytes, unnamed):
         if block and size + more > block_bytes:
             close()
         block.append(piece)
@@ -210,7 +212,8 @@ def passes_of(benchmark: DataFrame, window: int, block_bytes: int, pass_bytes: i
 
 
 def search(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, block_bytes: int = BLOCK_BYTES,
-           pass_bytes: int = PASS_BYTES, shard_bytes: int = SHARD_BYTES, keep: tuple = ("doc_id",)) -> DataFrame:
+           pass_bytes: int = PASS_BYTES, shard_bytes: int = SHARD_BYTES, keep: tuple = ("doc_id",),
+           unnamed: bool = False) -> DataFrame:
     """The columns `keep` of every document and what its text shares with the benchmark.
 
     n_words, n_hit (words inside any occurrence of a window), items (ascending ids of the items that
@@ -224,10 +227,11 @@ def search(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, block
     shard.  Beyond `pass_bytes` the documents are read in passes, written in between with the runs found so
     far, so that every result is over all passes.  Training texts are never split: a longer one is a
     shard by itself.  Null and empty texts have no words and no hits, an empty benchmark hits nothing,
-    null item ids and texts are ignored, repeated documents count as they stand, and columns of `keep`
+    null texts are ignored, rows with a null item id count in all but `items` where `unnamed` is set and are
+    ignored otherwise, repeated documents count as they stand, and columns of `keep`
     that are named like a new one are replaced by it.
     """
-    return searched(docs, passes_of(benchmark, window, block_bytes, pass_bytes), shard_bytes, keep)
+    return searched(docs, passes_of(benchmark, window, block_bytes, pass_bytes, unnamed), shard_bytes, keep)
 
 
 def searched(docs: DataFrame, passes: list, shard_bytes: int, keep: tuple) -> DataFrame:
@@ -289,13 +293,13 @@ def searched(docs: DataFrame, passes: list, shard_bytes: int, keep: tuple) -> Da
 
 
 def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, block_bytes: int = BLOCK_BYTES,
-                        pass_bytes: int = PASS_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+                        pass_bytes: int = PASS_BYTES, shard_bytes: int = SHARD_BYTES, unnamed: bool = False) -> DataFrame:
     """The documents that share no window with the benchmark, with all their columns.
 
     The benchmark is cut as in `search`; each pass over it reads the documents the last one left, written
     in between.
     """
-    left, passes = docs, passes_of(benchmark, window, block_bytes, pass_bytes)
+    left, passes = docs, passes_of(benchmark, window, block_bytes, pass_bytes, unnamed)
     for k, tables in enumerate(passes):
         rows = left.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "text")
         left = searched(rows, [tables], shard_bytes, ("_row",)).where("n_hit = 0").select("_row.*")

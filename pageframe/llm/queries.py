@@ -49,7 +49,7 @@ def op8_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = table(tune(spark), sf_dir, "documents"), table(spark, sf_dir, "benchmark")
-    found = decontamination.search(docs, benchmark)
+    found = decontamination.search(docs, benchmark, unnamed=True)
     names = F.array_sort(F.transform("items", lambda i: i.cast("string")))
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),

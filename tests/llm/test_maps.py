@@ -140,6 +140,17 @@ def test_passes_over_a_large_benchmark_give_the_results_of_one(spark):
         assert sorted(r.doc_id for r in kept.collect()) == sorted(d for d, w in want.items() if not w[1])
 
 
+def test_benchmark_rows_without_an_id_are_hit(spark, tmp_path):
+    import corpus_pipeline
+    item, other = " ".join(f"a{i}" for i in range(12)), " ".join(f"b{i}" for i in range(11))
+    docs = spark.createDataFrame([(1, "x " + item), (2, other), (3, "clean")], "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(None, item), (None, other), (5, other)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = {r.doc_id: tuple(r[1:]) for r in queries.op7_suffix_arrays(spark, str(tmp_path)).collect()}
+    assert got == {1: (13, 12, 0, brute.sha(""), True, 12, None, 1), 2: (11, 11, 1, brute.sha("5"), True, 11, 5, 0), 3: (1, 0, 0, brute.sha(""), False, 0, None, None)}
+    assert [r.doc_id for r in corpus_pipeline.benchmark_passages(spark, docs, str(tmp_path)).collect()] == [3]
+
+
 def test_contamination_query(spark):
     docs = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
