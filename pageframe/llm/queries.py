@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pageframe.llm import decontamination, licenses, near_dup, packing, pii, quality, secret_scan, sharding, spans, url_filter
+from pageframe.llm import conversations, decontamination, licenses, near_dup, packing, pii, quality, secret_scan, sharding, spans, url_filter
 from pageframe.llm.common import table, tune
 from pageframe.llm.oracles import ORACLES  # noqa: F401  registered beside the queries
 
@@ -78,7 +78,12 @@ def op10_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(tune(spark), sf_dir, "documents"))
 
 
+def op13_interval_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repaired(table(tune(spark), sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_hypergeometric_shuffle, op2_surrogates, op3_pack_power_of_two, op4_quality_lines, op5_url_automaton, op6_license_digests,
-    op7_suffix_arrays, op8_sentence_spans, op9_secret_models, op10_bottom_k)}
+    op7_suffix_arrays, op8_sentence_spans, op9_secret_models, op10_bottom_k,
+    op13_interval_repair)}
 

@@ -115,3 +115,80 @@ def sha(text):
 
 def crc(text):
     return zlib.crc32((text or "").encode())
+
+
+def damage(rows):
+    """{conv_id: [(turn, role, text)]} after the damage, by turn, nulls first."""
+    out = {}
+    for conv, turn, role, text in rows:
+        kept = out.setdefault(conv, [])
+        code = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        text = "" if code == 1 else re.sub(r"[.!?]", "", text) if code == 2 else text
+        kept += [(turn, "user" if code == 4 else role, text)] * (0 if code == 0 else 2 if code == 3 else 1)
+    order = lambda r: (r[0] is not None, r[0] or 0, hashlib.md5(f"{len(r[1])}:{r[1]}{r[2]}".encode()).digest())
+    return {conv: sorted(kept, key=order) for conv, kept in out.items()}
+
+
+def repair(rows):
+    """The report on one conversation: edits by a left-to-right search over (role so far), one row at a time."""
+    seen, faults, counts = set(), [], Counter()
+    for _, role, text in rows:
+        solid = re.findall(r"[^\x20\x09-\x0D]", text)
+        fault = "blank" if not solid else "duplicate" if (role, text) in seen else "truncated" if solid[-1] not in ".!?" else None
+        seen.add((role, text))
+        faults.append(fault)
+        counts[fault] += 1
+    follows = {"": "su", "s": "u", "u": "a", "a": "u"}
+
+    def with_insertions(states):
+        done = dict(states)
+        for _ in range(3):
+            for state, (cost, audit, lines) in list(done.items()):
+                for r in "ua":
+                    if r in follows[state]:
+                        way = (cost + 3, audit + "I", lines + [({"u": "user", "a": "assistant"}[r], "")])
+                        if r not in done or way[:2] < done[r][:2]:
+                            done[r] = way
+        return done
+
+    states = with_insertions({"": (0, "", [])})
+    for (_, role, text), fault in zip(rows, faults):
+        step, late = {}, 3 * (fault == "truncated")
+        for state, (cost, audit, lines) in states.items():
+            ways = [(state, (cost + 4, audit + "D", lines))]
+            if fault not in ("blank", "duplicate"):
+                if role[:1] and role[:1] in follows[state]:
+                    ways.append((role[0], (cost + late, audit + "K", lines + [(role, text)])))
+                ways += [(r, (cost + 3 + late, audit + "R", lines + [({"u": "user", "a": "assistant"}[r], text)])) for r in "ua" if r in follows[state]]
+            for to, way in ways:
+                if to not in step or way[:2] < step[to][:2]:
+                    step[to] = way
+        states = with_insertions(step)
+    cost, audit, lines = min((states[s] for s in ("", "a") if s in states), key=lambda w: w[:2])
+    turns = [t for t, _, _ in rows if t is not None]
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(rows, rows[1:]))
+    return (gaps, counts["blank"], counts["duplicate"], counts["truncated"], illegal, cost, audit,
+            sha("\n".join(f"{r}:{t}" for r, t in lines)), len(rows))
+
+
+def cheapest_edits(kinds):
+    """(cost, audit) over all edits of a few rows: kinds as 'u', 'a!', 'D1'; at most two insertions in a place."""
+    from itertools import product
+
+    best = None
+    options = [["D"] if k[0] == "D" else ["D", "K", "Ru", "Ra"] for k in kinds]
+    inserted = ["", "u", "a", "ua", "au"]
+    for edits in product(*options):
+        for added in product(inserted, repeat=len(kinds) + 1):
+            cost, audit, said = 0, "", ""
+            for i in range(len(kinds) + 1):
+                cost, audit, said = cost + 3 * len(added[i]), audit + "I" * len(added[i]), said + added[i]
+                if i < len(kinds):
+                    e, late = edits[i], 3 * kinds[i].endswith("!")
+                    cost += 4 if e == "D" else late if e == "K" else 3 + late
+                    audit, said = audit + e[0], said + ("" if e == "D" else kinds[i][0] if e == "K" else e[1])
+            if re.fullmatch("(s?(ua)+)?", said) and (best is None or (cost, audit) < best):
+                best = (cost, audit)
+    return best
