@@ -158,8 +158,7 @@ def distinct_rows(rows: DataFrame) -> DataFrame:
     trimmed = F.rtrim(F.col("text"), F.lit(BLANKS))
     thin = rows.select("conv_id", "turn", row_digest().alias("digest"), F.substring("role", 1, 1).alias("initial"),
                        (trimmed == "").alias("blank"), (~F.substring(trimmed, -1, 1).isin(*ENDS)).alias("unfinished"), "copies")
-    thin = thin.groupBy("conv_id", "turn", "digest").agg(
-        F.sum("copies").alias("copies"), *[F.max_by(c, "copies").alias(c) for c in ("initial", "blank", "unfinished")])
+    thin = thin.groupBy("conv_id", "turn", "digest", "initial", "blank", "unfinished").agg(F.sum("copies").alias("copies"))
     first = F.min(F.struct("turn")).alias("first")
     again = thin.where("copies > 0").groupBy("conv_id", "digest").agg(first, F.count("*").alias("turns")).where("turns > 1")
     again = again.select(F.col("conv_id").alias("_conv"), F.col("digest").alias("_digest"), F.col("first.turn").alias("_turn"), F.lit(True).alias("_again"))

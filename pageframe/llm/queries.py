@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pageframe.llm import conversations, decontamination, licenses, near_dup, packing, pii, quality, secret_scan, sharding, spans, url_filter
-from pageframe.llm.common import table, tune
+from pageframe.llm import conversations, decontamination, licenses, near_dup, packing, pii, quality, search, secret_scan, sharding, spans, url_filter, warc
+from pageframe.llm.common import shared_folder, table, tune
 from pageframe.llm.oracles import ORACLES  # noqa: F401  registered beside the queries
 
 
@@ -78,6 +80,16 @@ def op10_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(tune(spark), sf_dir, "documents"))
 
 
+def op11_warc_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write(warc.page_records(table(tune(spark), sf_dir, "pages")), folder)
+    return warc.page_report(warc.read(spark, folder), warc.read(spark, folder, payload=False))
+
+
+def op12_reversed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.ranked(table(tune(spark), sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_interval_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repaired(table(tune(spark), sf_dir, "conversations"))
 
@@ -85,5 +97,5 @@ def op13_interval_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_hypergeometric_shuffle, op2_surrogates, op3_pack_power_of_two, op4_quality_lines, op5_url_automaton, op6_license_digests,
     op7_suffix_arrays, op8_sentence_spans, op9_secret_models, op10_bottom_k,
-    op13_interval_repair)}
+    op11_warc_source, op12_reversed_search, op13_interval_repair)}
 

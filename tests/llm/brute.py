@@ -192,3 +192,42 @@ def cheapest_edits(kinds):
             if re.fullmatch("(s?(ua)+)?", said) and (best is None or (cost, audit) < best):
                 best = (cost, audit)
     return best
+
+
+def page_report(pages, least=0):
+    """[(page_id, payload_bytes, payload_digest, record_type, refers_to)]"""
+    import base64
+
+    raws = [(page, (html or "").encode()) for page, html in pages]
+    first = {}
+    for page, raw in raws:
+        if page is not None and len(raw) >= least:
+            first[raw] = min(page, first.get(raw, page))
+    out = []
+    for page, raw in raws:
+        to = first.get(raw)
+        revisit = to is not None and page != to
+        out.append((page, len(raw), base64.b32encode(hashlib.sha1(raw).digest()).decode(), "revisit" if revisit else "response", to if revisit else None))
+    return sorted(out, key=str)
+
+
+def ranking(docs, items, top=20):
+    """[(item_id, rank, doc_id, score)]"""
+    import math
+
+    def terms(text):
+        return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+    counted = [(doc, Counter(terms(text))) for doc, text in docs]
+    counted = [(doc, c) for doc, c in counted if c]
+    n, total = len(counted), sum(sum(c.values()) for _, c in counted)
+    df = Counter(t for _, c in counted for t in c)
+    out = []
+    for item, text in items:
+        scored = []
+        for doc, c in counted:
+            m = 100 - 25 + 25 * sum(c.values()) * n // total
+            score = sum(math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1))) * (1000000000 * c[t] // (1000 * c[t] + 12 * m)) for t in terms(text) if c[t])
+            if score > 0:
+                scored.append((-score, doc is None, doc or 0, doc))
+        out += [(item, rank, s[3], -s[0]) for rank, s in enumerate(sorted(scored, key=lambda s: s[:3])[:top], 1)]
+    return sorted(out, key=str)
