@@ -56,8 +56,8 @@ def item_terms(items: DataFrame) -> DataFrame:
     return numbered.mapInArrow(run, f"item long, item_id {kind}, term binary, often long")
 
 
-def blocks(terms: DataFrame, most: int) -> tuple[DataFrame, int]:
-    """item_terms with a block number, and how many blocks there are; a block ends with the item that fills it.
+def blocks(terms: DataFrame, most: int) -> tuple[DataFrame, list]:
+    """item_terms with a block number, and those numbers; a block ends with the item that fills it.
 
     Items are laid out in ranges; the totals of the ranges, one row each, give every range its start.
     """
@@ -68,8 +68,7 @@ def blocks(terms: DataFrame, most: int) -> tuple[DataFrame, int]:
     before = F.sum("size").over(Window.partitionBy("part").orderBy("item").rowsBetween(Window.unboundedPreceding, -1))
     placed = sizes.withColumn("before", F.coalesce(before, F.lit(0))).join(starts, "part").select(
         "item", F.expr(f"(start + before) div {int(most)}").alias("block"))
-    last = placed.agg(F.max("block")).first()[0]
-    return saved(terms.join(placed, "item"), "item-terms"), 0 if last is None else last + 1
+    return saved(terms.join(placed, "item"), "item-terms"), [r["block"] for r in placed.select("block").distinct().orderBy("block").collect()]
 
 
 class Index:
@@ -212,9 +211,9 @@ def ranked(docs: DataFrame, items: DataFrame, top: int = TOP, block_terms: int =
     """
     context = docs.sparkSession.sparkContext
     kind = items.schema["item_id"].dataType.simpleString()
-    terms, n = blocks(item_terms(items), block_terms)
+    terms, numbers = blocks(item_terms(items), block_terms)
     done = []
-    for block in range(n):
+    for block in numbers:
         postings = terms.where(F.col("block") == block).select("item", "item_id", "term", "often").collect()
         names = sorted({bytes(p["term"]) for p in postings})
         shared = context.broadcast(names)
