@@ -78,8 +78,13 @@ def _lists(arrays):
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(arrays)))
 
 
+def text_mark(text: str = "text") -> Column:
+    """16 bytes naming a text; null has its own."""
+    return F.unhex(F.md5(F.coalesce(F.concat(F.lit("t"), text), F.lit("")).cast("binary")))
+
+
 def sketches(docs: DataFrame, k: int = SKETCH) -> DataFrame:
-    """doc_id, n_shingles, digest of the whole shingle set (null if it is empty) and its k smallest hashes."""
+    """doc_id, mark, n_shingles, digest of the whole shingle set (null if it is empty) and its k smallest hashes."""
 
     def run(batch):
         import hashlib
@@ -88,25 +93,25 @@ def sketches(docs: DataFrame, k: int = SKETCH) -> DataFrame:
 
         sets = shingle_sets(batch.column("text").cast(pa.binary()).to_pylist())
         return pa.RecordBatch.from_pydict({
-            "doc_id": batch.column("doc_id"), "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
+            "doc_id": batch.column("doc_id"), "mark": batch.column("mark"), "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
             "digest": pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets],
                                pa.binary()),
             "sketch": _lists([s[:k] for s in sets])})
 
-    return arrow_map(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run,
-                     "doc_id long, n_shingles long, digest binary, sketch array<long>")
+    return arrow_map(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_mark().alias("mark"), "text"), run,
+                     "doc_id long, mark binary, n_shingles long, digest binary, sketch array<long>")
 
 
-def full_sets(docs: DataFrame) -> DataFrame:
-    """doc_id and the whole shingle set."""
+def full_sets(texts: DataFrame) -> DataFrame:
+    """rep and the whole shingle set, of (rep, text)."""
 
     def run(batch):
         import pyarrow as pa
 
         return pa.RecordBatch.from_pydict({
-            "doc_id": batch.column("doc_id"), "shingles": _lists(shingle_sets(batch.column("text").cast(pa.binary()).to_pylist()))})
+            "rep": batch.column("rep"), "shingles": _lists(shingle_sets(batch.column("text").cast(pa.binary()).to_pylist()))})
 
-    return arrow_map(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, shingles array<long>")
+    return arrow_map(texts, run, "rep long, shingles array<long>")
 
 
 def needed(size: Column) -> Column:
@@ -191,10 +196,9 @@ class Links:
 
     def sets(self, reps: DataFrame) -> DataFrame:
         """The whole shingle sets (rep, shingles) of some representatives, made from their texts."""
-        texts = self.docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
-            reps.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-        made = full_sets(texts).dropDuplicates(["doc_id", "shingles"]).select(F.col("doc_id").alias("rep"), "shingles")
-        return saved(made.where(F.size("shingles") > 0), "shingle-sets")
+        known = self.classes.select("rep", "first.doc_id", "first.mark").join(reps.select("rep"), "rep", "left_semi")
+        texts = self.docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_mark().alias("mark"), "text").join(known, ["doc_id", "mark"])
+        return saved(full_sets(texts.select("rep", "text")).dropDuplicates(["rep"]), "shingle-sets")
 
     def add(self, pairs: DataFrame) -> None:
         """Check pairs (a, b) of representatives: sizes and union sketch first, then the whole sets."""
@@ -279,6 +283,29 @@ def linked(docs: DataFrame, classes: DataFrame) -> DataFrame:
     return components(links.found)
 
 
+def judged(docs: DataFrame) -> DataFrame:
+    """Per document doc_id, mark, n_shingles, component_id and stays: whether it is the one of its component to keep.
+
+    A class of equal sets goes by the smallest doc_id among its documents.  A doc_id whose rows have different sets
+    stands for several classes: they go by hashes of doc_id and set instead, so that no class takes another's links.
+    """
+    thin = saved(sketches(docs), "sketches")
+    known = thin.where("digest IS NOT NULL AND doc_id IS NOT NULL")
+    twice = known.groupBy("doc_id").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).where("low <> high")
+    twice = saved(twice.select("doc_id", F.lit(True).alias("twice")), "repeated-ids")
+    named = known.join(twice, "doc_id", "left").withColumn("uid", F.when(F.col("twice"), F.xxhash64("doc_id", "digest")).otherwise(F.col("doc_id")))
+    row = F.struct("doc_id", "mark")
+    classes = saved(named.groupBy("digest").agg(F.min("uid").alias("rep"), F.min(row).alias("first"), F.first("n_shingles").alias("n"),
+                                                F.first("sketch").alias("sketch")), "classes")
+    labels = linked(docs, classes)
+    placed = classes.select("digest", "rep", "first").join(labels, "rep", "left").select("digest", "first", F.coalesce("component", "rep").alias("component"))
+    firsts = placed.groupBy("component").agg(F.min("first").alias("least"))
+    found = thin.join(placed.join(firsts, "component").select("digest", "least"), "digest", "left")
+    alone = F.col("least").isNull() | F.col("doc_id").isNull()
+    return found.select("doc_id", "mark", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("least.doc_id", "doc_id")).alias("component_id"),
+                        (alone | (row == F.col("least"))).alias("stays"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Per document doc_id, n_shingles, component_id and kept.
 
@@ -288,28 +315,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     share fewer than SHARED values (about one pair in ten million); every link is confirmed on whole sets.
 
     A null or empty text, or one without words, has no shingles, links with nothing and is kept.  A row
-    without doc_id links with nothing, has no component and is kept.  Rows that repeat a doc_id get the
-    same component when their texts do; columns besides doc_id and text are not read.
+    without doc_id links with nothing, has no component and is kept.  Rows that repeat a doc_id are documents
+    of their own, which get the same component when their texts link; columns besides doc_id and text are not read.
     """
-    thin = saved(sketches(docs), "sketches")
-    members = thin.select("doc_id", "n_shingles", "digest")
-    known = thin.where("digest IS NOT NULL AND doc_id IS NOT NULL")
-    classes = saved(known.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"),
-                                                F.first("sketch").alias("sketch")), "classes")
-    labels = linked(docs, classes)
-    named = classes.select("digest", "rep").join(labels, "rep", "left").select(
-        "digest", F.coalesce("component", "rep").alias("component"))
-    return (members.join(named, "digest", "left")
-            .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
-            .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+    return judged(docs).select("doc_id", "n_shingles", "component_id",
+                               F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The documents with all their columns, but one of each component only; of rows with equal id and text, one stays.
 
-    Rows without doc_id all stay.
+    A document goes by its id and text, so another text under the same id stays.  Rows without doc_id all stay.
     """
-    gone = near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
+    gone = judged(docs).where("NOT stays").select(F.col("doc_id").alias("_gone"), F.col("mark").alias("_mark")).distinct()
     alone = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
-    left = docs.join(gone, "doc_id", "left_anti").withColumns({"_alone": alone, "_same": F.xxhash64("text")})
+    marked = docs.withColumns({"_alone": alone, "_same": text_mark()})
+    left = marked.join(gone, (F.col("doc_id") == F.col("_gone")) & (F.col("_same") == F.col("_mark")), "left_anti")
     return left.dropDuplicates(["doc_id", "_same", "_alone"]).select(*[F.col(f"`{c}`") for c in docs.columns])

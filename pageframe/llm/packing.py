@@ -9,7 +9,8 @@ from pageframe.llm.common import arrow_map
 END_ID = 1
 MAX_LENGTH = 2048
 VOCABULARY = "byte_bpe_50k.tiktoken"   # the ranks of byte_bpe_50k.json: equal ids, a third of the time
-ADDED = "byte_bpe_50k.json"            # its added tokens, which the rank file does not have
+ADDED = "byte_bpe_50k.json"     # its added tokens, which the rank file does not have
+BLANKS = 100_000                       # white space in a row beyond which a text is encoded by the JSON tokenizer
 
 
 def tokenizer(vocabulary: str):
@@ -43,11 +44,35 @@ def added_tokens(vocabulary: str) -> dict:
     return {t["content"]: t["id"] for t in found}
 
 
+def json_tokenizer(vocabulary: str):
+    """The slower encoder of the same vocabulary, built once per worker process; added tokens are ordinary text."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    if vocabulary not in _JSON:
+        _JSON[vocabulary] = Tokenizer.from_file(str(public_tokenizers.path(vocabulary)))
+        _JSON[vocabulary].encode_special_tokens = True
+    return _JSON[vocabulary]
+
+
+_JSON: dict = {}
+
+
 def encoder(vocabulary: str, added: dict):
-    """Text to ids: the strings of `added` are one id each, what lies between them is encoded by itself."""
+    """Text to ids: the strings of `added` are one id each, what lies between them is encoded by itself.
+
+    The fast encoder's splitting pattern backtracks over white space and ends the worker where a run of it is very
+    long: texts with more than BLANKS in a row go through the JSON tokenizer, whose ids are the same.
+    """
     import re
 
-    encode = tokenizer(vocabulary).encode_ordinary
+    fast, long_blank = tokenizer(vocabulary).encode_ordinary, re.compile(rf"\s{{{BLANKS}}}").search
+
+    def encode(text):
+        if len(text) >= BLANKS and long_blank(text):
+            return json_tokenizer(vocabulary.removesuffix(".tiktoken") + ".json").encode(text, add_special_tokens=False).ids
+        return fast(text)
+
     if not added:
         return encode
     split = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")").split

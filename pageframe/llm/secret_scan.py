@@ -85,39 +85,62 @@ class RandomnessModel:
         return self.score(s) > self.threshold
 
 
+def _samples(docs: DataFrame) -> DataFrame:
+    """(label, string): the words and the base secrets of whole texts, each once a batch."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            found = set()
+            for text in batch.column("text").to_pylist():
+                spans = base_spans(text)
+                found |= {("value", text[a:b]) for a, b, k in spans if k and set(text[a:b]) <= set(ALPHABET)}
+                pieces, at = [], 0
+                for a, b, _ in sorted(spans):
+                    pieces.append(text[at:a])
+                    at = max(at, b)
+                plain = " ".join([*pieces, text[at:]])
+                found |= {("word", w) for w in re.findall(r"(?<![^\s])[A-Za-z]{3,14}(?![^\s.,;!?])", plain)}
+            if found:
+                labels, strings = zip(*sorted(found))
+                yield pa.RecordBatch.from_arrays([pa.array(labels), pa.array(strings)], names=["label", "string"])
+
+    return docs.select("text").mapInArrow(run, "label string, string string")
+
+
 def train(docs: DataFrame, *, rows: int = SAMPLE_ROWS, size: int = SAMPLE_WORDS, seed: int = 7) -> RandomnessModel:
-    """Models fitted on labelled samples, at most `rows` documents and `size` strings of either label.
+    """Models fitted on labelled samples: whole texts of at most `rows` documents, at most `size` strings of either label.
 
     Label random: strings drawn over the alphabets of key generators, and the values of base patterns in
-    the sampled documents.  Label ordinary: names composed of the sampled documents' words.  The
-    documents are distinct ones with the smallest hashes of their texts' heads; half of each label is held out to
+    the sampled documents (`size` / 4 at most).  Label ordinary: names composed of the sampled documents' words.  The
+    documents are those whose whole texts have the `rows` smallest distinct hashes, the strings those with the
+    smallest hashes, so the models do not depend on order or partitions.  Half of each label is held out to
     set the threshold.
     """
-    heads = docs.select(F.substring("text", 1, 4000).alias("text")).where("text IS NOT NULL")
-    mark = F.xxhash64(F.substring("text", 1, 200))
-    smallest = heads.select(mark.alias("mark")).distinct().orderBy("mark").limit(rows).agg(F.max("mark")).first()[0]
-    chosen = heads.where(mark <= smallest).distinct() if smallest is not None else heads
-    sample = sorted(r[0] for r in chosen.limit(rows).collect())
+    texts = docs.select("text").where("text IS NOT NULL").withColumn("mark", F.xxhash64("text"))
+    smallest = texts.select("mark").distinct().orderBy("mark").limit(rows).agg(F.max("mark")).first()[0]
+    found = {"word": [], "value": []}
+    if smallest is not None:
+        strings = _samples(texts.where(F.col("mark") <= smallest)).distinct()
+        for label, most in (("word", size), ("value", size // 4)):
+            some = strings.where(F.col("label") == label).orderBy(F.xxhash64("string"), "string").limit(most)
+            found[label] = sorted(r["string"] for r in some.collect())
     rng = random.Random(seed)
-    words, values = set(), []
-    for text in sample:
-        spans = base_spans(text)
-        values += [text[a:b] for a, b, k in spans if k]
-        for a, b, _ in sorted(spans, reverse=True):
-            text = text[:a] + " " + text[b:]
-        words.update(re.findall(r"(?<![^\s])[A-Za-z]{3,14}(?![^\s.,;!?])", text))
-    values = [v for v in values if set(v) <= set(ALPHABET)][:size // 4]
-    noise = random_strings(rng, size - len(values)) + values
+    noise = random_strings(rng, size - len(found["value"])) + found["value"]
     rng.shuffle(noise)
-    return RandomnessModel(noise, identifiers(rng, sorted(words), size))
+    return RandomnessModel(noise, identifiers(rng, found["word"], size))
 
 
 def spans_of(text: str, model: RandomnessModel) -> list[tuple]:
     """Base spans and, where they leave room, runs that look random; sorted by start, then kind."""
     base = sorted(base_spans(text), key=lambda s: (s[0], s[2]))
-    more = []
+    more, at, reach = [], 0, 0          # base spans before `at` start before the run; `reach` is where they end
     for m in re.finditer(CANDIDATE, text):
-        if not any(a < m.end() and m.start() < b for a, b, _ in base) and model.is_random(m.group()):
+        while at < len(base) and base[at][0] < m.end():
+            reach = max(reach, base[at][1])
+            at += 1
+        if reach <= m.start() and model.is_random(m.group()):
             more.append((m.start(), m.end(), 3))
     return sorted(base + more, key=lambda s: (s[0], s[2])) if more else base
 

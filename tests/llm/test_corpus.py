@@ -123,6 +123,17 @@ def test_near_duplicates_of_odd_rows(spark):
     assert near_dup.near_duplicates(cases.empty(spark)).count() == 0
 
 
+def test_rows_that_share_an_id_are_documents_of_their_own(spark):
+    rng = random.Random(4)
+    a, b, c = (cases.prose(rng, 80) for _ in range(3))
+    near = " ".join(a.split(" ")[:-1] + ["end"])
+    docs = spark.createDataFrame([(1, a), (5, near), (5, b), (5, near), (7, b.replace("a", "A")), (8, c), (2, c), (2, b), (2, None), (2, "")], "doc_id long, text string").repartition(4)
+    kept = sorted(near_dup.keep_one(docs).collect(), key=str)
+    assert kept == sorted([(1, a), (2, b), (2, c), (2, None), (2, "")], key=str)
+    found = {(r.doc_id, r.component_id, r.kept) for r in near_dup.near_duplicates(docs).collect()}
+    assert found == {(1, 1, True), (5, 1, False), (5, 2, False), (7, 2, False), (8, 2, False), (2, 2, True)}
+
+
 def test_near_duplicates_query(spark):
     want = brute.component_ids([tuple(r) for r in table(spark, SF, "documents").select("doc_id", "text").collect()])
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in queries.op10_bottom_k(spark, SF).collect()} == want

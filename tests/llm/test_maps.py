@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import random
+import time
 import zlib
+from collections import Counter
 
 import cases
 import brute
@@ -188,6 +190,29 @@ def test_markov_models_on_held_out_strings(spark):
     assert secret_scan.scan(cases.empty(spark), secret_scan.train(cases.empty(spark))).count() == 0
 
 
+def test_models_do_not_depend_on_partitions_or_heads(spark):
+    """Texts with one long common head: whole texts are sampled, in a fixed order."""
+    rng = random.Random(12)
+    head = cases.prose(rng, 700)[:4000]
+    texts = [(i, head + cases.prose(rng, 40, [f"w{rng.choice('abcdefgh')}{c}" for c in ("arden", "ater", "ork")]) + f" token={rng.getrandbits(160):040x}") for i in range(3000)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    one, two = (secret_scan.train(docs.repartition(n), rows=500, size=3000) for n in (1, 7))
+    assert one.threshold == two.threshold and one.ratio == two.ratio
+    samples = secret_scan._samples(docs.limit(50))
+    assert samples.where("label = 'value'").count() > 40 and samples.where("string LIKE 'w%arden%'").count() > 0
+
+
+def test_spans_of_a_dump_of_credentials():
+    """Five million characters of secrets in a row: the sweep over base spans is linear."""
+    rng = random.Random(3)
+    noise = secret_scan.RandomnessModel(secret_scan.random_strings(rng, 20_000), secret_scan.identifiers(rng, ["quarterly", "revenue", "customer", "address", "widget", "handler"], 20_000))
+    text = "".join(f'password = "{rng.getrandbits(90):x}"\nkey {rng.choice("Zz")}x9fQ2mLr7TbV4nKp8Ws1YdGh3\n' for _ in range(75_000))
+    began = time.time()
+    found = secret_scan.spans_of(text, noise)
+    assert time.time() - began < 30 and len(text) > 4_500_000
+    assert Counter(k for _, _, k in found)[0] == 75_000 and Counter(k for _, _, k in found)[3] == 75_000
+
+
 def test_redaction(spark):
     docs = cases.documents(spark)
     model = secret_scan.train(docs)
@@ -251,6 +276,33 @@ def test_added_tokens_are_those_of_the_json_encoder(spark, tmp_path):
     assert crcs(queries.op3_pack_power_of_two(spark, str(tmp_path)).collect()) == crcs(p for ps in by_doc.values() for p in ps)
 
 
+def test_very_long_white_space(spark, tmp_path):
+    import corpus_pipeline
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    encode = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode
+    texts = [" " * 2_000_000, "a" + "\n" * 1_000_000 + "b <|endoftext|> c", "x" * 500_000 + "\u2003" * 150_000, " " * 99_999 + "z"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    want = {i: encode(t, add_special_tokens=False).ids + [1] for i, t in enumerate(texts)}
+    got = {}
+    for p in sorted(corpus_pipeline.packed(spark, docs, SF).collect(), key=lambda p: p.start):
+        got.setdefault(p.doc_id, []).extend(p["ids"])
+    assert got == want
+    assert {(r.doc_id, r.doc_tokens) for r in queries.op3_pack_power_of_two(spark, str(tmp_path)).collect()} == {(i, len(w)) for i, w in want.items()}
+
+
+def test_buckets_hold_every_piece(spark, tmp_path):
+    """The written buckets: one folder a length, their pieces those of the query, each sequence full."""
+    docs = cases.documents(spark)
+    pieces = packing.pack(docs, added=packing.ADDED)
+    packing.write_buckets(pieces, f"{tmp_path}/buckets")
+    again = spark.read.parquet(f"{tmp_path}/buckets")
+    key = ["doc_id", "start", "ids_crc32", "doc_tokens"]
+    assert sorted(map(str, again.select("length", *key).collect())) == sorted(map(str, pieces.select(F.col("length").cast("int"), *key).collect()))
+    assert again.where("size(ids) <> length").count() == 0
+
+
 @given(st.integers(1, 10**6))
 def test_binary_lengths(n):
     sizes = packing.lengths(n)
