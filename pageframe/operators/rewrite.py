@@ -17,6 +17,7 @@ from ..schema import KERNEL_NODE, NODE_COLUMNS, NODE_KEY
 from .shred import fragment_nodes, with_derived
 
 POSITIONS = ("beforebegin", "afterbegin", "beforeend", "afterend")
+NOT_TEXT = "not a text node"
 RAW_TEXT = "style script xmp iframe noembed noframes plaintext".split()
 _FIELDS = [f.name for f in KERNEL_NODE.fields]
 _TYPES = {f.name: f.dataType for f in KERNEL_NODE.fields}
@@ -238,18 +239,18 @@ def set_text(nodes: DataFrame, where, value) -> DataFrame:
     return replace_children(nodes, where, new_text(value))
 
 
-def replace_text(nodes: DataFrame, where, value) -> DataFrame:
-    """Replace the data of selected text nodes; other selected nodes are left unchanged
-    and reported by :func:`replace_text_errors`."""
+def replace_text(nodes: DataFrame, where, value, report: str | None = None) -> DataFrame:
+    """Replace the data of selected text nodes; other selected nodes are left unchanged and reported, on their rows in
+    a column named ``report`` or as rows by :func:`replace_text_errors`."""
     value = value if isinstance(value, Column) else F.lit(value)
-    marked = mark(nodes, where)
-    return _plain(marked.withColumn("text", F.when(
-        F.col("_hit") & (F.col("node_type") == "text"), value).otherwise(F.col("text"))))
+    marked, text = mark(nodes, where), F.col("node_type") == "text"
+    done = marked.withColumn("text", F.when(F.col("_hit") & text, value).otherwise(F.col("text")))
+    return done.select("page_id", *NODE_COLUMNS, *([F.when(F.col("_hit") & ~text, NOT_TEXT).alias(report)] if report else []))
 
 
 def replace_text_errors(nodes: DataFrame, where) -> DataFrame:
     return mark(nodes, where).filter(F.col("_hit") & (F.col("node_type") != "text")).select(
-        *NODE_KEY, F.lit("not a text node").alias("error"))
+        *NODE_KEY, F.lit(NOT_TEXT).alias("error"))
 
 
 def remove_nodes(nodes: DataFrame, where, reindex: bool = True) -> DataFrame:

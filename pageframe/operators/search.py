@@ -43,16 +43,20 @@ def _attr(name: str, value: str | None, insensitive: bool = False) -> Column:
     return F.exists("attrs", test)
 
 
+def id_is(value: str) -> Column: return F.coalesce(F.col("id") == value, F.lit(False))
+def name_is(value: str) -> Column: return _attr("name", value)
+
+
 def elements_by_class(nodes, name, scope="body"): return find_elements(nodes, F.array_contains("classes", name), scope)
 def elements_by_tag(nodes, tag, scope="body"): return find_elements(nodes, F.col("tag") == tag.lower(), scope)
-def elements_by_id(nodes, value, scope="body"): return find_elements(nodes, F.col("id") == value, scope)
+def elements_by_id(nodes, value, scope="body"): return find_elements(nodes, id_is(value), scope)
 
 
 def elements_by_attribute(nodes, name, value, case_insensitive=False, scope="body"):
     return find_elements(nodes, _attr(name, value, case_insensitive), scope)
 
 
-def elements_by_name(nodes, value, scope="body"): return elements_by_attribute(nodes, "name", value, scope=scope)
+def elements_by_name(nodes, value, scope="body"): return find_elements(nodes, name_is(value), scope)
 def elements_with_attribute(nodes, name, scope="body"): return find_elements(nodes, _attr(name, None), scope)
 def first_by_id(nodes, value, scope="body"): return first_per_page(elements_by_id(nodes, value, scope))
 def first_by_class(nodes, name, scope="body"): return first_per_page(elements_by_class(nodes, name, scope))

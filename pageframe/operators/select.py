@@ -20,7 +20,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.node import class_tokens
-from ..schema import NODE_KEY
 
 # --- fixed values: pseudo-classes accepted but never matching -------------------------------------
 NEVER = frozenset(
@@ -354,11 +353,12 @@ class _Pass:
         return reduce(or_, hits)
 
 
-def _flag(nodes: DataFrame, selector: str, name: str, prune: bool) -> DataFrame:
+def _flag(nodes: DataFrame, selector: str, name: str, prune: bool, also: Column | None = None) -> DataFrame:
+    """``prune`` keeps only rows that can play a part in the selector, and those that ``also`` names."""
     selectors, _ = _read_list(selector.strip())
     columns = [c for c in nodes.columns if c != name]
     if prune:
-        nodes = nodes.filter(_keep_rows(selectors))
+        nodes = nodes.filter(_keep_rows(selectors) if also is None else _keep_rows(selectors) | also)
     run = _Pass(nodes)
     hit = run.any_of(selectors)
     return run.df.select(*columns, hit.alias(name))
@@ -409,41 +409,54 @@ def page_matches(nodes: DataFrame, selector: str, pages: DataFrame | None = None
     return pages.select("page_id").join(flags, "page_id", "left").withColumn("matches", F.coalesce("matches", F.lit(False)))
 
 
-def node_matches(nodes: DataFrame, sel: DataFrame, selector: str) -> DataFrame:
-    """The selected rows plus ``matches``."""
-    hits = flag_nodes(nodes, selector).select(*NODE_KEY, "matches")
-    return sel.join(hits, NODE_KEY, "left").withColumn("matches", F.coalesce("matches", F.lit(False)))
+def node_matches(nodes: DataFrame, sel, selector: str) -> DataFrame:
+    """The selected rows plus ``matches``.
 
+    A selection (here and below) is a Column, a selector or a DataFrame of node keys; the first two are marked in the
+    same pass as the matches, a DataFrame costs a join."""
+    from .rewrite import mark
+    hits = _flag(mark(nodes, sel, "_chosen"), selector, "matches", prune=True, also=F.col("_chosen")).filter("_chosen")
+    return hits.select(*nodes.columns, *[c for c in hits.columns if c not in (*nodes.columns, "_chosen", "matches")],
+                       (F.col("matches") & (F.col("tree_id") == 0)).alias("matches"))
 
-def filter_nodes(nodes: DataFrame, sel: DataFrame, selector: str) -> DataFrame:
+
+def filter_nodes(nodes: DataFrame, sel, selector: str) -> DataFrame:
     """The selected rows that match themselves."""
-    hits = select_all(nodes, selector, "document").select(*NODE_KEY)
-    return sel.join(hits, NODE_KEY, "left_semi")
-
-
-def open_at_level(givers: DataFrame, takers: DataFrame, payload: Column, levels: Column) -> DataFrame:
-    """For every taker and level, the last giver opened at that depth before it.
-
-    In document order that giver is the only one at its depth whose interval can hold the taker, so
-    enclosing nodes are found with one window over (page, level) instead of an interval join."""
-    empty = F.lit(None).cast(givers.select(payload.alias("g")).schema["g"].dataType)
-    both = givers.select(
-        "page_id", F.col("depth").alias("_level"), "pre", F.lit(0).alias("_role"), payload.alias("_g"),
-        *[F.lit(None).cast(f.dataType).alias(f"_t_{f.name}") for f in takers.schema.fields],
-    ).unionByName(takers.select(
-        "page_id", F.explode(levels).alias("_level"), "pre", F.lit(1).alias("_role"), empty.alias("_g"),
-        *[F.col(c).alias(f"_t_{c}") for c in takers.columns]))
-    w = Window.partitionBy("page_id", "_level").orderBy("pre", "_role").rowsBetween(Window.unboundedPreceding, 0)
-    out = both.withColumn("_g", F.last("_g", ignorenulls=True).over(w)).filter("_role = 1")
-    return out.filter((F.col("_g.last") >= F.col("pre")) & (F.col("_g.tree_id") == F.col("_t_tree_id")))
-
-
-def select_within(nodes: DataFrame, sel: DataFrame, selector: str) -> DataFrame:
-    """Matches among each selected node and its descendants, once per (root_node_id, node)."""
-    hits = select_all(nodes, selector, "document")
-    roots = sel.dropDuplicates(NODE_KEY)
-    out = open_at_level(roots, hits, F.struct("node_id", "last", "tree_id"), F.sequence(F.lit(0), F.col("depth")))
-    return out.select(*[F.col(f"_t_{c}").alias(c) for c in hits.columns], F.col("_g.node_id").alias("root_node_id"))
+    return node_matches(nodes, sel, selector).filter("matches").drop("matches")
+
+
+def enclosing(nodes: DataFrame, giver: Column, taker: Column, payload: Column, inside: bool) -> DataFrame:
+    """Every taker once per giver whose subtree holds it, with the giver's payload in ``_g``; ``inside``: not itself.
+
+    A stack of open givers carried along document order, one entry a depth: the giver opened last at a depth is
+    the only one there whose interval can still hold the row, so takers read one entry for each depth at which the
+    page has givers.  One window over (page, depth), no interval join; output and memory follow the pairs there are."""
+    page = Window.partitionBy("page_id")
+    rows = nodes.withColumns({"_give": F.coalesce(giver, F.lit(False)), "_take": F.coalesce(taker, F.lit(False))})
+    rows = rows.filter("_give OR _take").withColumn("_levels", F.collect_set(F.when(F.col("_give"), F.col("depth"))).over(page))
+    above = F.filter("_levels", lambda level: level < F.col("depth") if inside else level <= F.col("depth"))
+    entry = lambda role, level: F.struct(F.lit(role).alias("role"), level.alias("level"))
+    none = F.array().cast("array<struct<role:int,level:int>>")
+    spread = F.concat(F.when(F.col("_give"), F.array(entry(0, F.col("depth")))).otherwise(none),
+                      F.when(F.col("_take"), F.transform(above, lambda level: entry(1, level))).otherwise(none))
+    carried = F.struct(F.col("last").alias("_last"), F.col("tree_id").alias("_tree"), payload.alias("_own"))
+    rows = rows.withColumn("_e", F.explode(spread)).drop("_levels").withColumns({"_role": F.col("_e.role"), "_level": F.col("_e.level")})
+    stack = Window.partitionBy("page_id", "_level").orderBy("pre", "_role").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_open", F.last(F.when(F.col("_role") == 0, carried), ignorenulls=True).over(stack))
+    held = (F.col("_role") == 1) & (F.col("_open._last") >= F.col("pre")) & (F.col("_open._tree") == F.col("tree_id"))
+    return rows.filter(held).withColumn("_g", F.col("_open._own")).drop("_give", "_take", "_e", "_role", "_level", "_open")
+
+
+def select_within(nodes: DataFrame, sel, selector: str, **carry: Column) -> DataFrame:
+    """Matches among each selected node and its descendants, once per (root_node_id, node).
+
+    ``carry`` names expressions over the root's row that come along with its matches."""
+    from .rewrite import mark
+    flagged = _flag(mark(nodes, sel, "_root"), selector, "_match", prune=True, also=F.col("_root"))
+    flagged = flagged.withColumn("_match", F.col("_match") & (F.col("tree_id") == 0))
+    root = F.struct(F.col("node_id").alias("root_node_id"), *[c.alias(n) for n, c in carry.items()])
+    out = enclosing(flagged, F.col("_root"), F.col("_match"), root, inside=False)
+    return out.select(*nodes.columns, "_g.*")
 
 
 def match_counts(nodes: DataFrame, selectors: dict[str, str], scope: str = "body") -> DataFrame:

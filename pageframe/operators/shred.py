@@ -84,11 +84,11 @@ def fragment_nodes(html: Column) -> Column:
     return _fragment_tree(token_array(html))
 
 
-def _explode_nodes(source: DataFrame, nodes, cluster: bool, sanitize, reindex, *extra) -> DataFrame:
-    out = source.select("page_id", F.inline(nodes))
+def _explode_nodes(source: DataFrame, nodes, cluster: bool, sanitize, reindex, *extra, carry=()) -> DataFrame:
+    out = source.select("page_id", *carry, F.inline(nodes))
     if cluster:
         out = out.repartition("page_id")
-    out = with_derived(out).select("page_id", *NODE_COLUMNS, *extra)
+    out = with_derived(out).select("page_id", *NODE_COLUMNS, *carry, *extra)
     if sanitize is not None:
         from .sanitize import sanitize as run
         out = run(out, sanitize, reindex)
@@ -96,15 +96,20 @@ def _explode_nodes(source: DataFrame, nodes, cluster: bool, sanitize, reindex, *
 
 
 def shred(pages: DataFrame, html: str = "html", cluster: bool = True, sanitize=None,
-          reindex: bool = True) -> DataFrame:
+          reindex: bool = True, carry: tuple | list = ()) -> DataFrame:
     """Shred pages(page_id, html) into the ``nodes`` table.
 
+    ``carry`` names columns of the page that come along on its node rows (``url`` for links), instead of a
+    join back to the pages; row filters reach below the shuffle, so they travel on the rows that are needed.
     ``cluster`` distributes the node rows by page_id once, after the kernel, so that column pruning
     and row filters of the query reach below that shuffle; every page-keyed window, aggregate and
     join on top runs without another exchange.  Switch it off when only row-local operators follow.
     """
-    source = pages.select("page_id", F.col(html).alias("html"))
-    return _explode_nodes(source, _page_tree(token_array(F.col("html"))), cluster, sanitize, reindex)
+    taken = [c for c in carry if c in NODE_COLUMNS or c == "page_id"]
+    if taken:
+        raise ValueError(f"carried columns must not be named as node columns: {taken}")
+    source = pages.select("page_id", *carry, F.col(html).alias("_html"))
+    return _explode_nodes(source, _page_tree(token_array(F.col("_html"))), cluster, sanitize, reindex, carry=carry)
 
 
 def shred_fragments(df: DataFrame, html: str, context: str = "body", key: str = "page_id",

@@ -62,6 +62,25 @@ def _nav(expr: str) -> str:
     return f"SELECT page_id, {expr} AS outer_html FROM pages"
 
 
+# `b` elements by the tree rules: one left open is repeated in the blocks that follow, three at most.
+BOLD = f"""WITH b AS (
+          SELECT page_id, regexp_extract_all({_one('article')},'<p>(?:<b>)?') AS x FROM pages),
+        p AS (SELECT page_id, unnest(x) AS blk, unnest(range(1, len(x) + 1)) AS i FROM b),
+        r AS (SELECT page_id, i, (blk = '<p><b>')::INT AS own,
+            coalesce(sum((blk = '<p><b>')::INT) OVER (PARTITION BY page_id ORDER BY i
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM p),
+        t AS (SELECT page_id, sum(least(before, 3) + own) + least(sum(own), 3) AS n FROM r GROUP BY 1)
+        SELECT page_id, n::BIGINT AS n FROM t WHERE n > 0"""
+TAGS = "SELECT unnest(regexp_extract_all(html,'<([a-z][a-z0-9]*)(?: [^>]*)?>',1)) AS tag FROM pages"
+
+
+def _parts_of_page() -> str:
+    """page_id, tag, outer_html of the parts that the tree rules leave as written."""
+    rx = {"head": "(?s)(<head>.*?</head>)", "nav": "(?s)(<nav>.*?</nav>)", "div": "(?s)(<div class=\"ad\">.*?</div>)", "footer": "(?s)(<footer>.*?</footer>)"}
+    each = " UNION ALL ".join(f"SELECT page_id, '{t}' AS tag, {_ser(f'regexp_extract(html, {chr(39)}{r}{chr(39)}, 1)')} AS outer_html FROM pages" for t, r in rx.items())
+    return f"SELECT * FROM ({each}) WHERE outer_html <> ''"
+
+
 ORACLES = {
     "tokens_by_kind": f"""WITH t AS (SELECT unnest(regexp_extract_all(html, '{TOKENS}')) AS raw FROM pages)
         SELECT CASE WHEN starts_with(raw,'<!--') THEN 'comment' WHEN lower(raw) LIKE '<!doctype%' THEN 'doctype'
@@ -91,9 +110,9 @@ ORACLES = {
           count(*) FILTER (regexp_full_match(s,'[ \t\n\r]*')) AS text_empty,
           count(*) FILTER (regexp_full_match(s,'[\t\n\r]*')) AS collapsible,
           count(*) FILTER (contains(s,'the')) AS contains_the FROM s""",
-    "tag_histogram": """WITH t AS (SELECT unnest(regexp_extract_all(html,'<([a-z][a-z0-9]*)(?: [^>]*)?>',1)) AS tag FROM pages)
+    "tag_histogram": f"""WITH t AS ({TAGS})
         SELECT upper(tag) AS node_name, count(*) AS n, count(*) FILTER (tag IN ('br', 'meta')) AS n_void, count(*) AS n_known
-        FROM t WHERE tag <> 'b' GROUP BY 1""",
+        FROM t WHERE tag <> 'b' GROUP BY 1 UNION ALL SELECT 'B', sum(n)::BIGINT, 0, sum(n)::BIGINT FROM ({BOLD})""",
     "attr_histogram": """WITH a AS (
         SELECT 'html' AS tag, 'lang' AS name, unnest(regexp_extract_all(html,'<html lang="([^"]*)"',1)) AS value FROM pages
         UNION ALL SELECT 'meta', 'charset', unnest(regexp_extract_all(html,'<meta charset="([^"]*)"',1)) FROM pages
@@ -103,14 +122,7 @@ ORACLES = {
     "node_kinds": f"""SELECT 'comment' AS node_type, sum({_n('<!--')})::BIGINT AS n FROM pages
         UNION ALL SELECT 'doctype', sum({_n('<!DOCTYPE')})::BIGINT FROM pages""",
     "page_roots": """SELECT regexp_extract(html,'<html lang="([^"]*)"',1) AS lang, count(*) AS n FROM pages GROUP BY 1""",
-    "bold_elements": f"""WITH b AS (
-          SELECT page_id, regexp_extract_all({_one('article')},'<p>(?:<b>)?') AS x FROM pages),
-        p AS (SELECT page_id, unnest(x) AS blk, unnest(range(1, len(x) + 1)) AS i FROM b),
-        r AS (SELECT page_id, i, (blk = '<p><b>')::INT AS own,
-            coalesce(sum((blk = '<p><b>')::INT) OVER (PARTITION BY page_id ORDER BY i
-              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM p),
-        t AS (SELECT page_id, sum(least(before, 3) + own) + least(sum(own), 3) AS n FROM r GROUP BY 1)
-        SELECT page_id, n::BIGINT AS n FROM t WHERE n > 0""",
+    "bold_elements": BOLD,
     "comments": "SELECT page_id, unnest(regexp_extract_all(html,'(?s)<!--(.*?)-->',1)) AS text FROM pages",
     "elements_by_class": """SELECT page_id, 'div' AS tag, 'ad' AS class_string, 1::BIGINT AS n_classes FROM
         (SELECT page_id, unnest(regexp_extract_all(html,'<div class="ad">')) FROM pages)""",
@@ -125,9 +137,9 @@ ORACLES = {
     "first_by_data_attribute": "SELECT p_partkey AS page_id, p_partkey::VARCHAR AS k FROM part",
     "find_elements": ITEMS + "SELECT page_id, count(*) AS n FROM items WHERE length(href) > 6 GROUP BY 1",
     "find_first": ITEMS + "SELECT page_id, arg_min(href, i) AS href FROM items WHERE length(href) > 6 GROUP BY 1",
-    "map_elements": """WITH t AS (SELECT unnest(regexp_extract_all(html,'<([a-z][a-z0-9]*(?: [^>]*)?)>',1)) AS tag FROM pages)
+    "map_elements": f"""WITH t AS (SELECT unnest(regexp_extract_all(html,'<([a-z][a-z0-9]*(?: [^>]*)?)>',1)) AS tag FROM pages)
         SELECT regexp_extract(tag, '^[a-z0-9]+') || '.' || regexp_extract(tag, 'class="([^"]*)"', 1) AS label, count(*) AS n
-        FROM t WHERE tag <> 'b' GROUP BY 1""",
+        FROM t WHERE tag <> 'b' GROUP BY 1 UNION ALL SELECT 'b.', sum(n)::BIGINT FROM ({BOLD})""",
     "nav_links": ITEMS + "SELECT page_id, (14 + 3 * (i - 1))::INT AS pre, href FROM items",
     "link_hosts": ITEMS + """SELECT regexp_extract(url,'^https?://([^/?#]*)',1) AS host, count(*) AS n_links,
         count(DISTINCT page_id) AS n_pages FROM items GROUP BY 1""",
@@ -161,19 +173,29 @@ ORACLES = {
     "select_within": f"""SELECT unnest(['nav','ul','article']) AS root_tag, unnest(['li','li','h1']) AS tag,
         unnest([li, li, h1]) AS n FROM (SELECT sum({_n('<li>')})::BIGINT AS li, sum({_n('<h1>')})::BIGINT AS h1 FROM pages)""",
     "filter_nodes": "SELECT unnest(['li','h1']) AS tag, k AS n FROM (SELECT count(*) AS k FROM pages)",
-    "node_matches": "SELECT unnest(['div','nav']) AS tag, unnest([true,false]) AS matches, k AS n FROM (SELECT count(*) AS k FROM pages)",
+    "node_matches": f"""WITH c AS (SELECT page_id, {_n('<li>')} AS li, {_n('<a href="/t')} AS t, {_n('<div class="ad">')} AS div, {_n('<p>')} AS p, {_n('<br>')} AS br FROM pages),
+        r AS (SELECT page_id, unnest(['html','head','meta','title','style','script','body','nav','ul','article','h1','footer','li','a','div','p','br','b']) AS tag,
+            unnest([1,1,1,1,1,1,1,1,1,1,1,1,li,li,div,p,br,coalesce(n, 0)]) AS total, unnest([0,0,0,0,0,0,0,0,0,0,0,0,least(li, 1),t,div,br,0,0]) AS hit
+            FROM c LEFT JOIN ({BOLD}) USING (page_id))
+        SELECT page_id, tag, true AS matches, hit AS n FROM r WHERE hit > 0 UNION ALL SELECT page_id, tag, false, total - hit FROM r WHERE total > hit""",
     "list_children": f"SELECT page_id, {_n('<li>')} AS n_children FROM pages",
-    "edge_children": """SELECT unnest(['first','last','first element','last element']) AS which,
-        unnest(['NAV','FOOTER','NAV','FOOTER']) AS name, k AS n FROM (SELECT count(*) AS k FROM pages)""",
-    "sibling_axis": """SELECT unnest(['next','previous','next element of nav']) AS axis,
-        unnest(['ARTICLE','#comment','DIV']) AS name, k AS n FROM (SELECT count(*) AS k FROM pages)""",
+    "edge_children": ITEMS + """, c AS (SELECT page_id, count(*) AS k, sum(length(href))::BIGINT AS chars FROM items GROUP BY 1),
+        ends AS (SELECT unnest(['first','last','first_element','last_element']) AS axis, unnest(['NAV','FOOTER','NAV','FOOTER']) AS edge)
+        SELECT page_id, axis, edge AS name, 1::BIGINT AS n, 0::BIGINT AS n_chars FROM pages, ends
+        UNION ALL SELECT page_id, axis, 'LI', 1, 0 FROM c, ends UNION ALL SELECT page_id, axis, 'A', k, chars FROM c, ends""",
+    "sibling_axis": ITEMS + """, c AS (SELECT page_id, count(*) AS k FROM items GROUP BY 1),
+        r AS (SELECT page_id, unnest(['next','previous','after_nav']) AS axis, unnest(['ARTICLE','#comment','DIV']) AS name, 1 AS n FROM pages
+            UNION ALL SELECT page_id, 'next_item', 'LI', k - 1 FROM c UNION ALL SELECT page_id, 'previous_item', 'LI', k // 2 FROM c)
+        SELECT page_id, axis, name, n::BIGINT AS n FROM r WHERE n > 0""",
     "parent_axis": f"SELECT page_id, 'ul' AS tag, {_n('<li>')} AS n FROM pages",
     "ancestor_axis": f"SELECT page_id, unnest(['li','ul','nav','body','html']) AS tag, {_n('<li>')} AS n FROM pages",
     "descendant_axis": f"""SELECT page_id, unnest(['UL','LI','A','#text']) AS name, unnest([1, k, k, k]) AS n
         FROM (SELECT page_id, {_n('<li>')} AS k FROM pages)""",
     "descendant_counts": f"SELECT page_id, 3 * {_n('<li>')} AS n_descendants FROM pages",
-    "empty_nodes": """SELECT unnest(['p','p','input','textarea','form']) AS tag,
-        unnest([true,false,true,true,false]) AS is_empty, unnest([3*k,k,2*k,k,k]) AS n FROM (SELECT count(*) AS k FROM part)""",
+    "empty_nodes": """WITH k AS (SELECT * FROM (VALUES (0, 'P', false, 1), (0, '#text', true, 1), (1, 'P', true, 1), (1, '#text', true, 2), (1, '#comment', true, 1),
+            (2, 'DIV', false, 1), (2, 'P', true, 1), (3, 'UL', false, 1), (3, 'LI', false, 1), (3, 'BR', true, 1), (3, '#text', true, 1)) v(c, name, is_empty, n)
+            UNION ALL SELECT c, unnest(['HTML', 'HEAD', 'BODY']), unnest([false, true, false]), 1 FROM range(0, 4) t(c))
+        SELECT p_partkey AS page_id, name, is_empty, n::BIGINT AS n FROM part JOIN k ON c = p_size % 4""",
     "title_text": f"SELECT page_id, {_txt(_one('title'))} AS text FROM pages",
     "h1_text": f"SELECT page_id, {_txt(_one('h1'))} AS text FROM pages",
     "footer_text": f"SELECT page_id, {_txt(_one('footer'))} AS text FROM pages",
@@ -187,8 +209,8 @@ ORACLES = {
     "outline_nav": f"""SELECT page_id, unnest([3, 4, 5, 6])::BIGINT AS depth, unnest(['ul','li','a','#text']) AS name,
         unnest([1, k, k, k]) AS n FROM (SELECT page_id, {_n('<li>')} AS k FROM pages)""",
     "roundtrip": "SELECT page_id, true AS same_size, true AS same_nodes FROM pages",
-    "normalize_dom": _nav(NAV_OUT),
-    "normalize_for_display": f"SELECT page_id, 0::BIGINT AS n_comments, 0::BIGINT AS n_blank, {_n('<li>')} AS n_items FROM pages",
+    "normalize_dom": _parts_of_page(),
+    "normalize_for_display": _parts_of_page(),
     "audit_parts": """SELECT tag, attr, verdict, (SELECT count(*) FROM part) AS n FROM (VALUES
         ('div','onclick','dangerous'), ('div','class','ok'), ('div','data-k','ok'), ('a','href','dangerous'), ('a','title','ok'),
         ('a','href','ok'), ('a','target','ok'), ('a','style','ok'), ('x-card','size','ok'), ('x-card','onload','dangerous'),
@@ -204,8 +226,9 @@ ORACLES = {
             WHEN 'lang' THEN tag IN ('a','button') ELSE false END AS allowed,
           CASE attr WHEN 'hx-get' THEN true WHEN 'href' THEN tag = 'a' WHEN 'lang' THEN tag IN ('a','button') ELSE false END AS valid,
           attr <> 'onclick' AS known, CASE WHEN attr = 'hx-get' THEN 'HTMX' END AS framework FROM t""",
-    "allowed_attributes": """SELECT tag, n_attrs::BIGINT AS n_attrs FROM (VALUES ('a', 24), ('p', 61), ('meta', 21), ('li', 16)) t(tag, n_attrs)
-        WHERE EXISTS (SELECT 1 FROM pages WHERE regexp_matches(html, '<' || tag || '[ >]'))""",
+    "allowed_attributes": f"""WITH t AS ({TAGS}), c AS (SELECT tag, count(*) AS n FROM t WHERE tag <> 'b' GROUP BY 1 UNION ALL SELECT 'b', sum(n)::BIGINT FROM ({BOLD}))
+        SELECT tag, n AS n_nodes, CASE tag WHEN 'a' THEN 24 WHEN 'div' THEN 61 WHEN 'p' THEN 61 WHEN 'meta' THEN 21 ELSE 16 END::BIGINT AS n_attrs
+        FROM c WHERE tag NOT IN ('style', 'script')""",
     "dangerous_values": """WITH v AS (SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'JavaScript:' ELSE '' END || replace(url,'https:','') AS value FROM pages)
         SELECT page_id, value, starts_with(value,'JavaScript:') OR starts_with(value,'//') AS dangerous FROM v""",
     "safe_uri": """WITH r AS (SELECT page_id, url, regexp_replace(url,'^https?://[^/]*','') AS rel FROM pages),
@@ -239,7 +262,7 @@ ORACLES = {
     "set_inner_html_safe": _nav("'<nav><p id=\"z\">ok</p></nav>'"),
     "set_text": _nav(f"regexp_replace({NAV_OUT},'(?s)<li>.*?</li>','<li>a &lt; b</li>')"),
     "replace_children": _nav("'<nav><ul><li id=\"0\"></li></ul></nav>'"),
-    "replace_text": "SELECT page_id, 'Page ' || page_id AS text_content FROM pages",
+    "replace_text": "SELECT page_id, 'Page ' || page_id AS text_content, 'not a text node' AS error FROM pages",
     "copy_subtree": _nav(f"replace({NAV_OUT},'</ul>', regexp_extract({NAV_OUT},'(?s)(<li>.*?</li>)',1) || '</ul>')"),
     "clear_document": "SELECT page_id, regexp_extract(html,'(<html[^>]*>)',1) || '<head></head><body></body></html>' AS html FROM pages",
     "part_template_use": """SELECT p_partkey AS page_id, '<ul id="u" class="list"><li>' || p_name || '</li><li>' || p_type || '</li><li>'

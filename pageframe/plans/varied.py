@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import session
 from ..functions import node as N
-from ..operators import audit, rewrite, sanitize, serialize, shred, template
+from ..operators import audit, links, rewrite, sanitize, serialize, shred, template
 from ..sources import pages as P
 from ..streaming import chunks as stream
 from .oracles import ORACLES as KNOWN
@@ -106,6 +106,21 @@ def append_parsed(spark, sf):
     return serialize.outer_html(n, "ul").select("page_id", "outer_html")
 
 
+_LINKS = ["'<a href=\"../up\">x</a>'", "'<a href=\"./here/./x\">x</a>'", "'<a href=\"//cdn.example/a/../b?q=./\">x</a>'", "'<a href=\"?page=2\">x</a>'",
+          "concat('<a href=\"#', p_size, '\">x</a>')", "'<base href=\"/root/sub/\"><a href=\"../../../far?x=../y\">x</a>'", "'<a href=\"\">x</a>'",
+          "'<base href=\"https://other.example/k/l\"><base href=\"/no\"><a href=\"m/..\">x</a>'", "'<a href=\"/x/../../y/./\">x</a>'",
+          "'<a href=\"mailto:a@b/../c\">x</a><a href=\"plain\">y</a>'"]
+
+
+def resolved_links(spark, sf):
+    """Links of every form against addresses that vary, on pages with and without a base."""
+    url = "concat('http://part', p_partkey, '.example/a/b/c', p_size, '.html?x=1#top')"
+    part = session.tune(spark).read.parquet(f"{sf}/part.parquet")
+    choice = " ".join(f"WHEN {k} THEN {c}" for k, c in enumerate(_LINKS))
+    source = part.selectExpr("p_partkey AS page_id", f"{url} AS url", f"CASE p_size % {len(_LINKS)} {choice} END AS html")
+    return links.links(shred.shred(source, carry=["url"])).select("page_id", "href", "link_text", "target", "host")
+
+
 def stored_pages(spark, sf):
     """Pages read by the source, shredded, written back and read again."""
     source = P.read_pages(session.tune(spark), f"{sf}/pages.parquet")
@@ -152,13 +167,23 @@ def reassemble_sessions(spark, sf):
     return _drained(stream.reassemble(rows), "sessions").select("page_id", "html", "n_chunks", "error")
 
 
-QUERIES = [sanitize_emptied, sanitize_iframes, sanitize_unlisted, sanitize_templates, element_flags, name_tests, audit_verdicts,
+QUERIES = [resolved_links, sanitize_emptied, sanitize_iframes, sanitize_unlisted, sanitize_templates, element_flags, name_tests, audit_verdicts,
            append_parsed, stored_pages, stored_nodes, stream_normalized, stream_tokens, stream_sanitized, reassemble_sessions]
 REGISTRY = {q.__name__: q for q in QUERIES}
 
 _ITEMS = "(length(html) - length(replace(html, '<li>', ''))) // 4"
 _WHOLE = "ceil(length(html) / 300)::BIGINT"
+_PART_URL = "'http://part' || p_partkey || '.example"
 ORACLES = {
+    "resolved_links": """WITH r AS (SELECT p_partkey, """ + _cases(
+        "'../up'", "'./here/./x'", "'//cdn.example/a/../b?q=./'", "'?page=2'", "'#' || p_size", "'../../../far?x=../y'", "''", "'m/..'", "'/x/../../y/./'", "'plain'")
+        + " AS href, " + _cases(
+        f"{_PART_URL}/a/up'", f"{_PART_URL}/a/b/here/x'", "'http://cdn.example/b?q=./'", f"{_PART_URL}/a/b/c' || p_size || '.html?page=2'",
+        f"{_PART_URL}/a/b/c' || p_size || '.html?x=1#' || p_size", f"{_PART_URL}/far?x=../y'", f"{_PART_URL}/a/b/c' || p_size || '.html?x=1'",
+        "'https://other.example/k/'", f"{_PART_URL}/y/'", f"{_PART_URL}/a/b/plain'")
+        + """ AS target, p_size % 10 = 9 AS mail FROM part)
+        SELECT p_partkey AS page_id, href, CASE WHEN mail THEN 'y' ELSE 'x' END AS link_text, target, regexp_extract(target, '//([^/]*)', 1) AS host FROM r
+        UNION ALL SELECT p_partkey, 'mailto:a@b/../c', 'x', 'mailto:a@b/../c', NULL FROM r WHERE mail""",
     "sanitize_emptied": f"SELECT p_partkey AS page_id, h AS by_tree, h AS by_column FROM (SELECT p_partkey, {_cases(chr(39) * 2, chr(39) * 2, 'NULL', '''('<p>' || p_name || '</p>')''')} AS h FROM part)",
     "sanitize_iframes": "SELECT p_partkey AS page_id, " + _cases(
         "'<iframe sandbox src=\"https://example.com/' || p_partkey || '\">' || p_name || '</iframe>'", "''",

@@ -103,3 +103,81 @@ def test_axes(spark):
     kids = [r.node_id for r in axes.child_nodes(n, ul).orderBy("pre").collect()]
     assert [links[k] for k in kids] == [(kids[i - 1] if i else None, kids[i + 1] if i < 4 else None) for i in range(5)]
     n.unpersist()
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+ONE_PASS = ["edge_children", "sibling_axis", "parent_axis", "list_children", "select_within", "filter_nodes", "node_matches", "ancestor_axis",
+            "descendant_axis", "page_roots", "page_matches", "link_hosts", "page_links", "elements_by_id_name", "replace_text"]
+
+
+@pytest.mark.parametrize("name", ONE_PASS)
+def test_one_scan_and_one_kernel(spark, name):
+    from pageframe.plans import queries
+    plan = plan_of(queries.REGISTRY[name](spark, "/root/testdata/sf0.001"))
+    assert plan.count("Relation [") == 1 and plan.count("_page_tree(") <= 2, plan   # the kernel, and once more where its column is named
+    assert "Join" not in plan
+
+
+def test_axes_of_selections_of_every_kind(spark):
+    """A Column, a selector and a table of keys give the same rows; several steps give what each gives alone."""
+    n = nodes(spark, "<ul id=u>a<li>1<li class=x>2 <b>3</b><!--c--><li>4</ul><p>q<p class=x>r<template><i>t<b>u</b></i></template>", "<p>z").cache()
+    for axis in [*axes._UP, *axes._DOWN, *axes._ALONG]:
+        for column, selector in ((F.col("tag") == "li", "li"), (F.array_contains("classes", "x") & (F.col("tree_id") == 0), ".x"), (F.col("tag") == "body", "body")):
+            step = getattr(axes, axis)
+            want = sorted(map(str, step(n, column).collect()))
+            assert want == sorted(map(str, step(n, selector).collect())) == sorted(map(str, step(n, n.filter(column)).collect()))
+            both = axes.walk(n, one=(axis, column), two=("children", F.lit(True)), three=("parent", F.col("tag") == "b"), four=("previous_sibling", "b, li"))
+            assert sorted(map(str, both.filter("axis = 'one'").drop("axis").collect())) == want
+    with pytest.raises(ValueError):
+        axes.walk(n, step=("uncle", "li"))
+
+
+def test_axes_equal_brute_force(spark):
+    n = nodes(spark, "<div><p>1<b>2</b>3<!--4--></p><p><i>5</i><i>6</i></p></div><template><p>7<q>8</q></p>9</template>" * 3).cache()
+    rows = n.collect()
+    by = {(r.tree_id, r.node_id): r for r in rows}
+    family = {}
+    for r in sorted(rows, key=lambda r: r.pre):
+        family.setdefault((r.tree_id, r.parent_id), []).append(r)
+
+    def beside(r, by_, elements):
+        line = [x for x in family[r.tree_id, r.parent_id] if not elements or x.node_type == "element"]
+        at = next((i for i, x in enumerate(line) if x.node_id == r.node_id), None)
+        return [] if at is None or not 0 <= at + by_ < len(line) else [line[at + by_]]
+
+    def kids(r, elements):
+        return [x for x in family.get((r.tree_id, r.node_id), []) if not elements or x.node_type == "element"]
+    expected = {
+        "parent": lambda r: [by[r.tree_id, r.parent_id]] if r.parent_id is not None else [],
+        "child_nodes": lambda r: kids(r, False), "children": lambda r: kids(r, True), "first_child": lambda r: kids(r, False)[:1],
+        "last_child": lambda r: kids(r, False)[-1:], "first_element_child": lambda r: kids(r, True)[:1], "last_element_child": lambda r: kids(r, True)[-1:],
+        "next_sibling": lambda r: beside(r, 1, False), "previous_sibling": lambda r: beside(r, -1, False),
+        "next_element_sibling": lambda r: beside(r, 1, True), "previous_element_sibling": lambda r: beside(r, -1, True)}
+    for axis, of in expected.items():
+        got = sorted((r.tree_id, r.of_node_id, r.node_id) for r in getattr(axes, axis)(n, F.lit(True)).collect())
+        assert got == sorted((r.tree_id, r.node_id, x.node_id) for r in rows for x in of(r)), axis
+    inside = lambda a, r: a.tree_id == r.tree_id and a.pre < r.pre <= a.last
+    pairs = sorted((a.tree_id, a.node_id, r.node_id) for a in rows for r in rows if a.node_type == "element" and inside(a, r))
+    assert sorted((r.tree_id, r.node_id, r.of_node_id) for r in axes.ancestors(n, F.lit(True)).collect()) == pairs
+    assert sorted((r.tree_id, r.of_node_id, r.node_id) for r in axes.descendants(n, F.col("node_type") == "element").collect()) == pairs
+    flagged = {(r.tree_id, r.node_id) for r in axes.flag_children(n, F.col("tag") == "p", "below").filter("below").collect()}
+    assert flagged == {(r.tree_id, r.node_id) for r in rows if r.parent_id is not None and by[r.tree_id, r.parent_id].tag == "p"}
+
+
+def test_node_sets_nest(spark):
+    """Roots within roots, roots that match themselves, template roots: once per (root, match)."""
+    n = nodes(spark, "<div id=a><div id=b><p>1<p id=c>2</div><p>3</div><p>4<template><div id=d><p>5</div></template>").cache()
+    rows = n.collect()
+    roots = [r for r in rows if r.tag in ("div", "p")]
+    want = sorted((a.node_id, r.node_id) for a in roots for r in rows
+                  if r.tag in ("p", "div") and r.tree_id == 0 == a.tree_id and a.pre <= r.pre <= a.last)
+    for where in (F.col("tag").isin("div", "p"), n.filter("tag in ('div', 'p')")):
+        got = select.select_within(n, where, "p, div", name=F.col("tag")).collect()
+        assert sorted((r.root_node_id, r.node_id) for r in got) == want
+        assert {r.name for r in got} == {"div", "p"}
+    assert select.select_within(n, "div, p", "p, div").count() == len(want)
+    assert {r.id for r in select.filter_nodes(n, "div, p", "div > p + p, #a").collect()} == {"a", "c"}
+    assert select.node_matches(n, F.col("tag") == "p", "p:first-child").filter("matches").count() == 1
