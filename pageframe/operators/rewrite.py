@@ -8,6 +8,8 @@ in a single pass; only DataFrame selections cost a join.
 from __future__ import annotations
 
 from functools import reduce
+from operator import or_
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -124,10 +126,10 @@ def new_comment(value) -> Column: return _literal("comment", text=value)
 
 # -- insertion ----------------------------------------------------------------------------------------------
 
-def _insert(nodes: DataFrame, hit: str, frags: Column, position: str) -> DataFrame:
-    """Place fragments (array of node arrays) at a position of every flagged row, then renumber."""
-    if position not in POSITIONS:
-        raise ValueError(f"unknown insert position: {position}")
+def _fresh(j: int, hit: str, position: str) -> str:
+    """The nodes that edit ``j`` puts at a flagged row, as SQL text: fragments ``_frags{j}`` with keys in the gap they go to.
+
+    Of edits at one gap the later ones come nearer to the node they were named by, as if applied one after the other."""
     inside = position in ("afterbegin", "beforeend")
     anchor, side = {
         "beforebegin": (f"{OPEN_AT} - 1", 1), "afterbegin": (OPEN_AT, 0),
@@ -145,15 +147,27 @@ def _insert(nodes: DataFrame, hit: str, frags: Column, position: str) -> DataFra
         "parent_id": "CASE WHEN f.parent_id IS NULL AND f.tree_id = 0 THEN "
                      + ("node_id" if inside else "parent_id") + " ELSE f.parent_id END",
     }
-    key = lambda at: f"array({anchor}, {side}, seq, {at})"
+    key = lambda at: f"array({anchor}, {side}, {j if side else -j}, seq, {at})"
     added = ", ".join([
         *[f"{value.get(c, 'f.' + c)} AS {c}" for c in _FIELDS],
         f"{key('2 * f.pre - f.depth')} AS _k", f"{key('2 * f.last - f.depth + 1')} AS _c", "true AS _new",
         "f.parent_id IS NOT NULL OR f.tree_id <> 0 AS _rel", "f.tree_id <> 0 AS _own",
         "CASE WHEN i = 0 THEN array_max(transform(frag, x -> x.node_id)) + 1 END AS _block"])
-    fresh = (f"CASE WHEN {target} THEN flatten(transform(_frags, (frag, seq) -> "
-             f"transform(frag, (f, i) -> struct({added})))) END")
-    slots = nodes.withColumn("_frags", frags).selectExpr("page_id", *_FIELDS, f"{fresh} AS _fresh").selectExpr(
+    return (f"CASE WHEN {target} THEN flatten(transform(_frags{j}, (frag, seq) -> "
+            f"transform(frag, (f, i) -> struct({added})))) END")
+
+
+def _insert_all(nodes: DataFrame, edits: list) -> DataFrame:
+    """Place fragments (arrays of node arrays) at positions of flagged rows: (flag, fragments, position) each, in order.
+
+    All edits share one renumbering: their nodes get keys inside the gaps of the table as given."""
+    for _, _, position in edits:
+        if position not in POSITIONS:
+            raise ValueError(f"unknown insert position: {position}")
+    fresh = [_fresh(j, hit, position) for j, (hit, _, position) in enumerate(edits)]
+    whole = fresh[0] if len(fresh) == 1 else "concat({})".format(", ".join(f"coalesce({x}, array())" for x in fresh))
+    slots = nodes.withColumns({f"_frags{j}": frags for j, (_, frags, _) in enumerate(edits)}).selectExpr(
+        "page_id", *_FIELDS, f"{whole} AS _fresh").selectExpr(
         "page_id", *_FIELDS, "explode(CASE WHEN size(_fresh) > 0 THEN concat(slice(array(NULL, _fresh[0]), 1, 1), _fresh) "
         "ELSE slice(array(NULL, try_element_at(_fresh, 1)), 1, 1) END) AS _x")
     own = {"_k": f"array({OPEN_AT})", "_c": f"array({CLOSE_AT})", "_new": "false", "_rel": "false", "_own": "false", "_block": "NULL"}
@@ -169,22 +183,73 @@ def _insert(nodes: DataFrame, hit: str, frags: Column, position: str) -> DataFra
     return _renumber(rows, "_k", "_c")
 
 
-def _as_frags(value) -> Column:
-    return F.array(value if isinstance(value, Column) else F.lit(value))
+def _insert(nodes: DataFrame, hit: str, frags: Column, position: str) -> DataFrame:
+    return _insert_all(nodes, [(hit, frags, position)])
+
+
+# -- several edits at once ------------------------------------------------------------------------------------
+
+class Edit(NamedTuple):
+    """One step of :func:`edit`; ``position`` is one of POSITIONS, ``inside`` (replace the content) or ``remove``."""
+    where: object
+    position: str
+    value: object = None
+    mode: str | None = None
+
 
+def insert(where, position: str, value, mode=None) -> Edit:
+    """Put markup (a string), a literal, a fragment column or a list of those next to or inside the selected nodes."""
+    if position not in POSITIONS:
+        raise ValueError(f"unknown insert position: {position}")
+    return Edit(where, position, value, mode)
+
+
+def replace_content(where, value, mode=None) -> Edit: return Edit(where, "inside", value, mode)
+def remove(where) -> Edit: return Edit(where, "remove")
+
+
+def _flag_all(nodes: DataFrame, wheres: list) -> tuple[DataFrame, list]:
+    """Mark several selections in one pass; equal selectors are evaluated once."""
+    names, seen = [], {}
+    for i, where in enumerate(wheres):
+        key = where if isinstance(where, str) else i
+        if key not in seen:
+            seen[key] = f"_e{i}"
+            nodes = mark(nodes, where, seen[key])
+        names.append(seen[key])
+    return nodes, names
 
-def insert_adjacent_element(nodes: DataFrame, where, position: str, element: Column) -> DataFrame:
-    """Insert a node literal or fragment column next to or inside every selected node."""
-    return _insert(mark(nodes, where), "_hit", _as_frags(element), position)
+
+def edit(nodes: DataFrame, *steps: Edit) -> DataFrame:
+    """Several edits with one renumbering and no further shuffle.
+
+    Every selection refers to ``nodes`` as given: no step sees what another inserted, and what is put at a node that
+    another step removes goes with it.  Otherwise the result is that of the steps one after the other."""
+    rows, flags = _flag_all(nodes, [s.where for s in steps])
+    upto = Window.partitionBy("page_id").orderBy("pre").rowsBetween(Window.unboundedPreceding, 0)
+    before = upto.rowsBetween(Window.unboundedPreceding, -1)
+    for name, kind, window in (("_gone", "remove", upto), ("_emptied", "inside", before)):
+        hit = [F.col(f) for s, f in zip(steps, flags) if s.position == kind]
+        if hit:
+            rows = rows.withColumn(name, F.max(F.when(reduce(or_, hit), F.col("last"))).over(window))
+            rows = rows.filter(F.col(name).isNull() | (F.col(name) < F.col("pre")))
+    placed = []
+    for step, flag in zip(steps, flags):
+        if step.position != "remove":
+            rows, frags = _frags_of(rows, step.value, step.mode)
+            placed.append((flag, frags, "afterbegin" if step.position == "inside" else step.position))
+    return _insert_all(rows, placed) if placed else renumber_kept(_plain(rows))
+
+
+def insert_adjacent_element(nodes: DataFrame, where, position: str, element) -> DataFrame:
+    """Insert a node literal, fragment column or :func:`markup` (or a list of them) next to or inside every selected node."""
+    return edit(nodes, insert(where, position, element))
 
 
 def insert_before(nodes, where, element): return insert_adjacent_element(nodes, where, "beforebegin", element)
 def insert_after(nodes, where, element): return insert_adjacent_element(nodes, where, "afterend", element)
 def append_child(nodes, where, element): return insert_adjacent_element(nodes, where, "beforeend", element)
-
-
-def append_children(nodes: DataFrame, where, elements: list) -> DataFrame:
-    return _insert(mark(nodes, where), "_hit", F.array(*elements), "beforeend")
+def append_children(nodes: DataFrame, where, elements: list) -> DataFrame: return append_child(nodes, where, elements)
 
 
 def append_fragment(nodes: DataFrame, where, fragment: Column) -> DataFrame:
@@ -192,21 +257,59 @@ def append_fragment(nodes: DataFrame, where, fragment: Column) -> DataFrame:
     return append_child(nodes, where, fragment)
 
 
-def fragment_literal(spark, html: str) -> Column:
-    """A plan-time markup string as a constant fragment: parsed once, folded into the plan."""
-    one = spark.range(1).select(fragment_nodes(F.lit(html)).alias("f"))
-    text = one.select(F.to_json("f", {"ignoreNullFields": "false"})).first()[0]
-    return F.from_json(F.lit(text), one.schema["f"].dataType)
+def fragment_literal(spark, html: str, mode=None) -> Column:
+    """Markup as a constant fragment: parsed (and sanitised by ``mode``) once, by a subquery of the query that uses it."""
+    one = spark.range(0, 1, 1, 1).select(fragment_nodes(F.lit(html)).alias("f"))
+    if mode is not None:
+        from .sanitize import sanitize_fragment
+        one = sanitize_fragment(one, "f", mode)
+    return one.select("f").scalar()
+
+
+class Markup(NamedTuple):
+    """Markup with places; see :func:`markup`."""
+    html: str
+    mode: str | None
+    values: dict
+
+
+def markup(html: str, mode=None, **values: Column) -> Markup:
+    """A fragment whose ``{name}`` places are filled row by row: parsed (and sanitised) once, the values are data and add
+    no markup.  Places may stand in text, comments and attribute values; a null value leaves nothing there."""
+    return Markup(html, mode, values)
+
+
+def _frags_of(rows: DataFrame, value, mode=None) -> tuple[DataFrame, Column]:
+    """Fragments of one edit's value (a string, :class:`Markup`, literal, fragment column or a list of those), and the
+    rows with the constant fragments they need."""
+    out = []
+    for v in value if isinstance(value, list) else [value]:
+        if isinstance(v, str):
+            v = Markup(v, mode, {})
+        if not isinstance(v, Markup):
+            out.append(v if isinstance(v, Column) else F.lit(v))
+            continue
+        name = f"_constant{sum(c.startswith('_constant') for c in rows.columns)}"
+        html, marks = v.html, {n: f"\ue000{i}\ue001" for i, n in enumerate(v.values)}
+        for n, mark_ in marks.items():
+            html = html.replace("{" + n + "}", mark_)
+        rows = rows.withColumn(name, fragment_literal(rows.sparkSession, html, v.mode))
+
+        def fill(text: Column) -> Column:
+            return reduce(lambda t, n: F.replace(t, F.lit(marks[n]), F.coalesce(v.values[n].cast("string"), F.lit(""))), v.values, text)
+
+        def one(f):
+            attrs = F.transform(f["attrs"], lambda a: F.struct(a["name"].alias("name"), fill(a["value"]).alias("value")))
+            return F.struct(*[{"text": fill(f["text"]), "attrs": attrs}.get(n, f[n]).alias(n) for n in _FIELDS])
+        out.append(F.transform(name, one) if v.values else F.col(name))
+    return rows, F.array(*out)
 
 
 def _insert_html(nodes, where, html, mode):
-    marked = mark(nodes, where)
-    if isinstance(html, str):
-        frag = fragment_literal(nodes.sparkSession, html)
-    else:
-        frag = fragment_nodes(F.when(F.col("_hit"), html))
+    marked, given = mark(nodes, where), isinstance(html, str)
+    frag = fragment_literal(nodes.sparkSession, html, mode) if given else fragment_nodes(F.when(F.col("_hit"), html))
     marked = marked.withColumn("_frag", F.when(F.col("_hit"), frag))
-    if mode is not None:
+    if mode is not None and not given:
         from .sanitize import sanitize_fragment
         marked = sanitize_fragment(marked, "_frag", mode)
     return marked
@@ -229,9 +332,8 @@ def set_inner_html_safe(nodes: DataFrame, where, html, mode="strict") -> DataFra
     return set_inner_html(nodes, where, html, mode)
 
 
-def replace_children(nodes: DataFrame, where, element: Column) -> DataFrame:
-    marked = drop_subtrees(mark(nodes, where), "_hit", keep_root=True)
-    return _insert(marked, "_hit", _as_frags(element), "afterbegin")
+def replace_children(nodes: DataFrame, where, element) -> DataFrame:
+    return edit(nodes, replace_content(where, element))
 
 
 def set_text(nodes: DataFrame, where, value) -> DataFrame:
@@ -306,14 +408,79 @@ def _attach(nodes: DataFrame, where, frags: DataFrame) -> DataFrame:
     return mark(nodes, where).join(frags, "page_id", "left")
 
 
+def _graft(nodes: DataFrame, source, target, position: str, times: int = 1, contents: bool = False) -> DataFrame:
+    """Copies of the ``source`` subtrees (or the contents of the selected templates) at every target of their page.
+
+    One pass and one tree: a row stays, and comes again for each selected subtree that holds it (a stack of open
+    subtrees along document order tells which) and each target, under keys in the gap it goes to.  Rows of the
+    page's targets are short lists; no page is gathered."""
+    if position not in POSITIONS:
+        raise ValueError(f"unknown insert position: {position}")
+    inside = position in ("afterbegin", "beforeend")
+    anchor, side = {"beforebegin": (f"{OPEN_AT} - 1", 1), "afterbegin": (OPEN_AT, 0),
+                    "beforeend": (f"{CLOSE_AT} - 1", 1), "afterend": (CLOSE_AT, 0)}[position]
+    rows, (src, dst) = _flag_all(nodes, [source, target])
+    rows = rows.select("page_id", *_FIELDS, F.col(src).alias("_src"), F.col(dst).alias("_dst"))
+    if contents:
+        # The owner of a content tree meets its top rows in one window over (page, owner).
+        give = F.col("_src") & (F.col("tag") == "template") & (F.col("ns") == "html")
+        role = F.explode(F.when(give, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1))))
+        rows = rows.withColumn("_role", role).withColumn("_fam", F.when(F.col("_role") == 0, F.col("node_id")).when(
+            F.col("parent_id").isNull() & (F.col("tree_id") > 0), F.col("owner_id")))
+        met = F.col("_fam").isNotNull() & (F.min("_role").over(Window.partitionBy("page_id", "_fam")) == 0)
+        rows = rows.withColumn("_src", met).filter("_role = 1").drop("_role", "_fam")
+    # Per page: its targets in order, the selected subtrees' levels, and room for new node numbers.
+    raw = f"coalesce(tag IN ({', '.join(repr(t) for t in RAW_TEXT)}), false)"
+    keep = f"coalesce(tag IN ({', '.join(repr(t) for t in PRESERVE_TAGS)}), false)"
+    own = (lambda name, test: name) if inside else (lambda name, test: f"{name} AND NOT coalesce({test}, false)")
+    spot = F.expr(f"""named_struct('at', {anchor}, 'up', {'node_id' if inside else 'parent_id'}, 'tree', tree_id, 'owner', owner_id,
+        'svg', {own('in_svg', "tag = 'svg'")}, 'ws', {own('preserve_ws', keep)}, 'body', {own('in_body', "tag = 'body'")},
+        'raw', {raw if inside else 'false'})""")
+    hit = F.col("_dst") if inside else F.col("_dst") & F.col("parent_id").isNotNull()
+    page, order = Window.partitionBy("page_id"), Window.partitionBy("page_id").orderBy("pre").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumns({
+        "_spots": F.array_sort(F.collect_list(F.when(hit, spot)).over(page)),
+        "_levels": F.collect_set(F.when(F.col("_src"), F.col("depth"))).over(page),
+        "_n": F.count_if("_src").over(page), "_stride": F.max(F.greatest("node_id", "tree_id")).over(page) + 1})
+    rows = rows.withColumn("_i", F.count_if("_src").over(order))
+    # Roles: 0 opens a subtree at its depth, 1 reads the stack at a depth, 2 is the row itself.
+    entry = lambda role, level: F.struct(F.lit(role).alias("role"), level.cast("int").alias("level"))
+    none = F.array().cast("array<struct<role:int,level:int>>")
+    reads = F.transform(F.filter("_levels", lambda level: level <= F.col("depth")), lambda level: entry(1, level))
+    spread = F.concat(F.array(entry(2, F.lit(None))), F.when(F.col("_src"), F.array(entry(0, F.col("depth")))).otherwise(none), reads)
+    rows = rows.withColumn("_e", F.explode(spread)).drop("_levels").withColumns({"_role": F.col("_e.role"), "_level": F.col("_e.level")}).drop("_e")
+    opened = F.last(F.when(F.col("_role") == 0, F.struct("pre", "last", "depth", "tree_id", "node_id", "_i")), ignorenulls=True).over(
+        Window.partitionBy("page_id", "_level").orderBy("pre", "_role").rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.withColumn("_g", F.when(F.col("_role") == 1, opened)).filter("_role = 2 OR (_role = 1 AND _g.last >= pre)")
+    # Copies: number (target, repeat, subtree), keys in the target's gap.
+    copy = "((t * {times} + r) * _n + _g._i - 1)".format(times=int(times))
+    key = lambda at: f"array(s.at, {side}, r, int(_g._i), {at})"
+    top, same = "node_id = _g.node_id", "tree_id = _g.tree_id"
+    value = {
+        "node_id": f"int(({copy} + 1) * _stride + node_id)",
+        "parent_id": f"CASE WHEN {top} THEN s.up ELSE int(({copy} + 1) * _stride + parent_id) END",
+        "tree_id": f"CASE WHEN {same} THEN s.tree ELSE int(({copy} + 1) * _stride + tree_id) END",
+        "owner_id": f"CASE WHEN {same} THEN s.owner ELSE int(({copy} + 1) * _stride + owner_id) END",
+        "in_svg": "in_svg OR s.svg", "preserve_ws": "preserve_ws OR s.ws", "in_body": "in_body OR s.body",
+        "raw_text": f"raw_text OR ({top} AND node_type = 'text' AND s.raw)"}
+    fields = lambda given, k, c: "named_struct({}, '_k', {}, '_c', {})".format(", ".join(f"'{n}', {given.get(n, n)}" for n in _FIELDS), k, c)
+    relative = [f"2 * (pre - _g.pre) - (depth - _g.depth)", "2 * (last - _g.pre) - (depth - _g.depth) + 1"]
+    made = f"""CASE WHEN _role = 2 THEN array({fields({}, f"array({OPEN_AT})", f"array({CLOSE_AT})")})
+        ELSE flatten(transform(_spots, (s, t) -> transform(sequence(0, {int(times)} - 1), r -> {fields(value, key(relative[0]), key(relative[1]))}))) END"""
+    rows = rows.selectExpr("page_id", f"inline({made})")
+    return _renumber(rows, "_k", "_c")
+
+
 def copy_subtree(nodes: DataFrame, source, target, position: str = "beforeend",
                  pages: DataFrame | None = None) -> DataFrame:
     """Deep-copy the ``source`` selection to every target of the same page.
 
-    ``pages(page_id, from_page_id)`` imports from another page instead."""
+    ``pages(page_id, from_page_id)`` imports from another page instead: the source subtrees travel to the pages that
+    ask for them, which costs a join and a second reading of unstored nodes."""
+    if pages is None:
+        return _graft(nodes, source, target, position)
     frags = subtrees(nodes, source)
-    if pages is not None:
-        frags = pages.join(frags.withColumnRenamed("page_id", "from_page_id"), "from_page_id").select("page_id", "frags")
+    frags = pages.join(frags.withColumnRenamed("page_id", "from_page_id"), "from_page_id").select("page_id", "frags")
     return _insert(_attach(nodes, target, frags), "_hit", F.col("frags"), position)
 
 
@@ -321,16 +488,17 @@ def instantiate_template(nodes: DataFrame, templates, target, times: int = 1, mo
     """Clone the contents of the selected template elements under every target, ``times`` times each.
 
     Selected nodes that are not templates contribute nothing."""
-    source = nodes
-    if mode is not None:
-        from .sanitize import sanitize
-        source = sanitize(nodes, mode)
+    if times < 1:
+        return _plain(nodes)
+    if mode is None:
+        return _graft(nodes, templates, target, "beforeend", times, contents=True)
+    from .sanitize import sanitize
     is_template = (F.col("tag") == "template") & (F.col("ns") == "html")
     if isinstance(templates, Column):
         templates = templates & is_template
     elif isinstance(templates, DataFrame):
         templates = templates.filter(is_template) if "tag" in templates.columns else templates
-    frags = subtrees(source, templates, contents=True)
+    frags = subtrees(sanitize(nodes, mode), templates, contents=True)
     repeated = F.flatten(F.array_repeat(F.col("frags"), times))
     return _insert(_attach(nodes, target, frags.select("page_id", repeated.alias("frags"))), "_hit",
                    F.col("frags"), "beforeend")

@@ -259,7 +259,14 @@ ORACLES = {
     "insert_nested_siblings": _nav(f"replace({NAV_OUT},'<li>','<hr><li>')"),
     "remove_ads": f"SELECT page_id, 0::BIGINT AS n_div, {_n('<li>')} - 1 AS n_li, true AS dense FROM pages",
     "set_inner_html": _nav("'<nav><b>page ' || page_id || '<i>x</i></b></nav>'"),
-    "set_inner_html_safe": _nav("'<nav><p id=\"z\">ok</p></nav>'"),
+    "set_inner_html_safe": _nav("'<nav><p id=\"p' || page_id || '\">ok ' || page_id || '</p></nav>'"),
+    "edit_log": ITEMS + f"""SELECT page_id, '<nav><ul>' || string_agg('<li id="p' || page_id || '">new ' || length(url) || '</li><!--second--><li><a href="' || href || '">'
+        || CASE i WHEN 1 THEN '<b>first</b>' ELSE {_ser('txt')} END || '</a></li>', '' ORDER BY i) || '</ul>later<p>end</p></nav>' AS outer_html
+        FROM items WHERE i % 2 = 1 GROUP BY page_id""",
+    "import_subtree": f"""WITH n AS (SELECT page_id, {NAV_OUT} AS nav FROM pages)
+        SELECT n.page_id, replace(n.nav, '<ul>', '<ul>' || coalesce(regexp_extract(b.nav, '(?s)(<li>.*?</li>)', 1), '')) AS outer_html
+        FROM n LEFT JOIN n b ON b.page_id = n.page_id - 1""",
+    "insert_parsed": "SELECT p_partkey AS page_id, '<p><b>' || p_partkey || '<i></i></b>' || p_name || '</p>' AS inner_html FROM part",
     "set_text": _nav(f"regexp_replace({NAV_OUT},'(?s)<li>.*?</li>','<li>a &lt; b</li>')"),
     "replace_children": _nav("'<nav><ul><li id=\"0\"></li></ul></nav>'"),
     "replace_text": "SELECT page_id, 'Page ' || page_id AS text_content, 'not a text node' AS error FROM pages",

@@ -484,11 +484,9 @@ def remove_hrefs(spark, sf): return _nav_after(rewrite.remove_attribute(nodes(sp
 
 
 def set_from_table(spark, sf):
-    """Values from a join: every link of a page carries the page's url."""
-    p = pages(spark, sf)
-    n = shred.shred(p)
-    sel = select.select_all(n, "nav a").select("page_id", "tree_id", "node_id").join(p.select("page_id", "url"), "page_id")
-    return _nav_after(rewrite.set_attributes(n, sel, {"data-from": F.col("url")}))
+    """Values of the page's own row: every link of a page carries the page's url."""
+    n = shred.shred(pages(spark, sf), carry=["url"])
+    return _nav_after(rewrite.set_attributes(n, "nav a", {"data-from": F.col("url")}))
 
 
 def add_class_ads(spark, sf):
@@ -507,16 +505,25 @@ def class_edits(spark, sf):
 
 
 def insert_banner(spark, sf):
-    banner = F.concat(F.lit('<aside class="banner">'), F.col("page_id").cast("string"), F.lit("<br>!</aside>"))
-    n = rewrite.insert_adjacent_html(nodes(spark, sf), "div.ad", "beforebegin", banner)
+    banner = rewrite.markup('<aside class="banner">{page}<br>!</aside>', page=F.col("page_id"))
+    n = rewrite.insert_adjacent_element(nodes(spark, sf), "div.ad", "beforebegin", banner)
     return serialize.outer_html(n, "nav ~ aside").select("page_id", "outer_html", _long("elem_idx"))
 
 
 def insert_items(spark, sf):
-    n = rewrite.insert_adjacent_html(nodes(spark, sf), "nav ul", "afterbegin", "<li>first</li>")
-    n = rewrite.append_children(n, "nav ul", [rewrite.new_element("li", {"class": "end"}), rewrite.new_comment(" c ")])
-    n = rewrite.insert_after(n, "nav ul", rewrite.new_text("t<"))
-    return _nav_after(n)
+    return _nav_after(rewrite.edit(
+        nodes(spark, sf), rewrite.insert("nav ul", "afterbegin", "<li>first</li>"),
+        rewrite.insert("nav ul", "beforeend", [rewrite.new_element("li", {"class": "end"}), rewrite.new_comment(" c ")]),
+        rewrite.insert("nav ul", "afterend", rewrite.new_text("t<"))))
+
+
+def edit_log(spark, sf):
+    """Insertions, replacements and removals of many selections, applied at once."""
+    item = rewrite.markup("<li id='p{page}'>new {url}</li>", page=F.col("page_id"), url=F.length("url"))
+    return _nav_after(rewrite.edit(
+        shred.shred(pages(spark, sf), carry=["url"]), rewrite.remove("nav li:nth-child(even)"), rewrite.insert("nav li:nth-child(odd)", "beforebegin", item),
+        rewrite.insert("nav li:nth-child(odd)", "beforebegin", rewrite.new_comment("second")), rewrite.replace_content("nav li:first-child a", "<b>first</b>"),
+        rewrite.insert("nav ul", "afterend", "<p onclick=x>end<script>s</script></p>", mode="strict"), rewrite.insert("nav ul", "afterend", rewrite.new_text("later"))))
 
 
 def insert_nested_siblings(spark, sf):
@@ -536,8 +543,8 @@ def set_inner_html(spark, sf):
 
 
 def set_inner_html_safe(spark, sf):
-    n = rewrite.set_inner_html_safe(nodes(spark, sf), "nav", F.lit("<script>x</script><p onclick='y' id=z>ok</p>"), "strict")
-    return _nav_after(n)
+    content = rewrite.markup("<script>x</script><p onclick='y' id='p{page}'>ok {page}</p>", mode="strict", page=F.col("page_id"))
+    return _nav_after(rewrite.edit(nodes(spark, sf), rewrite.replace_content("nav", content)))
 
 
 def set_text(spark, sf): return _nav_after(rewrite.set_text(nodes(spark, sf), "nav li:first-child", "a < b"))
@@ -556,8 +563,14 @@ def replace_text(spark, sf):
 
 
 def copy_subtree(spark, sf):
-    n = nodes(spark, sf)
-    return _nav_after(rewrite.copy_subtree(n, "nav li:first-child", "nav ul"))
+    return _nav_after(rewrite.copy_subtree(nodes(spark, sf), "nav li:first-child", "nav ul"))
+
+
+def import_subtree(spark, sf):
+    """The first item of the page before (by number) is imported into every list."""
+    p = pages(spark, sf)
+    before = p.select("page_id", (F.col("page_id") - 1).alias("from_page_id"))
+    return _nav_after(rewrite.copy_subtree(shred.shred(p), "nav li:first-child", "nav ul", "afterbegin", pages=before))
 
 
 def clear_document(spark, sf):
@@ -587,8 +600,14 @@ def parse_and_append(spark, sf):
 
 def append_fragment(spark, sf):
     rows = F.concat(F.lit("<tr><td>"), F.col("page_id").cast("string"), F.lit("<tr><td>2"))
-    n = part_nodes(spark, sf, "<table><tbody></table>{p_name}")
-    n = rewrite.insert_adjacent_html(n, "tbody", "beforeend", rows)
+    n = rewrite.append_fragment(part_nodes(spark, sf, "<table><tbody></table>{p_name}"), "tbody", shred.fragment_nodes(rows))
+    return serialize.inner_html(n, F.col("tag") == "body").select("page_id", "inner_html")
+
+
+def insert_parsed(spark, sf):
+    """Markup that varies by row is parsed row by row."""
+    rows = F.concat(F.lit("<b>"), F.col("page_id").cast("string"), F.lit("<script>x</script><i onclick=y>"))
+    n = rewrite.insert_adjacent_html(part_nodes(spark, sf, "<p>{p_name}"), "p", "afterbegin", rows, mode="strict")
     return serialize.inner_html(n, F.col("tag") == "body").select("page_id", "inner_html")
 
 
@@ -671,8 +690,8 @@ QUERIES = [
     normalize_for_display, audit_parts, audit_joined, attribute_rules, allowed_attributes, dangerous_values, safe_uri,
     scan_pages, sanitize_strict_parts, sanitize_permissive_parts, sanitize_minimum_parts, sanitize_none_parts,
     sanitize_custom_parts, sanitize_snippets, sanitized_text, sanitized_counts, set_nofollow, remove_hrefs,
-    set_from_table, add_class_ads, class_edits, insert_banner, insert_items, insert_nested_siblings, remove_ads,
-    set_inner_html, set_inner_html_safe, set_text, replace_children, replace_text, copy_subtree, clear_document,
+    set_from_table, add_class_ads, class_edits, insert_banner, insert_items, edit_log, insert_nested_siblings, remove_ads,
+    set_inner_html, set_inner_html_safe, set_text, replace_children, replace_text, copy_subtree, import_subtree, insert_parsed, clear_document,
     part_template_use, template_html, template_content, parse_and_append, append_fragment, render_orders,
     render_documents, render_raw, render_nations, render_paged, reassemble_batch, protocol_errors,
     reassemble_stream,

@@ -124,3 +124,67 @@ def test_rendering(spark):
     assert text0 == "".join(f"{i}," for i in range(0, 1000, 2))
     safe = template.render_rows(df.filter("g = 2"), "<p onclick=x>{k}</p>", mode="strict")
     assert safe.first().html == "<p>c</p>"
+
+
+def _rows(n):
+    cols = ["page_id", "pre", "last", "depth", "sib_idx", "elem_idx", "elem_cnt", "type_idx", "type_cnt", "tag", "text", "in_body", "in_svg", "raw_text", "preserve_ws"]
+    return sorted(map(str, n.select(*cols, F.col("tree_id") > 0).collect()))
+
+
+def test_an_edit_log_equals_one_edit_after_the_other(spark):
+    n = nodes(spark, "<ul id=u><li>1<li class=x>2<li>3</ul><p>a<b>c</b></p><pre>k</pre>", "<p><i>q</i></p><ul></ul>").cache()
+    log = [("ul", "afterbegin", R.new_element("hr")), ("ul", "afterbegin", "<li>new<b>n</b></li>"), ("li", "beforebegin", R.new_comment("c")),
+           ("li", "afterend", R.new_text("t")), ("li", "afterend", "<s>s</s>w"), ("ul", "beforeend", R.new_element("img")), ("ul", "beforeend", "z"),
+           ("p", "afterend", "<template><li>in</li></template>"), ("pre", "beforeend", R.new_text(" kept "))]
+    given = {w: select.select_all(n, w).select("page_id", "tree_id", "node_id").cache() for w in {w for w, _, _ in log}}
+    one = n
+    for where, position, value in log:
+        one = (R.insert_adjacent_html if isinstance(value, str) else R.insert_adjacent_element)(one, given[where], position, value)
+    whole = R.edit(n, *[R.insert(*step) for step in log])
+    assert _rows(whole) == _rows(one)
+    assert _dense(whole)
+
+
+def test_removals_and_replacements_in_a_log(spark):
+    n = nodes(spark, "<div id=a>x<p>1</p><p id=b>2<i>3</i></p></div><p id=c>4</p>")
+    done = R.edit(n, R.remove("#b"), R.insert("#b, i", "beforebegin", "<q>gone</q>"), R.replace_content("#c", ["<u>5", R.new_text("6")]),
+                  R.insert("#a", "beforeend", R.markup("<a href='/{n}'>{n} &amp; {t}</a><!--{t}-->", n=F.col("page_id") + 7, t=F.col("id"))),
+                  R.insert("#c", "afterend", R.markup("<b onclick=x>{n}</b>", mode="strict", n=F.lit(None).cast("string"))))
+    assert body_inner(done) == ['<div id="a">x<p>1</p><a href="/7">7 &amp; a</a><!--a--></div><p id="c"><u>5</u>6</p><b></b>']
+    assert body_inner(R.edit(n, R.remove("#a, i"))) == ['<p id="c">4</p>'] and _dense(R.edit(n, R.remove("#a, i")))
+    data = R.markup("<p title='{v}'>{v}</p>", v=F.lit("<b>\"&'</b>"))
+    again = shred.shred(serialize.to_html(R.edit(nodes(spark, "<ul></ul>"), R.insert("ul", "afterbegin", data))))
+    assert [(r.attrs[0].value, r.last - r.pre) for r in again.filter("tag = 'p'").collect()] == [("<b>\"&'</b>", 1)]
+    with pytest.raises(ValueError):
+        R.insert("p", "somewhere", "x")
+
+
+def test_copies_nest_and_carry_templates(spark):
+    """Selected subtrees within selected subtrees, several targets, every position, content of templates: as from fragments."""
+    html = "<ul><li>a<b>c</b><template><i>t<template>u</template></i></template></li><li>d<ul><li>e</li></ul></li></ul><ol><ol></ol></ol><svg><g></g></svg>"
+    n = nodes(spark, html, "<ol></ol>", "<li>x</li><ol></ol><pre></pre>").cache()
+    for where, target in (("li", "ol"), ("li, b", "ol, pre"), ("li li", "b"), ("g", "ol")):
+        for position in R.POSITIONS:
+            frags = R.subtrees(n, where)
+            want = R._insert(R._attach(n, target, frags), "_hit", F.col("frags"), position)
+            got = R.copy_subtree(n, where, target, position)
+            assert _rows(got) == _rows(want), (where, target, position)
+            assert _dense(got) and serialize.to_html(got).collect() == serialize.to_html(want).collect()
+    for times in (1, 3):
+        frags = R.subtrees(n, F.col("tag") == "template", contents=True)
+        many = frags.select("page_id", F.flatten(F.array_repeat(F.col("frags"), times)).alias("frags"))
+        want = R._insert(R._attach(n, "ol, li", many), "_hit", F.col("frags"), "beforeend")
+        got = R.instantiate_template(n, F.col("tag").isNotNull(), "ol, li", times)
+        assert _rows(got) == _rows(want) and _dense(got)
+    assert _rows(R.instantiate_template(n, "template", "ol", 0)) == _rows(n)
+
+
+def test_plans_of_edits(spark):
+    """One shuffle, one renumbering; copies need no second tree."""
+    import re
+
+    from pageframe.plans import queries
+    for name in ("insert_items", "insert_banner", "set_inner_html_safe", "copy_subtree", "part_template_use", "set_from_table"):
+        plan = queries.REGISTRY[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and plan.count("FileScan") == 1 and "Join" not in plan, name
+        assert len(re.findall(r"\bWindow \[", plan)) <= 11, name
