@@ -292,7 +292,12 @@ ORACLES = {
         SELECT o_orderstatus, page_no, count(*) AS n_rows, string_agg('<li>' || o_orderkey || '</li>', '' ORDER BY o_orderkey) AS html
         FROM r GROUP BY 1, 2""",
     "reassemble_batch": "SELECT page_id, html, ceil(length(html) / 300)::BIGINT AS n_chunks FROM pages",
-    "reassemble_stream": "SELECT page_id, html, ceil(length(html) / 300)::BIGINT + 2 AS n_rows, NULL::VARCHAR AS error FROM pages",
+    "reassemble_stream": """SELECT page_id, CASE WHEN page_id % 10 <> 3 THEN html END AS html, ceil(length(html) / 300)::BIGINT + CASE WHEN page_id % 10 = 3 THEN 1 ELSE 2 END AS n_rows,
+        CASE WHEN page_id % 10 = 3 THEN 'abandoned before end' END AS error FROM pages""",
+    "render_parts": """WITH r AS (SELECT l_returnflag, l_orderkey || '.' || l_linenumber || ';' AS s, l_orderkey, l_linenumber, (row_number() OVER w - 1) // 10000 AS page_no,
+            (count(*) OVER (PARTITION BY l_returnflag) - 1) // 10000 AS final FROM lineitem WINDOW w AS (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber))
+        SELECT l_returnflag, page_no, count(*) AS n_rows, md5(CASE WHEN page_no = 0 THEN '[' ELSE '' END || string_agg(s, '' ORDER BY l_orderkey, l_linenumber)
+            || CASE WHEN page_no = final THEN ']' ELSE '' END) AS html_md5 FROM r GROUP BY l_returnflag, page_no, final""",
     "protocol_errors": """WITH c AS (SELECT conv_id AS page_id, CASE WHEN turn IN (0, 4) THEN 'begin' WHEN turn = 3 THEN 'end' ELSE 'chunk' END AS kind,
           CASE WHEN turn >= 5 THEN turn + 1 ELSE turn END AS seq FROM conversations),
         m AS (SELECT *, coalesce(lag(seq) OVER w, -1) AS prev, coalesce(last_value(CASE WHEN kind <> 'chunk' THEN kind END IGNORE NULLS)

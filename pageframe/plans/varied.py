@@ -167,7 +167,74 @@ def reassemble_sessions(spark, sf):
     return _drained(stream.reassemble(rows), "sessions").select("page_id", "html", "n_chunks", "error")
 
 
-QUERIES = [resolved_links, sanitize_emptied, sanitize_iframes, sanitize_unlisted, sanitize_templates, element_flags, name_tests, audit_verdicts,
+def late_chunks(spark, sf):
+    """Chunks that repeat and chunks that come too late, on a stream that is run as they arrive: what was kept, and the
+    query's own counts of the rest.
+
+    First even pages, every fourth one twice; then, two hours on, odd ones; then those divisible by three, at the old
+    time, with a second copy of what came last."""
+    source = session.tune(spark).read.parquet(f"{sf}/pages.parquet")
+    root, chunk = _folder(spark, "late"), ["page_id", "seq", "kind", "chunk", "ts"]
+
+    def at(hours: int, where: str) -> DataFrame:
+        return stream.split_pages(source.where(where), 300, F.timestamp_seconds(F.lit(1_700_000_000 + 3600 * hours))).select(*chunk)
+    arrivals = [at(0, "page_id % 2 = 0").unionByName(at(0, "page_id % 4 = 0")), at(2, "page_id % 2 = 1 AND page_id % 3 <> 0"),
+                at(0, "page_id % 6 = 3").unionByName(at(2, "page_id % 6 = 1"))]
+    for rows in arrivals:
+        rows.write.mode("append").parquet(f"{root}/in")
+        kept = stream.drain(stream.deduplicate(spark.readStream.schema(rows.schema).parquet(f"{root}/in")), root)
+    counts = stream.drain_counts(spark, root)
+    whole = stream.reassemble_batch(kept).join(source.select("page_id", F.col("html").alias("given")), "page_id")
+    one = lambda kind, n: (F.lit(kind).alias("kind"), n.cast("long").alias("n"))
+    out = kept.agg(F.count("*").alias("n")).select(*one("kept", F.col("n")))
+    for kind in ("late", "repeated"):
+        out = out.unionByName(counts.agg(F.sum(f"n_{kind}").alias("n")).select(*one(kind, F.col("n"))))
+    return out.unionByName(whole.agg(F.count_if(F.col("html") == F.col("given")).alias("n")).select(*one("whole pages", F.col("n"))))
+
+
+def sink_replayed(spark, sf):
+    """Pages through the batch sink, and all batches again from a lost checkpoint: every page once."""
+    out = _folder(spark, "sink")
+    for attempt in ("first", "again"):
+        run = stream.page_sink(_page_stream(spark, sf), serialize.to_html, f"{out}/rows")
+        run.option("checkpointLocation", f"{out}/{attempt}").trigger(availableNow=True).start().awaitTermination()
+    rows = spark.read.parquet(f"{out}/rows")
+    items = F.size(F.split("html", "<li>")) - 1
+    return rows.groupBy("page_id").agg(F.count("*").alias("n"), F.max(items).cast("long").alias("n_items"))
+
+
+def stream_nodes(spark, sf):
+    rows = stream.stream_shred(_page_stream(spark, sf)).select("page_id", "tag", "node_type")
+    return _drained(rows, "nodes").groupBy("page_id").agg(F.count_if(F.col("tag") == "li").alias("n_items"), F.count_if(F.col("node_type") == "comment").alias("n_comments"))
+
+
+def stream_interpolated(spark, sf):
+    rows = _page_stream(spark, sf).select("page_id", F.create_map(F.lit("url"), F.col("url"), F.lit("id"), F.col("page_id").cast("string")).alias("v"))
+    filled = stream.stream_interpolate(rows, "<a href='{url}'>{id} {none}</a>", F.col("v"))
+    return _drained(filled.select("page_id", "html"), "interpolated")
+
+
+def stored_csv(spark, sf):
+    """Pages with line breaks, quotes, backslashes and nulls through one-line csv records; pages given twice are reported."""
+    part, c = session.tune(spark).read.parquet(f"{sf}/part.parquet"), F.col
+    text = (F.when(c("p_size") % 5 == 0, F.concat(F.lit("<p>"), "p_name", F.lit('\n\r\\n "q", ,'), "p_type")).when(c("p_size") % 5 == 1, "")
+            .when(c("p_size") % 5 == 2, None).when(c("p_size") % 5 == 3, "\\N").otherwise(F.concat(F.lit("\\"), "p_brand", F.lit("\\\\r"))))
+    source = part.select(F.expr("p_partkey - CASE WHEN p_partkey % 7 = 6 THEN 1 ELSE 0 END").alias("page_id"), c("p_name").alias("url"), text.alias("html"))
+    path = _folder(spark, "csv")
+    source.select("page_id", "url", P.escaped("html").alias("html")).write.options(**P.CSV).csv(path)
+    return P.read_pages(spark, path, "csv_lines", check=True)
+
+
+def stored_text(spark, sf):
+    """One page a file, read as whole texts under keys made of their paths, checked."""
+    path = _folder(spark, "text")
+    source = session.tune(spark).read.parquet(f"{sf}/pages.parquet").select("html")
+    source.write.option("maxRecordsPerFile", 1).text(path)
+    rows = P.read_pages(spark, path, "text", check=True)
+    return rows.groupBy(F.md5(F.regexp_replace("html", r"\n\z", "")).alias("digest"), "error").agg(F.count("*").alias("n"))
+
+
+QUERIES = [late_chunks, sink_replayed, stream_nodes, stream_interpolated, stored_csv, stored_text, resolved_links, sanitize_emptied, sanitize_iframes, sanitize_unlisted, sanitize_templates, element_flags, name_tests, audit_verdicts,
            append_parsed, stored_pages, stored_nodes, stream_normalized, stream_tokens, stream_sanitized, reassemble_sessions]
 REGISTRY = {q.__name__: q for q in QUERIES}
 
@@ -207,6 +274,18 @@ ORACLES = {
     "stream_normalized": KNOWN["strip_comments"],
     "stream_tokens": KNOWN["tokens_by_kind"],
     "stream_sanitized": "SELECT page_id, '<p>' || replace(url, '&', '&amp;') || '</p>' AS html FROM pages",
+    "late_chunks": f"""WITH c AS (SELECT page_id, {_WHOLE} + 2 AS n FROM pages), s AS (SELECT
+            coalesce(sum(n) FILTER (page_id % 2 = 0 OR page_id % 3 <> 0), 0) AS kept, coalesce(sum(n) FILTER (page_id % 6 = 3), 0) AS late,
+            coalesce(sum(n) FILTER (page_id % 4 = 0 OR page_id % 6 = 1), 0) AS repeated, count(*) FILTER (page_id % 2 = 0 OR page_id % 3 <> 0) AS whole FROM c)
+        SELECT unnest(['kept', 'late', 'repeated', 'whole pages']) AS kind, unnest([kept, late, repeated, whole])::BIGINT AS n FROM s""",
+    "sink_replayed": f"SELECT page_id, 1::BIGINT AS n, {_ITEMS} AS n_items FROM pages",
+    "stream_nodes": f"SELECT page_id, {_ITEMS} AS n_items, (length(html) - length(replace(html, '<!--', ''))) // 4 AS n_comments FROM pages",
+    "stream_interpolated": "SELECT page_id, '<a href=' || chr(39) || replace(url, '&', '&amp;') || chr(39) || '>' || page_id || ' {none}</a>' AS html FROM pages",
+    "stored_csv": "WITH s AS (SELECT p_partkey - CASE WHEN p_partkey % 7 = 6 THEN 1 ELSE 0 END AS page_id, p_name AS url, " + _cases(
+        "'<p>' || p_name || chr(10) || chr(13) || chr(92) || 'n \"q\", ,' || p_type", "''", "NULL", "chr(92) || 'N'", "chr(92) || p_brand || chr(92) || chr(92) || 'r'")
+        + """ AS html FROM part), n AS (SELECT *, count(*) OVER (PARTITION BY page_id) AS k FROM s)
+        SELECT page_id, url, CASE WHEN k = 1 THEN html END AS html, CASE WHEN k > 1 THEN 'page_id repeats' END AS error FROM n""",
+    "stored_text": "SELECT md5(html) AS digest, NULL::VARCHAR AS error, count(*) AS n FROM pages GROUP BY 1",
     "reassemble_sessions": f"""SELECT page_id, CASE WHEN page_id % 10 NOT IN (3, 7) THEN html END AS html,
         {_WHOLE} - CASE page_id % 10 WHEN 3 THEN 1 WHEN 7 THEN {_WHOLE} - 1 ELSE 0 END AS n_chunks,
         CASE page_id % 10 WHEN 3 THEN 'missing seq' WHEN 7 THEN 'no end' END AS error FROM pages

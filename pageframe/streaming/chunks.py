@@ -69,49 +69,53 @@ def reassemble(chunks: DataFrame, gap: str = "30 seconds", watermark: str = "1 m
 
 
 class _Assembler(StatefulProcessor):
-    """Holds the chunks of one page until its ``end`` row and all sequence numbers are in."""
+    """Holds the chunks of one page until its ``end`` row and all sequence numbers are in.
+
+    A batch of rows costs one write of each state: the new chunks are appended as a list, and a small value keeps the
+    numbers seen (a bit each), the number of the end row, and whether the page is out already."""
 
     def __init__(self, idle_ms: int):
         self.idle_ms = idle_ms
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.parts = handle.getMapState("parts", "seq int", "kind string, chunk string")
-        self.seen = handle.getValueState("seen", "n int, end_seq int")
+        self.parts = handle.getListState("parts", "seq int, kind string, chunk string")
+        self.seen = handle.getValueState("seen", "bits binary, end_seq int, last_ms bigint, done boolean")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        n, end = self.seen.get() if self.seen.exists() else (0, -1)
+        bits, end, last, done = self.seen.get() if self.seen.exists() else (b"", -1, 0, False)
+        bits, new = int.from_bytes(bits, "little"), []
         for pdf in rows:
+            last = max(last, int(pdf["event_ms"].max()))
             for seq, kind, chunk in zip(pdf["seq"], pdf["kind"], pdf["chunk"]):
-                if not self.parts.containsKey((int(seq),)):
-                    self.parts.updateValue((int(seq),), (kind, chunk if isinstance(chunk, str) else None))
-                    n, end = n + 1, int(seq) if kind == "end" and end < 0 else end
-        if n == end + 1:   # the parts are read once, when all are in
-            parts = sorted((k[0], v[0], v[1]) for k, v in self.parts.iterator())
+                if not bits >> int(seq) & 1:
+                    bits |= 1 << int(seq)
+                    new.append((int(seq), kind, chunk if isinstance(chunk, str) else None))
+                    end = int(seq) if kind == "end" and end < 0 else end
+        if not done and end >= 0 and bits.bit_count() == end + 1:   # the parts are read once, when all are in
+            parts = sorted([*self.parts.get(), *new] if self.parts.exists() else new, key=lambda p: p[0])
             errors = [] if parts[0][1] == "begin" else ["chunk before begin"]
-            errors += ["begin twice"] * (sum(kind == "begin" for _, kind, _ in parts) > 1)
-            html = "".join(c or "" for _, kind, c in parts if kind == "chunk")
-            self._clear()
-            yield self._row(key, html, len(parts), "; ".join(errors) or None)
-            return
-        self.seen.update((n, end))
+            errors += ["begin twice"] * (sum(p[1] == "begin" for p in parts) > 1)
+            yield self._row(key, "".join(p[2] or "" for p in parts if p[1] == "chunk"), len(parts), "; ".join(errors) or None)
+            self.parts.clear()
+            done, new = True, []
+            if not self.idle_ms:
+                self.seen.clear()
+                return
+        if new and not done:
+            self.parts.appendList(new)
+        self.seen.update((bits.to_bytes((bits.bit_length() + 7) // 8, "little"), end, last, done))
         if self.idle_ms:
             for t in list(self.handle.listTimers()):
                 self.handle.deleteTimer(t)
-            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle_ms)
+            self.handle.registerTimer(last + self.idle_ms)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        n = sum(1 for _ in self.parts.iterator())
-        self._clear()
-        if n:
-            yield self._row(key, None, n, "abandoned before end")
-
-    def _clear(self):
+        bits, _, _, done = self.seen.get() if self.seen.exists() else (b"", -1, 0, True)
         self.parts.clear()
         self.seen.clear()
-        if self.idle_ms:
-            for t in list(self.handle.listTimers()):
-                self.handle.deleteTimer(t)
+        if not done:
+            yield self._row(key, None, int.from_bytes(bits, "little").bit_count(), "abandoned before end")
 
     @staticmethod
     def _row(key, html, n, error):
@@ -121,14 +125,18 @@ class _Assembler(StatefulProcessor):
         pass
 
 
-def reassemble_eager(chunks: DataFrame, idle_ms: int = 600_000) -> DataFrame:
-    """Emit each page as soon as its last missing row arrives; state is cleared on emit, pages idle
-    for ``idle_ms`` are dropped from state and reported.  Needs the RocksDB state store.
+def reassemble_eager(chunks: DataFrame, idle_ms: int = 600_000, watermark: str = "1 minute") -> DataFrame:
+    """Emit each page as soon as its last missing row arrives: (page_id, html, n_rows, error).
 
-    Timers keep a query alive, so runs that end with their input (``availableNow``) pass 0."""
-    return chunks.groupBy("page_id").transformWithStateInPandas(
+    A page that got no row for ``idle_ms`` of event time, as the watermark tells, is reported as abandoned and its
+    state dropped, also in a run that ends with its input (``availableNow``).  A finished page is remembered that long,
+    so rows that arrive again do not open it anew.  With ``idle_ms=0`` unfinished pages stay in state.  Needs the
+    RocksDB state store."""
+    stream = chunks.withWatermark("ts", watermark) if idle_ms else chunks
+    stream = stream.withColumn("event_ms", F.coalesce(F.unix_millis("ts"), F.lit(0)) if idle_ms else F.lit(0).cast("long"))
+    return stream.groupBy("page_id").transformWithStateInPandas(
         statefulProcessor=_Assembler(idle_ms), outputStructType="page_id long, html string, n_rows int, error string",
-        outputMode="append", timeMode="ProcessingTime" if idle_ms else "None")
+        outputMode="append", timeMode="EventTime" if idle_ms else "None")
 
 
 def chunk_protocol_errors(chunks: DataFrame) -> DataFrame:
@@ -177,6 +185,37 @@ def stream_interpolate(df: DataFrame, template: str, values: Column, escape: boo
 
 
 def page_sink(pages: DataFrame, transform, write):
-    """``foreachBatch`` writer: page-level joins and aggregates of ``transform(nodes)`` run per
-    micro-batch; ``write(df, batch_id)`` must be idempotent for exactly-once results."""
-    return pages.writeStream.foreachBatch(lambda df, batch_id: write(transform(shred(df)), batch_id))
+    """Writer of ``transform(nodes)`` per micro-batch, page-level joins and aggregates included.
+
+    ``write`` is the folder of the result: a batch writes ``batch=<id>`` there and replaces what an earlier attempt at the
+    same batch left, so a batch that is run again, after a failure or from a lost checkpoint over the same input, leaves
+    its rows once.  It may also be a function of (df, batch_id), which must be idempotent itself."""
+    def replace(df: DataFrame, batch_id: int) -> None:
+        df.write.mode("overwrite").parquet(f"{write}/batch={batch_id}")
+    sink = replace if isinstance(write, str) else write
+    return pages.writeStream.foreachBatch(lambda df, batch_id: sink(transform(shred(df)), batch_id))
+
+
+def drain(rows: DataFrame, root: str) -> DataFrame:
+    """Run a stream to the end of its input, appending to ``root``/out, and its counts to ``root``/counts:
+    (run, batch, n_input, n_late, n_repeated) from the query's progress.  Returns all rows written so far.
+
+    n_late are rows dropped as later than the watermark, n_repeated those dropped as seen before.  Progress keeps as
+    many batches as ``spark.sql.streaming.numRecentProgressUpdates``; a run of more has only its last ones counted."""
+    spark = rows.sparkSession
+    query = (rows.writeStream.outputMode("append").format("parquet").option("path", f"{root}/out")
+             .option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start())
+    query.awaitTermination()
+    counts = []
+    for p in query.recentProgress:
+        late = sum(o.numRowsDroppedByWatermark for o in p.stateOperators)
+        repeated = sum(int(o.customMetrics.get("numDroppedDuplicateRows", 0)) for o in p.stateOperators)
+        counts.append((str(query.runId), p.batchId, p.numInputRows, late, repeated))
+    table = spark.createDataFrame(counts, "run string, batch long, n_input long, n_late long, n_repeated long")
+    table.coalesce(1).write.mode("append").parquet(f"{root}/counts")
+    return spark.read.schema(rows.schema).parquet(f"{root}/out")
+
+
+def drain_counts(spark, root: str) -> DataFrame:
+    """The counts that :func:`drain` has kept below ``root``; a batch reported twice counts once."""
+    return spark.read.parquet(f"{root}/counts").dropDuplicates(["run", "batch"])

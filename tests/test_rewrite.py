@@ -188,3 +188,31 @@ def test_plans_of_edits(spark):
         plan = queries.REGISTRY[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
         assert plan.count("Exchange hashpartitioning") == 1 and plan.count("FileScan") == 1 and "Join" not in plan, name
         assert len(re.findall(r"\bWindow \[", plan)) <= 11, name
+
+
+def test_rows_are_numbered_in_groups_of_any_size(spark):
+    """A group over many partitions, equal keys, null groups: positions are 1 to n without gaps and follow the order."""
+    rows = spark.range(5000).selectExpr("CASE WHEN id % 10 < 7 THEN 'big' WHEN id % 10 = 8 THEN NULL ELSE concat('g', id % 97) END AS g", "id % 50 AS k", "id").repartition(6)
+    got = template.number_rows(rows, ["g"], ["k"]).collect()
+    groups = {}
+    for r in got:
+        groups.setdefault(r.g, []).append(r)
+    assert len(got) == 5000
+    for some in groups.values():
+        some.sort(key=lambda r: r._pos)
+        assert [r._pos for r in some] == list(range(1, len(some) + 1)) and {r._total for r in some} == {len(some)}
+        assert [r.k for r in some] == sorted(r.k for r in some)
+    parts = template.render_groups(rows, "{id};", ["g"], ["k", "id"], header="<", footer=">")
+    assert parts.where("g = 'big'").count() == 1
+    whole = parts.where("g = 'big'").first().html
+    paged = sorted(template.render_groups(rows, "{id};", ["g"], ["k", "id"], per_page=33).where("g = 'big'").collect(), key=lambda r: r.page_no)
+    assert "<" + "".join(r.html for r in paged) + ">" == whole and [r.n_rows for r in paged] == [33] * 106 + [2]
+    empty = template.render_groups(rows.limit(0), "{id}", ["g"], ["k"])
+    assert empty.count() == 0
+
+
+def test_parts_of_a_long_group(spark, monkeypatch):
+    monkeypatch.setattr(template, "PART_ROWS", 4)
+    rows = spark.range(10).selectExpr("'a' AS g", "id")
+    got = sorted(template.render_groups(rows, "{id}", ["g"], ["id"], header="[", footer="]").collect(), key=lambda r: r.page_no)
+    assert [r.html for r in got] == ["[0123", "4567", "89]"]

@@ -99,6 +99,54 @@ def test_eager_reassembly(spark):
     assert got == {0: (WHOLE, None), 1: (TAIL, None), 2: ("x", "begin twice")}
 
 
+def _arriving(spark, root, batches, run):
+    """Run a stream once after each batch of (page_id, seq, kind, chunk, seconds); what each run adds."""
+    seen, out = 0, []
+    for rows in batches:
+        frame = spark.createDataFrame(rows, "page_id long, seq int, kind string, chunk string, s long")
+        frame.selectExpr("page_id", "seq", "kind", "chunk", "timestamp_seconds(1000000 + s) AS ts").coalesce(1).write.mode("append").parquet(f"{root}/in")
+        schema = "page_id long, seq int, kind string, chunk string, ts timestamp"
+        done = S.drain(run(spark.readStream.schema(schema).parquet(f"{root}/in")), root).collect()
+        out.append(len(done) - seen)
+        seen = len(done)
+    return done, out
+
+
+def test_abandoned_and_finished_pages_by_event_time(spark):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    whole = [(1, 0, "begin", None, 0), (1, 1, "chunk", "a", 1), (1, 2, "end", None, 2)]
+    batches = [
+        [whole[0], whole[2], (2, 0, "begin", None, 0), (2, 1, "chunk", "x", 5)],
+        [whole[1], whole[1], (2, 1, "chunk", "x", 5), (3, 1, "chunk", "late begin", 10)],
+        [whole[1], (3, 0, "begin", None, 900), (9, 0, "begin", None, 1000)],                # 1 is out already; 2 is idle
+        [(3, 2, "end", None, 1100), (9, 1, "end", None, 5000)]]
+    done, added = _arriving(spark, _folder(), batches, lambda c: S.reassemble_eager(c, idle_ms=600_000, watermark="300 seconds"))
+    got = {r.page_id: (r.html, r.n_rows, r.error) for r in done}
+    assert got[1] == ("a", 3, None) and got[2] == (None, 2, "abandoned before end") and got[9] == ("", 2, None)
+    assert got[3] == ("late begin", 3, None) or got[3][2] == "abandoned before end"
+    assert len(done) == len(got) == 4 and added[:2] == [0, 1]
+
+
+def test_late_and_repeated_rows_are_counted(spark):
+    root = _folder()
+    batches = [[(1, 0, "begin", None, 0), (1, 0, "begin", None, 0), (1, 1, "end", None, 0)], [(2, 0, "begin", None, 100_000)],
+               [(1, 5, "chunk", "too late", 0), (2, 0, "begin", None, 100_000), (2, 1, "end", None, 100_000)]]
+    done, added = _arriving(spark, root, batches, S.deduplicate)
+    assert added == [2, 1, 1] and sorted((r.page_id, r.seq) for r in done) == [(1, 0), (1, 1), (2, 0), (2, 1)]
+    total = S.drain_counts(spark, root).groupBy().sum("n_input", "n_late", "n_repeated").first()
+    assert tuple(total) == (7, 1, 2)
+
+
+def test_a_batch_that_runs_again_replaces_its_rows(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    out = _folder()
+    for _ in range(2):
+        run = S.page_sink(_stream(spark, pages), serialize.to_html, out)
+        run.option("checkpointLocation", _folder()).trigger(availableNow=True).start().awaitTermination()
+    assert spark.read.parquet(out).count() == 50
+
+
 def test_stream_operators_match_batch(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     same = lambda a, b: a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
@@ -154,6 +202,25 @@ def test_sources(spark):
                    3: ("<html><head></head><body></body></html>", None)}
 
 
+def test_one_line_csv_and_checked_keys(spark):
+    root = _folder()
+    htmls = ["a\nb\r\n", "\\n \\\\ \\", "", None, "\\N", '"q", ,\'', "\\\\n\n\\r", "é \u0085"]
+    pages = spark.createDataFrame([(i, f"u\n{i}", h) for i, h in enumerate(htmls)], "page_id long, url string, html string")
+    pages.select("page_id", P.escaped("url").alias("url"), P.escaped("html").alias("html")).coalesce(1).write.options(**P.CSV).csv(f"{root}/csv")
+    back = P.read_pages(spark, f"{root}/csv", "csv_lines")
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, pages.collect()), key=lambda r: r[0])
+    lines = spark.read.text(f"{root}/csv").count()
+    assert lines == len(htmls) + 1                                       # a header, then a line a page
+    P.write_pages(shred.shred(pages), f"{root}/out", "csv_lines")
+    assert P.read_pages(spark, f"{root}/out", "csv_lines").count() == len(htmls)
+    twice = pages.unionByName(pages.where("page_id < 2")).unionByName(pages.selectExpr("CAST(NULL AS LONG) AS page_id", "url", "html").limit(2))
+    got = P.checked(twice).collect()
+    assert len(got) == len(htmls) + 4
+    assert sorted((r.page_id, r.error) for r in got if r.error and r.page_id is not None) == [(0, "page_id repeats")] * 2 + [(1, "page_id repeats")] * 2
+    assert all(r.html is None for r in got if r.error) and sum(r.error == "page_id is null" for r in got) == 2
+    assert P.read_pages(spark, f"{root}/csv", "csv_lines", check=True).where("error IS NOT NULL").count() == 0
+
+
 def test_shared_folder(spark):
     from pageframe.session import shared_folder
     assert shared_folder(spark) == shared_folder(spark)
