@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 ARROW = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
@@ -50,6 +50,18 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def block_numbers(rows: DataFrame, key: str, most: int) -> DataFrame:
+    """(key, block) of rows (key, size), by key: a block ends with the row that fills it to `most`.
+
+    Rows are laid out in ranges of the key; the totals of the ranges, one row each, give every range its start.
+    """
+    laid = saved(rows.select(key, "size").repartitionByRange(key).sortWithinPartitions(key).withColumn("_part", F.spark_partition_id()), "sizes")
+    upto = Window.rowsBetween(Window.unboundedPreceding, -1)
+    starts = laid.groupBy("_part").agg(F.sum("size").alias("whole")).withColumn("_start", F.sum("whole").over(upto.orderBy("_part")))
+    before = F.coalesce(F.sum("size").over(upto.partitionBy("_part").orderBy(key)), F.lit(0)) + F.coalesce("_start", F.lit(0))
+    return laid.join(starts.select("_part", "_start"), "_part").select(key, F.floor(before / int(most)).cast("long").alias("block"))
+
+
 def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     """16 bytes naming a document by id and text, nulls included; equal rows share it."""
     ident = F.coalesce(F.col(doc_id).cast("string"), F.lit("-"))

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from pageframe.llm.common import saved
+from pageframe.llm.common import block_numbers, saved
 
 TOP = 20
 BLOCK_TERMS = 500_000     # postings of one broadcast index, or those of a single larger item
@@ -57,17 +57,8 @@ def item_terms(items: DataFrame) -> DataFrame:
 
 
 def blocks(terms: DataFrame, most: int) -> tuple[DataFrame, list]:
-    """item_terms with a block number, and those numbers; a block ends with the item that fills it.
-
-    Items are laid out in ranges; the totals of the ranges, one row each, give every range its start.
-    """
-    sizes = terms.groupBy("item").agg(F.count("*").alias("size")).repartitionByRange("item").sortWithinPartitions("item")
-    sizes = saved(sizes.withColumn("part", F.spark_partition_id()), "item-sizes")
-    starts = sizes.groupBy("part").agg(F.sum("size").alias("whole")).withColumn(
-        "start", F.sum("whole").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))).select("part", F.coalesce("start", F.lit(0)).alias("start"))
-    before = F.sum("size").over(Window.partitionBy("part").orderBy("item").rowsBetween(Window.unboundedPreceding, -1))
-    placed = sizes.withColumn("before", F.coalesce(before, F.lit(0))).join(starts, "part").select(
-        "item", F.expr(f"(start + before) div {int(most)}").alias("block"))
+    """item_terms with a block number, and those numbers; a block ends with the item that fills it."""
+    placed = saved(block_numbers(terms.groupBy("item").agg(F.count("*").alias("size")), "item", most), "item-blocks")
     return saved(terms.join(placed, "item"), "item-terms"), [r["block"] for r in placed.select("block").distinct().orderBy("block").collect()]
 
 

@@ -231,3 +231,25 @@ def ranking(docs, items, top=20):
                 scored.append((-score, doc is None, doc or 0, doc))
         out += [(item, rank, s[3], -s[0]) for rank, s in enumerate(sorted(scored, key=lambda s: s[:3])[:top], 1)]
     return sorted(out, key=str)
+
+
+def longest_match(words, texts, size):
+    """(n_hit, items, (words, item, start)) of a document's words: islands of window hits on a diagonal."""
+    hits, covered, items = set(), set(), set()
+    for ids, text in texts:
+        n = min(size, len(text))
+        for s in range(len(text) - n + 1):
+            for p in range(len(words) - n + 1):
+                if words[p:p + n] == text[s:s + n]:
+                    hits.add((ids[0], p - s, p, n))
+                    covered |= set(range(p, p + n))
+                    items |= set(ids)
+    best = None
+    for item, diagonal, p, n in hits:
+        if (item, diagonal, p - 1, n) not in hits:
+            k = 1
+            while (item, diagonal, p + k, n) in hits:
+                k += 1
+            key = (-(k - 1 + n), item, diagonal, p)
+            best = key if best is None or key < best else best
+    return len(covered), sorted(items), (-best[0], best[1], best[3]) if best else (0, None, None)

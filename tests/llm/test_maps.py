@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import time
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -124,6 +125,44 @@ def test_longest_match_and_its_place(spark):
     assert (found[2].longest, found[2].longest_start) == (10, 12)
 
 
+def _tables(texts, window, each):
+    texts = [(ids, [w.encode() for w in words]) for ids, words in texts]
+    return [decontamination.Suffixes(texts[k:k + each], window) for k in range(0, len(texts), each)]
+
+
+def test_shards_equal_brute_force_on_repetitive_texts():
+    """Few words, many ties: hits, items and the longest match with its item and place, in one table and in several, in one pass and in two."""
+    rng = random.Random(8)
+    for trial in range(60):
+        words = "ab" if trial % 2 else "abcde"
+        texts = [([i], [rng.choice(words) for _ in range(rng.randint(1, 14))]) for i in range(rng.randint(1, 6))]
+        texts = [t for k, t in enumerate(texts) if t[1] not in [u[1] for u in texts[:k]]]
+        docs = [[rng.choice(words + "z") for _ in range(rng.randint(0, 40))] for _ in range(4)]
+        want = [brute.longest_match(d, texts, 3) for d in docs]
+        raws = [" ".join(d).encode() for d in docs]
+        for each in (1, 9):
+            tables = _tables(texts, 3, each)
+            got = decontamination.search_shard(raws, tables)
+            assert [(h, i, (w, t, s)) for h, i, w, t, s in zip(got["n_hit"], got["items"], got["longest"], got["longest_item"], got["longest_start"])] == want
+            half = decontamination.search_shard(raws, tables[:1], last=False)
+            assert decontamination.search_shard(raws, tables[1:], (half["spans"], half["items"], half["best"])) == got
+
+
+def test_repeated_words_and_common_lines_are_no_pairs():
+    """3,000 equal words against 3,000 equal words; a passage of 1,000 items in 300 documents."""
+    passage = [f"w{k}" for k in range(30)]
+    items = [([i], passage + [f"own{i}"]) for i in range(1000)]
+    texts = [" ".join([f"d{i}", *passage]).encode() for i in range(300)]
+    for tables, raws in ((_tables([([1], ["same"] * 3000)], 10, 1), [b"same " * 3000]), (_tables(items, 10, 1000), texts)):
+        tracemalloc.start()
+        began = time.time()
+        found = decontamination.search_shard(raws, tables)
+        assert time.time() - began < 5 and tracemalloc.get_traced_memory()[1] < 100 << 20
+        tracemalloc.stop()
+        assert set(found["longest"]) == {3000 if len(raws) == 1 else 30} and found["n_hit"][0] == (3000 if len(raws) == 1 else 30)
+        assert found["items"][0] == ([1] if len(raws) == 1 else list(range(1000)))
+
+
 def test_passes_over_a_large_benchmark_give_the_results_of_one(spark):
     rng = random.Random(3)
     long = cases.prose(rng, 300)
@@ -136,7 +175,7 @@ def test_passes_over_a_large_benchmark_give_the_results_of_one(spark):
     assert {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in one} == want
     assert max(r.longest for r in one) == len(long.split())
     for options in ({"pass_bytes": 700}, {"pass_bytes": 3000, "block_bytes": 200, "shard_bytes": 1000}):
-        assert len(decontamination.passes_of(benchmark, 10, decontamination.BLOCK_BYTES, options["pass_bytes"])) > 1
+        assert len(decontamination.Passes(benchmark, 10, decontamination.BLOCK_BYTES, options["pass_bytes"]).passes) > 1
         assert sorted(decontamination.search(docs, benchmark, **options).collect()) == one
         kept = decontamination.keep_uncontaminated(docs, benchmark, **options)
         assert sorted(r.doc_id for r in kept.collect()) == sorted(d for d, w in want.items() if not w[1])
