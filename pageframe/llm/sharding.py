@@ -42,8 +42,9 @@ def communication_matrix(counts: DataFrame, shards: int, blocks: int, seed: int
     `counts` holds (block, n).  Shards get sizes that differ by one at most.  The matrix is drawn by
     halving: a node of the tree knows the sizes of its blocks and how many rows of each shard they
     hold; the left half's share is a multivariate hypergeometric draw, shard after shard, and the right
-    half keeps the rest.  Every level is one pass over nodes, row by row, so it runs in parallel and the
-    driver sees nothing; a level holds one number per block and `shards` per node.
+    half keeps the rest.  Every level deals its nodes out to as many tasks as it has nodes, up to the cores of the
+    cluster, and draws once a node; the first levels have few nodes and long draws, the cost of a level grows with the
+    root of its nodes.  The list of block sizes, one number a block, is in one row at the root only.
     """
     listed = counts.agg(F.array_sort(F.collect_list(F.struct("block", "n"))).alias("blocks"),
                         F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("total"))
@@ -54,7 +55,7 @@ def communication_matrix(counts: DataFrame, shards: int, blocks: int, seed: int
     share = (f"aggregate(sequence(0, {shards - 1}), named_struct('want', want, 'rest', held, 'got', cast(array() as array<bigint>)), "
              f"(s, j) -> transform(array({draw}), x -> named_struct('want', s.want - x, 'rest', s.rest - cells[j], "
              f"'got', concat(s.got, array(x))))[0], s -> s.got)")
-    level, width = 0, 1
+    level, width, cores = 0, 1, max(2, counts.sparkSession.sparkContext.defaultParallelism)
     while width < blocks:
         half = F.expr("cast(ceil(size(blocks) / 2) as int)")
         chance = F.array(*[_uniform(F.lit(seed), F.lit(level), F.col("blocks")[0]["block"], F.lit(j)) for j in range(shards)])
@@ -62,7 +63,8 @@ def communication_matrix(counts: DataFrame, shards: int, blocks: int, seed: int
                  .withColumn("want", F.aggregate("left_blocks", F.lit(0).cast("long"), lambda a, b: a + b["n"]))
                  .withColumn("held", F.aggregate("cells", F.lit(0).cast("long"), lambda a, b: a + b))
                  .withColumn("chance", chance)
-                 .withColumn("left_cells", F.expr(share))
+                 .withColumn("left_cells", F.expr(share)).drop("chance", "want", "held")
+                 .repartition(min(2 * width, cores), F.col("blocks")[0]["block"])     # a draw is made before the shuffle, once
                  .withColumn("node", F.explode(F.expr(
                      "if(size(blocks) > 1, array(named_struct('blocks', left_blocks, 'cells', left_cells), "
                      "named_struct('blocks', slice(blocks, size(left_blocks) + 1, size(blocks)), "
