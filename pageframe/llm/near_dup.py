@@ -196,8 +196,9 @@ class Links:
 
     def sets(self, reps: DataFrame) -> DataFrame:
         """The whole shingle sets (rep, shingles) of some representatives, made from their texts."""
-        known = self.classes.select("rep", "first.doc_id", "first.mark").join(reps.select("rep"), "rep", "left_semi")
-        texts = self.docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_mark().alias("mark"), "text").join(known, ["doc_id", "mark"])
+        known = saved(self.classes.select("rep", "first.doc_id", "first.mark").join(reps.select("rep"), "rep", "left_semi"), "representatives")
+        texts = self.docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(known.select("doc_id").distinct(), "doc_id", "left_semi")
+        texts = texts.withColumn("mark", text_mark()).join(known, ["doc_id", "mark"])       # few are left; a doc_id may have several texts
         return saved(full_sets(texts.select("rep", "text")).dropDuplicates(["rep"]), "shingle-sets")
 
     def add(self, pairs: DataFrame) -> None:
