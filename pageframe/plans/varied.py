@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import session
 from ..functions import node as N
-from ..operators import audit, links, rewrite, sanitize, serialize, shred, template
+from ..operators import audit, links, rewrite, sanitize, select, serialize, shred, template
 from ..sources import pages as P
 from ..streaming import chunks as stream
 from .oracles import ORACLES as KNOWN
@@ -234,7 +234,21 @@ def stored_text(spark, sf):
     return rows.groupBy(F.md5(F.regexp_replace("html", r"\n\z", "")).alias("digest"), "error").agg(F.count("*").alias("n"))
 
 
-QUERIES = [late_chunks, sink_replayed, stream_nodes, stream_interpolated, stored_csv, stored_text, resolved_links, sanitize_emptied, sanitize_iframes, sanitize_unlisted, sanitize_templates, element_flags, name_tests, audit_verdicts,
+def positional_counts(spark, sf):
+    n = shred.shred(session.tune(spark).read.parquet(f"{sf}/pages.parquet"))
+    return select.match_counts(n, {
+        "second": "article > p:nth-of-type(2)", "last": "article > p:last-of-type", "odd_from_end": "li:nth-last-of-type(odd)",
+        "only_link": "li > a:only-child", "only_item": "li:only-child", "roots": ":root", "not_only": "li:not(:only-of-type)"}, "document")
+
+
+def kind_tests(spark, sf):
+    n = shred.shred_fragments(_parts(spark, sf, "concat('<p>', p_name, '</p><!--', p_type, '-->')", "p_name", "'<br><hr>'"), "html", cluster=False)
+    one = lambda test: F.count_if(test()).alias(test.__name__)
+    return n.groupBy("page_id").agg(*map(one, (N.is_element, N.is_text, N.is_comment, N.is_document, N.is_fragment)),
+                                    F.array_join(F.array_sort(F.collect_set(N.node_type_name())), ",").alias("names"))
+
+
+QUERIES = [positional_counts, kind_tests, late_chunks, sink_replayed, stream_nodes, stream_interpolated, stored_csv, stored_text, resolved_links, sanitize_emptied, sanitize_iframes, sanitize_unlisted, sanitize_templates, element_flags, name_tests, audit_verdicts,
            append_parsed, stored_pages, stored_nodes, stream_normalized, stream_tokens, stream_sanitized, reassemble_sessions]
 REGISTRY = {q.__name__: q for q in QUERIES}
 
@@ -274,6 +288,12 @@ ORACLES = {
     "stream_normalized": KNOWN["strip_comments"],
     "stream_tokens": KNOWN["tokens_by_kind"],
     "stream_sanitized": "SELECT page_id, '<p>' || replace(url, '&', '&amp;') || '</p>' AS html FROM pages",
+    "positional_counts": f"""SELECT page_id, (p >= 2)::BIGINT AS second, (p >= 1)::BIGINT AS last, ceil(li / 2)::BIGINT AS odd_from_end, li AS only_link,
+        (li = 1)::BIGINT AS only_item, 1::BIGINT AS roots, CASE WHEN li > 1 THEN li ELSE 0 END AS not_only
+        FROM (SELECT page_id, {_ITEMS} AS li, (length(html) - length(replace(html, '<p>', ''))) // 3 AS p FROM pages)""",
+    "kind_tests": "SELECT p_partkey AS page_id, " + _cases("1", "0", "2") + "::BIGINT AS is_element, " + _cases("1", "1", "0") + "::BIGINT AS is_text, "
+        + _cases("1", "0", "0") + "::BIGINT AS is_comment, 0::BIGINT AS is_document, 0::BIGINT AS is_fragment, "
+        + _cases("'#comment,#element,#text'", "'#text'", "'#element'") + " AS names FROM part",
     "late_chunks": f"""WITH c AS (SELECT page_id, {_WHOLE} + 2 AS n FROM pages), s AS (SELECT
             coalesce(sum(n) FILTER (page_id % 2 = 0 OR page_id % 3 <> 0), 0) AS kept, coalesce(sum(n) FILTER (page_id % 6 = 3), 0) AS late,
             coalesce(sum(n) FILTER (page_id % 4 = 0 OR page_id % 6 = 1), 0) AS repeated, count(*) FILTER (page_id % 2 = 0 OR page_id % 3 <> 0) AS whole FROM c)
