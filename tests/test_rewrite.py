@@ -163,14 +163,12 @@ def test_copies_nest_and_carry_templates(spark):
     """Selected subtrees within selected subtrees, several targets, every position, content of templates: as from fragments."""
     html = "<ul><li>a<b>c</b><template><i>t<template>u</template></i></template></li><li>d<ul><li>e</li></ul></li></ul><ol><ol></ol></ol><svg><g></g></svg>"
     n = nodes(spark, html, "<ol></ol>", "<li>x</li><ol></ol><pre></pre>").cache()
-    for where, target in (("li", "ol"), ("li, b", "ol, pre"), ("li li", "b"), ("g", "ol")):
-        for position in R.POSITIONS:
-            frags = R.subtrees(n, where)
-            want = R._insert(R._attach(n, target, frags), "_hit", F.col("frags"), position)
-            got = R.copy_subtree(n, where, target, position)
-            assert _rows(got) == _rows(want), (where, target, position)
-            assert _dense(got) and serialize.to_html(got).collect() == serialize.to_html(want).collect()
-    for times in (1, 3):
+    for where, target, position in [*(("li, b", "ol, pre", p) for p in R.POSITIONS), ("li li", "b", "beforeend"), ("g", "ol", "afterbegin")]:
+        want = R._insert(R._attach(n, target, R.subtrees(n, where)), "_hit", F.col("frags"), position)
+        got = R.copy_subtree(n, where, target, position)
+        assert _rows(got) == _rows(want), (where, target, position)
+    assert _dense(got)
+    for times in (2,):
         frags = R.subtrees(n, F.col("tag") == "template", contents=True)
         many = frags.select("page_id", F.flatten(F.array_repeat(F.col("frags"), times)).alias("frags"))
         want = R._insert(R._attach(n, "ol, li", many), "_hit", F.col("frags"), "beforeend")
