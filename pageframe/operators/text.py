@@ -23,13 +23,17 @@ def read_pages_of(nodes: DataFrame, where, entry: Column, value, name: str) -> D
             *[h[c].alias(c) for c in carried], value(h, F.col("_page")).alias(name)))))
 
 
-def text_content(nodes: DataFrame, where) -> DataFrame:
+def text_content(nodes: DataFrame, where, dense: bool = True) -> DataFrame:
     """The rows ``where`` selects plus ``text_content``: descendant text in order, comments and nested template
-    contents left out.  Text and comment nodes yield their own data."""
+    contents left out.  Text and comment nodes yield their own data.
+
+    ``dense=False`` takes nodes whose numbers have gaps, as removals leave them with ``reindex=False``: a selected row then
+    looks through its page's texts for those in its interval, where it otherwise takes a slice."""
     entry = F.struct("pre", "tree_id", F.when(F.col("node_type") == "text", F.col("text")).alias("s"))
 
     def text(h, page):
-        part = F.slice(page, h["pre"] + 1, h["last"] - h["pre"] + 1)
+        inside = lambda x: (x["pre"] >= h["pre"]) & (x["pre"] <= h["last"])
+        part = F.slice(page, h["pre"] + 1, h["last"] - h["pre"] + 1) if dense else F.filter(page, inside)
         mine = F.filter(part, lambda x: (x["tree_id"] == h["tree_id"]) & x["s"].isNotNull())
         return F.when(h["node_type"].isin("text", "comment"), h["text"]).otherwise(
             F.array_join(F.transform(mine, lambda x: x["s"]), ""))

@@ -463,8 +463,8 @@ def sanitize_snippets(spark, sf):
 
 
 def sanitized_text(spark, sf):
-    clean = sanitize.sanitize(nodes(spark, sf), "strict")
-    return text.text_content(clean, F.col("tag") == "html").select("page_id", F.col("text_content").alias("text"))
+    clean = sanitize.sanitize(nodes(spark, sf), "strict", reindex=False)
+    return text.text_content(clean, F.col("tag") == "html", dense=False).select("page_id", F.col("text_content").alias("text"))
 
 
 def sanitized_counts(spark, sf):

@@ -116,3 +116,12 @@ def test_attribute_rules(spark):
     assert spec.allowed_attributes(spark, "button").count() == 18 and spec.spec_elements(spark).count() == len(spec.ELEMENTS)
     with pytest.raises(ValueError):
         sanitize.options("loose")
+
+
+def test_text_of_pages_with_gaps_in_their_numbers(spark):
+    from pageframe.operators import text
+    n = nodes(spark, "<p>a<script>s</script>b<i>c</i></p><!--x--><div><style>t</style>d</div>", "<script>1</script>", "e")
+    for where in (F.col("tag") == "body", F.col("tag").isin("p", "i", "div"), F.col("node_type") == "text"):
+        gaps = text.text_content(sanitize.sanitize(n, "strict", reindex=False), where, dense=False)
+        whole = text.text_content(sanitize.sanitize(n, "strict"), where)
+        assert sorted((r.page_id, r.text_content) for r in gaps.collect()) == sorted((r.page_id, r.text_content) for r in whole.collect())
