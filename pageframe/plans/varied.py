@@ -46,8 +46,7 @@ def _drained(rows: DataFrame, name: str, state: bool = False) -> DataFrame:
 
 
 def _page_stream(spark: SparkSession, sf: str) -> DataFrame:
-    schema = session.tune(spark).read.parquet(f"{sf}/pages.parquet").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "pages.parquet").parquet(sf)
+    return P.stream_table(session.tune(spark), f"{sf}/pages.parquet")
 
 
 def sanitize_emptied(spark, sf):

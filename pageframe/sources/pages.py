@@ -40,6 +40,14 @@ def read_pages(spark: SparkSession, path: str, fmt: str = "parquet", encoding: s
     return checked(out) if check else out
 
 
+def stream_table(spark: SparkSession, path: str) -> DataFrame:
+    """A parquet table as a stream, whether it is one file or a folder of files.
+
+    A stream of a plain path must name a folder, and its filter of names meets the files inside; a pattern that only
+    this path matches takes both."""
+    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{path[:-1]}[{path[-1]}]")
+
+
 def checked(pages: DataFrame) -> DataFrame:
     """Pages with ``error``: a row whose page_id is null, or is that of another row too, has its reason there and no html.
 

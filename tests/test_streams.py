@@ -254,3 +254,15 @@ def test_bucketed_nodes_need_no_shuffle(spark):
             assert "Exchange" not in plan.replace("ReusedExchange", ""), plan
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_table_as_stream(spark):
+    from pageframe.plans import varied
+    html = [WHOLE, TAIL, "<ul><li>a<li>b</ul>", "<ul></ul>"]
+    pages = spark.createDataFrame([(i, "u", h) for i, h in enumerate(html)], "page_id long, url string, html string")
+    many, single = _folder(), _folder()
+    pages.repartition(3).write.parquet(f"{many}/pages.parquet")
+    pages.toPandas().to_parquet(f"{single}/pages.parquet")
+    for folder in (many, single):     # a folder of files, and one file
+        assert _drain(P.stream_table(spark, f"{folder}/pages.parquet")).count() == 4
+        assert sorted(map(tuple, varied.sink_replayed(spark, folder).collect())) == [(0, 1, 0), (1, 1, 0), (2, 1, 2), (3, 1, 0)]
