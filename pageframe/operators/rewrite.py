@@ -157,7 +157,12 @@ def _fresh(j: int, hit: str, position: str) -> str:
             f"transform(frag, (f, i) -> struct({added})))) END")
 
 
-def _insert_all(nodes: DataFrame, edits: list) -> DataFrame:
+def _dealt(rows: DataFrame, partitions: int | None) -> DataFrame:
+    """Rows with fragments parsed row by row, which have lost the page_id distribution, in so many parts by page."""
+    return rows.repartition(partitions, "page_id") if partitions else rows
+
+
+def _insert_all(nodes: DataFrame, edits: list, partitions: int | None = None) -> DataFrame:
     """Place fragments (arrays of node arrays) at positions of flagged rows: (flag, fragments, position) each, in order.
 
     All edits share one renumbering: their nodes get keys inside the gaps of the table as given."""
@@ -170,6 +175,7 @@ def _insert_all(nodes: DataFrame, edits: list) -> DataFrame:
         "page_id", *_FIELDS, f"{whole} AS _fresh").selectExpr(
         "page_id", *_FIELDS, "explode(CASE WHEN size(_fresh) > 0 THEN concat(slice(array(NULL, _fresh[0]), 1, 1), _fresh) "
         "ELSE slice(array(NULL, try_element_at(_fresh, 1)), 1, 1) END) AS _x")
+    slots = _dealt(slots, partitions)
     own = {"_k": f"array({OPEN_AT})", "_c": f"array({CLOSE_AT})", "_new": "false", "_rel": "false", "_own": "false", "_block": "NULL"}
     rows = slots.selectExpr("page_id", *[
         f"CASE WHEN _x IS NULL THEN {own.get(c, c)} ELSE _x.{c} END AS {c}" for c in [*_FIELDS, *own]])
@@ -220,11 +226,13 @@ def _flag_all(nodes: DataFrame, wheres: list) -> tuple[DataFrame, list]:
     return nodes, names
 
 
-def edit(nodes: DataFrame, *steps: Edit) -> DataFrame:
+def edit(nodes: DataFrame, *steps: Edit, partitions: int | None = None) -> DataFrame:
     """Several edits with one renumbering and no further shuffle.
 
     Every selection refers to ``nodes`` as given: no step sees what another inserted, and what is put at a node that
-    another step removes goes with it.  Otherwise the result is that of the steps one after the other."""
+    another step removes goes with it.  Otherwise the result is that of the steps one after the other.
+
+    ``partitions`` counts the parts of the second shuffle that fragments parsed row by row need, as in ``shred``."""
     rows, flags = _flag_all(nodes, [s.where for s in steps])
     upto = Window.partitionBy("page_id").orderBy("pre").rowsBetween(Window.unboundedPreceding, 0)
     before = upto.rowsBetween(Window.unboundedPreceding, -1)
@@ -238,7 +246,7 @@ def edit(nodes: DataFrame, *steps: Edit) -> DataFrame:
         if step.position != "remove":
             rows, frags = _frags_of(rows, step.value, step.mode)
             placed.append((flag, frags, "afterbegin" if step.position == "inside" else step.position))
-    return _insert_all(rows, placed) if placed else renumber_kept(_plain(rows))
+    return _insert_all(rows, placed, partitions) if placed else renumber_kept(_plain(rows))
 
 
 def insert_adjacent_element(nodes: DataFrame, where, position: str, element) -> DataFrame:
@@ -252,9 +260,9 @@ def append_child(nodes, where, element): return insert_adjacent_element(nodes, w
 def append_children(nodes: DataFrame, where, elements: list) -> DataFrame: return append_child(nodes, where, elements)
 
 
-def append_fragment(nodes: DataFrame, where, fragment: Column) -> DataFrame:
+def append_fragment(nodes: DataFrame, where, fragment: Column, partitions: int | None = None) -> DataFrame:
     """Move the children of a fragment (``fragment_nodes`` column) under the selected nodes."""
-    return append_child(nodes, where, fragment)
+    return edit(nodes, insert(where, "beforeend", fragment), partitions=partitions)
 
 
 def fragment_literal(spark, html: str, mode=None) -> Column:
@@ -305,26 +313,26 @@ def _frags_of(rows: DataFrame, value, mode=None) -> tuple[DataFrame, Column]:
     return rows, F.array(*out)
 
 
-def _insert_html(nodes, where, html, mode):
+def _insert_html(nodes, where, html, mode, partitions=None):
     marked, given = mark(nodes, where), isinstance(html, str)
     frag = fragment_literal(nodes.sparkSession, html, mode) if given else fragment_nodes(F.when(F.col("_hit"), html))
     marked = marked.withColumn("_frag", F.when(F.col("_hit"), frag))
     if mode is not None and not given:
         from .sanitize import sanitize_fragment
         marked = sanitize_fragment(marked, "_frag", mode)
-    return marked
+    return marked if given else _dealt(marked, partitions)
 
 
-def insert_adjacent_html(nodes: DataFrame, where, position: str, html, mode=None) -> DataFrame:
-    """Parse ``html`` (literal or Column) as a fragment, sanitise it by ``mode``, insert it."""
+def insert_adjacent_html(nodes: DataFrame, where, position: str, html, mode=None, partitions: int | None = None) -> DataFrame:
+    """Parse ``html`` (literal or Column) as a fragment, sanitise it by ``mode``, insert it; ``partitions`` as in :func:`edit`."""
     if position not in POSITIONS:
         raise ValueError(f"unknown insert position: {position}")
-    return _insert(_insert_html(nodes, where, html, mode), "_hit", F.array("_frag"), position)
+    return _insert(_insert_html(nodes, where, html, mode, partitions), "_hit", F.array("_frag"), position)
 
 
-def set_inner_html(nodes: DataFrame, where, html, mode=None) -> DataFrame:
+def set_inner_html(nodes: DataFrame, where, html, mode=None, partitions: int | None = None) -> DataFrame:
     """Replace the children of every selected element by parsed markup."""
-    marked = drop_subtrees(_insert_html(nodes, where, html, mode), "_hit", keep_root=True)
+    marked = drop_subtrees(_insert_html(nodes, where, html, mode, partitions), "_hit", keep_root=True)
     return _insert(marked, "_hit", F.array("_frag"), "afterbegin")
 
 

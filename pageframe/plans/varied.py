@@ -15,6 +15,14 @@ from ..streaming import chunks as stream
 from .oracles import ORACLES as KNOWN
 
 
+def _part_size(spark: SparkSession, sf: str) -> int:
+    """About the node rows of the parts' markup: at most a dozen each, head and body included."""
+    return 12 * session.tune(spark).read.parquet(f"{sf}/part.parquet").count()
+
+
+def _part_tasks(spark: SparkSession, sf: str) -> int | None: return session.tasks_for(spark, _part_size(spark, sf))
+
+
 def _parts(spark: SparkSession, sf: str, *cases: str) -> DataFrame:
     """page_id, html: one of the markups (SQL expressions) by the part's size."""
     choice = " ".join(f"WHEN {k} THEN {c}" for k, c in enumerate(cases))
@@ -27,8 +35,8 @@ def _cases(*results: str) -> str:
     return f"CASE p_size % {len(results)} {choice} END"
 
 
-def _clean(source: DataFrame, mode="strict") -> DataFrame:
-    return serialize.to_html(shred.shred_fragments(source, "html", sanitize=mode, reindex=False), source)
+def _clean(source: DataFrame, tasks: int | None, mode="strict") -> DataFrame:
+    return serialize.to_html(shred.shred_fragments(source, "html", sanitize=mode, reindex=False, partitions=tasks), source)
 
 
 def _folder(spark: SparkSession, name: str) -> str:
@@ -53,7 +61,7 @@ def sanitize_emptied(spark, sf):
     """Snippets that are emptied, empty, null or kept: one row each, in the tree form and in the column form."""
     source = _parts(spark, sf, "'<script>x</script>'", "''", "NULL", "concat('<p>', p_name)")
     local = template.sanitize_column(source, "html", "strict").select("page_id", F.col("html").alias("by_column"))
-    return _clean(source).join(local, "page_id").select("page_id", F.col("html").alias("by_tree"), "by_column")
+    return _clean(source, _part_tasks(spark, sf)).join(local, "page_id").select("page_id", F.col("html").alias("by_tree"), "by_column")
 
 
 def sanitize_iframes(spark, sf):
@@ -61,18 +69,18 @@ def sanitize_iframes(spark, sf):
         spark, sf, "concat('<iframe sandbox src=\"https://example.com/', p_partkey, '\">', p_name, '</iframe>')",
         "concat('<iframe src=\"https://example.com/\">', p_name, '</iframe>')",
         "concat('<p>', p_name, '</p><iframe sandbox src=\" Java\tScript:1\"></iframe>')",
-        "concat('<iframe sandbox>', p_name, '</iframe>')"))
+        "concat('<iframe sandbox>', p_name, '</iframe>')"), _part_tasks(spark, sf))
 
 
 def sanitize_unlisted(spark, sf):
     return _clean(_parts(spark, sf, "concat('<blink>', p_name, '</blink><p>', p_type, '</p>')", "concat('<object>', p_name, '</object>')",
-                         "concat('<embed src=x><b>', p_name, '</b>')", "concat('<p>', p_name, '<g>', p_type, '</g></p>')"))
+                         "concat('<embed src=x><b>', p_name, '</b>')", "concat('<p>', p_name, '<g>', p_type, '</g></p>')"), _part_tasks(spark, sf))
 
 
 def sanitize_templates(spark, sf):
     return _clean(_parts(spark, sf, "concat('<template><p onclick=\"x\">', p_name, '</p><script>s</script></template>')",
                          "concat('<template><li><a href=\"javascript:1\">', p_type, '</a></li></template>')",
-                         "concat('<template><!-- ', p_name, ' --></template><p>', p_type, '</p>')"))
+                         "concat('<template><!-- ', p_name, ' --></template><p>', p_type, '</p>')"), _part_tasks(spark, sf))
 
 
 def element_flags(spark, sf):
@@ -101,7 +109,8 @@ def audit_verdicts(spark, sf):
 def append_parsed(spark, sf):
     source = _parts(spark, sf, "concat('<ul><li>', p_name, '</ul>')", "'<ul></ul>'", "concat('<ol></ol><ul><!--', p_type, '--></ul>')")
     items = shred.fragment_nodes(F.concat(F.lit("<li>"), F.col("page_id").cast("string"), F.lit("<li>last")))
-    n = rewrite.append_fragment(shred.shred(source), "ul", items)
+    tasks = _part_tasks(spark, sf)
+    n = rewrite.append_fragment(shred.shred(source, partitions=tasks), "ul", items, tasks)
     return serialize.outer_html(n, "ul").select("page_id", "outer_html")
 
 
@@ -117,7 +126,7 @@ def resolved_links(spark, sf):
     part = session.tune(spark).read.parquet(f"{sf}/part.parquet")
     choice = " ".join(f"WHEN {k} THEN {c}" for k, c in enumerate(_LINKS))
     source = part.selectExpr("p_partkey AS page_id", f"{url} AS url", f"CASE p_size % {len(_LINKS)} {choice} END AS html")
-    return links.links(shred.shred(source, carry=["url"])).select("page_id", "href", "link_text", "target", "host")
+    return links.links(shred.shred(source, carry=["url"], partitions=_part_tasks(spark, sf))).select("page_id", "href", "link_text", "target", "host")
 
 
 def stored_pages(spark, sf):
