@@ -44,6 +44,14 @@ def test_estimate_of_nodes(spark, folder):
     assert shred.node_estimate(pages.limit(0)) == 0
 
 
+@pytest.mark.parametrize("query", [Q.sanitize_snippets, Q.audit_parts, Q.sanitize_none_parts, varied.sanitize_unlisted])
+def test_snippets_of_one_file_are_dealt_out(spark, folder, query):
+    """The tree kernel runs above the exchange that deals out the rows."""
+    plan = query(spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+    kernel = plan.index("ArrowEvalPython")
+    assert "Repartition" in plan[kernel:]
+
+
 @pytest.mark.parametrize("query", [Q.set_text, Q.copy_subtree, Q.import_subtree, Q.part_template_use, Q.parse_and_append, Q.form_states,
                                    Q.append_fragment, Q.insert_parsed, Q.set_inner_html, varied.append_parsed])
 def test_edits_in_many_small_tasks(spark, folder, monkeypatch, query):
