@@ -44,6 +44,28 @@ def test_estimate_of_nodes(spark, folder):
     assert shred.node_estimate(pages.limit(0)) == 0
 
 
+def test_tasks_of_edits_stay_small(spark, folder):
+    """What the sorts of one task hold adds up, so tasks are as small on large inputs as on small ones; long texts count."""
+    cores = spark.sparkContext.defaultParallelism
+    assert session.tasks_for(spark, cores * 200_000) >= 8 * cores
+    pages = spark.read.parquet(f"{folder}/pages.parquet")
+    long = pages.withColumn("html", F.concat(F.lit("<p>"), F.repeat(F.lit("é "), 500_000)))
+    assert shred.node_estimate(long) >= 120 * 3_000
+    bare = pages.withColumn("html", F.lit(None).cast("string"))
+    assert shred.node_estimate(bare) == 120 * 5
+
+
+@pytest.mark.parametrize("query", [Q.set_text, Q.edit_log, Q.insert_items, Q.insert_nested_siblings, Q.insert_banner,
+                                   Q.replace_children, Q.insert_parsed, Q.append_fragment, Q.set_inner_html, varied.append_parsed])
+def test_no_task_of_an_edit_is_large(spark, folder, monkeypatch, query):
+    """No sort follows an exchange other than the one that deals pages out by the count of their nodes."""
+    monkeypatch.setattr(session, "TASK_NODES", session.TASK_NODES // 400)
+    cut = query(spark, folder)
+    assert cut.rdd.getNumPartitions() >= 13
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and "ENSURE_REQUIREMENTS" not in plan.split("REPARTITION_BY_NUM")[0]
+
+
 @pytest.mark.parametrize("query", [Q.sanitize_snippets, Q.audit_parts, Q.sanitize_none_parts, varied.sanitize_unlisted])
 def test_snippets_of_one_file_are_dealt_out(spark, folder, query):
     """The tree kernel runs above the exchange that deals out the rows."""
