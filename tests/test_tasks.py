@@ -74,6 +74,25 @@ def test_snippets_of_one_file_are_dealt_out(spark, folder, query):
     assert "Repartition" in plan[kernel:]
 
 
+@pytest.mark.parametrize("query", [Q.edit_log, Q.set_inner_html])
+def test_rows_of_large_tables_are_dealt_out_before_they_are_parsed(spark, folder, monkeypatch, query):
+    """The task that reads a file must not hold the node rows of all of it, nor sort its rows to deal them out."""
+    whole = _rows(query(spark, folder))
+    monkeypatch.setattr(session, "TASK_NODES", 40)
+    cut = query(spark, folder)
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    kernel = plan.rindex("ArrowEvalPython [_page_tree")
+    assert "RepartitionByExpression" in plan[kernel:] and _rows(cut) == whole
+
+
+def test_count_of_parsing_tasks(spark):
+    """Few enough to write rows straight to their parts, on large inputs of many parts each."""
+    size = session.TASK_NODES
+    assert session.spread_parts(spark, 150 * size) == 150 and session.spread_parts(spark, 3000 * size) == session.DIRECT_PARTS
+    assert session.spread_parts(spark, 16_000 * size) == 1000
+    assert session.spread_parts(spark, 0) == 1
+
+
 @pytest.mark.parametrize("query", [Q.set_text, Q.copy_subtree, Q.import_subtree, Q.part_template_use, Q.parse_and_append, Q.form_states,
                                    Q.append_fragment, Q.insert_parsed, Q.set_inner_html, varied.append_parsed])
 def test_edits_in_many_small_tasks(spark, folder, monkeypatch, query):
