@@ -26,7 +26,7 @@ def _part_tasks(spark: SparkSession, sf: str) -> int | None: return session.task
 def _parts(spark: SparkSession, sf: str, *cases: str) -> DataFrame:
     """page_id, html: one of the markups (SQL expressions) by the part's size."""
     choice = " ".join(f"WHEN {k} THEN {c}" for k, c in enumerate(cases))
-    part = session.spread(session.tune(spark).read.parquet(f"{sf}/part.parquet"), _part_size(spark, sf))
+    part = session.spread(session.tune(spark).read.parquet(f"{sf}/part.parquet"), _part_size(spark, sf), "p_partkey", "p_name")
     return part.selectExpr("p_partkey AS page_id", f"CASE p_size % {len(cases)} {choice} END AS html")
 
 
@@ -123,7 +123,7 @@ _LINKS = ["'<a href=\"../up\">x</a>'", "'<a href=\"./here/./x\">x</a>'", "'<a hr
 def resolved_links(spark, sf):
     """Links of every form against addresses that vary, on pages with and without a base."""
     url = "concat('http://part', p_partkey, '.example/a/b/c', p_size, '.html?x=1#top')"
-    part = session.spread(session.tune(spark).read.parquet(f"{sf}/part.parquet"), _part_size(spark, sf))
+    part = session.spread(session.tune(spark).read.parquet(f"{sf}/part.parquet"), _part_size(spark, sf), "p_partkey", "p_name")
     choice = " ".join(f"WHEN {k} THEN {c}" for k, c in enumerate(_LINKS))
     source = part.selectExpr("p_partkey AS page_id", f"{url} AS url", f"CASE p_size % {len(_LINKS)} {choice} END AS html")
     return links.links(shred.shred(source, carry=["url"], partitions=_part_tasks(spark, sf))).select("page_id", "href", "link_text", "target", "host")

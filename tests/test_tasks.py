@@ -74,8 +74,8 @@ def test_snippets_of_one_file_are_dealt_out(spark, folder, query):
     assert "Repartition" in plan[kernel:]
 
 
-@pytest.mark.parametrize("query", [Q.edit_log, Q.insert_items, Q.insert_nested_siblings, Q.insert_banner, Q.set_inner_html, Q.insert_parsed,
-                                   Q.empty_nodes])
+@pytest.mark.parametrize("query", [Q.edit_log, Q.insert_items, Q.insert_nested_siblings, Q.insert_banner, Q.set_inner_html,
+                                   Q.insert_parsed, varied.append_parsed, Q.empty_nodes, varied.resolved_links])
 def test_rows_of_large_tables_are_dealt_out_before_they_are_parsed(spark, folder, monkeypatch, query):
     """The task that reads a file must not hold the node rows of all of it, nor sort its rows to deal them out."""
     whole = _rows(query(spark, folder))
